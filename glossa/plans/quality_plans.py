@@ -1 +1,231 @@
-"""Registered queries."""
+"""Registered queries: filters, product join, data quality, validation."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from glossa.functions.numeric import r9
+from glossa.operators import filters, joins, quality
+from glossa.plans.registry import r9 as q9
+from glossa.plans.registry import register
+from glossa.sources.fixtures import read_table, view, with_views
+
+BRAND = "Brand#12"
+CATEGORY = ("primary_category", "MEDIUM")
+DATE_RANGE = ("1997-01-01", "1998-12-31")
+
+
+def reviews(spark, sf_dir):
+    return view(spark, sf_dir, "reviews_v")
+
+
+REVIEW_COLS = "order_id, line_no, user_id, product_id, brand_name, primary_category, rating, sentiment_score, review_date"
+
+
+@register(
+    "filter_reviews",
+    covers="D1 D2 D3",
+    oracle=with_views(
+        f"""SELECT {REVIEW_COLS} FROM reviews_v
+WHERE brand_name = '{BRAND}' AND primary_category = '{CATEGORY[1]}'
+  AND CAST(review_date AS TIMESTAMP) BETWEEN TIMESTAMP '{DATE_RANGE[0]}' AND TIMESTAMP '{DATE_RANGE[1]}'""",
+        "reviews_v",
+    ),
+)
+def filter_reviews(spark, sf_dir):
+    f = filters.filter_reviews(reviews(spark, sf_dir), brand=BRAND, category=CATEGORY, date_range=DATE_RANGE)
+    return f.selectExpr(*REVIEW_COLS.split(", "))
+
+
+@register(
+    "filter_summary",
+    covers="D9",
+    oracle=with_views(
+        f"""SELECT count(*) AS rows_initial,
+       count(*) FILTER (WHERE brand_name = '{BRAND}') AS rows_after_brand,
+       count(*) FILTER (WHERE brand_name = '{BRAND}' AND primary_category = '{CATEGORY[1]}') AS rows_after_category,
+       count(*) FILTER (WHERE brand_name = '{BRAND}' AND primary_category = '{CATEGORY[1]}'
+                        AND CAST(review_date AS TIMESTAMP) BETWEEN TIMESTAMP '{DATE_RANGE[0]}' AND TIMESTAMP '{DATE_RANGE[1]}') AS rows_after_date_range,
+       {q9(f"(1 - count(*) FILTER (WHERE brand_name = '{BRAND}' AND primary_category = '{CATEGORY[1]}' AND CAST(review_date AS TIMESTAMP) BETWEEN TIMESTAMP '{DATE_RANGE[0]}' AND TIMESTAMP '{DATE_RANGE[1]}') / count(*)) * 100")} AS reduction_pct
+FROM reviews_v""",
+        "reviews_v",
+    ),
+)
+def filter_summary(spark, sf_dir):
+    s = filters.filter_summary(reviews(spark, sf_dir), brand=BRAND, category=CATEGORY, date_range=DATE_RANGE)
+    return s.withColumn("reduction_pct", r9("reduction_pct"))
+
+
+@register(
+    "category_candidates",
+    covers="D6 D7",
+    oracle=with_views(
+        """WITH c AS (
+  SELECT 'primary_category' AS column_name, count(DISTINCT primary_category) AS n_distinct, 0 AS ord FROM reviews_v
+  UNION ALL SELECT 'brand_name', count(DISTINCT brand_name), 1 FROM reviews_v
+  UNION ALL SELECT 'product_name', count(DISTINCT product_name), 2 FROM reviews_v),
+k AS (SELECT * FROM c WHERE n_distinct > 1 AND n_distinct <= 50)
+SELECT column_name, CAST(n_distinct AS BIGINT) AS n_distinct,
+       row_number() OVER (ORDER BY n_distinct DESC, ord) = 1 AS chosen FROM k""",
+        "reviews_v",
+    ),
+)
+def category_candidates(spark, sf_dir):
+    return filters.category_candidates(reviews(spark, sf_dir))
+
+
+@register(
+    "brand_options",
+    covers="D8",
+    oracle=with_views(
+        """SELECT DISTINCT brand_name FROM reviews_v WHERE brand_name IS NOT NULL""",
+        "reviews_v",
+    ),
+)
+def brand_options(spark, sf_dir):
+    return filters.option_values(reviews(spark, sf_dir), "brand_name")
+
+
+PRODUCTS_SQL = "SELECT p_partkey AS product_id, p_name AS product_name, p_brand AS brand_name, p_type, p_retailprice FROM part"
+
+
+def _raw_reviews(spark, sf_dir):
+    """Review rows before enrichment (line item + order), with a review-side brand column
+    that clashes with the dimension's."""
+    li = read_table(spark, sf_dir, "lineitem")
+    o = read_table(spark, sf_dir, "orders")
+    return li.join(o, li.l_orderkey == o.o_orderkey).select(
+        F.col("l_orderkey").alias("order_id"),
+        F.col("l_linenumber").alias("line_no"),
+        F.col("l_partkey").alias("product_id"),
+        F.col("o_custkey").alias("user_id"),
+        F.col("o_orderpriority").alias("brand_name"),
+    )
+
+
+def _products(spark, sf_dir):
+    p = read_table(spark, sf_dir, "part")
+    return p.select(
+        F.col("p_partkey").alias("product_id"),
+        F.col("p_name").alias("product_name"),
+        F.col("p_brand").alias("brand_name"),
+        "p_type",
+        "p_retailprice",
+    )
+
+
+@register(
+    "review_product_join",
+    covers="E1",
+    oracle=f"""WITH r AS (SELECT l_orderkey AS order_id, l_linenumber AS line_no, l_partkey AS product_id,
+                  o_custkey AS user_id, o_orderpriority AS brand_name
+           FROM lineitem JOIN orders ON l_orderkey = o_orderkey),
+p AS ({PRODUCTS_SQL})
+SELECT r.*, p.product_name, p.brand_name AS brand_name_product, p.p_type, p.p_retailprice
+FROM r LEFT JOIN p ON r.product_id = p.product_id""",
+)
+def review_product_join(spark, sf_dir):
+    return joins.merge_products(_raw_reviews(spark, sf_dir), _products(spark, sf_dir))
+
+
+@register(
+    "join_match_rate",
+    covers="E2",
+    oracle=f"""WITH r AS (SELECT l_partkey AS product_id FROM lineitem JOIN orders ON l_orderkey = o_orderkey),
+p AS ({PRODUCTS_SQL})
+SELECT count(*) AS n_rows, count(p.product_name) AS n_matched,
+       {q9('avg(CASE WHEN p.product_name IS NOT NULL THEN 1.0 ELSE 0.0 END) * 100')} AS match_pct
+FROM r LEFT JOIN p ON r.product_id = p.product_id""",
+)
+def join_match_rate(spark, sf_dir):
+    m = joins.match_rate(joins.merge_products(_raw_reviews(spark, sf_dir), _products(spark, sf_dir)))
+    return m.withColumn("match_pct", r9("match_pct"))
+
+
+@register(
+    "ingestion_report",
+    covers="F27",
+    oracle=f"""WITH r AS (SELECT l_partkey AS product_id, CAST(l_quantity AS VARCHAR) AS rating, l_shipdate AS submission_time
+           FROM lineitem)
+SELECT count(*) AS total_rows, count(DISTINCT product_id) AS unique_products,
+       {q9('avg(TRY_CAST(rating AS DOUBLE))')} AS avg_rating, min(TRY_CAST(rating AS DOUBLE)) AS min_rating,
+       max(TRY_CAST(rating AS DOUBLE)) AS max_rating, min(submission_time) AS first_submission,
+       max(submission_time) AS last_submission, (SELECT count(DISTINCT p_brand) FROM part) AS unique_brands
+FROM r""",
+)
+def ingestion_report(spark, sf_dir):
+    li = read_table(spark, sf_dir, "lineitem").select(
+        F.col("l_partkey").alias("product_id"),
+        F.col("l_quantity").cast("string").alias("rating"),
+        F.col("l_shipdate").alias("submission_time"),
+    )
+    rep = quality.ingestion_report(li, _products(spark, sf_dir))
+    return rep.withColumn("avg_rating", r9("avg_rating"))
+
+
+@register(
+    "completeness",
+    covers="F28",
+    oracle=with_views(
+        f"""SELECT count(*) AS n_rows,
+       CAST(count(*) FILTER (WHERE brand_name IS NULL) + count(*) FILTER (WHERE product_name IS NULL)
+          + count(*) FILTER (WHERE rating IS NULL) + count(*) FILTER (WHERE sentiment_score IS NULL)
+          + count(*) FILTER (WHERE review_date IS NULL) AS BIGINT) AS n_nulls,
+       5 * count(*) AS n_cells,
+       {q9('(1 - (count(*) FILTER (WHERE brand_name IS NULL) + count(*) FILTER (WHERE product_name IS NULL) + count(*) FILTER (WHERE rating IS NULL) + count(*) FILTER (WHERE sentiment_score IS NULL) + count(*) FILTER (WHERE review_date IS NULL)) / (5 * count(*))) * 100')} AS completeness_pct
+FROM reviews_v""",
+        "reviews_v",
+    ),
+)
+def completeness(spark, sf_dir):
+    cols = ["brand_name", "product_name", "rating", "sentiment_score", "review_date"]
+    c = quality.completeness(reviews(spark, sf_dir), cols)
+    return c.withColumn("completeness_pct", r9("completeness_pct"))
+
+
+@register(
+    "duplicates",
+    covers="F29",
+    oracle=with_views(
+        """WITH g AS (SELECT rating, sentiment_score, sentiment_label, count(*) AS n FROM reviews_v GROUP BY ALL)
+SELECT CAST(sum(n - 1) AS BIGINT) AS duplicate_rows, count(*) AS distinct_rows, CAST(sum(n) AS BIGINT) AS total_rows FROM g""",
+        "reviews_v",
+    ),
+)
+def duplicates(spark, sf_dir):
+    return quality.duplicates(reviews(spark, sf_dir))
+
+
+@register(
+    "consistency",
+    covers="F30",
+    oracle=with_views(
+        f"""SELECT {q9("avg(CASE WHEN sentiment_label = 'positive' AND rating >= 4 THEN 1.0 ELSE 0.0 END) * 100")} AS consistency_pct
+FROM reviews_v""",
+        "reviews_v",
+    ),
+)
+def consistency(spark, sf_dir):
+    return quality.consistency(reviews(spark, sf_dir)).withColumn("consistency_pct", r9("consistency_pct"))
+
+
+@register(
+    "validation_checks",
+    covers="V1 V2 V3 V4 V5 V6 V7 V9",
+    oracle=None,
+)
+def validation_checks(spark, sf_dir):
+    r = reviews(spark, sf_dir).withColumn("review_text", F.col("product_name"))
+    return quality.validation_checks(r)
+
+
+@register(
+    "cluster_distribution",
+    covers="V8 F25",
+    oracle=with_views(
+        "SELECT CAST(user_id % 4 AS INTEGER) AS user_cluster, count(*) AS n FROM reviews_v GROUP BY 1", "reviews_v"
+    ),
+)
+def cluster_distribution(spark, sf_dir):
+    r = reviews(spark, sf_dir).withColumn("user_cluster", (F.col("user_id") % 4).cast("int"))
+    return quality.cluster_distribution(r)

@@ -71,12 +71,21 @@ SELECT event_id AS tweet_id, ts AS created_at, CAST(user_id AS STRING) AS author
 FROM {events}
 """
 
+# raw_reviews_v: review-file-shaped rows (string rating with junk, string date) from conversations.
+RAW_REVIEWS_V = """
+SELECT conv_id, turn, text AS review_text,
+       CASE WHEN role = 'user' THEN CAST(CAST(turn AS DOUBLE) / 2 AS STRING) ELSE role END AS rating,
+       CAST(DATE '2024-01-01' + CAST(turn AS INTEGER) AS STRING) AS submission_time
+FROM {conversations}
+"""
+
 VIEWS = {
     "reviews_v": REVIEWS_V,
     "social_v": SOCIAL_V,
     "tweets_v": TWEETS_V,
     "social_words_v": SOCIAL_WORDS_V,
     "tweet_payload_v": TWEET_PAYLOAD_V,
+    "raw_reviews_v": RAW_REVIEWS_V,
 }
 
 _PLACEHOLDER = re.compile(r"\{(\w+)\}")
