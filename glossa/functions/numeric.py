@@ -89,5 +89,11 @@ def stable_avg(c: str | Column) -> Column:
     run to run. Quantised values are integers in a double, whose sum is exact
     below 2^53, so the mean is the same on every cluster layout and engine.
     """
-    q = F.rint(col_(c) * F.lit(STABLE_SCALE))
+    q = F.rint(col_(c) * F.lit(STABLE_SCALE)).cast("long")
     return F.try_divide(F.sum(q), F.count(q)) / F.lit(STABLE_SCALE)
+
+
+def stable_sum(c: str | Column) -> Column:
+    """Sum of the values quantised to 1e-6 in exact 64-bit integer arithmetic."""
+    q = F.rint(col_(c) * F.lit(STABLE_SCALE)).cast("long")
+    return F.sum(q) / F.lit(STABLE_SCALE)

@@ -10,14 +10,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from glossa.functions import text as T
-from glossa.functions.numeric import safe_div, top_k
+from glossa.functions.numeric import safe_div, stable_avg, stable_sum, top_k
 
 STABLE = 1_000_000.0
 
 
 def _q(c) -> F.Column:
     """Quantised value (1e-6 units) so that sums are exact and order-independent."""
-    return F.rint(F.col(c) * F.lit(STABLE)) if isinstance(c, str) else F.rint(c * F.lit(STABLE))
+    return (F.rint(F.col(c) * F.lit(STABLE)) if isinstance(c, str) else F.rint(c * F.lit(STABLE))).cast("long")
 
 
 def daily_reviews(
@@ -28,8 +28,8 @@ def daily_reviews(
         reviews.filter(F.col(date_col).isNotNull())
         .groupBy(F.to_date(date_col).alias(out_date))
         .agg(
-            F.avg("rating").alias("avg_rating"),
-            F.avg("sentiment_score").alias("avg_sentiment"),
+            stable_avg("rating").alias("avg_rating"),
+            stable_avg("sentiment_score").alias("avg_sentiment"),
             F.count(count_col).alias("review_count"),
         )
     )
@@ -40,7 +40,7 @@ def daily_social(social: DataFrame, *, keys: Sequence[str] = ("date", "platform"
     return (
         social.filter(F.col("date").isNotNull())
         .groupBy(F.to_date("date").alias("date"), *[k for k in keys if k != "date"])
-        .agg(F.sum("mention_volume").alias("mention_volume"), F.sum("engagement").alias("engagement"))
+        .agg(F.sum("mention_volume").alias("mention_volume"), stable_sum("engagement").alias("engagement"))
     )
 
 

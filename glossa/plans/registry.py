@@ -68,4 +68,9 @@ def r9(expr: str) -> str:
 
 def savg(expr: str) -> str:
     """DuckDB spelling of ``stable_avg``."""
-    return f"(sum(round_even(({expr}) * 1000000.0, 0)) / count({expr}) / 1000000.0)"
+    return f"(sum(CAST(round_even(({expr}) * 1000000.0, 0) AS BIGINT)) / count({expr}) / 1000000.0)"
+
+
+def ssum(expr: str) -> str:
+    """DuckDB spelling of ``stable_sum``."""
+    return f"(sum(CAST(round_even(({expr}) * 1000000.0, 0) AS BIGINT)) / 1000000.0)"

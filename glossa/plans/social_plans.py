@@ -8,7 +8,7 @@ from glossa.functions import text as T
 from glossa.functions.numeric import r9, round_half_even
 from glossa.operators import filters, social
 from glossa.plans.registry import r9 as q9
-from glossa.plans.registry import register, rnd
+from glossa.plans.registry import register, rnd, savg, ssum
 from glossa.sources.fixtures import read_table, view, with_views
 
 PLATFORMS = ("1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW")
@@ -26,7 +26,7 @@ def tweets_v(spark, sf_dir):
     "daily_social",
     covers="F13",
     oracle=with_views(
-        f"""SELECT date, platform, CAST(sum(mention_volume) AS BIGINT) AS mention_volume, {q9('sum(engagement)')} AS engagement
+        f"""SELECT date, platform, CAST(sum(mention_volume) AS BIGINT) AS mention_volume, {q9(ssum('engagement'))} AS engagement
 FROM social_v WHERE date IS NOT NULL GROUP BY date, platform""",
         "social_v",
     ),
@@ -40,7 +40,7 @@ def daily_social(spark, sf_dir):
     "daily_social_totals",
     covers="F16",
     oracle=with_views(
-        f"""SELECT date, CAST(sum(mention_volume) AS BIGINT) AS mention_volume, {q9('sum(engagement)')} AS engagement
+        f"""SELECT date, CAST(sum(mention_volume) AS BIGINT) AS mention_volume, {q9(ssum('engagement'))} AS engagement
 FROM social_v WHERE date IS NOT NULL GROUP BY date""",
         "social_v",
     ),
@@ -194,7 +194,7 @@ def hashtag_engagement_top(spark, sf_dir):
     "social_pivot",
     covers="F40",
     oracle=with_views(
-        "WITH d AS (SELECT date, platform, sum(mention_volume) AS m, sum(engagement) AS e FROM social_v "
+        "WITH d AS (SELECT date, platform, sum(mention_volume) AS m, " + ssum("engagement") + " AS e FROM social_v "
         "WHERE date IS NOT NULL GROUP BY date, platform)\nSELECT date, "
         + ", ".join(
             f"CAST(coalesce(sum(m) FILTER (WHERE platform = '{p}'), 0) AS BIGINT) AS \"mention_volume_{p}\", "
@@ -235,7 +235,7 @@ def social_rollup_from_tweets(spark, sf_dir):
     "daily_review_rollup",
     covers="F12 F43",
     oracle=with_views(
-        f"""SELECT review_date AS date, {q9('avg(rating)')} AS avg_rating, {q9('avg(sentiment_score)')} AS avg_sentiment,
+        f"""SELECT review_date AS date, {q9(savg('rating'))} AS avg_rating, {q9(savg('sentiment_score'))} AS avg_sentiment,
        count(product_id) AS review_count FROM reviews_v WHERE review_date IS NOT NULL GROUP BY review_date""",
         "reviews_v",
     ),
