@@ -1 +1,41 @@
-"""Registered queries."""
+"""Registered query: the tweet stream's daily label counts (S1 + S2).
+
+The events table is read as a *file stream* (the same Parquet file the batch
+queries read), mapped to tweets, deduplicated within the watermark and counted
+per (day, label); the stream runs to completion (``availableNow``) and the
+result table is returned."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from glossa.plans.registry import register
+from glossa.sources.fixtures import TWEETS_V, table_path
+from glossa.streaming import tweets as S
+
+
+def tweet_stream(spark, sf_dir):
+    events_schema = spark.read.parquet(table_path(sf_dir, "events")).schema
+    events = spark.readStream.schema(events_schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
+    # Event-time watermarks need TIMESTAMP (LTZ); the table stores TIMESTAMP_NTZ.
+    return spark.sql(TWEETS_V, events=events).withColumn("created_at", F.col("created_at").cast("timestamp"))
+
+
+@register(
+    "tweet_stream_daily",
+    covers="S1 S2",
+    oracle="""SELECT date_trunc('day', ts) AS window_start, date_trunc('day', ts) + INTERVAL 1 DAY AS window_end,
+       CASE WHEN event_type IN ('purchase','signup') THEN 'positive'
+            WHEN event_type = 'error' THEN 'negative' ELSE 'neutral' END AS sentiment_label,
+       count(*) AS n
+FROM (SELECT DISTINCT ON (event_id) * FROM events) e GROUP BY ALL""",
+)
+def tweet_stream_daily(spark, sf_dir):
+    tweets = S.dedup_tweets(tweet_stream(spark, sf_dir), watermark="1 day")
+    counts = S.daily_label_counts(tweets)
+    return S.run_to_table(counts, spark, "tweet_stream_daily").select(
+        F.col("window_start").cast("timestamp_ntz").alias("window_start"),
+        F.col("window_end").cast("timestamp_ntz").alias("window_end"),
+        "sentiment_label",
+        "n",
+    )
