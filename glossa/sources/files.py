@@ -40,6 +40,8 @@ class NoInputError(RuntimeError):
 def list_files(spark: SparkSession, folder: str, pattern: str = "reviews_*.csv") -> list[str]:
     """A1: paths matching ``pattern`` in ``folder``; none is an error.
 
+    Zero-byte files are not listed by Spark's file index (they hold no rows).
+
     The listing (file names only) comes to the driver: it is bounded by the
     number of files, not by their size.
     """

@@ -14,7 +14,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StringType, StructField, StructType, TimestampNTZType
+from pyspark.sql.types import LongType, StringType, StructField, StructType, TimestampType
 
 from glossa.session import scratch_path
 
@@ -22,7 +22,7 @@ PAYLOAD_SCHEMA = StructType(
     [
         StructField("id", LongType()),
         StructField("text", StringType()),
-        StructField("created_at", TimestampNTZType()),
+        StructField("created_at", TimestampType()),  # event time: watermarks need TIMESTAMP
         StructField("author_id", StringType()),
         StructField("lang", StringType()),
         StructField(
