@@ -60,9 +60,10 @@ def lexicon_frame(spark: SparkSession, lexicon: dict[str, float] | None = None)
     return spark.createDataFrame(sorted(lex.items()), "token string, valence double")
 
 
-def tokens(c: str | Column) -> Column:
-    """Lower-cased single-space tokens of a cleaned text (empty text → [])."""
-    low = F.lower(T.clean_text(c))
+def tokens(c: str | Column, clean: bool = True) -> Column:
+    """Lower-cased single-space tokens (empty text → []); ``clean=False`` when the
+    input is already the output of ``clean_text``."""
+    low = F.lower(T.clean_text(c)) if clean else F.lower(F.coalesce(F.col(c) if isinstance(c, str) else c, F.lit("")))
     return F.when(low == "", F.array().cast("array<string>")).otherwise(F.split(low, " "))
 
 
@@ -100,26 +101,32 @@ def lexicon_map(lexicon: dict[str, float]) -> Column:
     )
 
 
-def score_map(df: DataFrame, lexicon: dict[str, float] | None = None, *, text_col: str = "cleaned_text") -> DataFrame:
+def score_map(
+    df: DataFrame, lexicon: dict[str, float] | None = None, *, text_col: str = "cleaned_text", clean: bool = True
+) -> DataFrame:
     """Row-local plan: tokens probe a constant lexicon map."""
     lex_map = lexicon_map(lexicon or DEFAULT_LEXICON)
     # Tokenise once into a column: the lambdas below index the array repeatedly.
-    df = df.withColumn("_toks", tokens(text_col))
+    df = df.withColumn("_toks", tokens(text_col, clean))
     toks = F.col("_toks")
 
     def prev(arr, i, j):
         return F.when(i >= j, F.try_element_at(arr, i - j + 1))
 
-    per_token = F.transform(
-        toks,
-        lambda t, i: F.struct(
-            F.try_element_at(lex_map, t).alias("v"),
-            prev(toks, i, 1).alias("p1"),
-            prev(toks, i, 2).alias("p2"),
-            prev(toks, i, 3).alias("p3"),
+    # Keep only lexicon tokens first (hash-set membership), then look up valences
+    # and predecessors for the hits alone.
+    words = sorted((lexicon or DEFAULT_LEXICON).keys())
+    indexed = F.transform(toks, lambda t, i: F.struct(t.alias("t"), i.alias("i")))
+    known = F.filter(indexed, lambda x: x["t"].isin(*words))
+    hits = F.transform(
+        known,
+        lambda x: F.struct(
+            F.try_element_at(lex_map, x["t"]).alias("v"),
+            prev(toks, x["i"], 1).alias("p1"),
+            prev(toks, x["i"], 2).alias("p2"),
+            prev(toks, x["i"], 3).alias("p3"),
         ),
     )
-    hits = F.filter(per_token, lambda x: x["v"].isNotNull())
     df = df.withColumn("_hits", hits)
     adj = F.transform(F.col("_hits"), lambda x: _adjusted(x["v"], x["p1"], x["p2"], x["p3"]))
     s = F.aggregate(adj, F.lit(0.0), lambda acc, x: acc + x)
@@ -128,9 +135,11 @@ def score_map(df: DataFrame, lexicon: dict[str, float] | None = None, *, text_co
     return df.withColumns(cols).drop("_toks", "_hits")
 
 
-def score_join(df: DataFrame, lexicon: DataFrame, *, text_col: str = "cleaned_text", id_col: str) -> DataFrame:
+def score_join(
+    df: DataFrame, lexicon: DataFrame, *, text_col: str = "cleaned_text", id_col: str, clean: bool = True
+) -> DataFrame:
     """Join plan for large lexicons: explode tokens with 3 predecessors, join, sum per id."""
-    df = df.withColumn("_toks", tokens(text_col))
+    df = df.withColumn("_toks", tokens(text_col, clean))
     toks = F.col("_toks")
     ctx = F.transform(
         toks,
@@ -167,8 +176,12 @@ def analyze(
     lexicon: dict[str, float] | DataFrame | None = None,
     id_col: str | None = None,
     max_map_entries: int = 50_000,
+    clean: bool = False,
 ) -> DataFrame:
-    """Compound, polarity, blended ``sentiment_score``, label and intensity."""
+    """Compound, polarity, blended ``sentiment_score``, label and intensity.
+
+    The input is the cleaned text by default (as in the processing job);
+    ``clean=True`` cleans it first."""
     spark = df.sparkSession
     if lexicon is None or isinstance(lexicon, dict):
         lex_dict = dict(lexicon or DEFAULT_LEXICON)
@@ -179,11 +192,13 @@ def analyze(
         small = lex_df.limit(max_map_entries + 1).count() <= max_map_entries
         lex_dict = {r["token"]: r["valence"] for r in lex_df.collect()} if small else None
     if lex_dict is not None and len(lex_dict) <= max_map_entries:
-        scored = score_map(df, lex_dict, text_col=text_col)
+        scored = score_map(df, lex_dict, text_col=text_col, clean=clean)
     else:
         if id_col is None:
             raise ValueError("a lexicon above max_map_entries needs id_col for the join plan")
-        scored = score_join(df, lex_df if lex_df is not None else lexicon_frame(spark, lex_dict), text_col=text_col, id_col=id_col)
+        scored = score_join(
+            df, lex_df if lex_df is not None else lexicon_frame(spark, lex_dict), text_col=text_col, id_col=id_col, clean=clean
+        )
     score = (F.col("vader_compound") + F.col("textblob_sentiment")) / 2.0
     return scored.withColumn("sentiment_score", score).withColumns(
         {

@@ -144,22 +144,60 @@ def lag_correlations(
     return corr.select("platform", "lag", "n", "spearman_r").withColumn("is_best", F.row_number().over(best) == 1)
 
 
-def spearman_matrix(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """Spearman matrix as long pairs ``(var_x, var_y, spearman_r)``, i < j.
+def value_ranks(df: DataFrame, col: str) -> DataFrame:
+    """Average rank of every distinct value of ``col``: rows below it + (ties + 1) / 2.
 
-    Rows with a NULL in any column are skipped (ML needs complete vectors; pandas
-    would drop pairwise). The k x k result comes back to the driver (bounded by
-    the number of columns) and is returned as a DataFrame.
+    Built from per-value counts, so a value held by a third of all rows is one
+    row here (partial aggregation absorbs it before the shuffle). The running
+    count is a window over the *distinct values* only.
     """
+    counts = df.groupBy(col).agg(F.count(F.lit(1)).alias("_c"))
+    w = Window.orderBy(col).rowsBetween(Window.unboundedPreceding, -1)
+    below = F.coalesce(F.sum("_c").over(w), F.lit(0))
+    return counts.select(col, (below + (F.col("_c") + 1) / 2.0).alias(f"_r_{col}"))
+
+
+def spearman_matrix(df: DataFrame, cols: Sequence[str], *, max_rank_values: int = 1_000_000) -> DataFrame:
+    """Spearman matrix as long pairs ``(var_x, var_y, spearman_r)``, i < j,
+    over rows complete in every column (pandas would drop pairwise).
+
+    Plan: per column, distinct values → average ranks (``value_ranks``), joined
+    back on the value; then all pairwise Pearson correlations of the ranks in a
+    single aggregation. The rank tables are broadcast only when their size is
+    known to be small (an approximate distinct count below ``max_rank_values``);
+    a column with more distinct values than that is ranked by
+    ``pyspark.ml.stat.Correlation`` (a distributed sort) instead.
+    """
+    cols = list(cols)
+    complete = df.select(*[F.col(c).cast("double").alias(c) for c in cols]).dropna()
+    n_distinct = complete.agg(*[F.approx_count_distinct(c).alias(c) for c in cols]).collect()[0].asDict()
+    if any(v > max_rank_values for v in n_distinct.values()):
+        return _spearman_matrix_ml(complete, cols)
+    # All columns' value counts in one pass: stack (column, value), count, rank per column.
+    stacked = complete.select(F.inline(F.array(*[F.struct(F.lit(c).alias("_col"), F.col(c).alias("_v")) for c in cols])))
+    counts = stacked.groupBy("_col", "_v").agg(F.count(F.lit(1)).alias("_c"))
+    w = Window.partitionBy("_col").orderBy("_v").rowsBetween(Window.unboundedPreceding, -1)
+    ranks = counts.select("_col", "_v", (F.coalesce(F.sum("_c").over(w), F.lit(0)) + (F.col("_c") + 1) / 2.0).alias("_r"))
+    ranked = complete
+    for c in cols:
+        table = ranks.filter(F.col("_col") == c).select(F.col("_v").alias(c), F.col("_r").alias(f"_r_{c}"))
+        ranked = ranked.join(F.broadcast(table), c, "inner")
+    pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i + 1 :]]
+    agg = ranked.agg(*[safe_corr(f"_r_{a}", f"_r_{b}").alias(f"{a}\u0001{b}") for a, b in pairs])
+    arr = F.array(
+        *[F.struct(F.lit(a).alias("var_x"), F.lit(b).alias("var_y"), F.col(f"`{a}\u0001{b}`").alias("spearman_r")) for a, b in pairs]
+    )
+    return agg.select(F.inline(arr))
+
+
+def _spearman_matrix_ml(complete: DataFrame, cols: list[str]) -> DataFrame:
     from pyspark.ml.feature import VectorAssembler
     from pyspark.ml.stat import Correlation
 
-    vec = VectorAssembler(inputCols=list(cols), outputCol="_v", handleInvalid="skip").transform(
-        df.select(*[F.col(c).cast("double") for c in cols])
-    )
+    vec = VectorAssembler(inputCols=cols, outputCol="_v").transform(complete)
     m = Correlation.corr(vec, "_v", "spearman").head()[0].toArray()
     rows = [(cols[i], cols[j], float(m[i, j])) for i in range(len(cols)) for j in range(i + 1, len(cols))]
-    return df.sparkSession.createDataFrame(rows, "var_x string, var_y string, spearman_r double")
+    return complete.sparkSession.createDataFrame(rows, "var_x string, var_y string, spearman_r double")
 
 
 def top_pairs(pairs: DataFrame, *, k: int = 10) -> DataFrame:
