@@ -124,6 +124,12 @@ def hashtag_engagement_top(social: DataFrame, *, k: int = 10) -> DataFrame:
     return top_k(sums, k, [F.col("engagement").desc(), F.col("hashtag").asc()]).withColumn("n_hashtags", n_distinct)
 
 
+def featured(tweets: DataFrame, *, k: int = 5) -> DataFrame:
+    """H8 (re-aimed): the reference shows the first 5 rows of an unordered frame;
+    Spark has no row order, so the featured tweets are the top-k by engagement."""
+    return top_k(tweets, k, [F.col("engagement").desc(), F.col("tweet_id").asc()])
+
+
 def rollup_from_tweets(tweets: DataFrame) -> DataFrame:
     """social day rows from tweet rows (each tweet one mention)."""
     return tweets.groupBy(F.to_date("created_at").alias("date"), "hashtag", "platform").agg(

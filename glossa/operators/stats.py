@@ -287,6 +287,14 @@ def pearson(df: DataFrame, x: str, y: str) -> DataFrame:
     return df.agg(safe_corr(x, y).alias("pearson_r"), F.count(F.when(F.col(x).isNotNull() & F.col(y).isNotNull(), 1)).alias("n"))
 
 
+def scatter_points(df: DataFrame, x: str, y: str, *, keys: Sequence[str] = (), fraction: float | None = None, seed: int = 42) -> DataFrame:
+    """Point set of a scatter chart (complete pairs). ``fraction`` is the
+    sampling operator for chart rendering at scale (Bernoulli per row, seeded);
+    without it every point is returned."""
+    pts = df.select(*keys, x, y).filter(F.col(x).isNotNull() & F.col(y).isNotNull())
+    return pts.sample(fraction=fraction, seed=seed) if fraction is not None else pts
+
+
 def ols_fit(df: DataFrame, *, y: str = "rating", x: str = "sentiment_score") -> DataFrame:
     """K9: intercept, slope and R^2 of y ~ x over all complete rows (one aggregation)."""
     return df.agg(

@@ -229,3 +229,12 @@ def validation_checks(spark, sf_dir):
 def cluster_distribution(spark, sf_dir):
     r = reviews(spark, sf_dir).withColumn("user_cluster", (F.col("user_id") % 4).cast("int"))
     return quality.cluster_distribution(r)
+
+
+@register("validation_report_lines", covers="A15 V1 V2 V3 V4 V5 V6 V7 V9", oracle=None)
+def validation_report_lines(spark, sf_dir):
+    from glossa.sources import files
+
+    r = reviews(spark, sf_dir).withColumn("review_text", F.col("product_name"))
+    checks = quality.validation_checks(r)
+    return files.report_lines(checks, "%s [%s] %s: %s", ["check", "column", "status", "observed"], ["check", "column"])

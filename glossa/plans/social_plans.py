@@ -325,3 +325,31 @@ def filter_social(spark, sf_dir):
         hashtags=["#BUILDING", "#MACHINERY"],
         platforms=["1-URGENT", "2-HIGH"],
     )
+
+
+@register(
+    "tweet_label_distribution",
+    covers="F44 C7",
+    oracle=with_views(
+        f"""SELECT sentiment_label, count(*) AS n, {q9('count(*) / (SELECT count(*) FROM tweets_v)')} AS share
+FROM tweets_v WHERE sentiment_label IS NOT NULL GROUP BY sentiment_label""",
+        "tweets_v",
+    ),
+)
+def tweet_label_distribution(spark, sf_dir):
+    from glossa.operators import marts
+
+    return marts.label_distribution(tweets_v(spark, sf_dir)).withColumn("share", r9("share"))
+
+
+@register(
+    "featured_tweets",
+    covers="H8 B21",
+    oracle=with_views(
+        """SELECT tweet_id, created_at, platform, engagement FROM tweets_v
+ORDER BY engagement DESC, tweet_id LIMIT 5""",
+        "tweets_v",
+    ),
+)
+def featured_tweets(spark, sf_dir):
+    return social.featured(tweets_v(spark, sf_dir), k=5).select("tweet_id", "created_at", "platform", "engagement")

@@ -286,3 +286,27 @@ SELECT i, {q9('x_min + (x_max - x_min) * i / 99')} AS x, {q9('intercept + slope
 def ols_fit_line(spark, sf_dir):
     line = stats.ols_line(stats.ols_fit(view(spark, sf_dir, "reviews_v")))
     return line.select("i", r9("x").alias("x"), r9("y_hat").alias("y_hat"))
+
+
+@register(
+    "sentiment_rating_points",
+    covers="B24",
+    oracle=with_views("SELECT order_id, line_no, sentiment_score, rating FROM reviews_v", "reviews_v"),
+)
+def sentiment_rating_points(spark, sf_dir):
+    pts = stats.scatter_points(view(spark, sf_dir, "reviews_v"), "sentiment_score", "rating", keys=("order_id", "line_no"))
+    return pts
+
+
+@register("correlation_report_lines", covers="A14 J4 J6", oracle=None)
+def correlation_report_lines(spark, sf_dir):
+    from glossa.sources import files
+
+    dr, ds = _daily(spark, sf_dir)
+    rep = stats.correlation_report(stats.platform_correlations(dr, ds, min_n=10, with_p=True))
+    return files.report_lines(
+        rep,
+        "%s_%s: Spearman %.3f (p-value: %.3f) | Pearson %.3f (p-value: %.3f) | Muestra %d | %s",
+        ["pair", "platform", "spearman_r", "spearman_p", "pearson_r", "pearson_p", "n", "interpretation"],
+        ["platform", "pair"],
+    )

@@ -350,3 +350,42 @@ def test_alerts_and_insights(spark):
     assert a == {"CRITICO": True, "ALTA": True, "INFO": True}
     i = {r.insight: r.fired for r in segments.insights(df).collect()}
     assert i["many_negative"] and not i["mostly_positive"] and not i["high_rating"]
+
+
+# ------------------------------------------------------------------ small predicates and lookups
+
+def test_contains_ci_and_prefix_match(spark):
+    df = spark.createDataFrame([("Hello World",), (None,), ("444",)], "t string")
+    out = df.select(filters.contains_ci("t", "WORLD").alias("c"), filters.matches_prefix("t", "[3-4][3-4]").alias("m")).collect()
+    assert [(r.c, r.m) for r in out] == [(True, False), (False, False), (False, True)]
+
+
+def test_tag_query_filters_language_and_retweets(spark):
+    rows = [(1, "en", False), (2, "es", False), (3, "en", True), (4, "en", None)]
+    df = spark.createDataFrame(rows, "tweet_id long, lang string, is_retweet boolean")
+    out = social.tag_query(df, hashtag="skincare", platform="twitter").collect()
+    assert sorted(r.tweet_id for r in out) == [1, 4]
+    assert {(r.hashtag, r.platform) for r in out} == {("#skincare", "twitter")}
+
+
+def test_lookup_authors_unknown(spark):
+    tweets = spark.createDataFrame([(1, "a"), (2, "zz")], "tweet_id long, author_id string")
+    users = spark.createDataFrame([("a", "ana", "Ana")], "author_id string, author_username string, author_name string")
+    out = {r.tweet_id: r for r in joins.lookup_authors(tweets, users).collect()}
+    assert out[1].author_username == "ana" and out[2].author_username == "unknown" and out[2].author_name == "unknown"
+
+
+def test_label_shares_sum_to_one(spark):
+    df = spark.createDataFrame([("a",), ("b",), ("b",), (None,)], "sentiment_label string")
+    shares = [r.share for r in marts.label_distribution(df).collect()]
+    assert sum(shares) == pytest.approx(0.75)  # NULL labels are counted in the total, not as a label
+
+
+def test_trend_forecast_and_regime(spark):
+    rows = [(f"2024-01-{d:02d}", float(d)) for d in range(1, 31)]
+    df = spark.createDataFrame(rows, "review_date string, review_count double").withColumn("review_date", F.to_date("review_date"))
+    f = timeseries.trend_forecast(df).orderBy("step").collect()
+    assert len(f) == 7 and f[0].forecast_value == pytest.approx(31.0) and str(f[-1].forecast_date) == "2024-02-06"
+    r = timeseries.trend_regime(df).collect()[0]
+    assert r.trend_direction == "increasing" and r.last_recent_avg == pytest.approx(27.0) and r.last_history_avg == pytest.approx(15.5)
+    assert r.regime == "up"
