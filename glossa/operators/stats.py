@@ -3,8 +3,9 @@ one-way ANOVA, Welch t-test, OLS (J1–J14, K9).
 
 Group statistics are computed from moments in one aggregation; ranks (for
 Spearman) use windows partitioned by the group on *daily panels* whose size is
-bounded by the calendar. Review-level Spearman matrices use
-``pyspark.ml.stat.Correlation`` (distributed sort-based ranking, ties averaged).
+bounded by the calendar. Review-level Spearman matrices rank from per-value
+counts (see ``spearman_matrix``), with ``pyspark.ml.stat.Correlation`` as the
+fallback for columns with very many distinct values.
 p-values come from U1 on the aggregated rows only.
 """
 
