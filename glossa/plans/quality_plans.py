@@ -212,7 +212,38 @@ def consistency(spark, sf_dir):
 @register(
     "validation_checks",
     covers="V1 V2 V3 V4 V5 V6 V7 V9",
-    oracle=None,
+    oracle=with_views(
+        """WITH r AS (SELECT *, product_name AS review_text FROM reviews_v),
+k AS (SELECT count(*) FILTER (WHERE review_text IS NULL) AS n_text, count(*) FILTER (WHERE rating IS NULL) AS n_rating,
+             count(*) FILTER (WHERE sentiment_score IS NULL) AS n_sent, count(*) FILTER (WHERE sentiment_label IS NULL) AS n_label,
+             count(*) FILTER (WHERE NOT coalesce(rating BETWEEN 1 AND 5, false)) AS bad_rating,
+             count(*) FILTER (WHERE NOT coalesce(sentiment_score BETWEEN -1 AND 1, false)) AS bad_sent,
+             count(*) FILTER (WHERE NOT coalesce(sentiment_label IN ('positive', 'negative', 'neutral'), false)) AS bad_label,
+             count(*) FILTER (WHERE length(review_text) < 10) AS short_texts,
+             avg(rating) AS mean_r, stddev_samp(rating) AS std_r, min(rating) AS min_r, max(rating) AS max_r,
+             avg(sentiment_score) AS mean_s, stddev_samp(sentiment_score) AS std_s, min(sentiment_score) AS min_s,
+             max(sentiment_score) AS max_s FROM r)
+SELECT 'required_column' AS "check", c AS "column", 'pass' AS status, 'present' AS observed
+  FROM (VALUES ('review_text'), ('rating'), ('sentiment_score'), ('sentiment_label')) v(c)
+UNION ALL SELECT 'null_count', 'review_text', CASE WHEN n_text = 0 THEN 'pass' ELSE 'fail' END, CAST(n_text AS VARCHAR) FROM k
+UNION ALL SELECT 'null_count', 'rating', CASE WHEN n_rating = 0 THEN 'pass' ELSE 'fail' END, CAST(n_rating AS VARCHAR) FROM k
+UNION ALL SELECT 'null_count', 'sentiment_score', CASE WHEN n_sent = 0 THEN 'pass' ELSE 'fail' END, CAST(n_sent AS VARCHAR) FROM k
+UNION ALL SELECT 'null_count', 'sentiment_label', CASE WHEN n_label = 0 THEN 'pass' ELSE 'fail' END, CAST(n_label AS VARCHAR) FROM k
+UNION ALL SELECT 'rating_range', 'rating', CASE WHEN bad_rating = 0 THEN 'pass' ELSE 'fail' END, CAST(bad_rating AS VARCHAR) FROM k
+UNION ALL SELECT 'sentiment_range', 'sentiment_score', CASE WHEN bad_sent = 0 THEN 'pass' ELSE 'fail' END, CAST(bad_sent AS VARCHAR) FROM k
+UNION ALL SELECT 'label_values', 'sentiment_label', CASE WHEN bad_label = 0 THEN 'pass' ELSE 'fail' END, CAST(bad_label AS VARCHAR) FROM k
+UNION ALL SELECT 'null_texts', 'review_text', CASE WHEN n_text = 0 THEN 'pass' ELSE 'fail' END, CAST(n_text AS VARCHAR) FROM k
+UNION ALL SELECT 'short_texts', 'review_text', CASE WHEN short_texts = 0 THEN 'pass' ELSE 'fail' END, CAST(short_texts AS VARCHAR) FROM k
+UNION ALL SELECT 'mean', 'rating', 'pass', printf('%.6f', mean_r) FROM k
+UNION ALL SELECT 'std', 'rating', 'pass', printf('%.6f', std_r) FROM k
+UNION ALL SELECT 'min', 'rating', 'pass', printf('%.6f', min_r) FROM k
+UNION ALL SELECT 'max', 'rating', 'pass', printf('%.6f', max_r) FROM k
+UNION ALL SELECT 'mean', 'sentiment_score', 'pass', printf('%.6f', mean_s) FROM k
+UNION ALL SELECT 'std', 'sentiment_score', 'pass', printf('%.6f', std_s) FROM k
+UNION ALL SELECT 'min', 'sentiment_score', 'pass', printf('%.6f', min_s) FROM k
+UNION ALL SELECT 'max', 'sentiment_score', 'pass', printf('%.6f', max_s) FROM k""",
+        "reviews_v",
+    ),
 )
 def validation_checks(spark, sf_dir):
     r = reviews(spark, sf_dir).withColumn("review_text", F.col("product_name"))

@@ -26,10 +26,9 @@ s AS (SELECT base.*,
 sc AS (SELECT *, CAST(r_quartile AS VARCHAR) || CAST(f_quartile AS VARCHAR) || CAST(m_quartile AS VARCHAR) AS rfm_score FROM s)"""
 
 
-def _segment_case(col: str) -> str:
-    parts = " ".join(
-        f"WHEN regexp_matches({col}, '^(?:{p})') THEN '{name}'" for p, name in reversed(segments.SEGMENT_RULES)
-    )
+def _segment_case(col: str, first: bool = False) -> str:
+    rules = segments.SEGMENT_RULES if first else tuple(reversed(segments.SEGMENT_RULES))
+    parts = " ".join(f"WHEN regexp_matches({col}, '^(?:{p})') THEN '{name}'" for p, name in rules)
     return f"CASE {parts} ELSE {col} END"
 
 
@@ -67,13 +66,36 @@ def rfm_segments(spark, sf_dir):
     return segments.segment_summary(seg)
 
 
-@register("rfm_segments_first_match", covers="F36", oracle=None)
+@register(
+    "rfm_segments_first_match",
+    covers="F36",
+    oracle=with_views(
+        f"""{RFM_SQL}
+SELECT {_segment_case('rfm_score', first=True)} AS segment, count(*) AS n_users, {q3('avg(recency)')} AS recency,
+       {q3('avg(frequency)')} AS frequency, {q3('avg(monetary)')} AS monetary, {q3('avg(avg_sentiment)')} AS avg_sentiment
+FROM sc GROUP BY 1""",
+        "reviews_v",
+    ),
+)
 def rfm_segments_first_match(spark, sf_dir):
     seg = segments.rfm_segments(segments.rfm_scores(view(spark, sf_dir, "reviews_v")), precedence="first")
     return segments.segment_summary(seg)
 
 
-@register("alerts", covers="F38", oracle=None)
+def _alerts_sql() -> str:
+    from glossa.plans.stats_plans import CORR_SQL
+
+    return f"""WITH c AS ({CORR_SQL}),
+k AS (SELECT avg(CASE WHEN sentiment_label = 'negative' THEN 1.0 ELSE 0.0 END) AS neg,
+             avg(CASE WHEN rating <= 2.0 THEN 1.0 ELSE 0.0 END) AS low FROM reviews_v),
+m AS (SELECT avg(abs(spearman_r)) AS cv FROM c WHERE pair = 'review_count_vs_mention_volume')
+SELECT 'CRITICO' AS severity, 'negative_share' AS metric, {q9('neg')} AS value, 0.3::DOUBLE AS threshold,
+       coalesce(neg > 0.3, false) AS fired FROM k
+UNION ALL SELECT 'ALTA', 'low_rating_share', {q9('low')}, 0.1::DOUBLE, coalesce(low > 0.1, false) FROM k
+UNION ALL SELECT 'MEDIA', 'social_correlation', {q9('cv')}, 0.3::DOUBLE, coalesce(cv < 0.3, false) FROM m"""
+
+
+@register("alerts", covers="F38", oracle=with_views(_alerts_sql(), "reviews_v", "social_v"))
 def alerts(spark, sf_dir):
     reviews = view(spark, sf_dir, "reviews_v")
     corr = stats.platform_correlations(social.daily_reviews(reviews), social.daily_social(view(spark, sf_dir, "social_v")))
