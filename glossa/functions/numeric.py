@@ -59,15 +59,17 @@ def nan_to_null(c: str | Column) -> Column:
 def average_rank(value: str | Column, partition_by: Sequence[str | Column] = ()) -> Column:
     """Average rank with ties (pandas ``rank(method='average')``, scipy ``rankdata``).
 
-    ``rank()`` is the lowest position of a tie group; adding (ties-1)/2 gives the mean
-    position. The window is partitioned by ``partition_by`` — callers only use it on
-    per-group series whose size is bounded (days of a daily panel), never on raw rows.
+    ``rank()`` is the lowest position of a tie group and the count over the default
+    RANGE frame (all rows <= the value, peers included) the highest; their mean is
+    the average position. Both use one window spec, so Spark evaluates them in one
+    Window operator (one exchange, one sort). The window is partitioned by
+    ``partition_by`` — callers only use it on per-group series whose size is bounded
+    (days of a daily panel), never on raw rows.
     """
     v = col_(value)
     parts = [col_(p) for p in partition_by]
-    w_order = Window.partitionBy(*parts).orderBy(v.asc())
-    w_tie = Window.partitionBy(*parts, v)
-    return F.rank().over(w_order) + (F.count(F.lit(1)).over(w_tie) - F.lit(1)) / F.lit(2.0)
+    w = Window.partitionBy(*parts).orderBy(v.asc())
+    return (F.rank().over(w) + F.count(F.lit(1)).over(w)) / F.lit(2.0)
 
 
 def top_k(df: DataFrame, k: int, order: Iterable[Column]) -> DataFrame:

@@ -10,6 +10,7 @@ from glossa.operators import sentiment as S
 from glossa.operators import text as X
 from glossa.plans.registry import r9 as q9
 from glossa.plans.registry import register
+from glossa.session import spread
 from glossa.sources.fixtures import read_table, view, with_views
 
 # ---------------------------------------------------------------- DuckDB spellings
@@ -90,7 +91,7 @@ scored AS (SELECT src.*, coalesce(s.s, 0.0) / sqrt(coalesce(s.s, 0.0) * coalesce
 
 
 def documents(spark, sf_dir):
-    return read_table(spark, sf_dir, "documents")
+    return spread(read_table(spark, sf_dir, "documents"))
 
 
 def cleaned_documents(spark, sf_dir):

@@ -52,6 +52,22 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return os.path.join(base, f"{name}-{uuid.uuid4().hex[:12]}")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Give expensive row-local work (regex cleaning, tokenising) at least one task
+    per core.
+
+    A scan gets one task per Parquet row group; a table stored as a few large
+    row groups would run all its text work in a few tasks. Only then the rows
+    are redistributed round-robin; a large table (many splits, the normal case
+    on a cluster) is returned unchanged, without a shuffle. Planning the scan to
+    count its splits lists files but reads no data.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < cores:
+        return df.repartition(cores)
+    return df
+
+
 def durable(df: DataFrame, eager: bool = True) -> DataFrame:
     """Cut lineage with a reliable checkpoint in the shared folder.
 

@@ -95,8 +95,19 @@ def table_path(sf_dir: str, name: str) -> str:
     return os.path.join(sf_dir, f"{name}.parquet")
 
 
+_READS: dict[tuple[int, str], tuple[SparkSession, DataFrame]] = {}
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(table_path(sf_dir, name))
+    """Parquet scan of a test table. The (immutable, lazy) scan DataFrame is reused
+    per session so repeated query builds skip file listing and footer reads."""
+    path = table_path(sf_dir, name)
+    hit = _READS.get((id(spark), path))
+    if hit is not None and hit[0] is spark:
+        return hit[1]
+    df = spark.read.parquet(path)
+    _READS[(id(spark), path)] = (spark, df)
+    return df
 
 
 def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
