@@ -77,6 +77,30 @@ def test_ingest_to_processed(spark, review_folder, tmpdir_fresh):
     assert minimal.columns == ["review_text", "cleaned_text", "rating", "sentiment_score", "sentiment_label"]
 
 
+def test_jobs_end_to_end(spark, review_folder, tmpdir_fresh):
+    from glossa import jobs
+
+    out = os.path.join(tmpdir_fresh, "out")
+    ing = jobs.ingest_job(spark, review_folder, os.path.join(review_folder, "product_info.csv"), out)
+    rep = ing["report"].collect()[0]
+    assert rep.total_rows == 40 and rep.unique_brands == 3 and rep.match_pct is not None
+    tr = jobs.transform_job(spark, ing["combined"], out, n_init=2)
+    processed = spark.read.parquet(os.path.join(out, "processed"))
+    assert processed.count() == tr["processed"].count() > 0
+    assert {"user_cluster", "sentiment_label", "main_concerns", "text_word_count"} <= set(processed.columns)
+    for name in ("temporal_metrics", "product_metrics", "brand_summary", "category_summary", "cluster_summary"):
+        assert spark.read.parquet(os.path.join(out, name)).count() > 0
+    days = processed.select(F.to_date("review_date").alias("date")).distinct()
+    soc = days.select(
+        "date", F.explode(F.array(F.lit("ig"), F.lit("tt"))).alias("platform"), F.lit("#x").alias("hashtag"),
+        F.lit(1).alias("mention_volume"), F.lit(2.0).alias("engagement"),
+    )
+    jobs.correlation_job(spark, processed, soc, out)
+    assert os.path.isdir(os.path.join(out, "correlation_report"))
+    checks = jobs.validation_job(spark, processed, out)
+    assert checks.filter("check = 'required_column'").count() == 4
+
+
 def _payloads(spark, folder, n_files=3):
     ev = read_table(spark, SF, "events").orderBy("event_id").collect()
     os.makedirs(folder, exist_ok=True)
