@@ -13,6 +13,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 from pyspark.sql.utils import AnalysisException
 
 from glossa.operators.text import DEMOGRAPHIC_COLS
@@ -90,13 +91,21 @@ def admit_files(spark: SparkSession, paths: Sequence[str], required: Sequence[st
     return ok, quarantine
 
 
-def read_review_parts(spark: SparkSession, folder: str, pattern: str = "reviews_*.csv") -> tuple[DataFrame, DataFrame]:
+def read_review_parts(
+    spark: SparkSession, folder: str, pattern: str = "reviews_*.csv", schema: StructType | None = None
+) -> tuple[DataFrame, DataFrame]:
     """A1–A3: list, admit, read each admitted part as strings and union by name
     (missing columns become NULL). Zero admitted files is an error.
 
     Parts with different headers are read separately and unioned by name; parts
-    are never collected — each read is a lazy scan.
+    are never collected — each read is a lazy scan. Resolving each part's header
+    is one small driver-side step per file, fine for tens of parts. For thousands
+    of uniform parts pass ``schema``: all parts are then read by one scan, and
+    malformed rows are kept aside through ``_corrupt_record`` (PERMISSIVE mode)
+    and returned in the quarantine frame as ``(path, reason)``.
     """
+    if schema is not None:
+        return _read_uniform_parts(spark, folder, pattern, schema)
     paths = list_files(spark, folder, pattern)
     ok, quarantine = admit_files(spark, paths)
     if not ok:
@@ -109,6 +118,38 @@ def read_review_parts(spark: SparkSession, folder: str, pattern: str = "reviews_
     return combined, quarantine
 
 
+CORRUPT = "_corrupt_record"
+
+
+def _read_uniform_parts(spark: SparkSession, folder: str, pattern: str, schema: StructType) -> tuple[DataFrame, DataFrame]:
+    missing = [c for c in REVIEW_REQUIRED if c not in schema.fieldNames()]
+    if missing:
+        raise NoInputError(f"schema lacks required columns: {','.join(missing)}")
+    full = StructType([*schema.fields, StructField(CORRUPT, StringType())])
+    raw = (
+        _csv(spark)
+        .schema(full)
+        .option("columnNameOfCorruptRecord", CORRUPT)
+        .option("pathGlobFilter", pattern)
+        .csv(folder)
+        .withColumn("_path", F.col("_metadata.file_path"))
+    )
+    # (Spark refuses queries that reference only the corrupt-record column, so the
+    # record text is taken together with a parsed column.)
+    quarantine = raw.filter(F.col(CORRUPT).isNotNull()).select(
+        F.col("_path").alias("path"),
+        F.lit("malformed row").alias("reason"),
+        F.coalesce(F.col(CORRUPT), F.col(REVIEW_REQUIRED[0])).alias("record"),
+    )
+    # The admitted rows come from the same files read with DROPMALFORMED (a plain
+    # scan; the quarantine above is a second, lazy scan run only when asked for).
+    good = _csv(spark).schema(schema).option("mode", "DROPMALFORMED").option("pathGlobFilter", pattern).csv(folder)
+    for c in REVIEW_OPTIONAL:
+        if c not in good.columns:
+            good = good.withColumn(c, F.lit(None).cast("string"))
+    return good, quarantine
+
+
 def read_products(spark: SparkSession, path: str, required: Sequence[str] = PRODUCT_REQUIRED) -> DataFrame | None:
     """A4: product dimension; a missing file or a missing required column gives None."""
     try:

@@ -46,6 +46,20 @@ def test_list_and_admit(spark, review_folder):
     assert combined.filter(F.col("skin_type").isNull()).count() == 20
 
 
+def test_uniform_parts_single_scan_with_corrupt_rows(spark, tmpdir_fresh):
+    from pyspark.sql.types import StringType, StructField, StructType
+
+    hdr = ["review_text", "rating", "product_id"]
+    _write_csv(os.path.join(tmpdir_fresh, "reviews_a.csv"), hdr, [("good one", 5, 1), ("fine", 4, 2)])
+    with open(os.path.join(tmpdir_fresh, "reviews_b.csv"), "w") as f:
+        f.write("review_text,rating,product_id\n\"ok\",3,3\n\"too\",\"many\",\"fields\",\"here\"\n")
+    schema = StructType([StructField(c, StringType()) for c in hdr])
+    good, quarantine = files.read_review_parts(spark, tmpdir_fresh, schema=schema)
+    assert good.count() == 3
+    q = quarantine.collect()
+    assert len(q) == 1 and q[0].path.endswith("reviews_b.csv")
+
+
 def test_no_files_is_an_error(spark, tmpdir_fresh):
     with pytest.raises(files.NoInputError):
         files.list_files(spark, tmpdir_fresh)
