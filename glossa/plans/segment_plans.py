@@ -12,7 +12,7 @@ from glossa.plans.registry import register, savg
 from glossa.sources.fixtures import view, with_views
 
 RFM_SQL = f"""WITH base AS (
-  SELECT user_id, date_diff('day', max(review_date), (SELECT max(review_date) FROM reviews_v)) AS recency,
+  SELECT user_id, CAST(date_diff('day', max(review_date), (SELECT max(review_date) FROM reviews_v)) AS INTEGER) AS recency,
          count(user_id) AS frequency, avg(rating) AS monetary, {savg('sentiment_score')} AS avg_sentiment
   FROM reviews_v WHERE user_id IS NOT NULL GROUP BY user_id),
 e AS (SELECT quantile_cont(CAST(recency AS DOUBLE), [0.25, 0.5, 0.75]) AS er,

@@ -169,7 +169,7 @@ def _anova_sql(sub_sql: str, group: str) -> str:
 g AS (SELECT {group}, count(rating) AS n, avg(rating) AS m, var_samp(rating) AS v, sum(rating) AS sm FROM s WHERE rating IS NOT NULL GROUP BY {group}),
 t AS (SELECT count(*) AS k, sum(n) AS n_total, sum(sm) / sum(n) AS grand, sum(coalesce((n - 1) * v, 0)) AS ssw FROM g),
 b AS (SELECT sum(n * (m - (SELECT grand FROM t)) * (m - (SELECT grand FROM t))) AS ssb FROM g)
-SELECT k AS n_groups, n_total, k - 1 AS df_between, n_total - k AS df_within,
+SELECT k AS n_groups, CAST(n_total AS BIGINT) AS n_total, k - 1 AS df_between, CAST(n_total - k AS BIGINT) AS df_within,
        {q9('(ssb / (k - 1)) / (ssw / (n_total - k))')} AS f_stat FROM t, b"""
 
 
@@ -265,7 +265,7 @@ FROM reviews_v"""
     "rating_on_sentiment_ols",
     covers="K9",
     oracle=with_views(
-        f"WITH f AS ({OLS_SQL}) SELECT {q9('intercept')} AS intercept, {q9('slope')} AS slope, {q9('r2')} AS r2, n FROM f",
+        f"WITH f AS ({OLS_SQL}) SELECT {q9('intercept')} AS intercept, {q9('slope')} AS slope, {q9('r2')} AS r2, CAST(n AS BIGINT) AS n FROM f",
         "reviews_v",
     ),
 )

@@ -123,7 +123,10 @@ WHERE rating IS NOT NULL AND length(cleaned_text) > 5 AND TRY_CAST(rating AS DOU
 )
 def review_cleaning(spark, sf_dir):
     raw = view(spark, sf_dir, "raw_reviews_v")
-    return X.clean_reviews(raw).select("conv_id", "turn", "cleaned_text", "rating", "review_date")
+    # Wall-clock timestamps (no zone), like the source strings.
+    return X.clean_reviews(raw).select(
+        "conv_id", "turn", "cleaned_text", "rating", F.col("review_date").cast("timestamp_ntz").alias("review_date")
+    )
 
 
 @register(
@@ -278,7 +281,7 @@ def tweet_preview(spark, sf_dir):
 @register(
     "text_length_stats",
     covers="F31",
-    oracle=f"""SELECT {q9('avg(length(c))')} AS avg_length, max(length(c)) AS max_length,
+    oracle=f"""SELECT {q9('avg(length(c))')} AS avg_length, CAST(max(length(c)) AS INTEGER) AS max_length,
        count(*) FILTER (WHERE length(c) < 10) AS n_short, count(*) FILTER (WHERE length(c) > 1000) AS n_long
 FROM (SELECT {sql_clean('text')} AS c FROM documents) d""",
 )
@@ -294,7 +297,7 @@ def text_length_stats(spark, sf_dir):
     covers="B17 B18",
     oracle=with_views(
         """SELECT tweet_id, CAST(created_at AS DATE) AS date,
-       like_count + 2 * retweet_count + 1.5 * reply_count AS weighted_engagement,
+       CAST(like_count + 2 * retweet_count + 1.5 * reply_count AS DOUBLE) AS weighted_engagement,
        CAST(like_count + retweet_count + reply_count AS DOUBLE) AS engagement, 1 AS mention_volume
 FROM tweet_payload_v""",
         "tweet_payload_v",

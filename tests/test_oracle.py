@@ -31,6 +31,20 @@ def test_runs_without_oracle(spark, name):
     assert isinstance(rows, list)
 
 
+SPARK_TO_DUCK = {
+    "bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR", "date": "DATE",
+    "timestamp_ntz": "TIMESTAMP", "boolean": "BOOLEAN", "float": "FLOAT",
+}
+
+
+@pytest.mark.parametrize("name", sorted(n for n, q in QUERIES.items() if q.oracle))
+def test_oracle_column_types(spark, duck, name):
+    q = QUERIES[name]
+    spark_types = {c: SPARK_TO_DUCK.get(t, t) for c, t in q.build(spark, SF).dtypes}
+    duck_types = {r[0]: r[1] for r in duck.execute(f"DESCRIBE {q.oracle}").fetchall()}
+    assert spark_types == duck_types
+
+
 def test_every_query_documents_coverage():
     for q in QUERIES.values():
         assert q.covers.strip()
