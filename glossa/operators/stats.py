@@ -145,26 +145,16 @@ def lag_correlations(
     return corr.select("platform", "lag", "n", "spearman_r").withColumn("is_best", F.row_number().over(best) == 1)
 
 
-def value_ranks(df: DataFrame, col: str) -> DataFrame:
-    """Average rank of every distinct value of ``col``: rows below it + (ties + 1) / 2.
-
-    Built from per-value counts, so a value held by a third of all rows is one
-    row here (partial aggregation absorbs it before the shuffle). The running
-    count is a window over the *distinct values* only.
-    """
-    counts = df.groupBy(col).agg(F.count(F.lit(1)).alias("_c"))
-    w = Window.orderBy(col).rowsBetween(Window.unboundedPreceding, -1)
-    below = F.coalesce(F.sum("_c").over(w), F.lit(0))
-    return counts.select(col, (below + (F.col("_c") + 1) / 2.0).alias(f"_r_{col}"))
-
-
 def spearman_matrix(df: DataFrame, cols: Sequence[str], *, max_rank_values: int = 1_000_000) -> DataFrame:
     """Spearman matrix as long pairs ``(var_x, var_y, spearman_r)``, i < j,
     over rows complete in every column (pandas would drop pairwise).
 
-    Plan: per column, distinct values → average ranks (``value_ranks``), joined
-    back on the value; then all pairwise Pearson correlations of the ranks in a
-    single aggregation. The rank tables are broadcast only when their size is
+    Plan: the rows are stacked into ``(column, value)`` and counted per value
+    (a value held by a third of all rows becomes one row: partial aggregation
+    absorbs it before the shuffle); the average rank of a value is the count of
+    rows below it + (ties + 1) / 2, from a running sum over the *distinct values*
+    of each column. The rank tables are joined back on the value and all
+    pairwise Pearson correlations of the ranks come from a single aggregation. The rank tables are broadcast only when their size is
     known to be small (an approximate distinct count below ``max_rank_values``);
     a column with more distinct values than that is ranked by
     ``pyspark.ml.stat.Correlation`` (a distributed sort) instead.

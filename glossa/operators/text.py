@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from glossa.functions import text as T
-from glossa.functions.numeric import safe_div
+from glossa.functions.numeric import nan_to_null, safe_div
 
 # Category keyword lists, in rule order (first match wins).
 CATEGORY_RULES = (
@@ -71,7 +71,7 @@ def clean_reviews(df: DataFrame, *, min_chars: int = 5, rating_range=(1.0, 5.0))
     out = df.withColumnsRenamed({k: v for k, v in roles.items() if k != v})
     out = out.withColumn("cleaned_text", T.clean_text("review_text"))
     out = out.filter(F.col("rating").isNotNull() & (F.length("cleaned_text") > min_chars))
-    rating = F.col("rating").cast("string").try_cast("double")
+    rating = nan_to_null(F.col("rating").cast("string").try_cast("double"))  # 'NaN' text → NULL, never NaN
     out = out.withColumn("rating", rating).filter(F.col("rating").between(*rating_range))
     out = out.withColumn("rating", F.rint(F.col("rating") * 10.0) / 10.0)
     if "review_date" in out.columns:

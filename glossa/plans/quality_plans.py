@@ -86,6 +86,15 @@ def brand_options(spark, sf_dir):
     return filters.option_values(reviews(spark, sf_dir), "brand_name")
 
 
+@register(
+    "review_date_bounds",
+    covers="D8",
+    oracle=with_views("SELECT min(review_date) AS min_date, max(review_date) AS max_date FROM reviews_v", "reviews_v"),
+)
+def review_date_bounds(spark, sf_dir):
+    return filters.date_bounds(reviews(spark, sf_dir), "review_date")
+
+
 PRODUCTS_SQL = "SELECT p_partkey AS product_id, p_name AS product_name, p_brand AS brand_name, p_type, p_retailprice FROM part"
 
 
