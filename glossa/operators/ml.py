@@ -8,6 +8,7 @@ recomputes from the checkpoint, not from the whole upstream plan.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import RegressionEvaluator
@@ -16,7 +17,9 @@ from pyspark.ml.regression import LinearRegression
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from glossa.session import durable
+from pyspark.storagelevel import StorageLevel
+
+from glossa.session import durable, spread
 
 # Candidate clustering features, in order.
 CLUSTER_FEATURES = (
@@ -44,9 +47,18 @@ def cluster_reviews(
     n_init: int = 10,
     seed: int = 42,
     checkpoint: bool = True,
+    parallelism: int = 4,
 ) -> tuple[DataFrame, dict]:
     """K1–K5: null→0, standardise, PCA to min(3, features), k-means with ``n_init``
-    seeds (lowest cost kept). Returns the reviews with ``user_cluster`` and an info dict.
+    seeds (lowest cost kept; ties → lowest seed). Returns the reviews with
+    ``user_cluster`` and an info dict.
+
+    The fits only need the feature vectors: they are spread over the cores, cut
+    from their lineage in the shared checkpoint folder and kept in memory for the
+    repeated passes (a lost block is re-read from the checkpoint). The ``n_init``
+    k-means runs are independent and are submitted ``parallelism`` at a time
+    (concurrent Spark jobs, like model-selection parallelism). The full review rows
+    are read once more at the end to attach the cluster of the best model.
 
     Fewer than ``MIN_FEATURES`` present features → every review in cluster 0.
     Spark scales by the sample std (sklearn: population) — a common factor, same
@@ -56,22 +68,31 @@ def cluster_reviews(
     if len(used) < MIN_FEATURES:
         return reviews.withColumn("user_cluster", F.lit(0)), {"n_clusters": 1, "features_used": used, "variance_explained": 0.0}
     filled = reviews.withColumns({c: F.coalesce(F.col(c).cast("double"), F.lit(0.0)) for c in used})
-    vec = VectorAssembler(inputCols=used, outputCol="_raw").transform(filled)
-    scaled = StandardScaler(inputCol="_raw", outputCol="_scaled", withMean=True, withStd=True).fit(vec).transform(vec)
-    n_comp = min(n_components, len(used))
-    pca_model = PCA(k=n_comp, inputCol="_scaled", outputCol="_pca").fit(scaled)
-    projected = pca_model.transform(scaled).drop("_raw", "_scaled")
+    assembler = VectorAssembler(inputCols=used, outputCol="_raw")
+    feats = spread(assembler.transform(filled).select("_raw"))
     if checkpoint:
-        projected = durable(projected)
-    else:
-        projected = projected.persist()
-    best, best_cost = None, None
-    for i in range(n_init):
-        model = KMeans(k=k, seed=seed + i, featuresCol="_pca", predictionCol="user_cluster").fit(projected)
-        cost = model.summary.trainingCost
-        if best_cost is None or cost < best_cost:
-            best, best_cost = model, cost
-    out = best.transform(projected).drop("_pca")
+        feats = durable(feats)
+    feats = feats.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        scaler = StandardScaler(inputCol="_raw", outputCol="_scaled", withMean=True, withStd=True).fit(feats)
+        n_comp = min(n_components, len(used))
+        pca_model = PCA(k=n_comp, inputCol="_scaled", outputCol="_pca").fit(scaler.transform(feats))
+        fit_data = pca_model.transform(scaler.transform(feats)).select("_pca").persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+
+            def fit(i):
+                model = KMeans(k=k, seed=seed + i, featuresCol="_pca", predictionCol="user_cluster").fit(fit_data)
+                return model.summary.trainingCost, i, model
+
+            with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
+                results = list(pool.map(fit, range(n_init)))
+        finally:
+            fit_data.unpersist()
+    finally:
+        feats.unpersist()
+    best_cost, _, best = min(results, key=lambda t: (t[0], t[1]))
+    projected = pca_model.transform(scaler.transform(assembler.transform(filled)))
+    out = best.transform(projected).drop("_raw", "_scaled", "_pca")
     info = {
         "n_clusters": k,
         "features_used": used,
