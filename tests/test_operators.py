@@ -352,6 +352,49 @@ def test_alerts_and_insights(spark):
     assert i["many_negative"] and not i["mostly_positive"] and not i["high_rating"]
 
 
+# ------------------------------------------------------------------ ML (K1–K8)
+
+def test_clusters_recover_separated_groups(spark):
+    from glossa.operators import ml
+
+    rng = np.random.default_rng(3)
+    centers = [(0, 0, 0), (10, 0, 0), (0, 10, 0), (0, 0, 10)]
+    rows = []
+    for g, c in enumerate(centers):
+        for _ in range(25):
+            x = np.array(c) + rng.normal(0, 0.3, 3)
+            rows.append((g, float(x[0]), float(x[1]), float(x[2])))
+    df = spark.createDataFrame(rows, "g int, rating double, sentiment_score double, text_length double")
+    out, info = ml.cluster_reviews(df, n_init=3)
+    pairs = out.groupBy("g").agg(F.countDistinct("user_cluster").alias("k"), F.count("*").alias("n")).collect()
+    assert all(r.k == 1 and r.n == 25 for r in pairs)  # every group maps to one cluster
+    assert out.select("user_cluster").distinct().count() == 4
+    assert 0.9 < info["variance_explained"] <= 1.0 + 1e-9
+
+
+def test_too_few_features_single_cluster(spark):
+    from glossa.operators import ml
+
+    df = spark.createDataFrame([(1.0, 2.0)], "rating double, other double")
+    out, info = ml.cluster_reviews(df)
+    assert out.collect()[0].user_cluster == 0 and info["n_clusters"] == 1
+
+
+def test_social_rating_model_linear(spark):
+    from glossa.operators import ml
+
+    days = [f"2024-01-{d:02d}" for d in range(1, 29)] + [f"2024-02-{d:02d}" for d in range(1, 29)]
+    daily = spark.createDataFrame([(d, 1.0 + 0.05 * i) for i, d in enumerate(days)], "date string, avg_rating double")
+    pivot = spark.createDataFrame([(d, float(i), float(i % 5)) for i, d in enumerate(days)], "date string, m_a double, e_a double")
+    metrics, coefs = ml.social_rating_model(daily.withColumn("date", F.to_date("date")), pivot.withColumn("date", F.to_date("date")))
+    m = metrics.collect()[0]
+    assert m.r2 > 0.999 and m.grade == "good" and m.top_feature == "m_a" and m.top_sign == "positive"
+    assert m.n_train + m.n_test == m.n_days == 56
+    assert coefs.first().feature == "m_a"
+    small, _ = ml.social_rating_model(daily.limit(5).withColumn("date", F.to_date("date")), pivot.withColumn("date", F.to_date("date")))
+    assert small.count() == 0  # fewer than 20 joined days
+
+
 # ------------------------------------------------------------------ small predicates and lookups
 
 def test_contains_ci_and_prefix_match(spark):
