@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from glossa.functions.numeric import average_rank, safe_corr, safe_div, top_k
 from glossa.functions.pvalues import corr_pvalue, f_pvalue, t_pvalue
+from glossa.session import spread
 
 # The correlated pairs (review metric, social metric).
 PAIRS = (
@@ -160,7 +161,9 @@ def spearman_matrix(df: DataFrame, cols: Sequence[str], *, max_rank_values: int
     ``pyspark.ml.stat.Correlation`` (a distributed sort) instead.
     """
     cols = list(cols)
-    complete = df.select(*[F.col(c).cast("double").alias(c) for c in cols]).dropna()
+    # Numeric columns only; inputs with fewer splits than cores are spread first
+    # (no-op for large, many-split inputs).
+    complete = spread(df.select(*[F.col(c).cast("double").alias(c) for c in cols]).dropna())
     n_distinct = complete.agg(*[F.approx_count_distinct(c).alias(c) for c in cols]).collect()[0].asDict()
     if any(v > max_rank_values for v in n_distinct.values()):
         return _spearman_matrix_ml(complete, cols)
@@ -174,10 +177,29 @@ def spearman_matrix(df: DataFrame, cols: Sequence[str], *, max_rank_values: int
         table = ranks.filter(F.col("_col") == c).select(F.col("_v").alias(c), F.col("_r").alias(f"_r_{c}"))
         ranked = ranked.join(F.broadcast(table), c, "inner")
     pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i + 1 :]]
-    agg = ranked.agg(*[safe_corr(f"_r_{a}", f"_r_{b}").alias(f"{a}\u0001{b}") for a, b in pairs])
-    arr = F.array(
-        *[F.struct(F.lit(a).alias("var_x"), F.lit(b).alias("var_y"), F.col(f"`{a}\u0001{b}`").alias("spearman_r")) for a, b in pairs]
-    )
+    # Plain power sums (k + k + k(k-1)/2 + 1 SUMs: small, codegen-friendly buffers)
+    # instead of k(k-1)/2 covariance/stddev aggregates; ranks are half-integers, so
+    # the products are exact and the sums exact up to 2^53.
+    r = {c: F.col(f"_r_{c}") for c in cols}
+    sums = [F.count(F.lit(1)).alias("_n")]
+    sums += [F.sum(r[c]).alias(f"_s_{i}") for i, c in enumerate(cols)]
+    sums += [F.sum(r[c] * r[c]).alias(f"_q_{i}") for i, c in enumerate(cols)]
+    idx = {c: i for i, c in enumerate(cols)}
+    sums += [F.sum(r[a] * r[b]).alias(f"_p_{idx[a]}_{idx[b]}") for a, b in pairs]
+    agg = ranked.agg(*sums)
+    n = F.col("_n").cast("double")
+
+    def centered(i, j=None):
+        if j is None:
+            return F.col(f"_q_{i}") - F.col(f"_s_{i}") * F.col(f"_s_{i}") / n
+        return F.col(f"_p_{i}_{j}") - F.col(f"_s_{i}") * F.col(f"_s_{j}") / n
+
+    def corr(a, b):
+        i, j = idx[a], idx[b]
+        den = F.sqrt(centered(i) * centered(j))
+        return F.when(den > 0, centered(i, j) / den)
+
+    arr = F.array(*[F.struct(F.lit(a).alias("var_x"), F.lit(b).alias("var_y"), corr(a, b).alias("spearman_r")) for a, b in pairs])
     return agg.select(F.inline(arr))
 
 
