@@ -41,8 +41,14 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
         path = tempfile.mkdtemp(prefix="glossa-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", path)
-    spark.sparkContext.setCheckpointDir(path)
+        try:
+            spark.conf.set("spark.checkpoint.dir", path)
+        except Exception:  # a session that rejects runtime core settings
+            pass
+    try:
+        spark.sparkContext.setCheckpointDir(path)
+    except Exception:  # Spark Connect: the server reads spark.checkpoint.dir itself
+        pass
     return path
 
 
@@ -62,8 +68,12 @@ def spread(df: DataFrame) -> DataFrame:
     on a cluster) is returned unchanged, without a shuffle. Planning the scan to
     count its splits lists files but reads no data.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < cores:
+    try:
+        cores = df.sparkSession.sparkContext.defaultParallelism
+        splits = df.rdd.getNumPartitions()
+    except Exception:  # e.g. a Spark Connect session: leave the plan as it is
+        return df
+    if splits < cores:
         return df.repartition(cores)
     return df
 
