@@ -57,6 +57,42 @@ def daily_metrics_rolling(spark, sf_dir):
     )
 
 
+@register(
+    "brand_daily_rolling",
+    covers="F1 G1 G2",
+    oracle=with_views(
+        f"""WITH d AS (
+  SELECT brand_name, review_date, {q3(savg('rating'))} AS avg_rating, count(rating) AS review_count,
+         {q3(savg('sentiment_score'))} AS avg_sentiment
+  FROM reviews_v WHERE review_date IS NOT NULL AND brand_name IS NOT NULL GROUP BY brand_name, review_date),
+w AS (
+  SELECT *, count(*) OVER (PARTITION BY brand_name) AS n_days,
+         avg(avg_rating) OVER w7 AS r7, avg(avg_sentiment) OVER w7 AS s7, avg(review_count) OVER w7 AS v7,
+         avg(avg_rating) OVER w14 AS r14, avg(review_count) OVER w14 AS v14, count(*) OVER w14 AS c14
+  FROM d
+  WINDOW w7 AS (PARTITION BY brand_name ORDER BY review_date ROWS BETWEEN 6 PRECEDING AND CURRENT ROW),
+         w14 AS (PARTITION BY brand_name ORDER BY review_date ROWS BETWEEN 13 PRECEDING AND CURRENT ROW))
+SELECT brand_name, review_date, avg_rating, review_count, avg_sentiment,
+       CASE WHEN n_days >= 7 THEN {q9('r7')} END AS rating_7d_avg,
+       CASE WHEN n_days >= 7 THEN {q9('s7')} END AS sentiment_7d_avg,
+       CASE WHEN n_days >= 7 THEN {q9('v7')} END AS volume_7d_avg,
+       CASE WHEN n_days >= 14 AND c14 = 14 THEN {q9('r14')} END AS rating_trend,
+       CASE WHEN n_days >= 14 AND c14 = 14 THEN {q9('v14')} END AS volume_trend
+FROM w""",
+        "reviews_v",
+    ),
+)
+def brand_daily_rolling(spark, sf_dir):
+    """Per-brand daily series: the same rolling operator with ``partition_cols``,
+    so the window work is spread over tasks by brand."""
+    daily = marts.daily_metrics(reviews(spark, sf_dir), partition_cols=["brand_name"])
+    rolled = timeseries.rolling_means(daily, partition_cols=["brand_name"])
+    out = ["rating_7d_avg", "sentiment_7d_avg", "volume_7d_avg", "rating_trend", "volume_trend"]
+    return rolled.select(
+        "brand_name", "review_date", "avg_rating", "review_count", "avg_sentiment", *[r9(c).alias(c) for c in out]
+    )
+
+
 @register(
     "volume_anomalies",
     covers="G3",
