@@ -219,25 +219,30 @@ def top_pairs(pairs: DataFrame, *, k: int = 10) -> DataFrame:
 
 
 def one_way_anova(df: DataFrame, *, group_col: str, value_col: str = "rating", with_p: bool = False) -> DataFrame:
-    """J10 / J11 core: F from group moments (n, mean, variance) — one aggregation,
-    then a one-row fold: SSB = sum n_i (m_i - m)^2, SSW = sum (n_i - 1) s_i^2."""
+    """J10 / J11 core: F from group moments (n, mean, variance) — one pass over the
+    data, then a fold over the group table: SSB = sum n_i (m_i - m)^2,
+    SSW = sum (n_i - 1) s_i^2 (per-group central moments: numerically stable).
+
+    The grand mean is a window over the *group* table (one row per group, a
+    small dimension), so the whole test is a single job without subqueries.
+    """
     g = df.filter(F.col(value_col).isNotNull()).groupBy(group_col).agg(
-        F.count(value_col).alias("n"), F.avg(value_col).alias("m"), F.var_samp(value_col).alias("v"), F.sum(value_col).alias("s")
+        F.count(value_col).alias("n"), F.avg(value_col).alias("m"), F.var_samp(value_col).alias("v")
     )
-    tot = g.agg(
+    all_groups = Window.partitionBy()
+    grand = F.sum(F.col("n") * F.col("m")).over(all_groups) / F.sum("n").over(all_groups)
+    tot = g.withColumn("grand", grand).agg(
         F.count(F.lit(1)).alias("k"),
         F.sum("n").alias("n_total"),
-        (F.sum("s") / F.sum("n")).alias("grand"),
+        F.sum(F.col("n") * (F.col("m") - F.col("grand")) * (F.col("m") - F.col("grand"))).alias("ssb"),
         F.sum(F.coalesce((F.col("n") - 1) * F.col("v"), F.lit(0.0))).alias("ssw"),
     )
-    grand = tot.select("grand").scalar()
-    ssb = g.agg(F.sum(F.col("n") * (F.col("m") - grand) * (F.col("m") - grand)).alias("ssb"))
     out = tot.select(
         F.col("k").alias("n_groups"),
         F.col("n_total"),
         (F.col("k") - 1).alias("df_between"),
         (F.col("n_total") - F.col("k")).alias("df_within"),
-        safe_div(ssb.select("ssb").scalar() / (F.col("k") - 1), F.col("ssw") / (F.col("n_total") - F.col("k"))).alias("f_stat"),
+        safe_div(F.col("ssb") / (F.col("k") - 1), F.col("ssw") / (F.col("n_total") - F.col("k"))).alias("f_stat"),
     )
     if with_p:
         out = out.withColumn("p_value", f_pvalue(F.col("f_stat"), F.col("df_between").cast("double"), F.col("df_within").cast("double")))
