@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from glossa.functions.numeric import r3, safe_div, stable_avg, top_k
@@ -235,18 +235,19 @@ def review_kpis(reviews: DataFrame) -> DataFrame:
     )
 
 
-def label_distribution(df: DataFrame, *, label_col: str = "sentiment_label") -> DataFrame:
-    """Count and share per label (shares sum to 1).
+def label_distribution(df: DataFrame, *, label_col: str = "sentiment_label", dropna: bool = True) -> DataFrame:
+    """Count and share per label, in one pass.
 
-    The total is a scalar subquery (one global count), not a join.
+    ``dropna=True`` (F23, normalised value counts): shares over the labelled rows,
+    summing to 1. ``dropna=False`` (F44): shares over all rows, unlabelled ones
+    included in the total. The total is a window over the per-label counts (one
+    row per label), so the input is scanned once.
     """
-    total = df.select(F.count(F.lit(1))).scalar()
-    return (
-        df.filter(F.col(label_col).isNotNull())
-        .groupBy(label_col)
-        .agg(F.count(F.lit(1)).alias("n"))
-        .withColumn("share", safe_div(F.col("n"), total))
-    )
+    counts = df.groupBy(label_col).agg(F.count(F.lit(1)).alias("n"))
+    if dropna:
+        counts = counts.filter(F.col(label_col).isNotNull())
+    total = F.sum("n").over(Window.partitionBy())
+    return counts.withColumn("share", safe_div(F.col("n"), total)).filter(F.col(label_col).isNotNull())
 
 
 def value_distribution(df: DataFrame, *, col: str = "rating") -> DataFrame:
@@ -261,9 +262,9 @@ def histogram(df: DataFrame, *, col: str, bins: int = 20, lo: float | None = Non
     edge falls into the last bin.
     """
     x = F.col(col)
-    rng = df.agg(F.min(x).alias("lo"), F.max(x).alias("hi"))
-    lo_c = F.lit(lo) if lo is not None else rng.select("lo").scalar()
-    hi_c = F.lit(hi) if hi is not None else rng.select("hi").scalar()
+    rng = df.agg(F.struct(F.min(x).alias("lo"), F.max(x).alias("hi"))).scalar()  # one pass for both bounds
+    lo_c = F.lit(lo) if lo is not None else rng["lo"]
+    hi_c = F.lit(hi) if hi is not None else rng["hi"]
     width = safe_div(hi_c - lo_c, F.lit(float(bins)))
     b = F.coalesce(F.floor(safe_div(x - lo_c, width)), F.lit(0))
     b = F.least(F.greatest(b, F.lit(0)), F.lit(bins - 1))

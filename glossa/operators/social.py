@@ -211,13 +211,16 @@ def hashtag_impact(
         F.sum(_q("sentiment_score")).alias("_ss"),
         F.count("sentiment_score").alias("_sc"),
     )
+    # All four totals in one scalar subquery (one extra pass over the reviews).
     tot = reviews.agg(
-        F.sum("rating").alias("rs"),
-        F.count("rating").alias("rc"),
-        F.sum(_q("sentiment_score")).alias("ss"),
-        F.count("sentiment_score").alias("sc"),
-    )
-    rs, rc, ss, sc = (tot.select(c).scalar() for c in ("rs", "rc", "ss", "sc"))
+        F.struct(
+            F.sum("rating").alias("rs"),
+            F.count("rating").alias("rc"),
+            F.sum(_q("sentiment_score")).alias("ss"),
+            F.count("sentiment_score").alias("sc"),
+        )
+    ).scalar()
+    rs, rc, ss, sc = (tot[c] for c in ("rs", "rc", "ss", "sc"))
     out = per.select(
         "hashtag",
         "reviews_with_keyword",

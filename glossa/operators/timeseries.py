@@ -65,12 +65,13 @@ def volume_zscores(
 ) -> DataFrame:
     """Z-score of a daily value against the whole series (sample std).
 
-    Mean and std are one global aggregate attached as scalar subqueries (computed
-    once, shipped as literals). A zero std gives NULL z-scores (no anomalies).
+    Mean and std are windows over the whole daily series (one row per day, bounded
+    by the calendar), so the daily frame is computed once. A zero std gives NULL
+    z-scores (no anomalies).
     """
-    stats = daily.agg(F.avg(value_col).alias("m"), F.stddev_samp(value_col).alias("s"))
-    m = stats.select("m").scalar()
-    s = stats.select("s").scalar()
+    series = Window.partitionBy()
+    m = F.avg(value_col).over(series)
+    s = F.stddev_samp(value_col).over(series)
     z = safe_div(F.col(value_col) - m, s)
     out = daily.withColumn("volume_zscore", z).withColumn(
         "is_anomaly", F.coalesce(F.abs(F.col("volume_zscore")) > F.lit(threshold), F.lit(False))

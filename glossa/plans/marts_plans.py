@@ -348,7 +348,7 @@ def review_kpis(spark, sf_dir):
     covers="F23 C7",
     oracle=with_views(
         f"""SELECT sentiment_label, count(*) AS n,
-       {q9('count(*) / (SELECT count(*) FROM reviews_v)')} AS share
+       {q9('count(*) / sum(count(*)) OVER ()')} AS share
 FROM reviews_v WHERE sentiment_label IS NOT NULL GROUP BY sentiment_label""",
         "reviews_v",
     ),

@@ -339,7 +339,8 @@ FROM tweets_v WHERE sentiment_label IS NOT NULL GROUP BY sentiment_label""",
 def tweet_label_distribution(spark, sf_dir):
     from glossa.operators import marts
 
-    return marts.label_distribution(tweets_v(spark, sf_dir)).withColumn("share", r9("share"))
+    # percentages over all tweets (unlabelled ones stay in the total)
+    return marts.label_distribution(tweets_v(spark, sf_dir), dropna=False).withColumn("share", r9("share"))
 
 
 @register(

@@ -421,7 +421,9 @@ def test_lookup_authors_unknown(spark):
 def test_label_shares_sum_to_one(spark):
     df = spark.createDataFrame([("a",), ("b",), ("b",), (None,)], "sentiment_label string")
     shares = [r.share for r in marts.label_distribution(df).collect()]
-    assert sum(shares) == pytest.approx(0.75)  # NULL labels are counted in the total, not as a label
+    assert sum(shares) == pytest.approx(1.0)  # normalised over labelled rows (F23)
+    shares_all = {r.sentiment_label: r.share for r in marts.label_distribution(df, dropna=False).collect()}
+    assert shares_all == {"a": 0.25, "b": 0.5}  # unlabelled rows stay in the total
 
 
 def test_trend_forecast_and_regime(spark):
