@@ -11,7 +11,6 @@ from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.ml.clustering import KMeans
-from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.feature import PCA, StandardScaler, VectorAssembler
 from pyspark.ml.regression import LinearRegression
 from pyspark.sql import DataFrame
@@ -137,7 +136,16 @@ def social_rating_model(
     """
     spark = daily_reviews.sparkSession
     joined, feats = model_frame(daily_reviews, pivot, target=target)
-    joined = joined.withColumns({c: F.col(f"`{c}`").cast("double") for c in feats})
+    # The model frame has one row per day (bounded by the calendar); it is read by
+    # the gate count, the fit and the evaluation, so it is cached for the fit.
+    joined = joined.withColumns({c: F.col(f"`{c}`").cast("double") for c in feats}).persist()
+    try:
+        return _fit_social_model(spark, joined, feats, target, min_days, train_pct)
+    finally:
+        joined.unpersist()
+
+
+def _fit_social_model(spark, joined, feats, target, min_days, train_pct):
     n_days = joined.count()
     metrics_schema = "n_days long, n_train long, n_test long, r2 double, mse double, mae double, grade string, top_feature string, top_sign string"
     coef_schema = "feature string, coefficient double, abs_coefficient double"
@@ -151,13 +159,21 @@ def social_rating_model(
     test = vec.filter(bucket >= train_pct)
     model = LinearRegression(featuresCol="features", labelCol="label", solver="normal", regParam=0.0).fit(train)
     pred = model.transform(test)
-    ev = RegressionEvaluator(labelCol="label", predictionCol="prediction")
-    r2 = ev.setMetricName("r2").evaluate(pred)
-    mse = ev.setMetricName("mse").evaluate(pred)
-    mae = ev.setMetricName("mae").evaluate(pred)
+    # Test metrics in one pass (same definitions as RegressionEvaluator:
+    # r2 = 1 - SS_res / SS_tot, mse, mae), instead of one evaluation job each.
+    err = F.col("label") - F.col("prediction")
+    m = pred.agg(
+        F.count(F.lit(1)).alias("n"),
+        F.avg(err * err).alias("mse"),
+        F.avg(F.abs(err)).alias("mae"),
+        F.var_pop("label").alias("var"),
+    ).collect()[0]
+    mse, mae = float(m["mse"]), float(m["mae"])
+    r2 = 1.0 - mse / m["var"] if m["var"] else float("nan")
     coefs = [(f, float(c), abs(float(c))) for f, c in zip(feats, model.coefficients.toArray())]
     coef_df = spark.createDataFrame(coefs, coef_schema).orderBy(F.col("abs_coefficient").desc(), F.col("feature"))
     top = max(coefs, key=lambda t: (t[2], [-ord(ch) for ch in t[0]])) if coefs else (None, 0.0, 0.0)
     grade = next((g for thr, g in GRADES if r2 > thr), LOW_GRADE)
-    row = (n_days, train.count(), test.count(), float(r2), float(mse), float(mae), grade, top[0], "positive" if top[1] > 0 else "negative")
+    n_train = int(model.summary.numInstances)
+    row = (n_days, n_train, int(m["n"]), float(r2), mse, mae, grade, top[0], "positive" if top[1] > 0 else "negative")
     return spark.createDataFrame([row], metrics_schema), coef_df
