@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from glossa.functions.numeric import r9
 from glossa.operators import filters, joins, quality
 from glossa.plans.registry import r9 as q9
-from glossa.plans.registry import register
+from glossa.plans.registry import oracle_of, register
 from glossa.sources.fixtures import read_table, view, with_views
 
 BRAND = "Brand#12"
@@ -271,7 +271,12 @@ def cluster_distribution(spark, sf_dir):
     return quality.cluster_distribution(r)
 
 
-@register("validation_report_lines", covers="A15 V1 V2 V3 V4 V5 V6 V7 V9", oracle=None)
+@register(
+    "validation_report_lines",
+    covers="A15 V1 V2 V3 V4 V5 V6 V7 V9",
+    oracle=f"""SELECT "check", "column", printf('%s [%s] %s: %s', "check", "column", status, observed) AS line
+FROM ({oracle_of("validation_checks")}) v""",
+)
 def validation_report_lines(spark, sf_dir):
     from glossa.sources import files
 

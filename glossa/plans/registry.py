@@ -38,6 +38,11 @@ def register(name: str, *, covers: str, oracle: str | None = None):
     return deco
 
 
+def oracle_of(name: str) -> str:
+    """Oracle SQL of an already registered query (to build a derived oracle on it)."""
+    return _QUERIES[name].oracle
+
+
 def all_queries() -> dict[str, Query]:
     # Import the plan modules for their registration side effect.
     from glossa.plans import (  # noqa: F401
