@@ -33,7 +33,8 @@ FROM (SELECT DISTINCT ON (event_id) * FROM events) e GROUP BY ALL""",
 def tweet_stream_daily(spark, sf_dir):
     tweets = S.dedup_tweets(tweet_stream(spark, sf_dir), watermark="1 day")
     counts = S.daily_label_counts(tweets)
-    return S.run_to_table(counts, spark, "tweet_stream_daily").select(
+    cores = spark.sparkContext.defaultParallelism
+    return S.run_to_table(counts, spark, "tweet_stream_daily", state_partitions=cores).select(
         F.col("window_start").cast("timestamp_ntz").alias("window_start"),
         F.col("window_end").cast("timestamp_ntz").alias("window_end"),
         "sentiment_label",

@@ -90,23 +90,39 @@ def negative_share_alerts(counts: DataFrame, *, threshold: float = NEGATIVE_SHAR
     )
 
 
-def run_to_table(stream: DataFrame, spark: SparkSession, name: str, *, output_mode: str = "complete") -> DataFrame:
+def run_to_table(
+    stream: DataFrame, spark: SparkSession, name: str, *, output_mode: str = "complete", state_partitions: int | None = None
+) -> DataFrame:
     """Run a streaming aggregate until all available input is processed
     (``availableNow``); every micro-batch overwrites a Parquet table in the shared
-    checkpoint folder through ``foreachBatch``. Returns the table as a batch frame."""
+    checkpoint folder through ``foreachBatch``. Returns the table as a batch frame.
+
+    ``state_partitions`` fixes the number of state-store partitions of a new query
+    (Spark takes it from ``spark.sql.shuffle.partitions`` when the query first
+    starts and keeps it in the checkpoint); bounded state such as (day, label)
+    counts needs no more than one per core."""
     out_path = scratch_path(spark, f"{name}-out")
     ckpt = scratch_path(spark, f"{name}-ckpt")
 
     def write(batch: DataFrame, epoch_id: int) -> None:
         batch.write.mode("overwrite").parquet(out_path)
 
-    q = (
+    writer = (
         stream.writeStream.outputMode(output_mode)
         .foreachBatch(write)
         .option("checkpointLocation", ckpt)
         .trigger(availableNow=True)
-        .start()
     )
+    if state_partitions:
+        key = "spark.sql.shuffle.partitions"
+        previous = spark.conf.get(key)
+        spark.conf.set(key, str(state_partitions))
+        try:
+            q = writer.start()  # the query copies the session conf when it starts
+        finally:
+            spark.conf.set(key, previous)
+    else:
+        q = writer.start()
     q.awaitTermination()
     if q.exception() is not None:
         raise q.exception()
