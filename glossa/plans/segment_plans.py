@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
 
 from glossa.functions.numeric import r9
 from glossa.operators import segments, social, stats

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from glossa.functions import text as T
 from glossa.functions.numeric import r9, round_half_even
 from glossa.operators import filters, social
 from glossa.plans.registry import r9 as q9
