@@ -71,9 +71,7 @@ def clean_reviews(df: DataFrame, *, min_chars: int = 5, rating_range=(1.0, 5.0))
     out = df.withColumnsRenamed({k: v for k, v in roles.items() if k != v})
     out = out.withColumn("cleaned_text", T.clean_text("review_text"))
     out = out.filter(F.col("rating").isNotNull() & (F.length("cleaned_text") > min_chars))
-    rating = nan_to_null(F.col("rating").cast("string").try_cast("double"))  # 'NaN' text → NULL, never NaN
-    out = out.withColumn("rating", rating).filter(F.col("rating").between(*rating_range))
-    out = out.withColumn("rating", F.rint(F.col("rating") * 10.0) / 10.0)
+    out = clean_rating(out, rating_range=rating_range)
     if "review_date" in out.columns:
         out = out.withColumn("review_date", parse_timestamp("review_date")).filter(F.col("review_date").isNotNull())
     for c in DEMOGRAPHIC_COLS:
@@ -82,6 +80,14 @@ def clean_reviews(df: DataFrame, *, min_chars: int = 5, rating_range=(1.0, 5.0))
     return out
 
 
+def clean_rating(df: DataFrame, *, col: str = "rating", rating_range=(1.0, 5.0)) -> DataFrame:
+    """Coerce to a number (failures → NULL, 'NaN' text → NULL, never NaN), keep
+    ``lo <= r <= hi``, round to one decimal half-even."""
+    r = nan_to_null(F.col(col).cast("string").try_cast("double"))
+    out = df.withColumn(col, r).filter(F.col(col).between(*rating_range))
+    return out.withColumn(col, F.rint(F.col(col) * 10.0) / 10.0)
+
+
 def parse_timestamp(c: str) -> F.Column:
     """Coerce to timestamp, failures → NULL (already-typed values pass)."""
     return F.coalesce(F.col(c).try_cast("timestamp"), F.try_to_timestamp(F.col(c).cast("string")))

@@ -129,6 +129,20 @@ def review_cleaning(spark, sf_dir):
     )
 
 
+@register(
+    "rating_clean",
+    covers="B6",
+    oracle=with_views(
+        """SELECT conv_id, turn, round_even(TRY_CAST(rating AS DOUBLE) * 10.0, 0) / 10.0 AS rating
+FROM raw_reviews_v WHERE TRY_CAST(rating AS DOUBLE) BETWEEN 1 AND 5""",
+        "raw_reviews_v",
+    ),
+)
+def rating_clean(spark, sf_dir):
+    raw = view(spark, sf_dir, "raw_reviews_v").select("conv_id", "turn", "rating")
+    return X.clean_rating(raw)
+
+
 @register(
     "cleaning_retention",
     covers="B5",
