@@ -388,6 +388,25 @@ def sentiment_histogram(spark, sf_dir):
     return h.select("bin", "n", r9("bin_lo").alias("bin_lo"), r9("bin_hi").alias("bin_hi"))
 
 
+@register(
+    "rating_histogram",
+    covers="F26",
+    oracle=with_views(
+        f"""WITH rg AS (SELECT min(rating) AS lo, max(rating) AS hi FROM reviews_v),
+b AS (SELECT CAST(least(greatest(coalesce(floor((rating - lo) / ((hi - lo) / 5.0)), 0), 0), 4) AS INTEGER) AS bin,
+             lo, (hi - lo) / 5.0 AS w
+      FROM reviews_v, rg WHERE rating IS NOT NULL)
+SELECT bin, count(*) AS n, {q9('any_value(lo) + bin * any_value(w)')} AS bin_lo,
+       {q9('any_value(lo) + (bin + 1) * any_value(w)')} AS bin_hi
+FROM b GROUP BY bin""",
+        "reviews_v",
+    ),
+)
+def rating_histogram(spark, sf_dir):
+    h = marts.histogram(reviews(spark, sf_dir), col="rating", bins=5)
+    return h.select("bin", "n", r9("bin_lo").alias("bin_lo"), r9("bin_hi").alias("bin_hi"))
+
+
 @register(
     "top_brands",
     covers="H2 F7",
