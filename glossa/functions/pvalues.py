@@ -12,13 +12,19 @@ or per correlation group), never per review.
 from __future__ import annotations
 
 import math
+import sys
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
+# Python workers need not have this package installed: the UDF and its helpers
+# are shipped by value with the task (numpy/pandas come from the worker's Python).
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 _EPS = 1e-15
 _TINY = 1e-300
 _MAX_ITER = 300
