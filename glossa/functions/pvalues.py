@@ -29,7 +29,10 @@ _EPS = 1e-15
 _TINY = 1e-300
 _MAX_ITER = 300
 
-_lgamma = np.vectorize(math.lgamma, otypes=[float])
+def _lgamma(x) -> np.ndarray:
+    """Element-wise log-gamma (a plain function, so it pickles by value)."""
+    arr = np.asarray(x, dtype=float)
+    return np.array([math.lgamma(v) for v in arr.ravel()], dtype=float).reshape(arr.shape)
 
 
 def _betacf(a: np.ndarray, b: np.ndarray, x: np.ndarray) -> np.ndarray:
