@@ -5,9 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from glossa.llm import packing
-from glossa.llm.common import table
+from glossa.llm import packing, toxicity
+from glossa.llm.common import crc_bucket, table
 
 Builder = Callable[[SparkSession, str], DataFrame]
 
@@ -16,6 +17,12 @@ def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    out = toxicity.scored(docs.select("doc_id", "text"), toxicity.fit(docs, table(spark, sf_dir, "labels")), "score")
+    return out.select("doc_id", (crc_bucket("doc_id", 5) == 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 def queries() -> dict[str, Builder]:
     return {k: f for k, f in globals().items() if k.startswith("op") and callable(f)}
 
