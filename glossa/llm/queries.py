@@ -7,9 +7,35 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from glossa.llm import packing, toxicity
+from glossa.llm import decontaminate, packing, toxicity
 from glossa.llm.common import crc_bucket, table
 
+UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+OP8_SQL = rf"""
+WITH d AS (
+  SELECT doc_id, [x FOR x IN regexp_split_to_array(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+') IF x <> ''] AS w
+  FROM documents
+), i AS (
+  SELECT item_id, [x FOR x IN regexp_split_to_array(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+') IF x <> ''] AS w
+  FROM benchmark
+), wins AS (
+  SELECT DISTINCT item_id, least(10, len(w)) AS n, array_to_string(w[k : k + least(10, len(w)) - 1], ' ') AS win
+  FROM (SELECT item_id, w, unnest(range(1, greatest(1, len(w) - 9) + 1)) AS k FROM i WHERE len(w) > 0)
+), grams AS (
+  SELECT doc_id, k, n, array_to_string(w[k : k + n - 1], ' ') AS win
+  FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS k FROM d, (SELECT DISTINCT n FROM wins) WHERE len(w) >= n)
+), found AS (SELECT doc_id, k, n, item_id FROM grams JOIN wins USING (n, win)),
+hit AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(k, k + n)) AS p FROM found) GROUP BY doc_id),
+item AS (
+  SELECT doc_id, count(*) AS n_items, sha256(string_agg(item, ',' ORDER BY item)) AS items_sha256
+  FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM found) GROUP BY doc_id
+)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit, CAST(coalesce(n_items, 0) AS BIGINT) AS n_items,
+  coalesce(items_sha256, sha256('')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN item USING (doc_id)
+"""
+
 Builder = Callable[[SparkSession, str], DataFrame]
 
 
@@ -23,9 +49,21 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", (crc_bucket("doc_id", 5) == 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = decontaminate.hits(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark"))
+    return out.select(
+        "doc_id",
+        F.col("leak_words").alias("n_words"),
+        F.col("leak_hit").alias("n_hit"),
+        F.size("leak_items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("leak_items", ","), 256).alias("items_sha256"),
+        (F.col("leak_hit") > 0).alias("contaminated"),
+    )
+
+
 def queries() -> dict[str, Builder]:
     return {k: f for k, f in globals().items() if k.startswith("op") and callable(f)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op8_decontamination": OP8_SQL}
