@@ -35,6 +35,11 @@ def ascii_lower(text: Column | str) -> Column:
     return F.translate(F.coalesce(F.col(text) if isinstance(text, str) else text, F.lit("")), UPPER, UPPER.lower())
 
 
+def row_key(doc_id: str = "doc_id", text: str = "text") -> Column:
+    """A row's key: 96 bits of hashes over id and text, the same for equal rows."""
+    return F.struct(F.xxhash64(doc_id, text).alias("h"), F.crc32(F.coalesce(F.col(text), F.lit("")).cast("binary")).alias("c"))
+
+
 def crc_bucket(doc_id: Column | str, n: int) -> Column:
     """crc32 of the id as text, modulo ``n``; a null id counts as the empty text."""
     return F.crc32(F.coalesce(F.col(doc_id) if isinstance(doc_id, str) else doc_id, F.lit("")).cast("string").cast("binary")) % n

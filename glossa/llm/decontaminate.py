@@ -25,7 +25,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from glossa.llm.common import ascii_lower, stored
+from glossa.llm.common import ascii_lower, row_key, stored
 
 #: What parts words, after lower-casing A-Z.
 BREAKS = "[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+"
@@ -37,11 +37,6 @@ def words(text: str) -> Column:
     return F.filter(F.split(ascii_lower(text), BREAKS), lambda w: w != "")
 
 
-def key(doc_id: str = "doc_id", text: str = "text") -> Column:
-    """A row's key: 96 bits of hashes over id and text, the same for equal rows."""
-    return F.struct(F.xxhash64(doc_id, text).alias("h"), F.crc32(F.coalesce(F.col(text), F.lit("")).cast("binary")).alias("c"))
-
-
 def shingles(words: str, size: int) -> Column:
     """All runs of ``size`` words of an array column, as an array of structs."""
     n = F.greatest(F.lit(0), F.size(words) - (size - 1))
@@ -90,15 +85,15 @@ def matches(docs: DataFrame, items: DataFrame, window: int = 10) -> tuple[DataFr
     # One, two or three: the sizes that the windows need.
     sizes = [r[0] for r in wins.select(F.least(F.size("win"), F.lit(SHINGLE)).alias("s")).distinct().orderBy("s").collect()]
     if not sizes:
-        empty = docs.limit(0).select(key().alias("key"), F.lit(0).alias("start"), F.lit(0).alias("n"), F.lit(0).cast("long").alias("wid"))
+        empty = docs.limit(0).select(row_key().alias("key"), F.lit(0).alias("start"), F.lit(0).alias("n"), F.lit(0).cast("long").alias("wid"))
         return empty, pairs.select("wid", "item_id")
     first = prefixes(docs, wins, sizes)
-    texts = docs.select(key().alias("key"), words("text").alias("w")).where(F.size("w") > 0)
+    texts = docs.select(row_key().alias("key"), words("text").alias("w")).where(F.size("w") > 0)
     tokens = exploded(texts.withColumn("size", F.size("w")), ["key", "size"], "w", sizes)
     found = tokens.join(first, "token").select("key", (F.col("pos") - F.col("at")).alias("start"), F.col("words").alias("n"), "wid", "size")
     # A row's candidates are combined before they meet its text.
     listed = found.where("start >= 0 AND start + n <= size").groupBy("key").agg(F.collect_set(F.struct("start", "n", "wid")).alias("c"))
-    there = docs.select(key().alias("key"), "text").join(listed, "key").select("key", words("text").alias("w"), "c")
+    there = docs.select(row_key().alias("key"), "text").join(listed, "key").select("key", words("text").alias("w"), "c")
     there = there.select("key", "w", F.explode("c").alias("c")).select("key", "c.*", F.expr("slice(w, c.start + 1, c.n)").alias("have"))
     exact = there.join(wins, "wid").where("have = win").select("key", "start", "n", "wid").distinct()
     return stored(exact, "leak-matches"), pairs.select("wid", "item_id")
@@ -117,5 +112,5 @@ def hits(docs: DataFrame, items: DataFrame, window: int = 10) -> DataFrame:
     ids = ids.groupBy("key").agg(F.sort_array(F.collect_list("item")).alias("leak_items"))
     both = n_hit.join(ids, "key", "left").withColumnRenamed("key", "leak_key")
     old = docs.drop("leak_words", "leak_hit", "leak_items", "leak_key")
-    marked = old.withColumn("leak_key", key()).withColumn("leak_words", F.size(words("text")).cast("long")).join(both, "leak_key", "left").drop("leak_key")
+    marked = old.withColumn("leak_key", row_key()).withColumn("leak_words", F.size(words("text")).cast("long")).join(both, "leak_key", "left").drop("leak_key")
     return marked.withColumn("leak_hit", F.coalesce("leak_hit", F.lit(0)).cast("long")).withColumn("leak_items", F.coalesce("leak_items", F.array().cast("array<string>")))

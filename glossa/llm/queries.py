@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from glossa.llm import decontaminate, packing, toxicity
+from glossa.llm import decontaminate, packing, templates, toxicity
 from glossa.llm.common import crc_bucket, table
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -43,6 +43,10 @@ def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
+def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return templates.clean(table(spark, sf_dir, "documents").select("doc_id", "text"), counts=True)
+
+
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     out = toxicity.scored(docs.select("doc_id", "text"), toxicity.fit(docs, table(spark, sf_dir, "labels")), "score")
