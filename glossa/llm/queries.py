@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from glossa.llm import decontaminate, packing, templates, toxicity
+from glossa.llm import decontaminate, near_dedup, packing, templates, toxicity
 from glossa.llm.common import crc_bucket, table
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -53,6 +53,11 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", (crc_bucket("doc_id", 5) == 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+def op7_bbit_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = near_dedup.components(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
+
+
 def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = decontaminate.hits(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark"))
     return out.select(
