@@ -114,3 +114,11 @@ def hits(docs: DataFrame, items: DataFrame, window: int = 10) -> DataFrame:
     old = docs.drop("leak_words", "leak_hit", "leak_items", "leak_key")
     marked = old.withColumn("leak_key", row_key()).withColumn("leak_words", F.size(words("text")).cast("long")).join(both, "leak_key", "left").drop("leak_key")
     return marked.withColumn("leak_hit", F.coalesce("leak_hit", F.lit(0)).cast("long")).withColumn("leak_items", F.coalesce("leak_items", F.array().cast("array<string>")))
+
+
+def clean(docs: DataFrame, items: DataFrame, window: int = 10) -> DataFrame:
+    """``docs`` without the rows that hold a window."""
+    found, _ = matches(docs.select("doc_id", "text"), items.select("item_id", "text"), window)
+    keyed = docs.withColumn("leak_row", F.struct(F.struct("*").alias("row"), row_key().alias("key")))
+    keys = found.select("key").distinct()
+    return keyed.select("leak_row.*").join(keys, "key", "left_anti").select("row.*")

@@ -229,8 +229,8 @@ def survivors(docs: DataFrame, size: int = 5, percent: int = 75) -> DataFrame:
     first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "h", "c"))
     keep = found.where("label IS NOT NULL").groupBy("label").agg(first.alias("r")).select("r.h", "r.c", F.lit(False).alias("empty"))
     keep = keep.union(found.where("label IS NULL").select("h", "c", F.lit(True)).distinct())
-    keep = stored(keep.select(F.struct("h", "c").alias("dup_key"), "empty"), "survivors").withColumnRenamed("empty", "dup_empty")
-    both = docs.drop("dup_key", "dup_empty", "dup_turn").withColumn("dup_key", row_key()).join(keep, "dup_key")
+    keep = stored(keep.select(F.struct("h", "c").alias("key"), "empty"), "survivors")
+    both = docs.select(F.struct("*").alias("row"), row_key().alias("key")).join(keep, "key")
     # Equal rows of one key leave one; rows without shingles get a turn each and all stay.
-    turn = F.when(F.col("dup_empty"), F.monotonically_increasing_id()).otherwise(F.lit(-1))
-    return both.withColumn("dup_turn", turn).dropDuplicates(["dup_key", "dup_turn"]).drop("dup_key", "dup_empty", "dup_turn")
+    turn = F.when(F.col("empty"), F.monotonically_increasing_id()).otherwise(F.lit(-1))
+    return both.withColumn("turn", turn).dropDuplicates(["key", "turn"]).select("row.*")

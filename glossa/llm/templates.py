@@ -76,16 +76,13 @@ def clean(docs: DataFrame, depth: int = 3, similarity: float = 0.8, evidence: in
 
     With ``counts`` every row stays, with ``lines_in`` and ``lines_lost``.
     """
-    lost = stored(recurring(docs, depth, similarity, evidence), "lost-lines").select(F.col("key").alias("line_key"), F.col("lines").alias("line_lost"))
-    own = docs.drop("line_key", "line_lost", "lines_in", "lines_lost")
-    both = own.withColumn("line_key", row_key()).join(lost, "line_key", "left")
-    rest = F.filter(F.split("text", "\n"), lambda t, i: ~F.array_contains("line_lost", i))
-    text = F.when(F.col("line_lost").isNull(), F.col("text")).otherwise(F.array_join(rest, "\n"))
-    out = both.withColumn("line_text", text)
-    if counts:
-        out = out.withColumn("lines_in", F.when(F.col("text").isNull(), 0).otherwise(F.size(F.split("text", "\n"))).cast("long"))
-        out = out.withColumn("lines_lost", F.when(F.col("line_lost").isNull(), 0).otherwise(F.size("line_lost")).cast("long"))
-    else:
-        out = out.where("line_lost IS NULL OR line_text RLIKE '\\\\S'")
-    names = [*own.columns, *(["lines_in", "lines_lost"] if counts else [])]
-    return out.select(*[F.col("line_text").alias("text") if c == "text" else F.col(c) for c in names])
+    lost = stored(recurring(docs, depth, similarity, evidence), "lost-lines")
+    both = docs.select(F.struct("*").alias("row"), row_key().alias("key")).join(lost, "key", "left")
+    rest = F.filter(F.split("row.text", "\n"), lambda t, i: ~F.array_contains("lines", i))
+    both = both.withColumn("text", F.when(F.col("lines").isNull(), F.col("row.text")).otherwise(F.array_join(rest, "\n")))
+    names = [F.col("text") if c == "text" else F.col("row")[c].alias(c) for c in docs.columns if not (counts and c in ("lines_in", "lines_lost"))]
+    if not counts:
+        return both.where("lines IS NULL OR text RLIKE '\\\\S'").select(*names)
+    lines_in = F.when(F.col("row.text").isNull(), 0).otherwise(F.size(F.split("row.text", "\n"))).cast("long")
+    lines_lost = F.when(F.col("lines").isNull(), 0).otherwise(F.size("lines")).cast("long")
+    return both.select(*names, lines_in.alias("lines_in"), lines_lost.alias("lines_lost"))

@@ -26,7 +26,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 WINDOW, STRIDE = 32, 16
@@ -360,13 +360,12 @@ def fit(docs: DataFrame, labels: DataFrame, sample_per_class: int = 2000, sample
     return train([t for _, _, t in rows], y, shares=shares)
 
 
-def scored(docs: DataFrame, net: Network | None, column: str = "toxic_score") -> DataFrame:
-    """``docs`` with the score of each whole text in ``column``, replacing a column of that name."""
+def score_column(spark: SparkSession, net: Network | None) -> Column:
+    """The score of each whole ``text``."""
     if net is None:
-        return docs.withColumn(column, F.lit(0.0))
-    p, scale, shift = net.p, net.scale, net.shift
+        return F.lit(0.0)
     # Two fixed-size tables and a few small matrices: under 4 MB whatever the corpus.
-    sent = docs.sparkSession.sparkContext.broadcast((p, scale, shift))
+    sent = spark.sparkContext.broadcast((net.p, net.scale, net.shift))
 
     @F.pandas_udf("double")
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
@@ -374,4 +373,14 @@ def scored(docs: DataFrame, net: Network | None, column: str = "toxic_score") ->
         for batch in batches:
             yield pd.Series(model.score([t if isinstance(t, str) else None for t in batch]))
 
-    return docs.withColumn(column, run(F.col("text")))
+    return run(F.col("text"))
+
+
+def scored(docs: DataFrame, net: Network | None, column: str = "toxic_score") -> DataFrame:
+    """``docs`` with the score in ``column``, replacing a column of that name."""
+    return docs.withColumn(column, score_column(docs.sparkSession, net))
+
+
+def clean(docs: DataFrame, net: Network | None, threshold: float = 0.5) -> DataFrame:
+    """The rows of ``docs`` that score less than ``threshold``."""
+    return docs.where(score_column(docs.sparkSession, net) < threshold)

@@ -36,7 +36,7 @@ def brute(rows, percent=75):
 
 
 def run(spark, rows):
-    docs = spark.createDataFrame([(a, b, "x", 1, 2) for a, b in rows], "doc_id long, text string, label string, node int, h int")
+    docs = spark.createDataFrame([(a, b, "x", 1, 2) for a, b in rows], "doc_id long, text string, label string, key int, h int")
     got = sorted(((r.doc_id, r.n_shingles, r.component_id) for r in near_dedup.components(docs).collect()), key=repr)
     return got, near_dedup.survivors(docs)
 
@@ -60,7 +60,7 @@ def test_against_all_pairs(spark):
     got, kept = run(spark, rows)
     want = brute(rows)
     assert got == want
-    assert kept.columns == ["doc_id", "text", "label", "node", "h"]
+    assert kept.columns == ["doc_id", "text", "label", "key", "h"]
     left = [(r.doc_id, r.text) for r in kept.collect()]
     groups = {c for _, n, c in want if n}
     assert sorted(i for i, t in left if shingles(t) and i is not None) == sorted(g for g in groups if g is not None)
