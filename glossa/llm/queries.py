@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from glossa.llm import decontaminate, near_dedup, packing, templates, toxicity
-from glossa.llm.common import crc_bucket, table
+from glossa.llm import decontaminate, near_dedup, packing, sanitise, templates, toxicity
+from glossa.llm.common import crc_bucket, row_key, table
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -70,6 +71,16 @@ def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_sanitisation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = sanitise.found_spans(docs)
+    counts = [sanitise.count("base", kind).alias(f"n_{kind}") for kind in sanitise.KINDS[:4]]
+    digests = found.select("key", *counts, F.sha2(sanitise.named(F.col("base")), 256).alias("base_sha256"), sanitise.named(F.col("all")).alias("spans"))
+    out = docs.select("doc_id", row_key().alias("key")).join(digests, "key", "left")
+    none = {f"n_{kind}": 0 for kind in sanitise.KINDS[:4]} | {"base_sha256": hashlib.sha256(b"").hexdigest(), "spans": ""}
+    return out.fillna(none).select("doc_id", *none)
+
+
 def queries() -> dict[str, Builder]:
     return {k: f for k, f in globals().items() if k.startswith("op") and callable(f)}
 
