@@ -42,7 +42,8 @@ def row_key(doc_id: str = "doc_id", text: str = "text") -> Column:
 
 def crc_bucket(doc_id: Column | str, n: int) -> Column:
     """crc32 of the id as text, modulo ``n``; a null id counts as the empty text."""
-    return F.crc32(F.coalesce(F.col(doc_id) if isinstance(doc_id, str) else doc_id, F.lit("")).cast("string").cast("binary")) % n
+    doc_id = F.col(doc_id) if isinstance(doc_id, str) else doc_id
+    return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % n
 
 
 def connected_components(edges: DataFrame, name: str = "cc", max_rounds: int = 60) -> DataFrame:

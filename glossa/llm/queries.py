@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from glossa.llm import decontaminate, near_dedup, packing, sanitise, templates, toxicity
+from glossa.llm import decontaminate, near_dedup, packing, ppm, sanitise, templates, toxicity
 from glossa.llm.common import crc_bucket, row_key, table
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -40,6 +40,10 @@ FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN item USING (doc_id)
 Builder = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_ppm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ppm.score(table(spark, sf_dir, "documents"))
+
+
 def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
