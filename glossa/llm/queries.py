@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from glossa.llm import decontaminate, near_dedup, packing, ppm, sanitise, templates, toxicity
+from glossa.llm import decontaminate, near_dedup, nn_descent, packing, ppm, sanitise, templates, toxicity
 from glossa.llm.common import crc_bucket, row_key, table
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -52,6 +52,11 @@ def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return templates.clean(table(spark, sf_dir, "documents").select("doc_id", "text"), counts=True)
 
 
+def op5_nn_descent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = nn_descent.components(table(spark, sf_dir, "embeddings"))
+    return out.withColumn("kept", F.col("vec_id").eqNullSafe(F.col("component_id")))
+
+
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     out = toxicity.scored(docs.select("doc_id", "text"), toxicity.fit(docs, table(spark, sf_dir, "labels")), "score")
