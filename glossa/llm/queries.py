@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from glossa.llm import decontaminate, near_dedup, nn_descent, packing, ppm, sanitise, templates, toxicity
+from glossa.llm import decontaminate, near_dedup, nn_descent, packing, ppm, sanitise, templates, toolcalls, toxicity, warc
 from glossa.llm.common import crc_bucket, row_key, table
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -52,6 +52,12 @@ def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return templates.clean(table(spark, sf_dir, "documents").select("doc_id", "text"), counts=True)
 
 
+def op4_tool_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations")
+    out = toolcalls.link(*toolcalls.from_turns(turns), toolcalls.turn_schemas(turns))
+    return out.withColumn("missing", F.array_join("missing", ",")).withColumn("problems", F.array_join("problems", ","))
+
+
 def op5_nn_descent(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = nn_descent.components(table(spark, sf_dir, "embeddings"))
     return out.withColumn("kept", F.col("vec_id").eqNullSafe(F.col("component_id")))
@@ -90,6 +96,10 @@ def op9_sanitisation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.fillna(none).select("doc_id", *none)
 
 
+def op10_warc_derivatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.derive(warc.from_pages(table(spark, sf_dir, "pages")))
+
+
 def queries() -> dict[str, Builder]:
     return {k: f for k, f in globals().items() if k.startswith("op") and callable(f)}
 
