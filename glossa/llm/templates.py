@@ -31,23 +31,30 @@ VARIABLE = "(?<!\\S)[^\\s0-9]*+[0-9]\\S*+"
 
 
 def masked(line: Column) -> Column:
-    return F.filter(F.split(F.regexp_replace(line, VARIABLE, "<*>"), "\\s+"), lambda t: t != "")
+    """A line's tokens, one space between them, and ``<*>`` for those with a digit."""
+    even = F.trim(F.when(line.rlike("[\\t\\x0B\\f\\r]|  "), F.regexp_replace(line, "\\s+", " ")).otherwise(line))
+    return F.when(even.rlike("[0-9]"), F.regexp_replace(even, VARIABLE, "<*>")).otherwise(even)
 
 
 def lines(docs: DataFrame, depth: int) -> DataFrame:
-    """(key, doc_id, content, line, tokens, leaf, own) of every line with a token."""
+    """(key, doc_id, content, line, n, leaf, own) of every line with a token; leaf and own are hashes."""
     rows = docs.where("text IS NOT NULL").select(row_key().alias("key"), "doc_id", F.xxhash64("text").alias("content"), F.posexplode(F.split("text", "\n")).alias("line", "t"))
-    rows = rows.withColumn("tokens", masked(F.col("t"))).where(F.size("tokens") > 0).drop("t")
-    leaf = F.xxhash64(F.size("tokens"), F.slice("tokens", 1, depth))
-    return rows.withColumn("leaf", leaf).withColumn("own", F.xxhash64(F.lit(0), "tokens"))
+    rows = rows.where(F.col("t").rlike("\\S")).withColumn("m", masked(F.col("t"))).withColumn("n", F.size(F.split("m", " ")))
+    leaf = F.xxhash64("n", F.substring_index("m", " ", depth))
+    return rows.select("key", "doc_id", "content", "line", "n", leaf.alias("leaf"), F.xxhash64(F.lit(0), "m").alias("own"))
 
 
-def generalised(docs: DataFrame, found: DataFrame, depth: int, similarity: float) -> DataFrame:
+def generalised(docs: DataFrame, found: DataFrame, similarity: float) -> DataFrame:
     """(leaf, own): the distinct lines that belong to their leaf's template."""
     leaves = found.groupBy("leaf", "own").agg(F.min("content").alias("lo"), F.max("content").alias("hi"))
     leaves = leaves.groupBy("leaf").agg(F.count("*").alias("n"), F.min("lo").alias("lo"), F.max("hi").alias("hi"))
     open_ = stored(leaves.where("n > 1 AND lo <> hi").select("leaf"), "template-leaves")
-    kinds = stored(lines(docs, depth).select("leaf", "own", "tokens").join(open_, "leaf").groupBy("leaf", "own").agg(F.first("tokens").alias("tokens")), "template-lines")
+    # One place of each distinct line of an open leaf; only these texts are read again.
+    places = found.join(open_, "leaf").groupBy("leaf", "own").agg(F.min(F.struct("key", "line")).alias("p"))
+    places = places.groupBy("p.key").agg(F.collect_list(F.struct("p.line", "leaf", "own")).alias("places"))
+    texts = docs.select(row_key().alias("key"), "text").join(places, "key").select(F.split("text", "\n").alias("t"), F.explode("places").alias("p"))
+    kinds = texts.select("p.leaf", "p.own", masked(F.get("t", F.col("p.line"))).alias("m")).groupBy("leaf", "own").agg(F.first("m").alias("m"))
+    kinds = stored(kinds.withColumn("tokens", F.split("m", " ")).drop("m"), "template-lines")
     at = kinds.select("leaf", F.posexplode("tokens").alias("pos", "token")).groupBy("leaf", "pos", "token").agg(F.count("*").alias("n"))
     constant = at.groupBy("leaf", "pos").agg(F.max(F.struct("n", "token"))["token"].alias("token"))
     template = constant.groupBy("leaf").agg(F.sort_array(F.collect_list(F.struct("pos", "token")))["token"].alias("template"))
@@ -58,8 +65,8 @@ def generalised(docs: DataFrame, found: DataFrame, depth: int, similarity: float
 def recurring(docs: DataFrame, depth: int = 3, similarity: float = 0.8, evidence: int = 40) -> DataFrame:
     """(key, lines): the numbers of the lines that each row loses."""
     docs = docs.select("doc_id", "text")
-    found = stored(lines(docs, depth).select("key", "doc_id", "content", "line", F.size("tokens").alias("n"), "leaf", "own"), "lines")
-    general = generalised(docs, found, depth, similarity)
+    found = stored(lines(docs, depth), "lines")
+    general = generalised(docs, found, similarity)
     template = F.when(F.col("general"), F.col("leaf")).otherwise(F.col("own"))
     found = found.join(general, ["leaf", "own"], "left").withColumn("template", template)
     found = stored(found.select("key", "doc_id", "content", "line", "n", "template"), "line-templates")
