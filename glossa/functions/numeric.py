@@ -80,22 +80,25 @@ def top_k(df: DataFrame, k: int, order: Iterable[Column]) -> DataFrame:
     return df.orderBy(*order).limit(k)
 
 
-STABLE_SCALE = 1_000_000.0
+#: Type of exact sums: 12 places, and room for sums below 1e26.
+EXACT = "decimal(38,12)"
 
 
-def stable_avg(c: str | Column) -> Column:
-    """Mean of the values quantised to 1e-6, summed exactly (order-independent).
+def exact_sum(c: str | Column) -> Column:
+    """Sum in decimal arithmetic, the same in any order; cast it to double for a result.
 
-    A float ``avg`` depends on summation order, i.e. on partitioning, and a
-    mean that lies on a rounding edge (x.xxx5) can then round either way from
-    run to run. Quantised values are integers in a double, whose sum is exact
-    below 2^53, so the mean is the same on every cluster layout and engine.
+    A float ``sum`` depends on the order of its rows, i.e. on partitioning, so a mean on a rounding
+    edge (x.xxx5) could round either way from run to run. Doubles enter as their shortest
+    decimal text, so data with up to 12 decimal places are summed without any cut.
     """
-    q = F.rint(col_(c) * F.lit(STABLE_SCALE)).cast("long")
-    return F.try_divide(F.sum(q), F.count(q)) / F.lit(STABLE_SCALE)
+    return F.sum(col_(c).cast(EXACT))
+
+
+def stable_avg(c: str | Column) -> Column:
+    """Mean from an exact sum (order-independent)."""
+    return F.try_divide(exact_sum(c).cast("double"), F.count(col_(c)))
 
 
 def stable_sum(c: str | Column) -> Column:
-    """Sum of the values quantised to 1e-6 in exact 64-bit integer arithmetic."""
-    q = F.rint(col_(c) * F.lit(STABLE_SCALE)).cast("long")
-    return F.sum(q) / F.lit(STABLE_SCALE)
+    """Exact sum as a double."""
+    return exact_sum(c).cast("double")

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from pyspark.storagelevel import StorageLevel
 
-from glossa.session import durable, spread
+from glossa.session import durable
 
 # Candidate clustering features, in order.
 CLUSTER_FEATURES = (
@@ -52,7 +52,7 @@ def cluster_reviews(
     seeds (lowest cost kept; ties → lowest seed). Returns the reviews with
     ``user_cluster`` and an info dict.
 
-    The fits only need the feature vectors: they are spread over the cores, cut
+    The fits only need the feature vectors: they are cut
     from their lineage in the shared checkpoint folder and kept in memory for the
     repeated passes (a lost block is re-read from the checkpoint). The ``n_init``
     k-means runs are independent and are submitted ``parallelism`` at a time
@@ -68,11 +68,14 @@ def cluster_reviews(
         return reviews.withColumn("user_cluster", F.lit(0)), {"n_clusters": 1, "features_used": used, "variance_explained": 0.0}
     filled = reviews.withColumns({c: F.coalesce(F.col(c).cast("double"), F.lit(0.0)) for c in used})
     assembler = VectorAssembler(inputCols=used, outputCol="_raw")
-    feats = spread(assembler.transform(filled).select("_raw"))
+    feats = assembler.transform(filled).select("_raw")
     if checkpoint:
         feats = durable(feats)
     feats = feats.persist(StorageLevel.MEMORY_AND_DISK)
     try:
+        k = min(k, feats.count())  # as many clusters as rows at most
+        if k < 2:
+            return reviews.withColumn("user_cluster", F.lit(0)), {"n_clusters": k, "features_used": used, "variance_explained": 0.0}
         scaler = StandardScaler(inputCol="_raw", outputCol="_scaled", withMean=True, withStd=True).fit(feats)
         n_comp = min(n_components, len(used))
         pca_model = PCA(k=n_comp, inputCol="_scaled", outputCol="_pca").fit(scaler.transform(feats))
@@ -93,7 +96,7 @@ def cluster_reviews(
     projected = pca_model.transform(scaler.transform(assembler.transform(filled)))
     out = best.transform(projected).drop("_raw", "_scaled", "_pca")
     info = {
-        "n_clusters": k,
+        "n_clusters": len(best.clusterCenters()),
         "features_used": used,
         "variance_explained": float(sum(pca_model.explainedVariance.toArray())),
         "training_cost": float(best_cost),
@@ -168,12 +171,14 @@ def _fit_social_model(spark, joined, feats, target, min_days, train_pct):
         F.avg(F.abs(err)).alias("mae"),
         F.var_pop("label").alias("var"),
     ).collect()[0]
+    if not m["n"]:  # no day fell into the test part
+        return spark.createDataFrame([], metrics_schema), spark.createDataFrame([], coef_schema)
     mse, mae = float(m["mse"]), float(m["mae"])
-    r2 = 1.0 - mse / m["var"] if m["var"] else float("nan")
+    r2 = 1.0 - mse / m["var"] if m["var"] else None  # no R^2 of a constant target
     coefs = [(f, float(c), abs(float(c))) for f, c in zip(feats, model.coefficients.toArray())]
     coef_df = spark.createDataFrame(coefs, coef_schema).orderBy(F.col("abs_coefficient").desc(), F.col("feature"))
     top = max(coefs, key=lambda t: (t[2], [-ord(ch) for ch in t[0]])) if coefs else (None, 0.0, 0.0)
-    grade = next((g for thr, g in GRADES if r2 > thr), LOW_GRADE)
+    grade = next((g for thr, g in GRADES if r2 is not None and r2 > thr), LOW_GRADE)
     n_train = int(model.summary.numInstances)
-    row = (n_days, n_train, int(m["n"]), float(r2), mse, mae, grade, top[0], "positive" if top[1] > 0 else "negative")
+    row = (n_days, n_train, int(m["n"]), r2, mse, mae, grade, top[0], "positive" if top[1] > 0 else "negative")
     return spark.createDataFrame([row], metrics_schema), coef_df

@@ -88,6 +88,30 @@ def _row(check: str, column: str, ok, observed) -> F.Column:
     )
 
 
+def _bounds(bad, column: str, name: str) -> list:
+    """Smallest and largest offending value, compared as what they are and not as text; ``null`` if only nulls offend."""
+    text = lambda v: F.coalesce(v.cast("string"), F.lit("null"))
+    return [text(F.min(F.when(bad, F.col(column)))).alias(f"{name}_lo"), text(F.max(F.when(bad, F.col(column)))).alias(f"{name}_hi")]
+
+
+def validation_offenders(df: DataFrame, *, labels: Sequence[str] = LABELS) -> DataFrame:
+    """V3–V5: every offending value with its number of rows: ``check, column, value, n``.
+
+    One pass: a row gives an entry for each of its offending columns, counted by value.
+    """
+    tests = (
+        ("rating_range", "rating", F.col("rating").between(1, 5)),
+        ("sentiment_range", "sentiment_score", F.col("sentiment_score").between(-1, 1)),
+        ("label_values", "sentiment_label", F.col("sentiment_label").isin(list(labels))),
+    )
+    rows = [
+        F.when(~F.coalesce(ok, F.lit(False)), F.struct(F.lit(check).alias("check"), F.lit(c).alias("column"), F.col(c).cast("string").alias("value")))
+        for check, c, ok in tests
+        if c in df.columns
+    ]
+    return df.select(F.inline(F.array_compact(F.array(*rows)))).groupBy("check", "column", "value").agg(F.count(F.lit(1)).alias("n"))
+
+
 def validation_checks(
     df: DataFrame,
     *,
@@ -110,10 +134,10 @@ def validation_checks(
         aggs.append(F.count_if(F.col(c).isNull()).alias(f"null_{c}"))
     if "rating" in present:  # V3
         bad = ~F.coalesce(F.col("rating").between(1, 5), F.lit(False))
-        aggs += [F.count_if(bad).alias("bad_rating"), F.min(F.when(bad, F.coalesce(F.col("rating").cast("string"), F.lit("null")))).alias("bad_rating_lo"), F.max(F.when(bad, F.coalesce(F.col("rating").cast("string"), F.lit("null")))).alias("bad_rating_hi")]
+        aggs += [F.count_if(bad).alias("bad_rating"), *_bounds(bad, "rating", "bad_rating")]
     if "sentiment_score" in present:  # V4
         bad = ~F.coalesce(F.col("sentiment_score").between(-1, 1), F.lit(False))
-        aggs += [F.count_if(bad).alias("bad_sentiment"), F.min(F.when(bad, F.coalesce(F.col("sentiment_score").cast("string"), F.lit("null")))).alias("bad_sentiment_lo"), F.max(F.when(bad, F.coalesce(F.col("sentiment_score").cast("string"), F.lit("null")))).alias("bad_sentiment_hi")]
+        aggs += [F.count_if(bad).alias("bad_sentiment"), *_bounds(bad, "sentiment_score", "bad_sentiment")]
     if "sentiment_label" in present:  # V5
         bad = ~F.coalesce(F.col("sentiment_label").isin(list(labels)), F.lit(False))
         aggs += [F.count_if(bad).alias("bad_label"), F.min(F.when(bad, F.coalesce(F.col("sentiment_label"), F.lit("null")))).alias("bad_label_lo"), F.max(F.when(bad, F.coalesce(F.col("sentiment_label"), F.lit("null")))).alias("bad_label_hi")]
@@ -160,4 +184,4 @@ def validation_checks(
 
 def cluster_distribution(df: DataFrame, *, key: str = "user_cluster") -> DataFrame:
     """V8: rows per cluster."""
-    return df.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
+    return df.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("n"))

@@ -10,14 +10,12 @@ The blend is the mean of both. The lexicon is a parameter; the default one
 below is small and our own, so scores are comparable in method, not in value,
 to any published lexicon.
 
-Two plans, chosen by lexicon size:
-
-* ``map``  (default, lexicon <= ``max_map_entries``): the lexicon becomes one
-  constant map (a bounded parameter, size checked first) probed per token
-  inside one row-local expression. No explode, no join, no shuffle of texts.
-* ``join`` (large lexicons): tokens are exploded with their 3 predecessors,
-  joined to the lexicon (Spark picks broadcast or shuffle by size), summed per
-  row id, and joined back to the rows.
+One plan for every lexicon: the tokens of each distinct text, with their 3
+predecessors, are joined to the lexicon without a hint (Spark broadcasts it only
+below ``spark.sql.autoBroadcastJoinThreshold``), summed per text, and the sums go
+back to the rows by the text's key. Nothing runs while the plan is built. A
+lexicon that lists a token several times gives it the mean of its valences; an
+empty lexicon scores everything 0.
 """
 
 from __future__ import annotations
@@ -56,7 +54,7 @@ TWEET_THRESHOLDS = (0.05, True)
 
 
 def lexicon_frame(spark: SparkSession, lexicon: dict[str, float] | None = None) -> DataFrame:
-    lex = lexicon or DEFAULT_LEXICON
+    lex = DEFAULT_LEXICON if lexicon is None else lexicon
     return spark.createDataFrame(sorted(lex.items()), "token string, valence double")
 
 
@@ -104,8 +102,10 @@ def lexicon_map(lexicon: dict[str, float]) -> Column:
 def score_map(
     df: DataFrame, lexicon: dict[str, float] | None = None, *, text_col: str = "cleaned_text", clean: bool = True
 ) -> DataFrame:
-    """Row-local plan: tokens probe a constant lexicon map."""
-    lex_map = lexicon_map(lexicon or DEFAULT_LEXICON)
+    """Row-local form for streams, whose rows cannot be joined back to their own aggregate:
+    tokens probe a constant map of a lexicon that is written in the code."""
+    lexicon = DEFAULT_LEXICON if lexicon is None else lexicon
+    lex_map = lexicon_map(lexicon)
     # Tokenise once into a column: the lambdas below index the array repeatedly.
     df = df.withColumn("_toks", tokens(text_col, clean))
     toks = F.col("_toks")
@@ -115,7 +115,7 @@ def score_map(
 
     # Keep only lexicon tokens first (hash-set membership), then look up valences
     # and predecessors for the hits alone.
-    words = sorted((lexicon or DEFAULT_LEXICON).keys())
+    words = sorted(lexicon)
     indexed = F.transform(toks, lambda t, i: F.struct(t.alias("t"), i.alias("i")))
     known = F.filter(indexed, lambda x: x["t"].isin(*words))
     hits = F.transform(
@@ -135,31 +135,34 @@ def score_map(
     return df.withColumns(cols).drop("_toks", "_hits")
 
 
-def score_join(
-    df: DataFrame, lexicon: DataFrame, *, text_col: str = "cleaned_text", id_col: str, clean: bool = True
+def score(
+    df: DataFrame, lexicon: dict[str, float] | DataFrame | None = None, *, text_col: str = "cleaned_text", clean: bool = True
 ) -> DataFrame:
-    """Join plan for large lexicons: explode tokens with 3 predecessors, join, sum per id."""
-    df = df.withColumn("_toks", tokens(text_col, clean))
-    toks = F.col("_toks")
-    ctx = F.transform(
-        toks,
-        lambda t, i: F.struct(
-            t.alias("token"),
-            F.when(i >= 1, F.try_element_at(toks, i)).alias("p1"),
-            F.when(i >= 2, F.try_element_at(toks, i - 1)).alias("p2"),
-            F.when(i >= 3, F.try_element_at(toks, i - 2)).alias("p3"),
-        ),
-    )
-    exploded = df.select(id_col, F.explode(ctx).alias("x")).select(id_col, "x.*")
-    hits = exploded.join(lexicon, "token", "inner")
-    per_id = hits.groupBy(id_col).agg(
+    """C1 + C2: ``vader_compound`` and ``textblob_sentiment`` of every row.
+
+    Scores belong to texts, so rows need no unique id: equal texts are tokenised once
+    and share their sums (a text that a third of the rows repeat is one text).
+    """
+    if lexicon is None or isinstance(lexicon, dict):
+        lexicon = lexicon_frame(df.sparkSession, lexicon)
+    valences = lexicon.groupBy("token").agg(F.avg(F.col("valence").cast("double")).alias("valence"))
+    keyed = df.withColumn("_key", F.md5(F.col(text_col)))
+    texts = keyed.select("_key", text_col).filter(F.col("_key").isNotNull()).dropDuplicates(["_key"])
+    texts = texts.select("_key", tokens(text_col, clean).alias("_toks"))
+
+    def before(i, j):
+        return F.when(i >= j, F.try_element_at("_toks", i - j + 1))
+
+    placed = F.transform("_toks", lambda t, i: F.struct(t.alias("token"), *[before(i, j).alias(f"p{j}") for j in (1, 2, 3)]))
+    hits = texts.select("_key", F.inline(placed)).join(valences, "token")
+    sums = hits.groupBy("_key").agg(
         F.sum(_adjusted(F.col("valence"), F.col("p1"), F.col("p2"), F.col("p3"))).alias("_s"),
         F.sum(_polarity(F.col("valence"))).alias("_p"),
         F.count(F.lit(1)).alias("_n"),
     )
-    out = df.drop("_toks").join(per_id, id_col, "left")
-    cols = _scores_from(F.coalesce(F.col("_s"), F.lit(0.0)), F.coalesce(F.col("_p"), F.lit(0.0)), F.coalesce(F.col("_n"), F.lit(0)))
-    return out.withColumns(cols).drop("_s", "_p", "_n")
+    zero = {c: F.coalesce(F.col(c), F.lit(0.0)) for c in ("_s", "_p", "_n")}
+    cols = _scores_from(zero["_s"], zero["_p"], zero["_n"])
+    return keyed.join(sums, "_key", "left").withColumns(cols).drop("_key", "_s", "_p", "_n")
 
 
 def label(score: Column, threshold: float = 0.1, inclusive: bool = False) -> Column:
@@ -170,37 +173,14 @@ def label(score: Column, threshold: float = 0.1, inclusive: bool = False) -> Col
 
 
 def analyze(
-    df: DataFrame,
-    *,
-    text_col: str = "cleaned_text",
-    lexicon: dict[str, float] | DataFrame | None = None,
-    id_col: str | None = None,
-    max_map_entries: int = 50_000,
-    clean: bool = False,
+    df: DataFrame, *, text_col: str = "cleaned_text", lexicon: dict[str, float] | DataFrame | None = None, clean: bool = False
 ) -> DataFrame:
     """Compound, polarity, blended ``sentiment_score``, label and intensity.
 
     The input is the cleaned text by default (as in the processing job);
     ``clean=True`` cleans it first."""
-    spark = df.sparkSession
-    if lexicon is None or isinstance(lexicon, dict):
-        lex_dict = dict(lexicon or DEFAULT_LEXICON)
-        lex_df = None
-    else:
-        lex_df = lexicon.select("token", F.col("valence").cast("double"))
-        # Size gate: only a lexicon of proven small size is brought to the driver.
-        small = lex_df.limit(max_map_entries + 1).count() <= max_map_entries
-        lex_dict = {r["token"]: r["valence"] for r in lex_df.collect()} if small else None
-    if lex_dict is not None and len(lex_dict) <= max_map_entries:
-        scored = score_map(df, lex_dict, text_col=text_col, clean=clean)
-    else:
-        if id_col is None:
-            raise ValueError("a lexicon above max_map_entries needs id_col for the join plan")
-        scored = score_join(
-            df, lex_df if lex_df is not None else lexicon_frame(spark, lex_dict), text_col=text_col, id_col=id_col, clean=clean
-        )
-    score = (F.col("vader_compound") + F.col("textblob_sentiment")) / 2.0
-    return scored.withColumn("sentiment_score", score).withColumns(
+    blend = (F.col("vader_compound") + F.col("textblob_sentiment")) / 2.0
+    return score(df, lexicon, text_col=text_col, clean=clean).withColumn("sentiment_score", blend).withColumns(
         {
             "sentiment_label": label(F.col("sentiment_score"), *REVIEW_THRESHOLDS),
             "sentiment_intensity": F.abs(F.col("sentiment_score")),

@@ -6,18 +6,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from glossa.functions import text as T
-from glossa.functions.numeric import safe_div, stable_avg, stable_sum, top_k
-
-STABLE = 1_000_000.0
-
-
-def _q(c) -> F.Column:
-    """Quantised value (1e-6 units) so that sums are exact and order-independent."""
-    return (F.rint(F.col(c) * F.lit(STABLE)) if isinstance(c, str) else F.rint(c * F.lit(STABLE))).cast("long")
+from glossa.functions.numeric import exact_sum, safe_div, stable_avg, stable_sum, top_k
 
 
 def daily_reviews(
@@ -38,7 +31,7 @@ def daily_reviews(
 def daily_social(social: DataFrame, *, keys: Sequence[str] = ("date", "platform")) -> DataFrame:
     """F13 / F16 (keys=('date',)): summed mentions and engagement per key."""
     return (
-        social.filter(F.col("date").isNotNull())
+        social.dropna(subset=["date", *keys])  # null keys are no group
         .groupBy(F.to_date("date").alias("date"), *[k for k in keys if k != "date"])
         .agg(F.sum("mention_volume").alias("mention_volume"), stable_sum("engagement").alias("engagement"))
     )
@@ -46,7 +39,7 @@ def daily_social(social: DataFrame, *, keys: Sequence[str] = ("date", "platform"
 
 def platform_metrics(social: DataFrame) -> DataFrame:
     """sum and mean of mentions and engagement per platform, rounded to 0 (half-even)."""
-    return social.groupBy("platform").agg(
+    return social.dropna(subset=["platform"]).groupBy("platform").agg(
         F.rint(F.sum("mention_volume")).alias("total_mentions"),
         F.rint(F.avg("mention_volume")).alias("avg_mentions"),
         F.rint(F.sum("engagement")).alias("total_engagement"),
@@ -72,20 +65,21 @@ def hashtag_means(social: DataFrame) -> DataFrame:
 def social_kpis(social: DataFrame) -> DataFrame:
     """total mentions, total engagement, mean of the daily mention sums, top platform.
 
-    Daily sums are a second aggregation level (two shuffles of pre-aggregated
-    rows); the top platform is a top-1 over per-platform sums. Both are scalar
-    subqueries of the one-row result.
+    One pass over the rows makes a (day, platform) table, two rows at most for each calendar
+    day and platform; days, platforms and totals are rolled up from it by grouping sets.
+    Rows without a date or platform count in the totals only.
     """
-    per_day = daily_social(social, keys=("date",))
-    per_platform = social.groupBy("platform").agg(F.sum("mention_volume").alias("m"))
-    top_platform = top_k(per_platform, 1, [F.col("m").desc(), F.col("platform").asc()]).select("platform")
-    return social.agg(
-        F.sum("mention_volume").alias("total_mentions"),
-        F.sum("engagement").alias("total_engagement"),
-    ).select(
-        "*",
-        per_day.select(F.avg("mention_volume")).scalar().alias("avg_daily_mentions"),
-        top_platform.scalar().alias("top_platform"),
+    cells = social.groupBy(F.to_date("date").alias("date"), "platform").agg(F.sum("mention_volume").alias("m"), exact_sum("engagement").alias("e"))
+    sets = cells.withColumn("level", F.explode(F.array(F.lit("all"), F.lit("day"), F.lit("platform"))))
+    key = F.when(F.col("level") == "day", F.col("date").cast("string")).when(F.col("level") == "platform", F.col("platform"))
+    rolled = sets.withColumn("key", key).groupBy("level", "key").agg(F.sum("m").alias("m"), F.sum("e").alias("e"))
+    first = F.struct(-F.col("m"), F.col("key"))
+    at = lambda level: (F.col("level") == level) & (F.col("key").isNotNull() if level != "all" else F.lit(True))
+    return rolled.agg(
+        F.max(F.when(at("all"), F.col("m"))).alias("total_mentions"),
+        F.max(F.when(at("all"), F.col("e"))).cast("double").alias("total_engagement"),
+        F.avg(F.when(at("day"), F.col("m"))).alias("avg_daily_mentions"),
+        F.min(F.when(at("platform"), first))["key"].alias("top_platform"),
     )
 
 
@@ -104,7 +98,7 @@ def tweet_kpis(tweets: DataFrame) -> DataFrame:
 
 def tweets_by_day_label(tweets: DataFrame) -> DataFrame:
     """tweets per (day, sentiment label)."""
-    return tweets.groupBy(F.to_date("created_at").alias("date"), "sentiment_label").agg(F.count(F.lit(1)).alias("n"))
+    return tweets.dropna(subset=["created_at", "sentiment_label"]).groupBy(F.to_date("created_at").alias("date"), "sentiment_label").agg(F.count(F.lit(1)).alias("n"))
 
 
 def hashtag_frequency(df: DataFrame, *, list_col: str = "hashtags", k: int = 10) -> DataFrame:
@@ -119,9 +113,14 @@ def hashtag_frequency(df: DataFrame, *, list_col: str = "hashtags", k: int = 10)
 
 def hashtag_engagement_top(social: DataFrame, *, k: int = 10) -> DataFrame:
     """summed engagement per hashtag, top ``k``, with the number of distinct hashtags."""
-    sums = social.filter(F.col("hashtag").isNotNull()).groupBy("hashtag").agg(F.sum("engagement").alias("engagement"))
-    n_distinct = social.select(F.countDistinct("hashtag")).scalar()
-    return top_k(sums, k, [F.col("engagement").desc(), F.col("hashtag").asc()]).withColumn("n_hashtags", n_distinct)
+    sums = social.filter(F.col("hashtag").isNotNull()).groupBy("hashtag").agg(stable_sum("engagement").alias("engagement"))
+    # The number of hashtags is a totals row of the same aggregate, so the rows are read once.
+    marked = sums.withColumn("_total", F.explode(F.array(F.lit(False), F.lit(True))))
+    key = F.when(~F.col("_total"), F.col("hashtag"))
+    both = marked.groupBy("_total", key.alias("hashtag")).agg(F.sum("engagement").alias("engagement"), F.count(F.lit(1)).alias("n"))
+    top = top_k(both, k + 1, [F.col("_total").desc(), F.col("engagement").desc(), F.col("hashtag").asc()])
+    n_hashtags = F.max(F.when(F.col("_total"), F.col("n"))).over(Window.partitionBy())  # k + 1 rows
+    return top.withColumn("n_hashtags", n_hashtags).where(~F.col("_total")).select("hashtag", "engagement", "n_hashtags")
 
 
 def featured(tweets: DataFrame, *, k: int = 5) -> DataFrame:
@@ -132,6 +131,7 @@ def featured(tweets: DataFrame, *, k: int = 5) -> DataFrame:
 
 def rollup_from_tweets(tweets: DataFrame) -> DataFrame:
     """social day rows from tweet rows (each tweet one mention)."""
+    tweets = tweets.dropna(subset=["created_at", "hashtag", "platform"])
     return tweets.groupBy(F.to_date("created_at").alias("date"), "hashtag", "platform").agg(
         F.count(F.lit(1)).alias("mention_volume"), F.sum("engagement").alias("engagement")
     )
@@ -198,7 +198,7 @@ def hashtag_impact(
     The keyword side is a top-k (``k`` rows, a proven bound), broadcast into a
     non-equi join, so every review is tested against k keywords in one pass and
     only matching pairs are emitted. "Without" means come from totals minus
-    matched sums; sentiment sums use exact fixed-point units.
+    matched sums; sentiment sums are exact decimals.
     """
     top = top_k(hashtag_means(social), k, [F.col("engagement").desc(), F.col("hashtag").asc()])
     keywords = top.select("hashtag", T.normalize_hashtag("hashtag").alias("keyword"))
@@ -208,7 +208,7 @@ def hashtag_impact(
         F.count(F.lit(1)).alias("reviews_with_keyword"),
         F.sum("rating").alias("_rs"),
         F.count("rating").alias("_rc"),
-        F.sum(_q("sentiment_score")).alias("_ss"),
+        exact_sum("sentiment_score").alias("_ss"),
         F.count("sentiment_score").alias("_sc"),
     )
     # All four totals in one scalar subquery (one extra pass over the reviews).
@@ -216,7 +216,7 @@ def hashtag_impact(
         F.struct(
             F.sum("rating").alias("rs"),
             F.count("rating").alias("rc"),
-            F.sum(_q("sentiment_score")).alias("ss"),
+            exact_sum("sentiment_score").alias("ss"),
             F.count("sentiment_score").alias("sc"),
         )
     ).scalar()
@@ -225,9 +225,9 @@ def hashtag_impact(
         "hashtag",
         "reviews_with_keyword",
         safe_div(F.col("_rs"), F.col("_rc")).alias("avg_rating_with_keyword"),
-        (safe_div(F.col("_ss"), F.col("_sc")) / STABLE).alias("avg_sentiment_with_keyword"),
+        safe_div(F.col("_ss").cast("double"), F.col("_sc")).alias("avg_sentiment_with_keyword"),
         safe_div(rs - F.col("_rs"), rc - F.col("_rc")).alias("avg_rating_without_keyword"),
-        (safe_div(ss - F.col("_ss"), sc - F.col("_sc")) / STABLE).alias("avg_sentiment_without_keyword"),
+        safe_div((ss - F.col("_ss")).cast("double"), sc - F.col("_sc")).alias("avg_sentiment_without_keyword"),
     )
     return out.withColumns(
         {

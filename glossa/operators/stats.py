@@ -4,8 +4,7 @@ one-way ANOVA, Welch t-test, OLS (J1–J14, K9).
 Group statistics are computed from moments in one aggregation; ranks (for
 Spearman) use windows partitioned by the group on *daily panels* whose size is
 bounded by the calendar. Review-level Spearman matrices rank from per-value
-counts (see ``spearman_matrix``), with ``pyspark.ml.stat.Correlation`` as the
-fallback for columns with very many distinct values.
+counts (see ``spearman_matrix``).
 p-values come from U1 on the aggregated rows only.
 """
 
@@ -13,12 +12,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from glossa.functions.numeric import average_rank, safe_corr, safe_div, top_k
 from glossa.functions.pvalues import corr_pvalue, f_pvalue, t_pvalue
-from glossa.session import spread
 
 # The correlated pairs (review metric, social metric).
 PAIRS = (
@@ -146,71 +144,60 @@ def lag_correlations(
     return corr.select("platform", "lag", "n", "spearman_r").withColumn("is_best", F.row_number().over(best) == 1)
 
 
-def spearman_matrix(df: DataFrame, cols: Sequence[str], *, max_rank_values: int = 1_000_000) -> DataFrame:
+def _bin(v: Column) -> Column:
+    """A step function of a double that never falls: 4096 steps in each power of two.
+
+    Bins spread the distinct values of a column over tasks whatever its range.
+    """
+    size = F.abs(v)
+    power = F.greatest(F.lit(-1000.0), F.floor(F.log2(F.when(size > 0, size))).cast("double"))
+    step = (power + 1100) * 4096 + F.floor(size / F.pow(F.lit(2.0), power) * 4096) - 4096
+    return F.when(size > 0, F.signum(v) * step).otherwise(F.lit(0.0))
+
+
+def value_ranks(counts: DataFrame) -> DataFrame:
+    """Average rank of every value from its number of rows: ``_col, _v, _c`` → ``_col, _v, _r``.
+
+    Ranks are prefix sums over the distinct values, in two levels: bins first, then the values of a bin. So
+    no task holds all the distinct values of a column. Ranks are centred on (n + 1) / 2, so their
+    squares stay small enough for sums over very many rows.
+    """
+    binned = counts.withColumn("_b", _bin(F.col("_v")))
+    bins = binned.groupBy("_col", "_b").agg(F.sum("_c").alias("_t"))
+    below = Window.partitionBy("_col").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    all_bins = Window.partitionBy("_col")
+    bins = bins.select("_col", "_b", F.coalesce(F.sum("_t").over(below), F.lit(0)).alias("_below"), F.sum("_t").over(all_bins).alias("_n"))
+    inside = Window.partitionBy("_col", "_b").orderBy("_v").rowsBetween(Window.unboundedPreceding, -1)
+    placed = binned.withColumn("_in", F.coalesce(F.sum("_c").over(inside), F.lit(0))).join(bins, ["_col", "_b"])
+    return placed.select("_col", "_v", (F.col("_below") + F.col("_in") + (F.col("_c") + 1) / 2.0 - (F.col("_n") + 1) / 2.0).alias("_r"))
+
+
+def spearman_matrix(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Spearman matrix as long pairs ``(var_x, var_y, spearman_r)``, i < j,
-    over rows complete in every column (pandas would drop pairwise).
-
-    Plan: the rows are stacked into ``(column, value)`` and counted per value
-    (a value held by a third of all rows becomes one row: partial aggregation
-    absorbs it before the shuffle); the average rank of a value is the count of
-    rows below it + (ties + 1) / 2, from a running sum over the *distinct values*
-    of each column. The rank tables are joined back on the value and all
-    pairwise Pearson correlations of the ranks come from a single aggregation. The rank tables are broadcast only when their size is
-    known to be small (an approximate distinct count below ``max_rank_values``);
-    a column with more distinct values than that is ranked by
-    ``pyspark.ml.stat.Correlation`` (a distributed sort) instead.
+    over rows complete in every column (pandas would drop pairwise). NULL for a constant column.
+
+    One plan for every size, and nothing runs while it is built: the rows are stacked into ``(column, value)``
+    and counted per value (a value held by a third of all rows becomes one row before the shuffle);
+    values are ranked by prefix sums (``value_ranks``) and the ranks joined back by value
+    without a hint. Ranks are centred, so the sums of their products are the covariances times n.
     """
     cols = list(cols)
-    # Numeric columns only; inputs with fewer splits than cores are spread first
-    # (no-op for large, many-split inputs).
-    complete = spread(df.select(*[F.col(c).cast("double").alias(c) for c in cols]).dropna())
-    n_distinct = complete.agg(*[F.approx_count_distinct(c).alias(c) for c in cols]).collect()[0].asDict()
-    if any(v > max_rank_values for v in n_distinct.values()):
-        return _spearman_matrix_ml(complete, cols)
-    # All columns' value counts in one pass: stack (column, value), count, rank per column.
+    complete = df.select(*[F.col(c).cast("double").alias(c) for c in cols]).dropna()
     stacked = complete.select(F.inline(F.array(*[F.struct(F.lit(c).alias("_col"), F.col(c).alias("_v")) for c in cols])))
-    counts = stacked.groupBy("_col", "_v").agg(F.count(F.lit(1)).alias("_c"))
-    w = Window.partitionBy("_col").orderBy("_v").rowsBetween(Window.unboundedPreceding, -1)
-    ranks = counts.select("_col", "_v", (F.coalesce(F.sum("_c").over(w), F.lit(0)) + (F.col("_c") + 1) / 2.0).alias("_r"))
+    ranks = value_ranks(stacked.groupBy("_col", "_v").agg(F.count(F.lit(1)).alias("_c")))
     ranked = complete
-    for c in cols:
-        table = ranks.filter(F.col("_col") == c).select(F.col("_v").alias(c), F.col("_r").alias(f"_r_{c}"))
-        ranked = ranked.join(F.broadcast(table), c, "inner")
-    pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i + 1 :]]
-    # Plain power sums (k + k + k(k-1)/2 + 1 SUMs: small, codegen-friendly buffers)
-    # instead of k(k-1)/2 covariance/stddev aggregates; ranks are half-integers, so
-    # the products are exact and the sums exact up to 2^53.
-    r = {c: F.col(f"_r_{c}") for c in cols}
-    sums = [F.count(F.lit(1)).alias("_n")]
-    sums += [F.sum(r[c]).alias(f"_s_{i}") for i, c in enumerate(cols)]
-    sums += [F.sum(r[c] * r[c]).alias(f"_q_{i}") for i, c in enumerate(cols)]
-    idx = {c: i for i, c in enumerate(cols)}
-    sums += [F.sum(r[a] * r[b]).alias(f"_p_{idx[a]}_{idx[b]}") for a, b in pairs]
-    agg = ranked.agg(*sums)
-    n = F.col("_n").cast("double")
-
-    def centered(i, j=None):
-        if j is None:
-            return F.col(f"_q_{i}") - F.col(f"_s_{i}") * F.col(f"_s_{i}") / n
-        return F.col(f"_p_{i}_{j}") - F.col(f"_s_{i}") * F.col(f"_s_{j}") / n
-
-    def corr(a, b):
-        i, j = idx[a], idx[b]
-        den = F.sqrt(centered(i) * centered(j))
-        return F.when(den > 0, centered(i, j) / den)
-
-    arr = F.array(*[F.struct(F.lit(a).alias("var_x"), F.lit(b).alias("var_y"), corr(a, b).alias("spearman_r")) for a, b in pairs])
-    return agg.select(F.inline(arr))
-
-
-def _spearman_matrix_ml(complete: DataFrame, cols: list[str]) -> DataFrame:
-    from pyspark.ml.feature import VectorAssembler
-    from pyspark.ml.stat import Correlation
-
-    vec = VectorAssembler(inputCols=cols, outputCol="_v").transform(complete)
-    m = Correlation.corr(vec, "_v", "spearman").head()[0].toArray()
-    rows = [(cols[i], cols[j], float(m[i, j])) for i in range(len(cols)) for j in range(i + 1, len(cols))]
-    return complete.sparkSession.createDataFrame(rows, "var_x string, var_y string, spearman_r double")
+    for i, c in enumerate(cols):
+        table = ranks.filter(F.col("_col") == c).select(F.col("_v").alias(c), F.col("_r").alias(f"_r_{i}"))
+        ranked = ranked.join(table, c, "inner")
+    pairs = [(i, j) for i in range(len(cols)) for j in range(i, len(cols))]
+    sums = ranked.agg(*[F.sum(F.col(f"_r_{i}") * F.col(f"_r_{j}")).alias(f"_p_{i}_{j}") for i, j in pairs])
+
+    def corr(i: int, j: int) -> Column:
+        den = F.sqrt(F.col(f"_p_{i}_{i}") * F.col(f"_p_{j}_{j}"))
+        return F.when(den > 0, F.col(f"_p_{i}_{j}") / den)
+
+    rows = [F.struct(F.lit(cols[i]).alias("var_x"), F.lit(cols[j]).alias("var_y"), corr(i, j).alias("spearman_r")) for i, j in pairs if i < j]
+    return sums.select(F.inline(F.array(*rows)))
 
 
 def top_pairs(pairs: DataFrame, *, k: int = 10) -> DataFrame:
@@ -218,17 +205,19 @@ def top_pairs(pairs: DataFrame, *, k: int = 10) -> DataFrame:
     return top_k(pairs, k, [F.abs(F.col("spearman_r")).desc(), F.col("var_x").asc(), F.col("var_y").asc()])
 
 
-def one_way_anova(df: DataFrame, *, group_col: str, value_col: str = "rating", with_p: bool = False) -> DataFrame:
-    """J10 / J11 core: F from group moments (n, mean, variance) — one pass over the
-    data, then a fold over the group table: SSB = sum n_i (m_i - m)^2,
-    SSW = sum (n_i - 1) s_i^2 (per-group central moments: numerically stable).
+def group_moments(df: DataFrame, group_col: str, value_col: str) -> DataFrame:
+    """Per non-null group: rows, and count, mean and variance of the value — one pass over the data."""
+    return df.filter(F.col(group_col).isNotNull()).groupBy(group_col).agg(
+        F.count(F.lit(1)).alias("rows"), F.count(value_col).alias("n"), F.avg(value_col).alias("m"), F.var_samp(value_col).alias("v")
+    )
+
 
-    The grand mean is a window over the *group* table (one row per group, a
-    small dimension), so the whole test is a single job without subqueries.
+def anova_of(moments: DataFrame, *, with_p: bool = False) -> DataFrame:
+    """F of a table of group moments: SSB = sum n_i (m_i - m)^2, SSW = sum (n_i - 1) s_i^2
+    (central moments: numerically stable). The grand mean is a window over the group
+    table, one row per group, so the data are read once.
     """
-    g = df.filter(F.col(value_col).isNotNull()).groupBy(group_col).agg(
-        F.count(value_col).alias("n"), F.avg(value_col).alias("m"), F.var_samp(value_col).alias("v")
-    )
+    g = moments.filter(F.col("n") > 0)
     all_groups = Window.partitionBy()
     grand = F.sum(F.col("n") * F.col("m")).over(all_groups) / F.sum("n").over(all_groups)
     tot = g.withColumn("grand", grand).agg(
@@ -242,19 +231,22 @@ def one_way_anova(df: DataFrame, *, group_col: str, value_col: str = "rating", w
         F.col("n_total"),
         (F.col("k") - 1).alias("df_between"),
         (F.col("n_total") - F.col("k")).alias("df_within"),
-        safe_div(F.col("ssb") / (F.col("k") - 1), F.col("ssw") / (F.col("n_total") - F.col("k"))).alias("f_stat"),
+        safe_div(safe_div(F.col("ssb"), F.col("k") - 1), safe_div(F.col("ssw"), F.col("n_total") - F.col("k"))).alias("f_stat"),
     )
     if with_p:
         out = out.withColumn("p_value", f_pvalue(F.col("f_stat"), F.col("df_between").cast("double"), F.col("df_within").cast("double")))
     return out
 
 
+def one_way_anova(df: DataFrame, *, group_col: str, value_col: str = "rating", with_p: bool = False) -> DataFrame:
+    """J10 / J11 core: F over all groups."""
+    return anova_of(group_moments(df, group_col, value_col), with_p=with_p)
+
+
 def anova_top_groups(df: DataFrame, *, group_col: str = "brand_name", value_col: str = "rating", k: int = 5, with_p: bool = False) -> DataFrame:
-    """ANOVA over the ``k`` largest groups (H7 top-k, then a semi-join)."""
-    counts = df.filter(F.col(group_col).isNotNull()).groupBy(group_col).agg(F.count(F.lit(1)).alias("_n"))
-    top = top_k(counts, k, [F.col("_n").desc(), F.col(group_col).asc()]).select(group_col)
-    sub = df.join(F.broadcast(top), group_col, "left_semi")  # k rows: a proven bound
-    return one_way_anova(sub, group_col=group_col, value_col=value_col, with_p=with_p)
+    """ANOVA over the ``k`` largest groups: H7 top-k of the group table, so the data are read once."""
+    moments = group_moments(df, group_col, value_col)
+    return anova_of(top_k(moments, k, [F.col("rows").desc(), F.col(group_col).asc()]), with_p=with_p)
 
 
 def anova_first_groups(
@@ -262,10 +254,8 @@ def anova_first_groups(
 ) -> DataFrame:
     """ANOVA over the first ``k`` groups (by name — Spark has no row order),
     keeping groups with at least ``min_rows`` rows; empty unless ``min_groups`` remain."""
-    names = df.filter(F.col(group_col).isNotNull()).groupBy(group_col).agg(F.count(value_col).alias("_n"))
-    first = top_k(names, k, [F.col(group_col).asc()]).filter(F.col("_n") >= min_rows).select(group_col)
-    sub = df.join(F.broadcast(first), group_col, "left_semi")
-    return one_way_anova(sub, group_col=group_col, value_col=value_col, with_p=with_p).filter(F.col("n_groups") >= min_groups)
+    first = top_k(group_moments(df, group_col, value_col), k, [F.col(group_col).asc()]).filter(F.col("n") >= min_rows)
+    return anova_of(first, with_p=with_p).filter(F.col("n_groups") >= min_groups)
 
 
 def welch_ttest(

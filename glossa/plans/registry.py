@@ -46,6 +46,7 @@ def oracle_of(name: str) -> str:
 def all_queries() -> dict[str, Query]:
     # Import the plan modules for their registration side effect.
     from glossa.plans import (  # noqa: F401
+        dirty_plans,
         marts_plans,
         ml_plans,
         quality_plans,
@@ -74,9 +75,9 @@ def r9(expr: str) -> str:
 
 def savg(expr: str) -> str:
     """DuckDB spelling of ``stable_avg``."""
-    return f"(sum(CAST(round_even(({expr}) * 1000000.0, 0) AS BIGINT)) / count({expr}) / 1000000.0)"
+    return f"(CAST(sum(CAST({expr} AS DECIMAL(38,12))) AS DOUBLE) / count({expr}))"
 
 
 def ssum(expr: str) -> str:
     """DuckDB spelling of ``stable_sum``."""
-    return f"(sum(CAST(round_even(({expr}) * 1000000.0, 0) AS BIGINT)) / 1000000.0)"
+    return f"CAST(sum(CAST({expr} AS DECIMAL(38,12))) AS DOUBLE)"

@@ -178,7 +178,7 @@ def hashtag_frequency(spark, sf_dir):
     "hashtag_engagement_top",
     covers="F41",
     oracle=with_views(
-        f"""SELECT hashtag, {q9('sum(engagement)')} AS engagement,
+        f"""SELECT hashtag, {q9(ssum('engagement'))} AS engagement,
        (SELECT count(DISTINCT hashtag) FROM social_words_v) AS n_hashtags
 FROM social_words_v WHERE hashtag IS NOT NULL GROUP BY hashtag ORDER BY sum(engagement) DESC, hashtag LIMIT 10""",
         "social_words_v",

@@ -147,21 +147,27 @@ def spearman_matrix(spark, sf_dir):
 ALL_NUMERIC = ("order_id", "line_no", "user_id", "product_id", "rating", "sentiment_score")
 
 
+ALL_PAIRS_SQL = _matrix_sql(ALL_NUMERIC, "SELECT * FROM reviews_v").replace("WITH t AS", "WITH t0 AS", 1).replace("FROM t WHERE", "FROM t0 WHERE")
+
+
+def _all_pairs(spark, sf_dir):
+    r = view(spark, sf_dir, "reviews_v")
+    numeric = [f.name for f in r.schema.fields if f.dataType.typeName() in ("integer", "long", "double")]
+    return stats.spearman_matrix(r, numeric).withColumn("spearman_r", r9("spearman_r"))
+
+
+@register("spearman_pairs", covers="J9", oracle=with_views(ALL_PAIRS_SQL, "reviews_v"))
+def spearman_pairs(spark, sf_dir):
+    return _all_pairs(spark, sf_dir)
+
+
 @register(
     "spearman_all_pairs",
     covers="J9 H6",
-    oracle=with_views(
-        "WITH m AS ("
-        + _matrix_sql(ALL_NUMERIC, "SELECT * FROM reviews_v").replace("WITH t AS", "WITH t0 AS", 1).replace("FROM t WHERE", "FROM t0 WHERE")
-        + ") SELECT * FROM m ORDER BY abs(spearman_r) DESC, var_x, var_y LIMIT 10",
-        "reviews_v",
-    ),
+    oracle=with_views(f"WITH m AS ({ALL_PAIRS_SQL}) SELECT * FROM m ORDER BY abs(spearman_r) DESC, var_x, var_y LIMIT 10", "reviews_v"),
 )
 def spearman_all_pairs(spark, sf_dir):
-    r = view(spark, sf_dir, "reviews_v")
-    numeric = [f.name for f in r.schema.fields if f.dataType.typeName() in ("integer", "long", "double")]
-    pairs = stats.spearman_matrix(r, numeric).withColumn("spearman_r", r9("spearman_r"))
-    return stats.top_pairs(pairs, k=10)
+    return stats.top_pairs(_all_pairs(spark, sf_dir), k=10)
 
 
 def _anova_sql(sub_sql: str, group: str) -> str:

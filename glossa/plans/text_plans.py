@@ -61,9 +61,9 @@ def _sql_in(c: str, words) -> str:
     return f"coalesce({c} IN (" + ", ".join(f"'{w}'" for w in words) + "), false)"
 
 
-def sql_sentiment_ctes(source: str, id_cols: str, text_col: str) -> str:
+def sql_sentiment_ctes(source: str, id_cols: str, text_col: str, lexicon: str | None = None) -> str:
     """CTEs computing ``vader_compound`` / ``textblob_sentiment`` per row of ``source``."""
-    lex = ", ".join(f"('{k}', {v})" for k, v in sorted(S.DEFAULT_LEXICON.items()))
+    lex = lexicon or "VALUES " + ", ".join(f"('{k}', {v})" for k, v in sorted(S.DEFAULT_LEXICON.items()))
     ids = [c.strip() for c in id_cols.split(",")]
     id_eq = " AND ".join(f"s.{c} = src.{c}" for c in ids)
     boost = " + ".join(
@@ -77,7 +77,7 @@ tok AS (SELECT {id_cols}, CASE WHEN lower(_c) = '' THEN []::VARCHAR[] ELSE strin
 ex AS (SELECT {id_cols}, unnest(toks) AS t, unnest(generate_series(1, len(toks))) AS pos FROM tok),
 ctx AS (SELECT {id_cols}, t, lag(t, 1) OVER w AS p1, lag(t, 2) OVER w AS p2, lag(t, 3) OVER w AS p3
         FROM ex WINDOW w AS (PARTITION BY {id_cols} ORDER BY pos)),
-lex(token, valence) AS (VALUES {lex}),
+lex(token, valence) AS ({lex}),
 hit AS (SELECT ctx.*, lex.valence AS v FROM ctx JOIN lex ON lex.token = ctx.t),
 adj AS (SELECT {id_cols}, v, (v + sign(v) * ({boost})) * CASE WHEN {neg} THEN {S.NEGATION_SCALAR} ELSE 1.0 END AS a
         FROM hit),
@@ -245,19 +245,25 @@ def extract_hashtags(spark, sf_dir):
     )
 
 
-@register(
-    "lexicon_sentiment",
-    covers="C1 C2 C3 C4 C5",
-    oracle=f"""WITH {sql_sentiment_ctes('documents', 'doc_id', 'text')}
-SELECT doc_id, {q9('vader_compound')} AS vader_compound, {q9('textblob_sentiment')} AS textblob_sentiment,
+SENTIMENT_SELECT = f"""SELECT doc_id, {q9('vader_compound')} AS vader_compound, {q9('textblob_sentiment')} AS textblob_sentiment,
        {q9('(vader_compound + textblob_sentiment) / 2')} AS sentiment_score,
        CASE WHEN (vader_compound + textblob_sentiment) / 2 > 0.1 THEN 'positive'
             WHEN (vader_compound + textblob_sentiment) / 2 < -0.1 THEN 'negative' ELSE 'neutral' END AS sentiment_label,
        {q9('abs((vader_compound + textblob_sentiment) / 2)')} AS sentiment_intensity
-FROM scored""",
-)
+FROM scored"""
+
+# A lexicon of the corpus' own words, tens of thousands of them at scale: the valence follows from the word's length.
+WORD_LEXICON = """SELECT token, CAST(length(token) % 9 - 4 AS DOUBLE) AS valence
+FROM (SELECT DISTINCT unnest(string_split(lower({clean}), ' ')) AS token FROM documents) WHERE token <> ''"""
+
+
+@register("lexicon_sentiment", covers="C1 C2 C3 C4 C5", oracle=f"WITH {sql_sentiment_ctes('documents', 'doc_id', 'text')} {SENTIMENT_SELECT}")
 def lexicon_sentiment(spark, sf_dir):
-    s = S.analyze(cleaned_documents(spark, sf_dir), text_col="cleaned_text", id_col="doc_id")
+    return _sentiment(cleaned_documents(spark, sf_dir))
+
+
+def _sentiment(docs, lexicon=None):
+    s = S.analyze(docs, text_col="cleaned_text", lexicon=lexicon)
     return s.select(
         "doc_id",
         *[r9(c).alias(c) for c in ("vader_compound", "textblob_sentiment", "sentiment_score")],
@@ -266,6 +272,17 @@ def lexicon_sentiment(spark, sf_dir):
     )
 
 
+@register(
+    "lexicon_sentiment_large",
+    covers="C1 C2",
+    oracle=f"WITH {sql_sentiment_ctes('documents', 'doc_id', 'text', WORD_LEXICON.format(clean=sql_clean('text')))} {SENTIMENT_SELECT}",
+)
+def lexicon_sentiment_large(spark, sf_dir):
+    docs = cleaned_documents(spark, sf_dir)
+    words = docs.select(F.explode(S.tokens("cleaned_text", clean=False)).alias("token")).distinct()
+    return _sentiment(docs, words.withColumn("valence", (F.length("token") % 9 - 4).cast("double")))
+
+
 @register(
     "tweet_sentiment_label",
     covers="C6",
@@ -277,7 +294,7 @@ FROM scored""",
 )
 def tweet_sentiment_label(spark, sf_dir):
     conv = read_table(spark, sf_dir, "conversations")
-    scored = S.score_map(conv, text_col="text")
+    scored = S.score(conv, text_col="text")
     return S.tweet_labels(scored).select("conv_id", "turn", r9("vader_compound").alias("vader_compound"), "sentiment_label")
 
 

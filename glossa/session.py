@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -35,11 +36,14 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
     On a cluster the setting names a shared (HDFS/S3/...) folder and is used
-    as is. Only when it is unset (tests, local runs) a fresh scratch folder is
-    created under /tmp and registered on the session.
+    as is. Where it is unset, a session on one machine (tests, local runs) gets a fresh
+    scratch folder under /tmp; on a cluster, whose executors would not see it, that is an error.
     """
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
+        master = spark.conf.get("spark.master", "local")
+        if not re.match(r"local($|\[)", master):
+            raise RuntimeError(f"spark.checkpoint.dir must name a folder that all executors of {master} share")
         path = tempfile.mkdtemp(prefix="glossa-ckpt-")
         try:
             spark.conf.set("spark.checkpoint.dir", path)
@@ -66,7 +70,8 @@ def spread(df: DataFrame) -> DataFrame:
     row groups would run all its text work in a few tasks. Only then the rows
     are redistributed round-robin; a large table (many splits, the normal case
     on a cluster) is returned unchanged, without a shuffle. Planning the scan to
-    count its splits lists files but reads no data.
+    count its splits lists files but reads no data. Only for bare scans: counting the partitions
+    of a frame with joins would run their stages.
     """
     try:
         cores = df.sparkSession.sparkContext.defaultParallelism

@@ -79,7 +79,30 @@ SELECT conv_id, turn, text AS review_text,
 FROM {conversations}
 """
 
+# dirty_reviews_v: reviews with null keys, out-of-range values, unknown labels and unmatched products.
+DIRTY_REVIEWS_V = """
+SELECT l.l_orderkey AS order_id, l.l_linenumber AS line_no, o.o_custkey AS user_id,
+       CASE WHEN l.l_orderkey % 11 = 0 THEN NULL WHEN l.l_orderkey % 7 = 0 THEN -l.l_partkey ELSE l.l_partkey END AS product_id,
+       CASE WHEN l.l_orderkey % 13 = 0 THEN NULL ELSE CAST(1 + FLOOR((l.l_quantity - 1) / 7) AS DOUBLE) END AS rating,
+       CASE WHEN l.l_orderkey % 17 = 0 THEN NULL ELSE l.l_discount * 24 - 1.2 END AS sentiment_score,
+       CASE WHEN l.l_orderkey % 5 = 0 THEN NULL WHEN l.l_linenumber = 7 THEN 'mixed'
+            WHEN l.l_discount * 20 - 1 < -0.1 THEN 'negative' ELSE 'positive' END AS sentiment_label,
+       CASE WHEN l.l_orderkey % 19 = 0 THEN NULL ELSE CAST(l.l_shipdate AS DATE) END AS review_date
+FROM {lineitem} l JOIN {orders} o ON l.l_orderkey = o.o_orderkey
+"""
+
+# dirty_social_v: mentions whose date, platform or hashtag is missing now and then.
+DIRTY_SOCIAL_V = """
+SELECT CASE WHEN o_orderkey % 11 = 0 THEN NULL ELSE CAST(o_orderdate AS DATE) END AS date,
+       CASE WHEN o_orderkey % 7 = 0 THEN NULL ELSE o_orderpriority END AS platform,
+       CASE WHEN o_orderkey % 5 = 0 THEN NULL ELSE '#' || c_mktsegment END AS hashtag,
+       1 AS mention_volume, o_totalprice AS engagement
+FROM {orders} JOIN {customer} ON o_custkey = c_custkey
+"""
+
 VIEWS = {
+    "dirty_reviews_v": DIRTY_REVIEWS_V,
+    "dirty_social_v": DIRTY_SOCIAL_V,
     "reviews_v": REVIEWS_V,
     "social_v": SOCIAL_V,
     "tweets_v": TWEETS_V,
@@ -95,19 +118,9 @@ def table_path(sf_dir: str, name: str) -> str:
     return os.path.join(sf_dir, f"{name}.parquet")
 
 
-_READS: dict[tuple[int, str], tuple[SparkSession, DataFrame]] = {}
-
-
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Parquet scan of a test table. The (immutable, lazy) scan DataFrame is reused
-    per session so repeated query builds skip file listing and footer reads."""
-    path = table_path(sf_dir, name)
-    hit = _READS.get((id(spark), path))
-    if hit is not None and hit[0] is spark:
-        return hit[1]
-    df = spark.read.parquet(path)
-    _READS[(id(spark), path)] = (spark, df)
-    return df
+    """Parquet scan of a test table."""
+    return spark.read.parquet(table_path(sf_dir, name))
 
 
 def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -134,12 +134,22 @@ def test_map_and_join_plans_agree(spark):
     rows = [(1, "not bad at all, very good"), (2, "worst idea"), (3, "no words"), (4, "")]
     df = spark.createDataFrame(rows, "id long, t string")
     a = {r.id: r.vader_compound for r in sentiment.score_map(df, text_col="t").collect()}
-    b = {r.id: r.vader_compound for r in sentiment.score_join(df, sentiment.lexicon_frame(spark), text_col="t", id_col="id").collect()}
+    b = {r.id: r.vader_compound for r in sentiment.score(df, text_col="t").collect()}
     assert a.keys() == b.keys()
     for k in a:
         assert a[k] == pytest.approx(b[k], abs=1e-12)
 
 
+def test_sentiment_of_repeated_rows_and_odd_lexicons(spark):
+    df = spark.createDataFrame([(1, "good day"), (1, "good day"), (2, None), (None, "bad")], "id long, t string")
+    got = [(r.id, r.vader_compound) for r in sentiment.score(df, text_col="t").collect()]
+    assert len(got) == 4 and got.count((2, 0.0)) == 1 and len({v for k, v in got if k == 1}) == 1
+    assert all(r.vader_compound == 0 for r in sentiment.score(df, {}, text_col="t").collect())
+    twice = spark.createDataFrame([("good", 1.0), ("good", 3.0)], "token string, valence double")
+    one = {r.vader_compound for r in sentiment.score(df.where("id = 1"), twice, text_col="t").collect()}
+    assert one == {r.vader_compound for r in sentiment.score(df.where("id = 1"), {"good": 2.0}, text_col="t").collect()}
+
+
 def test_tweet_label_thresholds_inclusive(spark):
     df = spark.createDataFrame([(0.05,), (-0.05,), (0.049,)], "c double")
     got = [r.sentiment_label for r in sentiment.tweet_labels(df, compound_col="c").collect()]
@@ -434,3 +444,58 @@ def test_trend_forecast_and_regime(spark):
     r = timeseries.trend_regime(df).collect()[0]
     assert r.trend_direction == "increasing" and r.last_recent_avg == pytest.approx(27.0) and r.last_history_avg == pytest.approx(15.5)
     assert r.regime == "up"
+
+
+# ------------------------------------------------------------------ dirty rows and sizes
+
+def test_sums_beyond_64_bit_units_and_small_means(spark):
+    from glossa.functions.numeric import exact_sum, r3, stable_avg, stable_sum
+
+    df = spark.createDataFrame([(9.3e12,), (9.3e12,), (0.01,)], "x double")
+    assert df.agg(stable_sum("x")).first()[0] == 18600000000000.01
+    assert str(df.agg(exact_sum("x")).first()[0]) == "18600000000000.010000000000"
+    assert spark.createDataFrame([(0.0014999996,)], "x double").agg(r3(stable_avg("x"))).first()[0] == 0.001
+
+
+def test_few_reviews_cluster(spark):
+    from glossa.operators import ml
+
+    for n in (1, 2, 3):
+        rows = [(float(k), float(k) / 2, float(k), float(k)) for k in range(n)]
+        df = spark.createDataFrame(rows, "rating double, sentiment_score double, text_word_count double, text_length double")
+        out, info = ml.cluster_reviews(df, n_init=1)
+        assert out.count() == n and info["n_clusters"] <= n
+
+
+def test_checkpoint_folder_must_be_shared_on_a_cluster():
+    from glossa.session import ensure_checkpoint_dir
+
+    class Conf:
+        def get(self, key, default=None):
+            return {"spark.master": "yarn"}.get(key, default)
+
+    class Session:
+        conf = Conf()
+
+    with pytest.raises(RuntimeError):
+        ensure_checkpoint_dir(Session())
+
+
+def test_spearman_of_constant_wide_and_negative_columns(spark):
+    import numpy as np
+
+    rng = np.random.default_rng(2)
+    x = np.concatenate([rng.normal(size=200) * 10.0 ** rng.integers(-9, 9, 200), [0.0, 0.0, -1.0, 1.0]])
+    y = np.round(x + rng.normal(size=204), 1)
+    df = spark.createDataFrame([(float(a), float(b), 7.0) for a, b in zip(x, y)], "x double, y double, z double")
+    got = {(r.var_x, r.var_y): r.spearman_r for r in stats.spearman_matrix(df, ["x", "y", "z"]).collect()}
+    assert got["x", "y"] == pytest.approx(pd.Series(x).rank().corr(pd.Series(y).rank()), abs=1e-12)
+    assert got["x", "z"] is None and got["y", "z"] is None
+
+
+def test_offending_bounds_are_numbers(spark):
+    df = spark.createDataFrame([(10.0, 0.0, "positive", "a long text"), (9.0, 0.0, "positive", None), (-2.0, 0.0, None, "x")], "rating double, sentiment_score double, sentiment_label string, review_text string")
+    got = {(r.check, r.column): r.observed for r in quality.validation_checks(df).collect()}
+    assert got["rating_range", "rating"] == "3: -2.0..10.0"
+    listed = {(r.column, r.value): r.n for r in quality.validation_offenders(df).collect()}
+    assert listed == {("rating", "10.0"): 1, ("rating", "9.0"): 1, ("rating", "-2.0"): 1, ("sentiment_label", None): 1}

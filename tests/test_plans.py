@@ -50,12 +50,32 @@ def test_aggregates_are_partial_before_the_shuffle(static):
     assert plan.find("partial_", first_exchange) > first_exchange  # a partial agg sits below the exchange
 
 
-def test_sentiment_and_text_are_row_local(static):
-    for name in ("lexicon_sentiment", "clean_text", "text_features", "keyword_category", "extract_hashtags"):
+def test_text_work_is_row_local(static):
+    for name in ("clean_text", "text_features", "keyword_category", "extract_hashtags"):
         plan = plan_of(static, name)
         assert "Exchange hashpartitioning" not in plan and "SortMergeJoin" not in plan, name
 
 
+def test_sentiment_and_spearman_build_without_jobs(static):
+    from glossa.operators import sentiment, stats
+
+    tracker = static.sparkContext.statusTracker()
+    reviews = static.range(1000).selectExpr("id", "cast(id % 7 as double) AS x", "cast(id % 5 as double) AS y", "'good day' AS t")
+    static.sparkContext.setJobGroup("build", "building plans")
+    try:
+        sentiment.analyze(reviews, text_col="t", lexicon=reviews.selectExpr("t AS token", "x AS valence"))
+        stats.spearman_matrix(reviews, ["x", "y"])
+        assert list(tracker.getJobIdsForGroup("build")) == []
+    finally:
+        static.sparkContext.setJobGroup("", "")
+
+
+def test_one_scan_of_the_rows(static):
+    for name, table in (("anova_brand", "l_partkey"), ("anova_category", "l_partkey"), ("social_kpis", "o_orderdate"), ("hashtag_engagement_top", "l_extendedprice")):
+        plan = plan_of(static, name)
+        assert len(re.findall(rf"ReadSchema: struct<[^>]*{table}", plan)) == 1, name
+
+
 def test_only_bounded_sides_are_broadcast_by_hint(static):
     # hashtag impact: the keyword side is a top-10 (TakeOrderedAndProject) under the broadcast
     plan = plan_of(static, "hashtag_impact")
