@@ -17,8 +17,15 @@ from glossa.streaming import tweets as S
 def tweet_stream(spark, sf_dir):
     events_schema = spark.read.parquet(table_path(sf_dir, "events")).schema
     events = spark.readStream.schema(events_schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
-    # Event-time watermarks need TIMESTAMP (LTZ); the table stores TIMESTAMP_NTZ.
-    return spark.sql(TWEETS_V, events=events).withColumn("created_at", F.col("created_at").cast("timestamp"))
+    # Event-time watermarks need TIMESTAMP (LTZ); the table stores TIMESTAMP_NTZ. The wall clock is read as
+    # UTC, on whose days windows are aligned, whatever the session's zone.
+    utc = F.concat(F.col("created_at").cast("string"), F.lit("+00:00")).cast("timestamp")
+    return spark.sql(TWEETS_V, events=events).withColumn("created_at", utc)
+
+
+def wall_clock(instant: str):
+    """The UTC wall clock of an instant, as stored in the tables."""
+    return F.expr(f"convert_timezone('UTC', CAST({instant} AS TIMESTAMP_NTZ))").alias(instant)
 
 
 @register(
@@ -35,8 +42,23 @@ def tweet_stream_daily(spark, sf_dir):
     counts = S.daily_label_counts(tweets)
     cores = spark.sparkContext.defaultParallelism
     return S.run_to_table(counts, spark, "tweet_stream_daily", state_partitions=cores).select(
-        F.col("window_start").cast("timestamp_ntz").alias("window_start"),
-        F.col("window_end").cast("timestamp_ntz").alias("window_end"),
-        "sentiment_label",
-        "n",
+        wall_clock("window_start"), wall_clock("window_end"), "sentiment_label", "n"
     )
+
+
+def _counts_sql() -> str:
+    return """SELECT date_trunc('day', ts) AS window_start, date_trunc('day', ts) + INTERVAL 1 DAY AS window_end, count(*) AS n_total,
+       count(*) FILTER (WHERE event_type = 'error') AS n_negative
+FROM (SELECT DISTINCT ON (event_id) * FROM events) e GROUP BY ALL"""
+
+
+@register(
+    "negative_share_alerts",
+    covers="S3",
+    oracle=f"""SELECT *, n_negative / n_total AS negative_share, n_negative / n_total > 0.15 AS alert FROM ({_counts_sql()})""",
+)
+def negative_share_alerts(spark, sf_dir):
+    counts = tweet_stream_daily(spark, sf_dir)
+    # A threshold near the usual share of the table's error events, so that both answers occur.
+    alerts = S.negative_share_alerts(counts, threshold=0.15)
+    return alerts.withColumns({c: F.col(c).cast("long") for c in ("n_total", "n_negative")})

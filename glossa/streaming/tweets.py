@@ -130,10 +130,14 @@ def run_to_table(
 
 
 def alert_sink(alert_path: str):
-    """S3 sink: append the windows whose negative share crossed the threshold."""
+    """S3 sink: the windows whose negative share crossed the threshold, one folder for each epoch.
+
+    A replayed epoch replaces its own folder, so no alert is stored twice; the reader sees
+    ``epoch_id`` as a partition column.
+    """
 
     def write(batch: DataFrame, epoch_id: int) -> None:
-        alerts = negative_share_alerts(batch).filter("alert").withColumn("epoch_id", F.lit(epoch_id))
-        alerts.write.mode("append").parquet(alert_path)
+        alerts = negative_share_alerts(batch).filter("alert")
+        alerts.write.mode("overwrite").parquet(f"{alert_path}/epoch_id={epoch_id}")
 
     return write

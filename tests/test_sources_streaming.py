@@ -156,3 +156,25 @@ def test_stream_dedup_counts_and_alerts(spark, tmpdir_fresh):
     batch = counts.withColumn("sentiment_label", F.when(F.col("window_start").isNotNull(), "negative"))
     S.alert_sink(alert_path)(batch, 0)
     assert spark.read.parquet(alert_path).filter("alert").count() > 0
+
+
+def test_stream_days_and_alerts_in_any_zone(spark):
+    from glossa.plans.registry import all_queries
+    from scripts.check_oracle import compare, duck_connect
+
+    sf, zone = "/root/testdata/sf0.001", spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+        for name in ("tweet_stream_daily", "negative_share_alerts"):
+            status, *rest = compare(spark, duck_connect(sf), all_queries()[name], sf)
+            assert status == "OK", (name, rest)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+
+
+def test_replayed_alerts_are_stored_once(spark, tmpdir_fresh):
+    counts = spark.createDataFrame([("a", "b", "negative", 5), ("a", "b", "positive", 1)], "window_start string, window_end string, sentiment_label string, n long")
+    sink = S.alert_sink(os.path.join(tmpdir_fresh, "alerts"))
+    for epoch in (0, 0, 1):
+        sink(counts, epoch)
+    assert spark.read.parquet(os.path.join(tmpdir_fresh, "alerts")).count() == 2
