@@ -37,6 +37,44 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIG
 FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN item USING (doc_id)
 """
 
+OP3_SQL = r"""
+WITH l AS (
+  SELECT doc_id, text, unnest(string_split(text, chr(10))) AS line, unnest(range(len(string_split(text, chr(10))))) AS i FROM documents
+), k AS (
+  SELECT *, [CASE WHEN regexp_matches(x, '[0-9]') THEN '<*>' ELSE x END FOR x IN regexp_split_to_array(line, '[ \t\x0B\f\r]+') IF x <> ''] AS w FROM l
+), t AS (
+  SELECT doc_id, text, i, w, len(w) AS n, concat(len(w), ' ', array_to_string(w[1:3], ' ')) AS leaf, array_to_string(w, ' ') AS own FROM k WHERE len(w) > 0
+), kinds AS (
+  SELECT DISTINCT leaf, own, n, w FROM t
+  WHERE leaf IN (SELECT leaf FROM t GROUP BY leaf HAVING count(DISTINCT own) > 1 AND count(DISTINCT text) > 1)
+), tokens AS (SELECT leaf, own, n, unnest(range(n)) AS p, unnest(w) AS token FROM kinds),
+constant AS (
+  SELECT leaf, p, max({'c': c, 'token': token}).token AS token FROM (SELECT leaf, p, token, count(*) AS c FROM tokens GROUP BY ALL) GROUP BY leaf, p
+), general AS (
+  SELECT leaf, own FROM tokens JOIN constant USING (leaf, p) GROUP BY leaf, own, n
+  HAVING count(*) FILTER (WHERE tokens.token = constant.token) >= ceil(n * 0.8)
+), named AS (
+  SELECT t.*, CASE WHEN general.own IS NOT NULL THEN 'leaf ' || t.leaf ELSE 'own ' || t.own END AS template FROM t LEFT JOIN general USING (leaf, own)
+), owners AS (
+  SELECT template, arg_min(text, doc_id) AS owner
+  FROM (SELECT template, text, min(doc_id) AS doc_id, max(n) AS n FROM named GROUP BY template, text)
+  GROUP BY template HAVING count(*) > 1 AND count(*) * max(n) >= 40
+), lost AS (SELECT doc_id, i FROM named JOIN owners USING (template) WHERE text <> owner)
+SELECT doc_id, coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (WHERE lost.i IS NULL), '') AS text,
+  count(*) AS lines_in, count(lost.i) AS lines_lost
+FROM l LEFT JOIN lost USING (doc_id, i) GROUP BY doc_id
+"""
+
+OP5_SQL = """
+WITH RECURSIVE v AS (SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings),
+link AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e) AND list_cosine_similarity(a.e, b.e) >= 0.95
+), reach(a, b) AS (SELECT vec_id, vec_id FROM v UNION SELECT reach.a, link.b FROM reach JOIN link ON reach.b = link.a)
+SELECT vec_id, (SELECT count(*) FROM link WHERE link.a = vec_id) AS n_links, min(reach.b) AS component_id, 1.0::DOUBLE AS audit_recall,
+  vec_id = min(reach.b) AS kept
+FROM v JOIN reach ON reach.a = vec_id GROUP BY vec_id
+"""
+
 Builder = Callable[[SparkSession, str], DataFrame]
 
 
@@ -105,4 +143,4 @@ def queries() -> dict[str, Builder]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op8_decontamination": OP8_SQL}
+    return {"op3_line_dedup": OP3_SQL, "op5_nn_descent": OP5_SQL, "op8_decontamination": OP8_SQL}

@@ -1,6 +1,7 @@
 import numpy as np
 
 from glossa.llm import nn_descent, queries
+from tests.llm.conftest import oracle, same
 
 
 def brute(rows, threshold=0.95):
@@ -60,3 +61,7 @@ def test_recall_on_the_whole_table(spark):
     found = np.array([got[k].n_links for k in table.vec_id.to_numpy()[asked]])
     assert (found <= true).all() and found.sum() >= 0.99 * true.sum()
     assert all(r.kept == (r.vec_id == r.component_id) and r.audit_recall >= 0.99 for r in got.values())
+
+
+def test_query_against_sql(spark):
+    same(queries.op5_nn_descent(spark, "/root/testdata/sf0.01").toPandas(), oracle("op5_nn_descent", "/root/testdata/sf0.01"))

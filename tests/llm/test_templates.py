@@ -3,6 +3,7 @@ import re
 
 from glossa.llm import queries, templates
 from tests.conftest import SF_SMALL
+from tests.llm.conftest import oracle, same
 
 
 def brute(rows, depth=3, similarity=0.8, evidence=40):
@@ -73,3 +74,7 @@ def test_whole_table_against_brute_force(spark):
     got = [(r.doc_id, r.text) for r in queries.op3_line_dedup(spark, SF_SMALL).collect()]
     assert sorted(got, key=repr) == sorted(brute(rows), key=repr)
     assert sorted(got, key=repr) != sorted(rows, key=repr)
+
+
+def test_query_against_sql(spark):
+    same(queries.op3_line_dedup(spark, "/root/testdata/sf0.01").toPandas(), oracle("op3_line_dedup", "/root/testdata/sf0.01"))
