@@ -58,98 +58,92 @@ def list_files(spark: SparkSession, folder: str, pattern: str = "reviews_*.csv")
     return paths
 
 
-def _csv(spark: SparkSession):
+def _csv(spark: SparkSession, multi_line: bool = True):
+    """CSV reader: header by name, all columns parsed whatever a query selects, so that a row is
+    malformed or not for every query alike. ``multi_line`` allows line breaks in quoted fields and
+    makes a file one task; without it large files are split."""
     return (
         spark.read.option("header", True)
-        .option("multiLine", True)
+        .option("multiLine", multi_line)
         .option("escape", '"')
         .option("mode", "PERMISSIVE")
+        .option("columnPruning", False)
         .option("inferSchema", False)
     )
 
 
-def admit_files(spark: SparkSession, paths: Sequence[str], required: Sequence[str] = REVIEW_REQUIRED):
-    """A2: per-file admission. Returns ``(admitted_paths, quarantine)`` where the
-    quarantine frame lists ``(path, reason)`` for unreadable, empty or incomplete
-    files. Only each file's header is read (schema resolution)."""
-    ok, bad = [], []
+def _headers(spark: SparkSession, paths: Sequence[str], required: Sequence[str]) -> tuple[dict[tuple, list[str]], list[tuple]]:
+    """Admitted paths by header, and ``(path, reason)`` of the others. Only headers are read."""
+    ok, bad = {}, []
     for p in paths:
         try:
             cols = _csv(spark).csv(p).columns
         except Exception as e:  # unreadable file
             bad.append((p, f"unreadable: {type(e).__name__}"))
             continue
+        missing = [c for c in required if c not in cols]
         if not cols:
             bad.append((p, "empty"))
-            continue
-        missing = [c for c in required if c not in cols]
-        if missing:
+        elif missing:
             bad.append((p, f"missing columns: {','.join(missing)}"))
         else:
-            ok.append(p)
-    quarantine = spark.createDataFrame(bad, "path string, reason string")
-    return ok, quarantine
+            ok.setdefault(tuple(cols), []).append(p)
+    return ok, bad
+
+
+QUARANTINE = "path string, reason string, record string"
+
+
+def admit_files(spark: SparkSession, paths: Sequence[str], required: Sequence[str] = REVIEW_REQUIRED):
+    """A2: per-file admission. Returns ``(admitted_paths, quarantine)`` where the
+    quarantine frame lists ``(path, reason, record)`` for unreadable, empty or incomplete
+    files. Only each file's header is read (schema resolution)."""
+    ok, bad = _headers(spark, paths, required)
+    return [p for group in ok.values() for p in group], spark.createDataFrame([(*b, None) for b in bad], QUARANTINE)
+
+
+CORRUPT = "_corrupt_record"
 
 
 def read_review_parts(
-    spark: SparkSession, folder: str, pattern: str = "reviews_*.csv", schema: StructType | None = None
+    spark: SparkSession, folder: str, pattern: str = "reviews_*.csv", schema: StructType | None = None, *, multi_line: bool = True
 ) -> tuple[DataFrame, DataFrame]:
-    """A1–A3: list, admit, read each admitted part as strings and union by name
+    """A1–A3: list, admit, read the admitted parts and union them by name
     (missing columns become NULL). Zero admitted files is an error.
 
-    Parts with different headers are read separately and unioned by name; parts
-    are never collected — each read is a lazy scan. Resolving each part's header
-    is one small driver-side step per file, fine for tens of parts. For thousands
-    of uniform parts pass ``schema``: all parts are then read by one scan, and
-    malformed rows are kept aside through ``_corrupt_record`` (PERMISSIVE mode)
-    and returned in the quarantine frame as ``(path, reason)``.
+    Parts with the same header are one scan; columns are matched by each file's header,
+    whatever their order. Every row of an admitted file is either admitted or in the quarantine, with
+    its text: both come from the same PERMISSIVE parse, and a row is malformed if its
+    number of fields is not the header's. Columns are strings, or of ``schema``'s
+    types where it is given (a value that does not fit becomes NULL).
     """
-    if schema is not None:
-        return _read_uniform_parts(spark, folder, pattern, schema)
-    paths = list_files(spark, folder, pattern)
-    ok, quarantine = admit_files(spark, paths)
-    if not ok:
+    required = list(REVIEW_REQUIRED)
+    if schema is not None and (lacks := [c for c in required if c not in schema.fieldNames()]):
+        raise NoInputError(f"schema lacks required columns: {','.join(lacks)}")
+    groups, bad = _headers(spark, list_files(spark, folder, pattern), required)
+    if not groups:
         raise NoInputError("no valid review file")
-    frames = [_csv(spark).csv(p) for p in ok]
-    combined = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
+    quarantine = spark.createDataFrame([(*b, None) for b in bad], QUARANTINE)
+    good = []
+    for columns, paths in groups.items():
+        fields = StructType([StructField(c, StringType()) for c in (*columns, CORRUPT)])
+        raw = _csv(spark, multi_line).schema(fields).option("columnNameOfCorruptRecord", CORRUPT).csv(paths)
+        # Spark refuses queries of the corrupt record alone, so the test reads the row as well.
+        whole = F.length(F.concat_ws("", *[F.col(f"`{c}`") for c in columns])) >= 0
+        broken = F.col(CORRUPT).isNotNull() & whole
+        rows = raw.where(broken).select(F.col("_metadata.file_path").alias("path"), F.lit("malformed row").alias("reason"), F.col(CORRUPT).alias("record"))
+        quarantine = quarantine.union(rows)
+        good.append(raw.where(F.col(CORRUPT).isNull() & whole).drop(CORRUPT))
+    combined = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), good)
     for c in REVIEW_OPTIONAL:
         if c not in combined.columns:
             combined = combined.withColumn(c, F.lit(None).cast("string"))
+    if schema is not None:
+        typed = {f.name: F.col(f"`{f.name}`").try_cast(f.dataType) for f in schema.fields if f.name in combined.columns}
+        combined = combined.withColumns(typed)
     return combined, quarantine
 
 
-CORRUPT = "_corrupt_record"
-
-
-def _read_uniform_parts(spark: SparkSession, folder: str, pattern: str, schema: StructType) -> tuple[DataFrame, DataFrame]:
-    missing = [c for c in REVIEW_REQUIRED if c not in schema.fieldNames()]
-    if missing:
-        raise NoInputError(f"schema lacks required columns: {','.join(missing)}")
-    full = StructType([*schema.fields, StructField(CORRUPT, StringType())])
-    raw = (
-        _csv(spark)
-        .schema(full)
-        .option("columnNameOfCorruptRecord", CORRUPT)
-        .option("pathGlobFilter", pattern)
-        .csv(folder)
-        .withColumn("_path", F.col("_metadata.file_path"))
-    )
-    # (Spark refuses queries that reference only the corrupt-record column, so the
-    # record text is taken together with a parsed column.)
-    quarantine = raw.filter(F.col(CORRUPT).isNotNull()).select(
-        F.col("_path").alias("path"),
-        F.lit("malformed row").alias("reason"),
-        F.coalesce(F.col(CORRUPT), F.col(REVIEW_REQUIRED[0])).alias("record"),
-    )
-    # The admitted rows come from the same files read with DROPMALFORMED (a plain
-    # scan; the quarantine above is a second, lazy scan run only when asked for).
-    good = _csv(spark).schema(schema).option("mode", "DROPMALFORMED").option("pathGlobFilter", pattern).csv(folder)
-    for c in REVIEW_OPTIONAL:
-        if c not in good.columns:
-            good = good.withColumn(c, F.lit(None).cast("string"))
-    return good, quarantine
-
-
 def read_products(spark: SparkSession, path: str, required: Sequence[str] = PRODUCT_REQUIRED) -> DataFrame | None:
     """A4: product dimension; a missing file or a missing required column gives None."""
     try:

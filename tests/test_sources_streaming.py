@@ -60,6 +60,18 @@ def test_uniform_parts_single_scan_with_corrupt_rows(spark, tmpdir_fresh):
     assert len(q) == 1 and q[0].path.endswith("reviews_b.csv")
 
 
+def test_every_row_is_admitted_or_quarantined(spark, tmpdir_fresh):
+    with open(os.path.join(tmpdir_fresh, "reviews_a.csv"), "w") as f:
+        f.write('review_text,rating,product_id\n"a, b",3,p1\ntoo,many,fields,here\nfew\n"two\nlines",5,p2\n')
+    with open(os.path.join(tmpdir_fresh, "reviews_b.csv"), "w") as f:
+        f.write("product_id,review_text,rating\np3,world,4\n")
+    good, quarantine = files.read_review_parts(spark, tmpdir_fresh)
+    rows = {(r.review_text, r.rating, r.product_id) for r in good.collect()}
+    assert rows == {("a, b", "3", "p1"), ("two\nlines", "5", "p2"), ("world", "4", "p3")}
+    assert quarantine.count() == 2 and {r.record for r in quarantine.collect()} == {"too,many,fields,here", "few"}
+    assert good.select("rating").count() == 3 and good.count() + quarantine.count() == 5
+
+
 def test_no_files_is_an_error(spark, tmpdir_fresh):
     with pytest.raises(files.NoInputError):
         files.list_files(spark, tmpdir_fresh)
