@@ -1,17 +1,18 @@
 """Operator 7: near-duplicates by b-bit MinHash, confirmed on full shingle sets.
 
 One pass over the texts gives each row its class (equal word sequences are one class), its
-number of distinct shingles and, from ``BANDS * ROWS`` and further minima, band keys and a
-signature that keeps ``BITS`` low bits of every minimum, packed into longs. From then on
-only classes that share a band key with another matter.
+number of distinct shingles and, from ``BANDS * ROWS`` minima, its band keys. From then on
+only classes that share a band key with another matter: for these, their full sets are kept, and a
+signature of the ``BITS`` low bits of ``HASHES`` minima, packed into longs.
 
 Candidates come from the buckets of equal band keys. A pair's similarity is estimated from
 the number of equal ``BITS``-bit fields (xor, fold, count bits), corrected for fields that agree by
 chance; a pair whose estimate lies ``SIGMAS`` standard deviations under the threshold is dropped
-and every other one is confirmed on the full sets. A bucket's pairs are not all made: in each star round
-one member of a bucket (the smallest under that round's order) is compared with the others, and what links
-joins one component. In the end all members of a bucket that are still in different
-components meet; the estimate is part of that join's condition. So every pair that shares
+and every other one is confirmed on the full sets. A bucket's pairs are not all made: first a bucket's
+centres (the smallest members under ``CENTRES`` orders) are compared with the others, and what links
+joins one component. Then all members of a bucket that are still in different
+components meet, each pair in the first bucket that it shares; the estimate is part of that
+join's condition. So every pair that shares
 a bucket is either confirmed, refused or known to be in one component, and components are exact
 over the candidates. A pair at the threshold shares no band with probability
 (1 - 0.75 ** 4) ** 32 = 5e-6.
@@ -33,11 +34,12 @@ from pyspark.sql import functions as F
 
 from glossa.llm.common import connected_components, row_key, stored
 
-BANDS, ROWS, BITS, HASHES = 32, 4, 2, 256
+BANDS, ROWS, BITS, HASHES = 32, 4, 2, 1024
 LONGS = HASHES * BITS // 64
-SIGMAS = 5.0
+SIGMAS = 4.5
 KNOWN_WORDS = 1_000_000
-ROUNDS = 3
+#: Orders in which a bucket's smallest member is a centre.
+CENTRES = 4
 
 U = np.uint64
 
@@ -83,65 +85,81 @@ def minima(shingles: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return low
 
 
-def signatures(docs: DataFrame, size: int) -> DataFrame:
-    """doc_id, h and c (the row's key), node (class), n_shingles, sig (packed low bits) and bands (bucket keys) of every row."""
+def orders(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Multipliers and masks of ``n`` hash orders; the same in every task."""
+    rng = np.random.default_rng(20240607 + n)
+    return rng.integers(0, 1 << 63, n, dtype=U) * U(2) + U(1), rng.integers(0, 1 << 63, n, dtype=U)
+
+
+def signed(h: np.ndarray) -> np.ndarray:
+    return h.view(np.int64)
+
+
+def signature(shingles: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """The low bits of all minima, packed."""
+    place = (np.arange(HASHES) % (64 // BITS) * BITS).astype(U)
+    kept = (mix(minima(shingles, a, b)) & U((1 << BITS) - 1)) << place
+    return signed(np.bitwise_or.reduce(kept.reshape(LONGS, -1), axis=1))
+
+
+def banded(docs: DataFrame, size: int) -> DataFrame:
+    """doc_id, h and c (the row's key), node (class), n_shingles and bands (bucket keys) of every row."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        rng = np.random.default_rng(20240607)
-        a, b = rng.integers(0, 1 << 63, HASHES, dtype=U) * U(2) + U(1), rng.integers(0, 1 << 63, HASHES, dtype=U)
-        place = (np.arange(HASHES) % (64 // BITS) * BITS).astype(U)
+        a, b = orders(BANDS * ROWS)
         known = Words()
         for batch in batches:
-            nodes, counts, sigs, bands = [], [], [], []
+            nodes, counts, bands = [], [], []
             for text in batch["text"]:
                 node, shingles = shingle_hashes(text if isinstance(text, str) else None, size, known)
                 counts.append(len(shingles))
                 if not len(shingles):
-                    nodes.append(None), sigs.append(None), bands.append(None)
+                    nodes.append(None), bands.append(None)
                     continue
                 low = minima(shingles, a, b)
-                kept = (mix(low) & U((1 << BITS) - 1)) << place
-                sigs.append(np.bitwise_or.reduce(kept.reshape(LONGS, -1), axis=1).view(np.int64))
                 keys = np.arange(BANDS, dtype=U) + U(1)
                 for k in range(ROWS):
-                    keys = mix(keys * U(0x9E3779B97F4A7C15) + low[k : BANDS * ROWS : ROWS])
-                bands.append(keys.view(np.int64))
+                    keys = mix(keys * U(0x9E3779B97F4A7C15) + low[k::ROWS])
+                bands.append(signed(keys))
                 nodes.append(int(np.uint64(node).astype(np.int64)))
             out = {"doc_id": batch["doc_id"].astype("Int64"), "h": batch["h"], "c": batch["c"]}
-            yield pd.DataFrame(out | {"node": pd.array(nodes, "Int64"), "n_shingles": counts, "sig": sigs, "bands": bands})
+            yield pd.DataFrame(out | {"node": pd.array(nodes, "Int64"), "n_shingles": counts, "bands": bands})
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", row_key().alias("key")).select("doc_id", "text", "key.*")
-    return rows.mapInPandas(run, "doc_id long, h long, c long, node long, n_shingles long, sig array<long>, bands array<long>")
+    return rows.mapInPandas(run, "doc_id long, h long, c long, node long, n_shingles long, bands array<long>")
 
 
 def shingle_sets(docs: DataFrame, size: int) -> DataFrame:
-    """(node, shingles): the full set of each class that ``docs`` holds."""
+    """(node, shingles, sig): the full set of each class that ``docs`` holds, and its signature."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        a, b = orders(HASHES)
         known = Words()
         for batch in batches:
             found = [shingle_hashes(t if isinstance(t, str) else None, size, known) for t in batch["text"]]
-            yield pd.DataFrame({"node": [int(np.uint64(n).astype(np.int64)) for n, _ in found], "shingles": [s.view(np.int64) for _, s in found]})
+            found = [(n, s) for n, s in found if len(s)]
+            nodes = [int(np.uint64(n).astype(np.int64)) for n, _ in found]
+            yield pd.DataFrame({"node": nodes, "shingles": [signed(s) for _, s in found], "sig": [signature(s, a, b) for _, s in found]})
 
-    return docs.select("text").mapInPandas(run, "node long, shingles array<long>")
+    return docs.select("text").mapInPandas(run, "node long, shingles array<long>, sig array<long>")
 
 
-def least_equal(threshold: float) -> int:
-    """Equal fields that a pair at the threshold shows, less ``SIGMAS`` standard deviations.
+def least_equal(threshold: float, fields: int) -> int:
+    """Equal fields of ``fields`` that a pair at the threshold shows, less ``SIGMAS`` standard deviations.
 
     Fields of different minima agree with probability 2 ** -BITS, so the expected share of equal
     fields is c + (1 - c) * similarity with c that chance.
     """
     c = 2.0**-BITS
     share = c + (1 - c) * threshold
-    return int(HASHES * share - SIGMAS * (HASHES * share * (1 - share)) ** 0.5)
+    return int(fields * share - SIGMAS * (fields * share * (1 - share)) ** 0.5)
 
 
-def equal_fields(x: str, y: str) -> Column:
-    """How many BITS-bit fields of two packed signatures are equal."""
+def equal_fields(x: str, y: str, first: int, last: int) -> Column:
+    """How many BITS-bit fields of two packed signatures are equal, from their long ``first`` up to ``last``."""
     ones = sum(1 << k for k in range(0, 64, BITS))
-    out = F.lit(HASHES)
-    for k in range(LONGS):
+    out = F.lit((last - first) * 64 // BITS)
+    for k in range(first, last):
         differ = F.col(f"{x}.sig")[k].bitwiseXOR(F.col(f"{y}.sig")[k])
         folded = differ
         for shift in range(1, BITS):
@@ -150,6 +168,13 @@ def equal_fields(x: str, y: str) -> Column:
     return out
 
 
+def may_link(x: str, y: str, threshold: float) -> Column:
+    """Whether the estimate allows a link; a first quarter of the fields settles the clear cases."""
+    quarter = LONGS // 4
+    part = equal_fields(x, y, 0, quarter) >= least_equal(threshold, HASHES // 4)
+    return part & (equal_fields(x, y, 0, LONGS) >= least_equal(threshold, HASHES))
+
+
 def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) whose full sets meet ``100 * intersection >= percent * union``."""
     one = sets.select(F.col("node").alias("a"), F.col("shingles").alias("sa"))
@@ -159,10 +184,8 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return both.where(100 * shared >= percent * (F.size("sa") + F.size("sb") - shared)).select("a", "b")
 
 
-def labelled(nodes: DataFrame, edges: DataFrame | None, name: str) -> DataFrame:
-    """``nodes`` with the component of each so far."""
-    if edges is None:
-        return nodes.withColumn("label", F.col("node"))
+def labelled(nodes: DataFrame, edges: DataFrame, name: str) -> DataFrame:
+    """``nodes`` with the component of each."""
     found = connected_components(edges, name).withColumnRenamed("component", "label")
     return nodes.join(found, "node", "left").withColumn("label", F.coalesce("label", "node"))
 
@@ -170,41 +193,31 @@ def labelled(nodes: DataFrame, edges: DataFrame | None, name: str) -> DataFrame:
 def components(docs: DataFrame, size: int = 5, percent: int = 75) -> DataFrame:
     """doc_id, h, c, n_shingles, component_id and label (a component's smallest class; null without shingles) of every row."""
     docs = docs.select("doc_id", "text")
-    rows = stored(signatures(docs, size), "signatures")
-    classes = rows.where("node IS NOT NULL").groupBy("node").agg(
-        F.min("doc_id").alias("low"), F.first("n_shingles").alias("n"), F.first("sig").alias("sig"), F.first("bands").alias("bands")
-    )
-    classes = stored(classes, "classes")
-    keyed = classes.select("node", F.explode("bands").alias("bucket"))
+    rows = stored(banded(docs, size), "bands")
+    classes = stored(rows.where("node IS NOT NULL").groupBy("node").agg(F.min("doc_id").alias("low"), F.first("bands").alias("bands")), "classes")
+    keyed = classes.select("node", F.posexplode("bands").alias("band", "bucket"))
     full = keyed.groupBy("bucket").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo <> hi").select("bucket")
     members = stored(keyed.join(full, "bucket"), "members")
-    nodes = classes.select("node", "sig", "low", "n").join(members.select("node").distinct(), "node", "left_semi")
-    nodes = stored(nodes, "candidates")
+    nodes = stored(classes.join(members.select("node").distinct(), "node", "left_semi"), "candidates")
     # The texts of candidate classes only; any text of a class will do.
     ids = rows.join(nodes.select("node"), "node", "left_semi").groupBy("node").agg(F.min("doc_id").alias("doc_id"))
     wanted = ids.select("doc_id").distinct()
     texts = docs.join(wanted, docs["doc_id"].eqNullSafe(wanted["doc_id"]), "left_semi")
     sets = stored(shingle_sets(texts, size).join(nodes.select("node"), "node", "left_semi").dropDuplicates(["node"]), "shingle-sets")
 
-    cut = least_equal(percent / 100)
-    edges: DataFrame | None = None
-    labels = labelled(nodes.select("node", "sig"), None, "")
-    for k in range(ROUNDS):
-        # The round's centre of a bucket: the same order of nodes in all buckets.
-        order = F.struct(F.xxhash64("node", F.lit(k)).alias("h"), F.col("node").alias("node"))
-        centres = members.groupBy("bucket").agg(F.min(order)["node"].alias("centre"))
-        stars = members.join(centres, "bucket").where("node <> centre").select("node", "centre").distinct()
-        found = screened(stars.select(F.least("node", "centre").alias("a"), F.greatest("node", "centre").alias("b")).distinct(), labels, cut)
-        new = stored(confirmed(found, sets, percent), f"links-{k}")
-        edges = new if edges is None else edges.union(new)
-        labels = stored(labelled(nodes.select("node", "sig"), edges, f"components-{k}"), f"labels-{k}")
-    # What a bucket still holds of different components meets, if the estimate allows a link.
-    one = members.join(labels, "node")
-    x, y = one.alias("x"), one.alias("y")
-    meet = (F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.label") < F.col("y.label")) & (equal_fields("x", "y") >= cut)
-    rest = x.join(y, meet).select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct()
-    edges = edges.union(stored(confirmed(rest, sets, percent), "links-rest"))
-    label = labelled(nodes.select("node", "low"), edges, "components")
+    threshold = percent / 100
+    # Centres of a bucket under several orders of nodes, each the same in all buckets.
+    orders_ = [F.min(F.struct(F.xxhash64("node", F.lit(k)).alias("h"), F.col("node").alias("node")))["node"].alias(f"c{k}") for k in range(CENTRES)]
+    centres = members.groupBy("bucket").agg(*orders_).select("bucket", F.explode(F.array(*[f"c{k}" for k in range(CENTRES)])).alias("centre")).distinct()
+    stars = members.join(centres, "bucket").where("node <> centre").select(F.least("node", "centre").alias("a"), F.greatest("node", "centre").alias("b"))
+    links = stored(confirmed(screened(stars.distinct(), sets, threshold), sets, percent), "star-links")
+    labels = stored(labelled(sets.select("node", "sig"), links, "star-components"), "star-labels")
+    rest = stored(confirmed(remaining(members, nodes, labels, threshold), sets, percent), "other-links")
+    # Those links join components: what they connect is a small graph of labels.
+    of = labels.select("node", "label")
+    joined = rest.join(of.select(F.col("node").alias("a"), F.col("label").alias("x")), "a").join(of.select(F.col("node").alias("b"), F.col("label").alias("y")), "b")
+    met = connected_components(joined.select(F.col("x").alias("a"), F.col("y").alias("b")), "components").select(F.col("node").alias("label"), "component")
+    label = of.join(met, "label", "left").select("node", F.coalesce("component", "label").alias("label")).join(nodes.select("node", "low"), "node")
     least = label.groupBy("label").agg(F.min("low").alias("component_id"))
     named = stored(label.join(least, "label").select("node", "label", "component_id"), "named")
     own = classes.select("node", "low").join(named, "node", "left")
@@ -213,11 +226,24 @@ def components(docs: DataFrame, size: int = 5, percent: int = 75) -> DataFrame:
     return out.select("doc_id", "h", "c", "n_shingles", F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"), "label")
 
 
-def screened(pairs: DataFrame, labels: DataFrame, cut: int) -> DataFrame:
-    """The pairs (a, b) of different components whose estimate allows a link."""
-    x, y = labels.alias("x"), labels.alias("y")
+def remaining(members: DataFrame, nodes: DataFrame, labels: DataFrame, threshold: float) -> DataFrame:
+    """The pairs (a, b) that share a bucket, are in different components and may link by the estimate, each once."""
+    one = members.join(labels.select("node", "label"), "node")
+    mixed = one.groupBy("bucket").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi").select("bucket")
+    one = one.join(mixed, "bucket").select("node", "band", "bucket").join(labels, "node").join(nodes.select("node", "bands"), "node")
+    one = stored(one, "unsettled")
+    x, y = one.alias("x"), one.alias("y")
+    # Band keys of different bands differ, so the bands before this one overlap if an earlier bucket is shared.
+    earlier = F.arrays_overlap(F.slice("x.bands", F.lit(1), F.col("x.band")), F.slice("y.bands", F.lit(1), F.col("y.band")))
+    meet = (F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.label") < F.col("y.label")) & may_link("x", "y", threshold) & ~earlier
+    return x.join(y, meet).select(F.col("x.node").alias("a"), F.col("y.node").alias("b"))
+
+
+def screened(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
+    """The pairs (a, b) whose estimate allows a link."""
+    x, y = sets.select("node", "sig").alias("x"), sets.select("node", "sig").alias("y")
     one = pairs.join(x, F.col("a") == F.col("x.node"))
-    return one.join(y, (F.col("b") == F.col("y.node")) & (F.col("x.label") != F.col("y.label")) & (equal_fields("x", "y") >= cut)).select("a", "b")
+    return one.join(y, (F.col("b") == F.col("y.node")) & may_link("x", "y", threshold)).select("a", "b")
 
 
 def survivors(docs: DataFrame, size: int = 5, percent: int = 75) -> DataFrame:
