@@ -124,6 +124,7 @@ def lag_correlations(
     min_pairs: int = 10,
     x_col: str = "review_count",
     y_col: str = "mention_volume",
+    with_p: bool = False,
 ) -> DataFrame:
     """Spearman of ``x`` shifted by k rows (k = 0..max_lag) against ``y``, per
     platform with at least ``min_days`` joined days; lags with fewer than
@@ -139,9 +140,10 @@ def lag_correlations(
     )
     lags = F.array(*[F.struct(F.lit(k).alias("lag"), F.col(f"_x{k}").alias("x")) for k in range(max_lag + 1)])
     long = shifted.select("platform", "date", "y", F.inline(lags))
-    corr = group_correlations(long, ["platform", "lag"], min_n=min_pairs)
+    corr = group_correlations(long, ["platform", "lag"], min_n=min_pairs, with_p=with_p)
     best = Window.partitionBy("platform").orderBy(F.abs(F.col("spearman_r")).desc_nulls_last(), F.col("lag").asc())
-    return corr.select("platform", "lag", "n", "spearman_r").withColumn("is_best", F.row_number().over(best) == 1)
+    p = ["spearman_p"] if with_p else []
+    return corr.select("platform", "lag", "n", "spearman_r", *p).withColumn("is_best", F.row_number().over(best) == 1)
 
 
 def _bin(v: Column) -> Column:

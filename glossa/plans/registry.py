@@ -55,6 +55,7 @@ def all_queries() -> dict[str, Query]:
         stats_plans,
         stream_plans,
         text_plans,
+        tweet_plans,
     )
 
     return dict(_QUERIES)

@@ -1,15 +1,15 @@
 """Registered queries: correlations, lagged correlations, Spearman matrices, ANOVA,
 Welch t-test, OLS. Oracle-checked queries carry the statistics (r, F, t, df);
-the p-values (U1) are in the queries without an oracle and in unit tests."""
+p-values (U1) are compared with numeric integration to five places."""
 
 from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from glossa.functions.numeric import r9
+from glossa.functions.numeric import r9, round_half_even
 from glossa.operators import social, stats
 from glossa.plans.registry import r9 as q9
-from glossa.plans.registry import register, savg, ssum
+from glossa.plans.registry import register, rnd, savg, ssum
 from glossa.sources.fixtures import view, with_views
 
 
@@ -117,6 +117,42 @@ def lag_correlations(spark, sf_dir):
     return c.select("platform", "lag", "n", r9("spearman_r").alias("spearman_r"), "is_best")
 
 
+def _null_tail(r: str, steps: int = 100_000) -> str:
+    """p of a correlation by numeric integration: the tail beyond asin|r| of cos^(n-3) over its whole (midpoint rule)."""
+    at = f"asin(least(abs({r}), 1.0))"
+    area = lambda lo: f"(SELECT sum(pow(cos({lo} + (k + 0.5) / {steps} * (pi() / 2 - {lo})), n - 3)) FROM range({steps}) s(k)) * (pi() / 2 - {lo})"
+    return f"({area(at)}) / ({area('0.0')})"
+
+
+@register(
+    "correlation_pvalues",
+    covers="U1 J1 J2",
+    oracle=with_views(
+        f"""WITH c AS ({CORR_SQL})
+SELECT platform, pair, n, {rnd(_null_tail('pearson_r'), 5)} AS pearson_p, {rnd(_null_tail('spearman_r'), 5)} AS spearman_p FROM c""",
+        "reviews_v",
+        "social_v",
+    ),
+)
+def correlation_pvalues(spark, sf_dir):
+    dr, ds = _daily(spark, sf_dir)
+    c = stats.platform_correlations(dr, ds, with_p=True)
+    return c.select("platform", "pair", "n", round_half_even("pearson_p", 5).alias("pearson_p"), round_half_even("spearman_p", 5).alias("spearman_p"))
+
+
+@register(
+    "lag_pvalues",
+    covers="J5 U1",
+    oracle=with_views(
+        f"""WITH c AS ({LAG_SQL}) SELECT platform, lag, n, is_best, {rnd(_null_tail('spearman_r'), 5)} AS spearman_p FROM c""", "reviews_v", "social_v"
+    ),
+)
+def lag_pvalues(spark, sf_dir):
+    dr, ds = _daily(spark, sf_dir)
+    c = stats.lag_correlations(dr, ds, with_p=True)
+    return c.select("platform", "lag", "n", "is_best", round_half_even("spearman_p", 5).alias("spearman_p"))
+
+
 MATRIX_COLS = ("rating", "sentiment_score", "sentiment_intensity")
 
 
