@@ -44,6 +44,10 @@ HEADLINE = [
     "welch_ttest",
     "rfm_segments",
     "tweet_stream_daily",
+    "spearman_pairs",
+    "validation_checks",
+    "statistical_tests",
+    "review_clusters",
 ]
 
 

@@ -5,9 +5,9 @@ is boosted by an intensifier among the 3 preceding tokens (+/-0.293, decaying
 1/0.95/0.9 with distance) and flipped/damped (x -0.74) after a negation among
 the 3 preceding tokens; the review valence ``s`` is the sum and the compound
 score ``s / sqrt(s^2 + 15)`` lies in (-1, 1). The polarity score is the mean
-polarity (valence / 4, clipped to [-1, 1]) of the known tokens, 0 without hits.
-The blend is the mean of both. The lexicon is a parameter; the default one
-below is small and our own, so scores are comparable in method, not in value,
+polarity of the tokens that a second lexicon knows, 0 without hits.
+The blend is the mean of both. Both lexicons are parameters; the default ones
+below are small and our own, so scores are comparable in method, not in value,
 to any published lexicon.
 
 One plan for every lexicon: the tokens of each distinct text, with their 3
@@ -25,17 +25,23 @@ from pyspark.sql import functions as F
 
 from glossa.functions import text as T
 
-# Default lexicon (token, valence on a -4..4 scale). Our own values.
+# Our own grades of common review words, on a -4..4 scale.
 DEFAULT_LEXICON = {
-    "good": 1.9, "great": 3.1, "excellent": 3.2, "best": 3.2, "better": 1.9, "love": 3.2,
-    "loved": 2.9, "like": 1.5, "nice": 1.8, "amazing": 2.8, "awesome": 3.1, "perfect": 2.7,
-    "happy": 2.7, "wonderful": 2.7, "fantastic": 2.6, "beautiful": 2.9, "recommend": 1.5,
-    "fine": 0.8, "okay": 0.9, "ok": 0.9, "soft": 1.0, "fresh": 1.3, "worth": 0.9, "glad": 2.0,
-    "bad": -2.5, "worse": -2.1, "worst": -3.1, "terrible": -2.5, "awful": -2.0, "horrible": -2.5,
-    "hate": -2.7, "hated": -3.2, "poor": -2.1, "disappointed": -1.9, "disappointing": -2.2,
-    "useless": -1.8, "worthless": -1.9, "broken": -1.5, "waste": -1.8, "annoying": -1.7,
-    "stupid": -2.4, "idiot": -2.3, "dumb": -2.3, "ugly": -2.3, "sad": -2.1, "angry": -2.3,
-    "problem": -1.7, "irritated": -1.8, "greasy": -1.0, "sticky": -0.9, "dry": -0.5, "cheap": -0.6,
+    **dict.fromkeys("great excellent best love loved amazing awesome perfect wonderful fantastic beautiful".split(), 3.0),
+    **dict.fromkeys("good better like nice happy recommend glad fresh".split(), 2.0),
+    **dict.fromkeys("fine okay ok soft worth".split(), 1.0),
+    **dict.fromkeys("worst terrible horrible awful hate hated".split(), -3.0),
+    **dict.fromkeys("bad worse poor disappointed disappointing useless worthless waste stupid idiot dumb ugly sad angry".split(), -2.0),
+    **dict.fromkeys("broken annoying problem irritated greasy sticky dry cheap".split(), -1.0),
+}
+# Our own polarities (-1..1), a second source: fewer words of feeling, more of quality.
+DEFAULT_POLARITY = {
+    **dict.fromkeys("excellent perfect awesome wonderful best".split(), 1.0),
+    **dict.fromkeys("good great beautiful happy lovely fresh new clean".split(), 0.7),
+    **dict.fromkeys("nice better fine soft easy light worth".split(), 0.4),
+    **dict.fromkeys("worst terrible horrible awful".split(), -1.0),
+    **dict.fromkeys("bad poor useless worthless ugly stupid broken".split(), -0.7),
+    **dict.fromkeys("worse cheap dry hard heavy late problem".split(), -0.4),
 }
 # Negations and intensifiers.
 NEGATIONS = ("not", "no", "never", "none", "nobody", "nothing", "neither", "nor", "nowhere",
@@ -58,6 +64,15 @@ def lexicon_frame(spark: SparkSession, lexicon: dict[str, float] | None = None)
     return spark.createDataFrame(sorted(lex.items()), "token string, valence double")
 
 
+def word_polarities(lexicon: dict[str, float] | None, polarity: dict[str, float] | None) -> dict[str, float]:
+    """The second source: given, or the default one, or (for a lexicon of one's own) the clipped valences."""
+    if polarity is not None:
+        return polarity
+    if lexicon is None:
+        return DEFAULT_POLARITY
+    return {t: max(-1.0, min(1.0, v / POLARITY_SCALE)) for t, v in lexicon.items()}
+
+
 def tokens(c: str | Column, clean: bool = True) -> Column:
     """Lower-cased single-space tokens (empty text → []); ``clean=False`` when the
     input is already the output of ``clean_text``."""
@@ -100,12 +115,17 @@ def lexicon_map(lexicon: dict[str, float]) -> Column:
 
 
 def score_map(
-    df: DataFrame, lexicon: dict[str, float] | None = None, *, text_col: str = "cleaned_text", clean: bool = True
+    df: DataFrame,
+    lexicon: dict[str, float] | None = None,
+    *,
+    polarity: dict[str, float] | None = None,
+    text_col: str = "cleaned_text",
+    clean: bool = True,
 ) -> DataFrame:
     """Row-local form for streams, whose rows cannot be joined back to their own aggregate:
-    tokens probe a constant map of a lexicon that is written in the code."""
+    tokens probe constant maps of lexicons that are written in the code."""
+    polarity = word_polarities(lexicon, polarity)
     lexicon = DEFAULT_LEXICON if lexicon is None else lexicon
-    lex_map = lexicon_map(lexicon)
     # Tokenise once into a column: the lambdas below index the array repeatedly.
     df = df.withColumn("_toks", tokens(text_col, clean))
     toks = F.col("_toks")
@@ -113,39 +133,55 @@ def score_map(
     def prev(arr, i, j):
         return F.when(i >= j, F.try_element_at(arr, i - j + 1))
 
-    # Keep only lexicon tokens first (hash-set membership), then look up valences
+    # Keep only known tokens first (hash-set membership), then look up values
     # and predecessors for the hits alone.
-    words = sorted(lexicon)
+    words = sorted({*lexicon, *polarity})
     indexed = F.transform(toks, lambda t, i: F.struct(t.alias("t"), i.alias("i")))
     known = F.filter(indexed, lambda x: x["t"].isin(*words))
     hits = F.transform(
         known,
         lambda x: F.struct(
-            F.try_element_at(lex_map, x["t"]).alias("v"),
-            prev(toks, x["i"], 1).alias("p1"),
-            prev(toks, x["i"], 2).alias("p2"),
-            prev(toks, x["i"], 3).alias("p3"),
+            F.try_element_at(lexicon_map(lexicon), x["t"]).alias("v"),
+            F.try_element_at(lexicon_map(polarity), x["t"]).alias("q"),
+            *[prev(toks, x["i"], j).alias(f"p{j}") for j in (1, 2, 3)],
         ),
     )
     df = df.withColumn("_hits", hits)
-    adj = F.transform(F.col("_hits"), lambda x: _adjusted(x["v"], x["p1"], x["p2"], x["p3"]))
+    adj = F.transform(F.col("_hits"), lambda x: F.coalesce(_adjusted(x["v"], x["p1"], x["p2"], x["p3"]), F.lit(0.0)))
     s = F.aggregate(adj, F.lit(0.0), lambda acc, x: acc + x)
-    pol_sum = F.aggregate(F.col("_hits"), F.lit(0.0), lambda acc, x: acc + _polarity(x["v"]))
-    cols = _scores_from(s, pol_sum, F.size(F.col("_hits")))
-    return df.withColumns(cols).drop("_toks", "_hits")
+    rated = F.filter("_hits", lambda x: x["q"].isNotNull())
+    pol_sum = F.aggregate(rated, F.lit(0.0), lambda acc, x: acc + x["q"])
+    return df.withColumns(_scores_from(s, pol_sum, F.size(rated))).drop("_toks", "_hits")
 
 
 def score(
-    df: DataFrame, lexicon: dict[str, float] | DataFrame | None = None, *, text_col: str = "cleaned_text", clean: bool = True
+    df: DataFrame,
+    lexicon: dict[str, float] | DataFrame | None = None,
+    *,
+    polarity: dict[str, float] | DataFrame | None = None,
+    text_col: str = "cleaned_text",
+    clean: bool = True,
 ) -> DataFrame:
     """C1 + C2: ``vader_compound`` and ``textblob_sentiment`` of every row.
 
     Scores belong to texts, so rows need no unique id: equal texts are tokenised once
-    and share their sums (a text that a third of the rows repeat is one text).
+    and share their sums (a text that a third of the rows repeat is one text). A lexicon frame has columns
+    ``token, valence``, a polarity frame ``token, polarity``; without the second, a lexicon of one's own
+    stands for both.
     """
-    if lexicon is None or isinstance(lexicon, dict):
-        lexicon = lexicon_frame(df.sparkSession, lexicon)
-    valences = lexicon.groupBy("token").agg(F.avg(F.col("valence").cast("double")).alias("valence"))
+    spark = df.sparkSession
+    if not isinstance(polarity, DataFrame):
+        if isinstance(lexicon, DataFrame) and polarity is None:
+            polarity = lexicon.select("token", _polarity(F.col("valence").cast("double")).alias("polarity"))
+        else:
+            own = word_polarities(lexicon if isinstance(lexicon, dict) else None, polarity)
+            polarity = spark.createDataFrame(sorted(own.items()), "token string, polarity double")
+    if not isinstance(lexicon, DataFrame):
+        lexicon = lexicon_frame(spark, lexicon)
+    both = lexicon.select("token", F.col("valence").cast("double").alias("valence"), F.lit(None).cast("double").alias("polarity")).union(
+        polarity.select("token", F.lit(None).cast("double"), F.col("polarity").cast("double"))
+    )
+    values = both.groupBy("token").agg(F.avg("valence").alias("valence"), F.avg("polarity").alias("polarity"))
     keyed = df.withColumn("_key", F.md5(F.col(text_col)))
     texts = keyed.select("_key", text_col).filter(F.col("_key").isNotNull()).dropDuplicates(["_key"])
     texts = texts.select("_key", tokens(text_col, clean).alias("_toks"))
@@ -154,11 +190,11 @@ def score(
         return F.when(i >= j, F.try_element_at("_toks", i - j + 1))
 
     placed = F.transform("_toks", lambda t, i: F.struct(t.alias("token"), *[before(i, j).alias(f"p{j}") for j in (1, 2, 3)]))
-    hits = texts.select("_key", F.inline(placed)).join(valences, "token")
+    hits = texts.select("_key", F.inline(placed)).join(values, "token")
     sums = hits.groupBy("_key").agg(
         F.sum(_adjusted(F.col("valence"), F.col("p1"), F.col("p2"), F.col("p3"))).alias("_s"),
-        F.sum(_polarity(F.col("valence"))).alias("_p"),
-        F.count(F.lit(1)).alias("_n"),
+        F.sum("polarity").alias("_p"),
+        F.count("polarity").alias("_n"),
     )
     zero = {c: F.coalesce(F.col(c), F.lit(0.0)) for c in ("_s", "_p", "_n")}
     cols = _scores_from(zero["_s"], zero["_p"], zero["_n"])
@@ -173,14 +209,19 @@ def label(score: Column, threshold: float = 0.1, inclusive: bool = False) -> Col
 
 
 def analyze(
-    df: DataFrame, *, text_col: str = "cleaned_text", lexicon: dict[str, float] | DataFrame | None = None, clean: bool = False
+    df: DataFrame,
+    *,
+    text_col: str = "cleaned_text",
+    lexicon: dict[str, float] | DataFrame | None = None,
+    polarity: dict[str, float] | DataFrame | None = None,
+    clean: bool = False,
 ) -> DataFrame:
     """Compound, polarity, blended ``sentiment_score``, label and intensity.
 
     The input is the cleaned text by default (as in the processing job);
     ``clean=True`` cleans it first."""
     blend = (F.col("vader_compound") + F.col("textblob_sentiment")) / 2.0
-    return score(df, lexicon, text_col=text_col, clean=clean).withColumn("sentiment_score", blend).withColumns(
+    return score(df, lexicon, polarity=polarity, text_col=text_col, clean=clean).withColumn("sentiment_score", blend).withColumns(
         {
             "sentiment_label": label(F.col("sentiment_score"), *REVIEW_THRESHOLDS),
             "sentiment_intensity": F.abs(F.col("sentiment_score")),

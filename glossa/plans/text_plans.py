@@ -63,7 +63,9 @@ def _sql_in(c: str, words) -> str:
 
 def sql_sentiment_ctes(source: str, id_cols: str, text_col: str, lexicon: str | None = None) -> str:
     """CTEs computing ``vader_compound`` / ``textblob_sentiment`` per row of ``source``."""
-    lex = lexicon or "VALUES " + ", ".join(f"('{k}', {v})" for k, v in sorted(S.DEFAULT_LEXICON.items()))
+    rows = sorted({*S.DEFAULT_LEXICON, *S.DEFAULT_POLARITY})
+    values = [(w, S.DEFAULT_LEXICON.get(w, "NULL"), S.DEFAULT_POLARITY.get(w, "NULL")) for w in rows]
+    lex = lexicon or "VALUES " + ", ".join(f"('{w}', {v}::DOUBLE, {q}::DOUBLE)" for w, v, q in values)
     ids = [c.strip() for c in id_cols.split(",")]
     id_eq = " AND ".join(f"s.{c} = src.{c}" for c in ids)
     boost = " + ".join(
@@ -71,17 +73,16 @@ def sql_sentiment_ctes(source: str, id_cols: str, text_col: str, lexicon: str |
         for p, d in zip(("p1", "p2", "p3"), S.BOOST_DECAY)
     )
     neg = " OR ".join(_sql_in(p, S.NEGATIONS) for p in ("p1", "p2", "p3"))
-    pol = f"least(greatest(v / {S.POLARITY_SCALE}, -1.0), 1.0)"
     return f"""src AS (SELECT {id_cols}, {sql_clean(text_col)} AS _c FROM {source}),
 tok AS (SELECT {id_cols}, CASE WHEN lower(_c) = '' THEN []::VARCHAR[] ELSE string_split(lower(_c), ' ') END AS toks FROM src),
 ex AS (SELECT {id_cols}, unnest(toks) AS t, unnest(generate_series(1, len(toks))) AS pos FROM tok),
 ctx AS (SELECT {id_cols}, t, lag(t, 1) OVER w AS p1, lag(t, 2) OVER w AS p2, lag(t, 3) OVER w AS p3
         FROM ex WINDOW w AS (PARTITION BY {id_cols} ORDER BY pos)),
-lex(token, valence) AS ({lex}),
-hit AS (SELECT ctx.*, lex.valence AS v FROM ctx JOIN lex ON lex.token = ctx.t),
-adj AS (SELECT {id_cols}, v, (v + sign(v) * ({boost})) * CASE WHEN {neg} THEN {S.NEGATION_SCALAR} ELSE 1.0 END AS a
+lex(token, valence, polarity) AS ({lex}),
+hit AS (SELECT ctx.*, lex.valence AS v, lex.polarity AS q FROM ctx JOIN lex ON lex.token = ctx.t),
+adj AS (SELECT {id_cols}, q, (v + sign(v) * ({boost})) * CASE WHEN {neg} THEN {S.NEGATION_SCALAR} ELSE 1.0 END AS a
         FROM hit),
-agg AS (SELECT {id_cols}, sum(a) AS s, sum({pol}) AS ps, count(*) AS n FROM adj GROUP BY {id_cols}),
+agg AS (SELECT {id_cols}, sum(a) AS s, sum(q) AS ps, count(q) AS n FROM adj GROUP BY {id_cols}),
 scored AS (SELECT src.*, coalesce(s.s, 0.0) / sqrt(coalesce(s.s, 0.0) * coalesce(s.s, 0.0) + {S.ALPHA}) AS vader_compound,
                   CASE WHEN coalesce(s.n, 0) > 0 THEN s.ps / s.n ELSE 0.0 END AS textblob_sentiment
            FROM src LEFT JOIN agg s ON {id_eq})"""
@@ -253,7 +254,7 @@ SENTIMENT_SELECT = f"""SELECT doc_id, {q9('vader_compound')} AS vader_compound,
 FROM scored"""
 
 # A lexicon of the corpus' own words, tens of thousands of them at scale: the valence follows from the word's length.
-WORD_LEXICON = """SELECT token, CAST(length(token) % 9 - 4 AS DOUBLE) AS valence
+WORD_LEXICON = """SELECT token, CAST(length(token) % 9 - 4 AS DOUBLE) AS valence, CAST(length(token) % 5 - 2 AS DOUBLE) / 2 AS polarity
 FROM (SELECT DISTINCT unnest(string_split(lower({clean}), ' ')) AS token FROM documents) WHERE token <> ''"""
 
 
@@ -262,8 +263,8 @@ def lexicon_sentiment(spark, sf_dir):
     return _sentiment(cleaned_documents(spark, sf_dir))
 
 
-def _sentiment(docs, lexicon=None):
-    s = S.analyze(docs, text_col="cleaned_text", lexicon=lexicon)
+def _sentiment(docs, **lexicons):
+    s = S.analyze(docs, text_col="cleaned_text", **lexicons)
     return s.select(
         "doc_id",
         *[r9(c).alias(c) for c in ("vader_compound", "textblob_sentiment", "sentiment_score")],
@@ -280,7 +281,9 @@ def _sentiment(docs, lexicon=None):
 def lexicon_sentiment_large(spark, sf_dir):
     docs = cleaned_documents(spark, sf_dir)
     words = docs.select(F.explode(S.tokens("cleaned_text", clean=False)).alias("token")).distinct()
-    return _sentiment(docs, words.withColumn("valence", (F.length("token") % 9 - 4).cast("double")))
+    n = F.length("token")
+    polarity = words.select("token", ((n % 5 - 2).cast("double") / 2).alias("polarity"))
+    return _sentiment(docs, lexicon=words.select("token", (n % 9 - 4).cast("double").alias("valence")), polarity=polarity)
 
 
 @register(
