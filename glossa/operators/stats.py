@@ -157,12 +157,11 @@ def _bin(v: Column) -> Column:
     return F.when(size > 0, F.signum(v) * step).otherwise(F.lit(0.0))
 
 
-def value_ranks(counts: DataFrame) -> DataFrame:
-    """Average rank of every value from its number of rows: ``_col, _v, _c`` → ``_col, _v, _r``.
+def value_places(counts: DataFrame) -> DataFrame:
+    """Rows below every value, and rows in all: ``_col, _v, _c`` → ``_col, _v, _c, _before, _n``.
 
-    Ranks are prefix sums over the distinct values, in two levels: bins first, then the values of a bin. So
-    no task holds all the distinct values of a column. Ranks are centred on (n + 1) / 2, so their
-    squares stay small enough for sums over very many rows.
+    Prefix sums over the distinct values, in two levels: bins first, then the values of a bin. So
+    no task holds all the distinct values of a column.
     """
     binned = counts.withColumn("_b", _bin(F.col("_v")))
     bins = binned.groupBy("_col", "_b").agg(F.sum("_c").alias("_t"))
@@ -171,7 +170,34 @@ def value_ranks(counts: DataFrame) -> DataFrame:
     bins = bins.select("_col", "_b", F.coalesce(F.sum("_t").over(below), F.lit(0)).alias("_below"), F.sum("_t").over(all_bins).alias("_n"))
     inside = Window.partitionBy("_col", "_b").orderBy("_v").rowsBetween(Window.unboundedPreceding, -1)
     placed = binned.withColumn("_in", F.coalesce(F.sum("_c").over(inside), F.lit(0))).join(bins, ["_col", "_b"])
-    return placed.select("_col", "_v", (F.col("_below") + F.col("_in") + (F.col("_c") + 1) / 2.0 - (F.col("_n") + 1) / 2.0).alias("_r"))
+    return placed.select("_col", "_v", "_c", (F.col("_below") + F.col("_in")).alias("_before"), "_n")
+
+
+def value_ranks(counts: DataFrame) -> DataFrame:
+    """Average rank of every value, ``_col, _v, _r``, centred on (n + 1) / 2 so that squares
+    stay small enough for sums over very many rows."""
+    rank = F.col("_before") + (F.col("_c") + 1) / 2.0 - (F.col("_n") + 1) / 2.0
+    return value_places(counts).select("_col", "_v", rank.alias("_r"))
+
+
+def quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float]) -> DataFrame:
+    """One row with an array of exact quantiles (linear interpolation) per column, from value counts."""
+    stacked = df.select(F.inline(F.array(*[F.struct(F.lit(c).alias("_col"), F.col(c).cast("double").alias("_v")) for c in cols])))
+    places = value_places(stacked.where("_v IS NOT NULL").groupBy("_col", "_v").agg(F.count(F.lit(1)).alias("_c")))
+
+    def at(c: str, k: Column) -> Column:
+        return F.max(F.when((F.col("_col") == c) & (F.col("_before") <= k) & (k < F.col("_before") + F.col("_c")), F.col("_v")))
+
+    out = []
+    for c in cols:
+        edges = []
+        for p in probs:
+            pos = F.lit(p) * (F.col("_n") - 1)
+            share = F.max(F.when(F.col("_col") == c, pos - F.floor(pos)))
+            lo, hi = at(c, F.floor(pos)), at(c, F.ceil(pos))
+            edges.append(lo + (hi - lo) * share)
+        out.append(F.array(*edges).alias(c))
+    return places.agg(*out)
 
 
 def spearman_matrix(df: DataFrame, cols: Sequence[str]) -> DataFrame:
