@@ -65,6 +65,32 @@ SELECT doc_id, coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (WHERE lost.
 FROM l LEFT JOIN lost USING (doc_id, i) GROUP BY doc_id
 """
 
+OP4_SQL = r"""
+WITH t AS (SELECT conv_id, CAST(turn AS BIGINT) AS turn, role, text FROM conversations),
+head AS (SELECT conv_id, min(turn) AS head FROM t WHERE role = 'system' GROUP BY conv_id),
+c AS (
+  SELECT t.conv_id, turn, CASE role WHEN 'system' THEN 'configure' ELSE 'answer' END AS name, text,
+    list_sort(list_distinct([x FOR x IN [CASE WHEN turn >= 2 AND role = 'user' THEN 'call-' || (turn - 2) END, CASE WHEN head <> turn THEN 'call-' || head END] IF x IS NOT NULL])) AS deps
+  FROM t LEFT JOIN head USING (conv_id) WHERE role IN ('system', 'user')
+), r AS (SELECT conv_id, turn - 1 AS turn, text AS content FROM t WHERE role = 'assistant'),
+gone AS (
+  SELECT w.conv_id, w.turn, string_agg(w.dep, ',' ORDER BY w.dep) AS missing
+  FROM (SELECT conv_id, turn, unnest(deps) AS dep FROM c) w LEFT JOIN c ON c.conv_id = w.conv_id AND w.dep = 'call-' || c.turn
+  WHERE c.turn IS NULL GROUP BY ALL
+), b AS (
+  SELECT coalesce(c.conv_id, r.conv_id) AS conv_id, 'call-' || coalesce(c.turn, r.turn) AS call_id, coalesce(c.turn, r.turn + 1) AS turn, c.turn AS call_turn,
+    name, text, deps, content, CASE WHEN c.turn IS NULL THEN 'orphan' WHEN r.turn IS NULL THEN 'open' ELSE 'linked' END AS status
+  FROM c FULL JOIN r ON c.conv_id = r.conv_id AND c.turn = r.turn
+)
+SELECT b.conv_id, call_id, b.turn, name, status, NULL::INTEGER AS level, false AS cyclic, coalesce(missing, '') AS missing, '' AS problems,
+  missing IS NULL AND status <> 'orphan' AS valid, 0::BIGINT AS repeats,
+  concat('{"arguments":', CASE WHEN call_turn IS NULL THEN 'null' ELSE
+      concat('{"text":', CAST(to_json(text) AS VARCHAR), ',"words":', len(regexp_split_to_array(text, '[ \t\n\x0B\f\r]+')), '}') END,
+    ',"depends_on":', CASE WHEN call_turn IS NULL THEN '[]' ELSE CAST(to_json(deps) AS VARCHAR) END, ',"id":"', call_id, '","name":',
+    CASE WHEN name IS NULL THEN 'null' ELSE concat('"', name, '"') END, ',"result":', CASE WHEN content IS NULL THEN 'null' ELSE CAST(to_json(content) AS VARCHAR) END, '}') AS canonical
+FROM b LEFT JOIN gone ON gone.conv_id = b.conv_id AND gone.turn = b.call_turn
+"""
+
 OP5_SQL = """
 WITH RECURSIVE v AS (SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings),
 link AS (
@@ -143,4 +169,4 @@ def queries() -> dict[str, Builder]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_line_dedup": OP3_SQL, "op5_nn_descent": OP5_SQL, "op8_decontamination": OP8_SQL}
+    return {"op3_line_dedup": OP3_SQL, "op4_tool_calls": OP4_SQL, "op5_nn_descent": OP5_SQL, "op8_decontamination": OP8_SQL}
