@@ -10,8 +10,6 @@ from pyspark.sql import functions as F
 from glossa.session import ensure_checkpoint_dir
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
-#: A text's words are what lies between runs of these characters.
-SPACES = "[\\x20\\x09-\\x0D]+"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 from glossa.llm.common import crc_bucket, stored
 
 #: Bytes of text whose events are sorted at a time.
-CHUNK = 2_000_000
+CHUNK = 1_000_000
 #: The end of a text among the words of a block.
 END_WORD = ""
 
@@ -78,12 +78,37 @@ def chunks(texts: list[bytes], order: int) -> Iterator[tuple[list[int], np.ndarr
 
 def distinct_events(texts: list[bytes], order: int) -> tuple[np.ndarray, np.ndarray]:
     """The texts' events and how often each occurs."""
-    found = [np.unique(keys, return_counts=True) for _, keys in chunks(texts, order)]
-    if not found:
-        return np.empty(0, np.int64), np.empty(0, np.int64)
-    keys, counts = (np.concatenate(x) for x in zip(*found))
-    key, inverse = np.unique(keys, return_inverse=True)
-    return key, np.bincount(inverse, counts).astype(np.int64)
+    key, count = np.empty(0, np.int64), np.empty(0, np.int64)
+    for _, keys in chunks(texts, order):
+        new, n = np.unique(keys, return_counts=True)
+        del keys
+        # Only one chunk's events stand beside those so far.
+        at = np.minimum(np.searchsorted(key, new), max(0, len(key) - 1))
+        known = key[at] == new if len(key) else np.zeros(len(new), bool)
+        count[at[known]] += n[known]
+        place = np.searchsorted(key, new[~known])
+        key, count = np.insert(key, place, new[~known]), np.insert(count, place, n[~known])
+    return key, count
+
+
+class Places:
+    """Where keys stand in a sorted array: a direct table of hashes, and a search for the few keys that share a slot."""
+
+    def __init__(self, keys: np.ndarray) -> None:
+        self.keys = keys
+        self.shift = np.uint64(64 - max(8, int(len(keys) * 6).bit_length()))
+        self.table = np.zeros(1 << (64 - int(self.shift)), np.int32)
+        self.table[self.slots(keys)] = np.arange(len(keys), dtype=np.int32)
+
+    def slots(self, keys: np.ndarray) -> np.ndarray:
+        return (keys.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> self.shift).view(np.int64)
+
+    def of(self, keys: np.ndarray) -> np.ndarray:
+        """Places of keys that all occur."""
+        at = self.table[self.slots(keys)]
+        missed = np.flatnonzero(self.keys[at] != keys)
+        at[missed] = np.searchsorted(self.keys, keys[missed])
+        return at
 
 
 def code_lengths(key: np.ndarray, count: np.ndarray, pairs: np.ndarray, order: int) -> np.ndarray:
@@ -212,7 +237,7 @@ def event_costs(events: DataFrame, order: int) -> DataFrame:
     return grouped.applyInPandas(run, "key long, cost double")
 
 
-def score(docs: DataFrame, order: int = 5, folds: int = 10, block_bytes: int = 32 << 20) -> DataFrame:
+def score(docs: DataFrame, order: int = 5, folds: int = 10, block_bytes: int = 10 << 20) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score of every row.
 
     Rows whose crc32 of the id modulo ``folds`` is 0 are held out of training. ``base_score`` is the
@@ -237,7 +262,8 @@ def score(docs: DataFrame, order: int = 5, folds: int = 10, block_bytes: int = 3
         base, seen = of_words["cost"].to_numpy(np.float64), of_words["seen"].to_numpy(bool)
         key, cost = of_events["key"].to_numpy(np.int64), of_events["cost"].to_numpy(np.float64)
         by = np.argsort(key)
-        key, cost = key[by], cost[by]
+        places, cost = Places(key[by]), cost[by]
+        del right, of_words, of_events, key
         texts, found = [], []
         for doc, text, held_out in zip(left["doc_id"], left["text"], left["held_out"]):
             tokens = words(text if isinstance(text, str) else None)
@@ -247,7 +273,7 @@ def score(docs: DataFrame, order: int = 5, folds: int = 10, block_bytes: int = 3
         got = np.zeros(len(texts))
         for sizes, keys in chunks(texts, order):
             owner, length = np.array(sizes).T
-            np.add.at(got, owner, np.add.reduceat(cost[np.searchsorted(key, keys)], np.cumsum(length) - length))
+            np.add.at(got, owner, np.add.reduceat(cost[places.of(keys)], np.cumsum(length) - length))
         out = pd.DataFrame(found, columns=["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score"])
         return out.assign(score=got).astype({"doc_id": "Int64", "held_out": bool})
 
