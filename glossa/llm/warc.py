@@ -38,10 +38,11 @@ FIELDS = (
 LINES = "address|article|aside|blockquote|br|dd|div|dl|dt|fieldset|figcaption|figure|footer|form|h[1-6]|header|hr|li|main|nav|ol|option|p|pre|section|table|td|th|title|tr|ul"
 HIDDEN = "script|style|noscript|template|textarea|iframe"
 
-SKIP = re.compile(rf"<!--.*?(?:-->|\Z)|<({HIDDEN})\b[^>]*>.*?(?:</\1\s*>|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)", re.I | re.S)
-TAG = re.compile(r"""<(/?)([a-zA-Z][^\s/>]*)((?:[^<>"']|"[^"]*"|'[^']*')*)>""")
-ATTRIBUTE = re.compile(r"""([^\s=/"'<>]+)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'<>]+))""")
-REST = re.compile(r"<[/!?a-zA-Z][^<>]*>")
+# Possessive throughout, so a long run without the closing character is read once.
+SKIP = re.compile(rf"<!--.*?(?:-->|\Z)|<({HIDDEN})\b[^>]*+>.*?(?:</\1\s*+>|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)", re.I | re.S)
+TAG = re.compile(r"""<(/?)([a-zA-Z][^\s/<>"']*+)((?:[^<>"']++|"[^"]*+"|'[^']*+')*+)>""")
+ATTRIBUTE = re.compile(r"""(?<![^\s=/"'<>])([^\s=/"'<>]++)\s*+=\s*+(?:"([^"]*+)"|'([^']*+)'|([^\s"'<>]++))""")
+REST = re.compile(r"<[/!?a-zA-Z][^<>]*+>")
 BREAK = re.compile(rf"(?:{LINES})\Z", re.I)
 SPACE = re.compile(r"[^\S\n]+")
 
