@@ -6,8 +6,11 @@ neighbours of neighbours: around each node, what lists it and what it lists meet
 keeps its ``K`` nearest. Pairs at the threshold are then confirmed in double precision and
 joined to components.
 
-A list whose ``K`` entries all reach the threshold is saturated: its node may have more links. So lists are
-enlarged to the whole component, whose members are compared in blocks of about ``BLOCK``; only
+A list whose ``K`` entries all reach the threshold is saturated: its node may have more links. Its entries
+are in its component by then, so the list is enlarged by the ``K`` nearest nodes of other components: the
+components that hold a saturated list get a forest and rounds in which members of one component do
+not meet, and what links is joined, until no further link is found. The members of a component are
+compared in blocks of about ``BLOCK``; only
 counts leave a block, so no list or pair table of a crowded component exists. The
 recall of a bounded set of audit nodes is measured by brute force against all nodes, and while it
 is below ``target`` another forest and more rounds are added.
@@ -55,15 +58,17 @@ def nodes_of(vectors: DataFrame) -> tuple[DataFrame, DataFrame]:
     return rows.select("vec_id", "node"), stored(kinds.mapInPandas(unit, kinds.schema), "nodes")
 
 
-def nearest(ids: np.ndarray, vecs: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(node, neighbour, similarity): each node's ``k`` nearest of a set."""
+def nearest(ids: np.ndarray, vecs: np.ndarray, labels: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(node, neighbour, similarity): each node's ``k`` nearest of a set that have another label."""
     s = vecs @ vecs.T
-    np.fill_diagonal(s, -2)
+    s[labels[:, None] == labels[None, :]] = -2
     k = min(k, len(ids) - 1)
     if k < 1:
         return ids[:0], ids[:0], s[:0, 0]
     top = np.argpartition(-s, k - 1, axis=1)[:, :k]
-    return np.repeat(ids, k), ids[top.reshape(-1)], np.take_along_axis(s, top, axis=1).reshape(-1)
+    node, nbr, sim = np.repeat(ids, k), ids[top.reshape(-1)], np.take_along_axis(s, top, axis=1).reshape(-1)
+    other = sim > -1.5
+    return node[other], nbr[other], sim[other]
 
 
 EDGE = "node long, nbr long, sim float"
@@ -88,9 +93,9 @@ def forest(nodes: DataFrame, n: int, seed: int) -> DataFrame:
                 side = (np.vstack(part["vec"].to_numpy()) @ planes[dim] > 0).reshape(len(part), TREES, depth)
                 code = (side * (1 << np.arange(depth, dtype=np.int64))).sum(axis=2)
                 for t in range(TREES):
-                    yield pd.DataFrame({"tree": t, "dim": dim, "code": code[:, t], "node": part["node"], "vec": [np.asarray(v, np.float32) for v in part["vec"]]})
+                    yield pd.DataFrame({"tree": t, "dim": dim, "code": code[:, t], "node": part["node"], "label": part["label"], "vec": [np.asarray(v, np.float32) for v in part["vec"]]})
 
-    rows = nodes.mapInPandas(leaves, "tree int, dim int, code long, node long, vec array<float>")
+    rows = nodes.mapInPandas(leaves, "tree int, dim int, code long, node long, label long, vec array<float>")
     keys = ["tree", "dim", "code"]
     # A crowded leaf is dealt into blocks by hash, so no group is larger than a few LEAF.
     crowd = stored(rows.groupBy(*keys).agg(F.count("*").alias("n")).where(F.col("n") > 2 * LEAF), "crowded-leaves")
@@ -100,7 +105,7 @@ def forest(nodes: DataFrame, n: int, seed: int) -> DataFrame:
     def propose(group: pd.DataFrame) -> pd.DataFrame:
         parts = []
         for _, leaf in group.groupby([*keys, "part"]):
-            parts.append(nearest(leaf["node"].to_numpy(np.int64), np.vstack(leaf["vec"].to_numpy()), K))
+            parts.append(nearest(leaf["node"].to_numpy(np.int64), np.vstack(leaf["vec"].to_numpy()), leaf["label"].to_numpy(np.int64), K))
         return frame(parts)
 
     return rows.withColumn("group", group).groupBy("group").applyInPandas(propose, EDGE)
@@ -124,18 +129,19 @@ def descend(graph: DataFrame, nodes: DataFrame, n: int) -> DataFrame:
     # A node that very many list is joined in parts of bounded size.
     wide = around.groupBy("pivot").agg(F.count("*").alias("n")).where(F.col("n") > 8 * K)
     around = around.join(wide, "pivot", "left").withColumn("part", F.when(F.col("n").isNull(), 0).otherwise(F.pmod(F.xxhash64("node"), F.ceil(F.col("n") / (4 * K)))))
-    rows = around.select("pivot", "part", "node").join(nodes.select("node", F.col("vec").cast("array<float>").alias("vec")), "node")
+    rows = around.select("pivot", "part", "node").join(nodes.select("node", "label", F.col("vec").cast("array<float>").alias("vec")), "node")
     group = F.pmod(F.xxhash64("pivot", "part"), F.lit(1 + n // PIVOTS))
 
     def meet(group: pd.DataFrame) -> pd.DataFrame:
         group = group.sort_values(["pivot", "part"], kind="stable")
         key = group[["pivot", "part"]].to_numpy()
-        ids, vecs = group["node"].to_numpy(np.int64), np.vstack(group["vec"].to_numpy()) if group["vec"].map(len).nunique() == 1 else None
+        ids, labels = group["node"].to_numpy(np.int64), group["label"].to_numpy(np.int64)
+        vecs = np.vstack(group["vec"].to_numpy()) if group["vec"].map(len).nunique() == 1 else None
         edges = np.flatnonzero((np.diff(key, axis=0) != 0).any(axis=1)) + 1
         parts = []
         for at in np.split(np.arange(len(group)), edges):
             part = vecs[at] if vecs is not None else np.vstack(group["vec"].to_numpy()[at])
-            parts.append(nearest(ids[at], part, K))
+            parts.append(nearest(ids[at], part, labels[at], K))
         return frame(parts)
 
     return rows.withColumn("group", group).groupBy("group").applyInPandas(meet, EDGE)
@@ -149,6 +155,29 @@ def confirmed(graph: DataFrame, nodes: DataFrame, threshold: float) -> DataFrame
     return near.join(one, "node").join(two, "nbr").where(dot >= threshold).select("node", "nbr")
 
 
+def enlarged(graph: DataFrame, nodes: DataFrame, label: DataFrame, threshold: float, rounds: int, seed: int) -> DataFrame:
+    """``label`` (node, label) with the components joined that only saturated lists kept apart."""
+    full = graph.where(F.col("sim") >= threshold - 1e-4).groupBy("node").agg(F.count("*").alias("n")).where(F.col("n") >= K).select("node")
+    full = stored(full, "saturated")
+    for k in range(1 << 30):
+        crowds = stored(label.join(full, "node").select("label").distinct(), "saturated-components")
+        if len(crowds.take(2)) < 2:
+            return label
+        members = stored(nodes.drop("label").join(label, "node").join(crowds, "label"), "saturated-members")
+        n = members.count()
+        inside = graph.join(members.select("node"), "node", "left_semi").join(members.select(F.col("node").alias("nbr")), "nbr", "left_semi").select("node", "nbr", "sim")
+        outside = stored(best(forest(members, n, seed + k)), "outside")
+        for _ in range(rounds):
+            outside = stored(best(descend(inside.union(outside), members, n).union(outside)), "outside")
+        found = confirmed(outside, members, threshold)
+        one, two = label.select("node", F.col("label").alias("a")), label.select(F.col("node").alias("nbr"), F.col("label").alias("b"))
+        found = stored(found.join(one, "node").join(two, "nbr").select("a", "b").distinct(), "outside-links")
+        if not found.take(1):
+            return label
+        met = connected_components(found, "enlarged").select(F.col("node").alias("label"), "component")
+        label = stored(label.join(met, "label", "left").select("node", F.coalesce("component", "label").alias("label")), "enlarged-labels")
+
+
 def counts(members: DataFrame, n: int, threshold: float) -> DataFrame:
     """(node, links): within every component, the copies that each node links with, itself included.
 
@@ -206,6 +235,7 @@ def audited(nodes: DataFrame, found: DataFrame, threshold: float) -> float:
 def components(vectors: DataFrame, threshold: float = 0.95, rounds: int = 2, target: float = 0.99, attempts: int = 3, seed: int = 11) -> DataFrame:
     """vec_id, n_links, component_id, audit_recall of every row."""
     rows, nodes = nodes_of(vectors)
+    nodes = nodes.withColumn("label", F.col("node"))
     n = nodes.count()
     graph = links = label = None
     recall = 1.0
@@ -216,7 +246,8 @@ def components(vectors: DataFrame, threshold: float = 0.95, rounds: int = 2, tar
             graph = stored(best(descend(graph, nodes, n).union(graph)), f"graph-{attempt}-{k}")
         edges = confirmed(graph, nodes, threshold).select(F.col("node").alias("a"), F.col("nbr").alias("b"))
         label = connected_components(edges, f"embeddings-{attempt}").select("node", F.col("component").alias("label"))
-        links = stored(counts(label.join(nodes, "node").select("label", "node", "vec", "copies"), n, threshold), f"links-{attempt}")
+        label = enlarged(graph, nodes, stored(label, f"labels-{attempt}"), threshold, rounds, seed + 1000 * (attempt + 1))
+        links = stored(counts(label.join(nodes.drop("label"), "node").select("label", "node", "vec", "copies"), n, threshold), f"links-{attempt}")
         recall = audited(nodes, links, threshold)
         if recall >= target:
             break

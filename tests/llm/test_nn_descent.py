@@ -65,3 +65,26 @@ def test_recall_on_the_whole_table(spark):
 
 def test_query_against_sql(spark):
     same(queries.op5_nn_descent(spark, "/root/testdata/sf0.01").toPandas(), oracle("op5_nn_descent", "/root/testdata/sf0.01"))
+
+
+def near(rng, centre, cosine, n=1):
+    """Vectors at a cosine from a unit vector."""
+    u = rng.normal(size=(n, len(centre)))
+    u -= (u @ centre)[:, None] * centre
+    u /= np.linalg.norm(u, axis=1, keepdims=True)
+    return cosine * centre + np.sqrt(1 - cosine**2) * u
+
+
+def test_crowded_groups_link_across_saturated_lists(spark):
+    rng = np.random.default_rng(8)
+    rows = []
+    for _ in range(12):  # two groups of 24, 0.99 inside and 0.96 across, and a third behind the second
+        a = near(rng, np.eye(32)[0], 0.0)[0]
+        b = near(rng, a, 0.965)[0]
+        c = near(rng, b, 0.965)[0]
+        for centre in (a, b, c):
+            rows += near(rng, centre, 0.9975, 24).astype(np.float32).tolist()
+    rows += rng.normal(size=(300, 32)).astype(np.float32).tolist()
+    rows = list(enumerate(rows))
+    got, want = run(spark, rows), brute(rows)
+    assert max(w[1] for w in want) >= 47 and got == want
