@@ -11,9 +11,14 @@ are in its component by then, so the list is enlarged by the ``K`` nearest nodes
 components that hold a saturated list get a forest and rounds in which members of one component do
 not meet, and what links is joined, until no further link is found. The members of a component are
 compared in blocks of about ``BLOCK``; only
-counts leave a block, so no list or pair table of a crowded component exists. The
-recall of a bounded set of audit nodes is measured by brute force against all nodes, and while it
-is below ``target`` another forest and more rounds are added.
+counts leave a block, so no list or pair table of a crowded component exists.
+
+The trees are as many as a pair at the threshold needs to share a leaf with probability ``target``. Recall is
+the least of several: of probes, planted at cosines from the threshold up beside ``AUDIT`` nodes and not part of
+the result; and, by brute force against all nodes, of ``AUDIT`` nodes and of up to ``PICKS`` nodes of each
+size class of components (powers of two), as the mean over nodes that hold links. While it
+is below ``target`` another forest and more rounds are added; if that does not reach it, all nodes
+are compared block by block, which is quadratic and exact.
 
 Defined cases: a vector that is null, zero or holds a null or non-finite component links with
 nothing and is its own component. Vectors of different length never link. Repeated rows,
@@ -33,8 +38,10 @@ from pyspark.sql import functions as F
 from glossa.llm.common import connected_components, stored
 
 K, TREES, LEAF, BLOCK = 8, 8, 96, 256
-#: Pivots that one group of a local join holds, and nodes whose recall is audited.
-PIVOTS, AUDIT = 400, 256
+#: Pivots that one group of a local join holds, and nodes whose recall is audited, of all and of a size class.
+PIVOTS, AUDIT, PICKS = 400, 256, 16
+#: Nodes in a block of the exact comparison.
+EXACT = 1024
 
 
 def nodes_of(vectors: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -79,9 +86,19 @@ def frame(parts: list[tuple]) -> pd.DataFrame:
     return pd.DataFrame({"node": node, "nbr": nbr, "sim": sim.astype(np.float32)})
 
 
-def forest(nodes: DataFrame, n: int, seed: int) -> DataFrame:
-    """Proposals (node, nbr, sim) from the leaves of ``TREES`` random-hyperplane trees."""
-    depth = max(0, int(np.ceil(np.log2(max(1, n) / (LEAF / 2)))))
+def depth_of(n: int) -> int:
+    return max(0, int(np.ceil(np.log2(max(1, n) / (LEAF / 2)))))
+
+
+def trees_of(n: int, threshold: float, target: float) -> int:
+    """Trees by which a pair at the threshold shares a leaf with probability ``target``, and ``TREES`` at least."""
+    same = (1 - np.arccos(np.clip(threshold, -1, 1)) / np.pi) ** depth_of(n)
+    return TREES if same >= target else max(TREES, int(np.ceil(np.log1p(-target) / np.log1p(-same))))
+
+
+def forest(nodes: DataFrame, n: int, seed: int, trees: int) -> DataFrame:
+    """Proposals (node, nbr, sim) from the leaves of random-hyperplane trees."""
+    depth = depth_of(n)
 
     def leaves(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         planes: dict[int, np.ndarray] = {}
@@ -89,10 +106,10 @@ def forest(nodes: DataFrame, n: int, seed: int) -> DataFrame:
             for dim, part in batch.groupby("dim"):
                 dim = int(dim)
                 if dim not in planes:
-                    planes[dim] = np.random.default_rng([seed, dim]).normal(size=(dim, TREES * depth))
-                side = (np.vstack(part["vec"].to_numpy()) @ planes[dim] > 0).reshape(len(part), TREES, depth)
+                    planes[dim] = np.random.default_rng([seed, dim]).normal(size=(dim, trees * depth))
+                side = (np.vstack(part["vec"].to_numpy()) @ planes[dim] > 0).reshape(len(part), trees, depth)
                 code = (side * (1 << np.arange(depth, dtype=np.int64))).sum(axis=2)
-                for t in range(TREES):
+                for t in range(trees):
                     yield pd.DataFrame({"tree": t, "dim": dim, "code": code[:, t], "node": part["node"], "label": part["label"], "vec": [np.asarray(v, np.float32) for v in part["vec"]]})
 
     rows = nodes.mapInPandas(leaves, "tree int, dim int, code long, node long, label long, vec array<float>")
@@ -100,7 +117,7 @@ def forest(nodes: DataFrame, n: int, seed: int) -> DataFrame:
     # A crowded leaf is dealt into blocks by hash, so no group is larger than a few LEAF.
     crowd = stored(rows.groupBy(*keys).agg(F.count("*").alias("n")).where(F.col("n") > 2 * LEAF), "crowded-leaves")
     rows = rows.join(crowd, keys, "left").withColumn("part", F.when(F.col("n").isNull(), 0).otherwise(F.pmod(F.xxhash64("node", "tree"), F.ceil(F.col("n") / LEAF))))
-    group = F.pmod(F.xxhash64(*keys, "part"), F.lit(1 + n * TREES // (PIVOTS * 16)))
+    group = F.pmod(F.xxhash64(*keys, "part"), F.lit(1 + n * trees // (PIVOTS * 16)))
 
     def propose(group: pd.DataFrame) -> pd.DataFrame:
         parts = []
@@ -155,7 +172,7 @@ def confirmed(graph: DataFrame, nodes: DataFrame, threshold: float) -> DataFrame
     return near.join(one, "node").join(two, "nbr").where(dot >= threshold).select("node", "nbr")
 
 
-def enlarged(graph: DataFrame, nodes: DataFrame, label: DataFrame, threshold: float, rounds: int, seed: int) -> DataFrame:
+def enlarged(graph: DataFrame, nodes: DataFrame, label: DataFrame, threshold: float, rounds: int, target: float, seed: int) -> DataFrame:
     """``label`` (node, label) with the components joined that only saturated lists kept apart."""
     full = graph.where(F.col("sim") >= threshold - 1e-4).groupBy("node").agg(F.count("*").alias("n")).where(F.col("n") >= K).select("node")
     full = stored(full, "saturated")
@@ -166,7 +183,7 @@ def enlarged(graph: DataFrame, nodes: DataFrame, label: DataFrame, threshold: fl
         members = stored(nodes.drop("label").join(label, "node").join(crowds, "label"), "saturated-members")
         n = members.count()
         inside = graph.join(members.select("node"), "node", "left_semi").join(members.select(F.col("node").alias("nbr")), "nbr", "left_semi").select("node", "nbr", "sim")
-        outside = stored(best(forest(members, n, seed + k)), "outside")
+        outside = stored(best(forest(members, n, seed + k, trees_of(n, threshold, target))), "outside")
         for _ in range(rounds):
             outside = stored(best(descend(inside.union(outside), members, n).union(outside)), "outside")
         found = confirmed(outside, members, threshold)
@@ -174,12 +191,37 @@ def enlarged(graph: DataFrame, nodes: DataFrame, label: DataFrame, threshold: fl
         found = stored(found.join(one, "node").join(two, "nbr").select("a", "b").distinct(), "outside-links")
         if not found.take(1):
             return label
-        met = connected_components(found, "enlarged").select(F.col("node").alias("label"), "component")
-        label = stored(label.join(met, "label", "left").select("node", F.coalesce("component", "label").alias("label")), "enlarged-labels")
+        label = merged(label, found)
+
+
+def merged(label: DataFrame, found: DataFrame) -> DataFrame:
+    """``label`` (node, label) with the components joined that the pairs of labels (a, b) link."""
+    met = connected_components(found, "enlarged").select(F.col("node").alias("label"), "component")
+    return stored(label.join(met, "label", "left").select("node", F.coalesce("component", "label").alias("label")), "enlarged-labels")
+
+
+def across(nodes: DataFrame, n: int, threshold: float) -> DataFrame:
+    """(a, b): the pairs of labels that a link joins, by comparing all nodes block by block."""
+    blocks = -(-n // EXACT)
+    rows = nodes.select("node", "label", "vec", "dim", F.pmod(F.xxhash64("node"), F.lit(blocks)).cast("int").alias("own"))
+    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
+    rows = rows.select("label", "vec", "dim", "own", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"))
+
+    def compare(group: pd.DataFrame) -> pd.DataFrame:
+        parts = [np.empty((0, 2), np.int64)]
+        for _, g in group.groupby("dim"):
+            one, two = g[g["own"] == g["lo"]], g[g["own"] == g["hi"]]
+            if len(one) and len(two):
+                a, b = one["label"].to_numpy(np.int64), two["label"].to_numpy(np.int64)
+                x, y = np.nonzero((np.vstack(one["vec"].to_numpy()) @ np.vstack(two["vec"].to_numpy()).T >= threshold) & (a[:, None] != b[None, :]))
+                parts.append(np.unique(np.stack([a[x], b[y]], axis=1), axis=0))
+        return pd.DataFrame(np.concatenate(parts), columns=["a", "b"])
+
+    return stored(rows.groupBy("lo", "hi").applyInPandas(compare, "a long, b long").distinct(), "exact-links")
 
 
 def counts(members: DataFrame, n: int, threshold: float) -> DataFrame:
-    """(node, links): within every component, the copies that each node links with, itself included.
+    """(node, links, pairs): within every component, the copies and the nodes that each node links with, itself included.
 
     ``members``: (label, node, vec, copies). A component is compared block by block, so a saturated
     list needs no larger list; components of one block share groups.
@@ -200,18 +242,47 @@ def counts(members: DataFrame, n: int, threshold: float) -> DataFrame:
             np.fill_diagonal(linked, True)
             if lo != hi:
                 linked &= own[:, None] != own[None, :]
-            parts.append(pd.DataFrame({"node": ids, "links": linked @ n}))
+            parts.append(pd.DataFrame({"node": ids, "links": linked @ n, "pairs": linked.sum(axis=1)}))
         return pd.concat(parts)
 
-    found = small.groupBy("group").applyInPandas(compare, "node long, links long")
-    return found.groupBy("node").agg(F.sum("links").alias("links"))
+    found = small.groupBy("group").applyInPandas(compare, "node long, links long, pairs long")
+    return found.groupBy("node").agg(F.sum("links").alias("links"), F.sum("pairs").alias("pairs"))
 
 
-def audited(nodes: DataFrame, found: DataFrame, threshold: float) -> float:
-    """Share of the true links of the ``AUDIT`` first nodes by hash that were found."""
-    sample = nodes.orderBy(F.xxhash64("node"), "node").limit(AUDIT).select("node", "vec", "copies").collect()
-    if not sample:
-        return 1.0
+def planted(nodes: DataFrame, threshold: float, seed: int) -> DataFrame:
+    """Probes, as nodes and with their ``origin``: beside each of the ``AUDIT`` first nodes by hash, a vector that links with it."""
+    sample = nodes.orderBy(F.xxhash64("node"), "node").limit(AUDIT).select("node", "vec", F.xxhash64("node", F.lit("probe")).alias("probe")).collect()
+    rng, rows = np.random.default_rng([seed, 1]), []
+    for k, r in enumerate(sample):
+        v = np.array(r["vec"])
+        u = rng.normal(size=len(v))
+        u -= (u @ v) * v
+        size = np.sqrt(u @ u)
+        cosine = threshold + (1 - threshold) * (0.001 + 0.9 * k / AUDIT) if size > 1e-6 else 1.0
+        v = cosine * v + (np.sqrt(max(0.0, 1 - cosine**2)) * u / size if cosine < 1 else 0.0)
+        rows.append((r["probe"], (v / np.sqrt(v @ v)).tolist(), len(v), r["node"]))
+    probes = nodes.sparkSession.createDataFrame(rows, "node long, vec array<double>, dim int, origin long")
+    return stored(probes.select("node", "vec", "dim", F.lit(0).cast("long").alias("copies"), F.lit(None).cast("long").alias("low"), F.col("node").alias("label"), "origin"), "probes")
+
+
+def probed(graph: DataFrame, nodes: DataFrame, probes: DataFrame, label: DataFrame, threshold: float) -> float:
+    """Share of the probes that the graph links with the component of their origin; ``nodes`` holds both kinds."""
+    total = probes.count()
+    both = graph.union(graph.select(F.col("nbr").alias("node"), F.col("node").alias("nbr"), "sim"))
+    both = confirmed(both.join(F.broadcast(probes.select("node")), "node", "left_semi"), nodes, threshold)
+    both = both.join(probes.select("node", "origin"), "node")
+    one, two = label.select(F.col("node").alias("nbr"), F.col("label").alias("x")), label.select(F.col("node").alias("origin"), F.col("label").alias("y"))
+    met = both.join(one, "nbr", "left").join(two, "origin", "left").where(F.coalesce("x", "nbr") == F.coalesce("y", "origin"))
+    return met.select("node").distinct().count() / total if total else 1.0
+
+
+def audited(nodes: DataFrame, label: DataFrame, found: DataFrame, threshold: float) -> float:
+    """Least share of the true links found, by nodes that hold any: of the ``AUDIT`` first by hash, and of ``PICKS`` of each size class."""
+    first = nodes.orderBy(F.xxhash64("node"), "node").limit(AUDIT).select(F.lit(0).cast("long").alias("kind"), "node")
+    sizes = label.groupBy("label").agg(F.floor(F.log2(F.count("*").cast("double"))).alias("kind"))
+    picks = label.join(sizes, "label").groupBy("kind", F.pmod(F.xxhash64("node"), F.lit(PICKS)).alias("part")).agg(F.min("node").alias("node"))
+    asked = stored(first.union(picks.select("kind", "node")), "audit")
+    sample = nodes.join(asked.select("node").distinct(), "node").select("node", "vec").collect()
     ids, by = [r["node"] for r in sample], {}
     for k, r in enumerate(sample):
         by.setdefault(len(r["vec"]), []).append((k, np.array(r["vec"])))
@@ -223,13 +294,14 @@ def audited(nodes: DataFrame, found: DataFrame, threshold: float) -> float:
             for dim, part in batch.groupby("dim"):
                 if dim in sent.value:
                     at, q = sent.value[dim]
-                    true[at] += (q @ np.vstack(part["vec"].to_numpy()).T >= threshold) @ part["copies"].to_numpy(np.int64)
+                    true[at] += (q @ np.vstack(part["vec"].to_numpy()).T >= threshold).sum(axis=1)
         yield pd.DataFrame({"node": ids, "true": true})
 
-    true = nodes.mapInPandas(run, "node long, true long").groupBy("node").agg(F.sum("true").alias("true"))
-    both = true.join(found, "node", "left").join(nodes.select("node", "copies"), "node")
-    got = both.agg(F.sum(F.least(F.coalesce("links", "copies"), "true") - 1).alias("got"), F.sum(F.col("true") - 1).alias("true")).first()
-    return 1.0 if not got["true"] else float(got["got"]) / float(got["true"])
+    true = nodes.mapInPandas(run, "node long, true long").groupBy("node").agg(F.sum("true").alias("true")).where(F.col("true") > 1)
+    share = (F.least(F.coalesce("pairs", F.lit(1)), "true") - 1) / (F.col("true") - 1)
+    least = asked.join(true, "node").join(found, "node", "left").groupBy("kind").agg(F.avg(share).alias("share")).agg(F.min("share")).first()[0]
+    # Without a true link only the probes tell.
+    return 1.0 if least is None else float(least)
 
 
 def components(vectors: DataFrame, threshold: float = 0.95, rounds: int = 2, target: float = 0.99, attempts: int = 3, seed: int = 11) -> DataFrame:
@@ -237,20 +309,32 @@ def components(vectors: DataFrame, threshold: float = 0.95, rounds: int = 2, tar
     rows, nodes = nodes_of(vectors)
     nodes = nodes.withColumn("label", F.col("node"))
     n = nodes.count()
+    probes = planted(nodes, threshold, seed)
+    every = nodes.union(probes.drop("origin"))
+    trees = trees_of(n, threshold, target)
     graph = links = label = None
     recall = 1.0
+
+    def counted(name: str) -> DataFrame:
+        return stored(counts(label.join(nodes.drop("label"), "node").select("label", "node", "vec", "copies"), n, threshold), name)
+
     for attempt in range(attempts):
-        proposals = forest(nodes, n, seed + attempt)
+        proposals = forest(every, n, seed + attempt, trees)
         graph = stored(best(proposals if graph is None else proposals.union(graph)), f"graph-{attempt}")
         for k in range(rounds):
-            graph = stored(best(descend(graph, nodes, n).union(graph)), f"graph-{attempt}-{k}")
+            graph = stored(best(descend(graph, every, n).union(graph)), f"graph-{attempt}-{k}")
+        # Probes are no nodes of the result, so that their links end here.
         edges = confirmed(graph, nodes, threshold).select(F.col("node").alias("a"), F.col("nbr").alias("b"))
         label = connected_components(edges, f"embeddings-{attempt}").select("node", F.col("component").alias("label"))
-        label = enlarged(graph, nodes, stored(label, f"labels-{attempt}"), threshold, rounds, seed + 1000 * (attempt + 1))
-        links = stored(counts(label.join(nodes.drop("label"), "node").select("label", "node", "vec", "copies"), n, threshold), f"links-{attempt}")
-        recall = audited(nodes, links, threshold)
+        label = enlarged(graph, nodes, stored(label, f"labels-{attempt}"), threshold, rounds, target, seed + 1000 * (attempt + 1))
+        links = counted(f"links-{attempt}")
+        recall = min(probed(graph, every, probes, label, threshold), audited(nodes, label, links, threshold))
         if recall >= target:
             break
+    if recall < target:
+        label = stored(nodes.select("node").join(label, "node", "left").select("node", F.coalesce("label", "node").alias("label")), "all-labels")
+        label = merged(label, across(nodes.drop("label").join(label, "node"), n, threshold))
+        links, recall = counted("links-exact"), 1.0
     known = nodes.select("node", "copies", "low").join(label, "node", "left").join(links, "node", "left")
     known = known.select("node", F.coalesce("label", "node").alias("label"), (F.coalesce("links", "copies") - 1).alias("n_links"), "low")
     least = known.groupBy("label").agg(F.min("low").alias("component_id"))

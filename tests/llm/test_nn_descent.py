@@ -88,3 +88,20 @@ def test_crowded_groups_link_across_saturated_lists(spark):
     rows = list(enumerate(rows))
     got, want = run(spark, rows), brute(rows)
     assert max(w[1] for w in want) >= 47 and got == want
+
+
+def test_links_of_every_group_size_without_proposals(spark, monkeypatch):
+    rng, rows = np.random.default_rng(9), []
+    for size in (1, 1, 2, 2, 2, 3, 5, 8, 9, 17, 40):
+        rows += near(rng, near(rng, np.eye(32)[0], 0.0)[0], 0.99, size).astype(np.float32).tolist()
+    rows += rng.normal(size=(1200, 32)).astype(np.float32).tolist()
+    rows = list(enumerate(rows))
+    want = sorted(brute(rows))
+    docs = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    result = lambda: sorted(((r.vec_id, r.n_links, r.component_id), r.audit_recall) for r in nn_descent.components(docs, attempts=1).collect())
+    got = result()
+    assert [g for g, _ in got] == want and all(recall >= 0.99 for _, recall in got)
+    # A forest that proposes nothing is noticed, though few nodes hold a link, and the exact way is taken.
+    forest = nn_descent.forest
+    monkeypatch.setattr(nn_descent, "forest", lambda *a: forest(*a).where("node < nbr AND node > nbr"))
+    assert result() == [(w, 1.0) for w in want]
