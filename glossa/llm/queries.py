@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from glossa.llm import decontaminate, near_dedup, nn_descent, packing, ppm, sanitise, templates, toolcalls, toxicity, warc
+from glossa.llm import alignment, arrowfile, decontaminate, near_dedup, nn_descent, packing, ppm, sanitise, templates, toolcalls, toxicity, vafile, warc
 from glossa.llm.common import crc_bucket, row_key, table
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -101,6 +101,38 @@ SELECT vec_id, (SELECT count(*) FROM link WHERE link.a = vec_id) AS n_links, min
 FROM v JOIN reach ON reach.a = vec_id GROUP BY vec_id
 """
 
+
+
+def _op13_sql(rounds: int = 5, k: int = 40, dims: int = 64) -> str:
+    """The rounds one after the other; floor division by floor_div of exact integers."""
+    steps = []
+    for r in range(rounds + 1):
+        steps.append(f"""a{r} AS MATERIALIZED (
+  SELECT row, min({{'d': d, 'c': c}}) AS best FROM (
+    SELECT v.row, cent.c, list_sum([(y[1] - y[2]) * (y[1] - y[2]) FOR y IN list_zip(v.q, cent.q)])::BIGINT AS d FROM v, c{r} AS cent
+  ) GROUP BY row
+)""")
+        if r < rounds:
+            steps.append(f"""m{r} AS MATERIALIZED (
+  SELECT c, list(CASE WHEN s >= 0 THEN s // n ELSE -((-s + n - 1) // n) END ORDER BY d) AS q FROM (
+    SELECT best.c AS c, d, sum(x)::BIGINT AS s, count(*) AS n FROM (SELECT row, unnest(q) AS x, unnest(range({dims})) AS d FROM v) JOIN a{r} USING (row) GROUP BY 1, 2
+  ) GROUP BY c
+), c{r + 1} AS MATERIALIZED (SELECT c, coalesce(m{r}.q, c{r}.q) AS q FROM c{r} LEFT JOIN m{r} USING (c))""")
+    return f"""
+WITH v AS MATERIALIZED (
+  SELECT row_number() OVER () AS row, vec_id, [floor(256 * x::DOUBLE)::BIGINT FOR x IN embedding] AS q FROM embeddings
+  WHERE len(embedding) = {dims} AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
+), c0 AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY h, q) - 1 AS c, q FROM (SELECT sha256('2:' || coalesce(CAST(vec_id AS VARCHAR), '')) AS h, q FROM v ORDER BY h, q LIMIT {k})
+), {', '.join(steps)}
+SELECT vec_id, best.c::INTEGER AS cluster, best.d::BIGINT AS distance, sum(best.d) OVER (PARTITION BY best.c)::BIGINT AS cluster_inertia,
+  sum(best.d) OVER ()::BIGINT AS inertia, sha256(array_to_string(cent.q, ',')) AS centroid_sha256
+FROM v JOIN a{rounds} USING (row) JOIN c{rounds} AS cent ON cent.c = best.c
+"""
+
+
+OP13_SQL = _op13_sql()
+
 Builder = Callable[[SparkSession, str], DataFrame]
 
 
@@ -164,9 +196,21 @@ def op10_warc_derivatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.derive(warc.from_pages(table(spark, sf_dir, "pages")))
 
 
+def op11_arrow_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return arrowfile.read(arrowfile.write(table(spark, sf_dir, "documents")))
+
+
+def op12_pair_bitmaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align(table(spark, sf_dir, "documents"))
+
+
+def op13_va_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vafile.report(table(spark, sf_dir, "embeddings"))
+
+
 def queries() -> dict[str, Builder]:
     return {k: f for k, f in globals().items() if k.startswith("op") and callable(f)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_line_dedup": OP3_SQL, "op4_tool_calls": OP4_SQL, "op5_nn_descent": OP5_SQL, "op8_decontamination": OP8_SQL}
+    return {"op3_line_dedup": OP3_SQL, "op4_tool_calls": OP4_SQL, "op5_nn_descent": OP5_SQL, "op8_decontamination": OP8_SQL, "op13_va_file": OP13_SQL}
