@@ -284,7 +284,8 @@ def align(docs: DataFrame, a: str = "byte_bpe_50k", b: str = "piece_bpe_32k", bl
     """doc_id, n_a, n_b, n_groups, n_links, n_best, count_sum and groups_sha256 of every document."""
     rows = index(docs, a, b, block_bytes)
     scores = pair_counts(rows).select("pair", "links", "best")
-    postings = rows.where("pair IS NOT NULL").select("block", "pair", "plane", "n", "bits").join(scores, "pair").select("block", "plane", "n", "bits", "links", "best")
+    # Pairs grow with the corpus, so they are merged with the postings at every size, never broadcast.
+    postings = rows.where("pair IS NOT NULL").select("block", "pair", "plane", "n", "bits").join(scores.hint("merge"), "pair").select("block", "plane", "n", "bits", "links", "best")
 
     def run(group: pd.DataFrame) -> pd.DataFrame:
         row, place = unpack(group["n"].to_numpy(np.int64), group["bits"].tolist())
