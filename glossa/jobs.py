@@ -14,7 +14,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from glossa.operators import joins, marts, ml, quality, sentiment, social, stats, timeseries
+from glossa.operators import joins, marts, ml, quality, social, stats, timeseries, valence
 from glossa.operators import text as X
 from glossa.session import durable
 from glossa.sources import files
@@ -38,7 +38,7 @@ def ingest_job(spark: SparkSession, raw_folder: str, products_path: str | None,
 def transform_job(spark: SparkSession, combined: DataFrame, out_dir: str, *, n_init: int = 10) -> dict:
     """Steps B*, C*, K1–K5, F1–F9, A7, A8: processed reviews and the five marts."""
     cleaned = X.clean_reviews(combined)
-    enriched = X.keyword_insights(sentiment.analyze(X.categorize(cleaned)))
+    enriched = X.keyword_insights(valence.analyze(X.categorize(cleaned)))
     featured = X.text_features(enriched).withColumn("text_length", F.length("cleaned_text").cast("long"))
     base = durable(featured)
     clustered, info = ml.cluster_reviews(base, n_init=n_init, checkpoint=False)

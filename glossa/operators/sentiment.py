@@ -10,10 +10,11 @@ The blend is the mean of both. Both lexicons are parameters; the default ones
 below are small and our own, so scores are comparable in method, not in value,
 to any published lexicon.
 
-One plan for every lexicon: the tokens of each distinct text, with their 3
+Lexicon tables: the tokens of each distinct text, with their 3
 predecessors, are joined to the lexicon without a hint (Spark broadcasts it only
 below ``spark.sql.autoBroadcastJoinThreshold``), summed per text, and the sums go
-back to the rows by the text's key. Nothing runs while the plan is built. A
+back to the rows by the text's key. Lexicons written in the code as short dicts are constants
+of a row-local expression instead, without a shuffle. Nothing runs while the plan is built. A
 lexicon that lists a token several times gives it the mean of its valences; an
 empty lexicon scores everything 0.
 """
@@ -53,6 +54,8 @@ BOOST_DECAY = (1.0, 0.95, 0.9)
 NEGATION_SCALAR = -0.74
 ALPHA = 15.0
 POLARITY_SCALE = 4.0
+#: Words of a dict lexicon up to which it is a constant of the plan; a map is probed entry by entry.
+CONSTANT_WORDS = 200
 
 # Label thresholds: reviews use strict 0.1 (C4); tweets use inclusive 0.05.
 REVIEW_THRESHOLDS = (0.1, False)
@@ -122,8 +125,8 @@ def score_map(
     text_col: str = "cleaned_text",
     clean: bool = True,
 ) -> DataFrame:
-    """Row-local form for streams, whose rows cannot be joined back to their own aggregate:
-    tokens probe constant maps of lexicons that are written in the code."""
+    """Row-local form of short dict lexicons, for batches and for streams (whose rows cannot be joined back to their
+    own aggregate): tokens probe constant maps of lexicons that are written in the code."""
     polarity = word_polarities(lexicon, polarity)
     lexicon = DEFAULT_LEXICON if lexicon is None else lexicon
     # Tokenise once into a column: the lambdas below index the array repeatedly.
@@ -170,6 +173,9 @@ def score(
     stands for both.
     """
     spark = df.sparkSession
+    if not isinstance(lexicon, DataFrame) and not isinstance(polarity, DataFrame):
+        if max(len(d) for d in (lexicon or {}, polarity or {})) <= CONSTANT_WORDS:
+            return score_map(df, lexicon, polarity=polarity, text_col=text_col, clean=clean)
     if not isinstance(polarity, DataFrame):
         if isinstance(lexicon, DataFrame) and polarity is None:
             polarity = lexicon.select("token", _polarity(F.col("valence").cast("double")).alias("polarity"))
@@ -220,8 +226,13 @@ def analyze(
 
     The input is the cleaned text by default (as in the processing job);
     ``clean=True`` cleans it first."""
+    return blended(score(df, lexicon, polarity=polarity, text_col=text_col, clean=clean))
+
+
+def blended(scored: DataFrame) -> DataFrame:
+    """The mean of both scores, its label and its intensity."""
     blend = (F.col("vader_compound") + F.col("textblob_sentiment")) / 2.0
-    return score(df, lexicon, polarity=polarity, text_col=text_col, clean=clean).withColumn("sentiment_score", blend).withColumns(
+    return scored.withColumn("sentiment_score", blend).withColumns(
         {
             "sentiment_label": label(F.col("sentiment_score"), *REVIEW_THRESHOLDS),
             "sentiment_intensity": F.abs(F.col("sentiment_score")),

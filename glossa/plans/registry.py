@@ -50,6 +50,7 @@ def all_queries() -> dict[str, Query]:
         marts_plans,
         ml_plans,
         quality_plans,
+        rule_plans,
         segment_plans,
         social_plans,
         stats_plans,
