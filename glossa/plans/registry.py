@@ -47,6 +47,7 @@ def all_queries() -> dict[str, Query]:
     # Import the plan modules for their registration side effect.
     from glossa.plans import (  # noqa: F401
         dirty_plans,
+        landing_plans,
         marts_plans,
         ml_plans,
         quality_plans,
