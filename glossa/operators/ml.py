@@ -8,16 +8,16 @@ recomputes from the checkpoint, not from the whole upstream plan.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import PCA, StandardScaler, VectorAssembler
+from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import LinearRegression
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pyspark.storagelevel import StorageLevel
 
+from glossa.operators import kmeans
 from glossa.session import durable
 
 # Candidate clustering features, in order.
@@ -46,18 +46,17 @@ def cluster_reviews(
     n_init: int = 10,
     seed: int = 42,
     checkpoint: bool = True,
-    parallelism: int = 4,
+    iterations: int = 20,
 ) -> tuple[DataFrame, dict]:
     """K1–K5: null→0, standardise, PCA to min(3, features), k-means with ``n_init``
-    seeds (lowest cost kept; ties → lowest seed). Returns the reviews with
+    restarts (lowest cost kept; ties → first restart). Returns the reviews with
     ``user_cluster`` and an info dict.
 
     The fits only need the feature vectors: they are cut
     from their lineage in the shared checkpoint folder and kept in memory for the
-    repeated passes (a lost block is re-read from the checkpoint). The ``n_init``
-    k-means runs are independent and are submitted ``parallelism`` at a time
-    (concurrent Spark jobs, like model-selection parallelism). The full review rows
-    are read once more at the end to attach the cluster of the best model.
+    passes of scaler and PCA (a lost block is re-read from the checkpoint). The restarts
+    share their scans over the distinct projected points (``kmeans``). The full review rows
+    are read once more at the end to attach the cluster of the best restart.
 
     Fewer than ``MIN_FEATURES`` present features → every review in cluster 0.
     Spark scales by the sample std (sklearn: population) — a common factor, same
@@ -79,27 +78,18 @@ def cluster_reviews(
         scaler = StandardScaler(inputCol="_raw", outputCol="_scaled", withMean=True, withStd=True).fit(feats)
         n_comp = min(n_components, len(used))
         pca_model = PCA(k=n_comp, inputCol="_scaled", outputCol="_pca").fit(scaler.transform(feats))
-        fit_data = pca_model.transform(scaler.transform(feats)).select("_pca").persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-
-            def fit(i):
-                model = KMeans(k=k, seed=seed + i, featuresCol="_pca", predictionCol="user_cluster").fit(fit_data)
-                return model.summary.trainingCost, i, model
-
-            with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
-                results = list(pool.map(fit, range(n_init)))
-        finally:
-            fit_data.unpersist()
+        axes = [vector_to_array("_pca")[i] for i in range(n_comp)]
+        points = kmeans.weighted_points(pca_model.transform(scaler.transform(feats)), axes)
     finally:
         feats.unpersist()
-    best_cost, _, best = min(results, key=lambda t: (t[0], t[1]))
+    best = kmeans.best(kmeans.fit(points, n_comp, k=k, restarts=n_init, iterations=iterations, seed=seed))
     projected = pca_model.transform(scaler.transform(assembler.transform(filled)))
-    out = best.transform(projected).drop("_raw", "_scaled", "_pca")
+    out = projected.withColumn("user_cluster", kmeans.cluster_of(axes, best)).drop("_raw", "_scaled", "_pca")
     info = {
-        "n_clusters": len(best.clusterCenters()),
+        "n_clusters": len(best.centers),
         "features_used": used,
         "variance_explained": float(sum(pca_model.explainedVariance.toArray())),
-        "training_cost": float(best_cost),
+        "training_cost": best.cost / kmeans.SCALE**2,
     }
     return out, info
 

@@ -91,3 +91,13 @@ def durable(df: DataFrame, eager: bool = True) -> DataFrame:
     """
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=eager)
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` as Parquet in the shared checkpoint folder and read it back.
+
+    Like ``durable``, and the planner sees the table's true size, by which it takes or refuses a broadcast.
+    """
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
