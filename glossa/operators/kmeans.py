@@ -2,8 +2,8 @@
 
 Points become whole numbers (millionths), and equal points one weighted row, stored: a point that a third of the rows share is
 one row, and sums are exact, whatever their order. A restart's seeds are drawn one after the other, far points likelier, by
-hashes of (seed, restart, step, point). An iteration is one scan for all restarts: each point finds its nearest centre in every restart by
-expressions over the centres, and weighted sums by (restart, cluster) are combined before they move; what reaches the
+hashes of (seed, restart, step, point). An iteration is one scan for all restarts: each point finds its nearest centre in every
+restart, and weighted sums by (restart, cluster) are combined before they move; what reaches the
 driver has the size of restarts x clusters. Ties go to the smaller cluster number; a centre without points stays.
 """
 
@@ -12,7 +12,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from glossa.session import written
@@ -41,24 +41,30 @@ def weighted_points(df: DataFrame, features: Sequence[Column]) -> DataFrame:
     return written(df.select(*q).groupBy(*[f"q{i}" for i in range(len(q))]).agg(F.count(F.lit(1)).alias("w")), "kmeans-points")
 
 
-def values(spark: SparkSession, centers: dict[int, list[list[float]]]) -> dict[int, list[list[Column]]]:
-    """The centres as columns of one array. It is a scalar subquery, so every iteration's generated code is the same."""
-    flat = [x for r in sorted(centers) for c in centers[r] for x in c]
-    table = spark.sql(f"SELECT * FROM VALUES (array({', '.join(f'{x!r}D' for x in flat)})) AS t(c)").scalar() if flat else None
-    places = iter(range(len(flat)))
-    return {r: [[F.get(table, F.lit(next(places))) for _ in c] for c in centers[r]] for r in sorted(centers)}
+def nearest(q: Column, centers: Column) -> Column:
+    """Struct (d, c): the squared distance to, and number of, the nearest of an array of centres."""
 
+    def square(center: Column) -> Column:
+        return F.aggregate(F.zip_with(q, center, lambda x, y: (x - y) * (x - y)), F.lit(0.0), lambda s, x: s + x)
 
-def nearest(center: Sequence[Sequence[Column]], q: Sequence[Column]) -> Column:
-    """Struct (d, c): the squared distance to, and number of, the nearest centre."""
-    found = []
-    for c, at in enumerate(center):
-        parts = [(x - v) * (x - v) for x, v in zip(q, at)]
-        d = parts[0]
-        for p in parts[1:]:
-            d = d + p
-        found.append(F.struct(d.alias("d"), F.lit(c).alias("c")))
-    return F.least(*found) if len(found) > 1 else found[0]
+    return F.array_min(F.transform(centers, lambda center, i: F.struct(square(center).alias("d"), i.alias("c"))))
+
+
+def literal(centers: Sequence[Sequence[float]]) -> str:
+    inner = ", ".join("array(" + ", ".join(f"{float(x)!r}D" for x in c) + ")" for c in centers)
+    return f"CAST(array({inner}) AS array<array<double>>)"
+
+
+def tried(points: DataFrame, dims: int, centers: dict[int, list[list[float]]]) -> DataFrame:
+    """Every point with every restart and its centres: (q, w, r, centers).
+
+    The centres are a table of restarts x clusters, broadcast; so all iterations have one and the same plan.
+    """
+    rows = ", ".join(f"({r}, {literal(c)})" for r, c in sorted(centers.items()))
+    table = points.sparkSession.sql(f"SELECT * FROM VALUES {rows} AS t(r, centers)")
+    q = F.array(*[F.col(f"q{i}").cast("double") for i in range(dims)])
+    each = points.select("*", q.alias("q"), F.explode(F.array(*map(F.lit, sorted(centers)))).alias("r"))
+    return each.join(F.broadcast(table), "r")
 
 
 def seeds(points: DataFrame, dims: int, k: int, restarts: int, seed: int) -> dict[int, list[list[float]]]:
@@ -66,29 +72,28 @@ def seeds(points: DataFrame, dims: int, k: int, restarts: int, seed: int) -> dic
 
     The draw is the smallest -ln(u) / (weight x distance), u a number in (0, 1) from the md5 of (seed, restart, step, point).
     """
-    q = [F.col(f"q{i}") for i in range(dims)]
+    q = [f"q{i}" for i in range(dims)]
     out: dict[int, list[list[float]]] = {r: [] for r in range(restarts)}
     for step in range(k):
-        found = values(points.sparkSession, {r: c for r, c in out.items() if len(c) == step})
-        distance = [F.struct(F.lit(r).alias("r"), (nearest(c, q)["d"] if c else F.lit(1.0)).alias("d")) for r, c in found.items()]
-        if not distance:
+        open_ = {r: c for r, c in out.items() if len(c) == step}
+        if not open_:
             break
-        tried = points.select("*", F.inline(F.array(*distance))).where("d > 0")
-        key = F.md5(F.concat_ws(":", F.lit(str(seed)), F.col("r").cast("string"), F.lit(str(step)), *[x.cast("string") for x in q]).cast("binary"))
+        distance = nearest(F.col("q"), F.col("centers"))["d"] if step else F.lit(1.0)
+        each = tried(points, dims, open_).withColumn("d", distance).where("d > 0")
+        key = F.md5(F.concat_ws(":", F.lit(str(seed)), F.col("r").cast("string"), F.lit(str(step)), *[F.col(c).cast("string") for c in q]).cast("binary"))
         u = (F.conv(F.substring(key, 1, 8), 16, 10).cast("double") + 0.5) / 2.0**32
-        drawn = F.min(F.struct((-F.ln(u) / (F.col("w") * F.col("d"))).alias("e"), *[f"q{i}" for i in range(dims)]))
-        for row in tried.groupBy("r").agg(drawn.alias("p")).collect():  # one row a restart
-            out[row["r"]].append([float(row["p"][f"q{i}"]) for i in range(dims)])
+        drawn = F.min(F.struct((-F.ln(u) / (F.col("w") * F.col("d"))).alias("e"), *q))
+        for row in each.groupBy("r").agg(drawn.alias("p")).collect():  # one row a restart
+            out[row["r"]].append([float(row["p"][c]) for c in q])
     return out
 
 
 def scan(points: DataFrame, dims: int, centers: dict[int, list[list[float]]]) -> dict[int, dict[int, tuple[list[float], int, float]]]:
     """One scan: for each restart and cluster its members' means, weight and squared distances."""
-    q = [F.col(f"q{i}") for i in range(dims)]
-    tried = F.inline(F.array(*[F.struct(F.lit(r).alias("r"), nearest(c, q).alias("at")) for r, c in values(points.sparkSession, centers).items()]))
-    exact = [F.sum((x * F.col("w")).cast("decimal(38,0)")).cast("double").alias(f"s{i}") for i, x in enumerate(q)]
+    exact = [F.sum((F.col(f"q{i}") * F.col("w")).cast("decimal(38,0)")).cast("double").alias(f"s{i}") for i in range(dims)]
     cost = F.sum((F.col("at.d") * F.col("w")).cast("decimal(38,6)")).cast("double").alias("d")
-    rows = points.select(*q, "w", tried).groupBy("r", F.col("at.c").alias("c")).agg(F.sum("w").alias("n"), cost, *exact).collect()
+    each = tried(points, dims, centers).withColumn("at", nearest(F.col("q"), F.col("centers")))
+    rows = each.groupBy("r", F.col("at.c").alias("c")).agg(F.sum("w").alias("n"), cost, *exact).collect()
     out: dict[int, dict[int, tuple[list[float], int, float]]] = {r: {} for r in centers}
     for row in rows:
         out[row["r"]][row["c"]] = ([row[f"s{i}"] / row["n"] for i in range(dims)], row["n"], row["d"])
@@ -124,4 +129,5 @@ def best(ends: Sequence[Restart]) -> Restart:
 
 def cluster_of(features: Sequence[Column], end: Restart) -> Column:
     """The cluster number of a row's features."""
-    return nearest([[F.lit(x) for x in c] for c in end.centers], [F.coalesce(c, F.lit(0)) for c in whole(features)])["c"]
+    q = F.array(*[F.coalesce(c, F.lit(0)).cast("double") for c in whole(features)])
+    return nearest(q, F.expr(literal(end.centers)))["c"]
