@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from glossa.llm import alignment, arrowfile, decontaminate, near_dedup, nn_descent, packing, ppm, sanitise, templates, toolcalls, toxicity, vafile, warc
-from glossa.llm.common import crc_bucket, row_key, table
+from glossa.llm.common import crc_bucket, table
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -187,7 +187,7 @@ def op9_sanitisation(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = sanitise.found_spans(docs)
     counts = [sanitise.count("base", kind).alias(f"n_{kind}") for kind in sanitise.KINDS[:4]]
     digests = found.select("key", *counts, F.sha2(sanitise.named(F.col("base")), 256).alias("base_sha256"), sanitise.named(F.col("all")).alias("spans"))
-    out = docs.select("doc_id", row_key().alias("key")).join(digests, "key", "left")
+    out = docs.select("doc_id", sanitise.content().alias("key")).join(digests, "key", "left")
     none = {f"n_{kind}": 0 for kind in sanitise.KINDS[:4]} | {"base_sha256": hashlib.sha256(b"").hexdigest(), "spans": ""}
     return out.fillna(none).select("doc_id", *none)
 

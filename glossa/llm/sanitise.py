@@ -1,24 +1,22 @@
 """Operator 9: personal data, and the terms that give it away.
 
 Base spans are e-mail addresses, IP and card numbers and telephone numbers, found by a pattern
-each and then validated. The method adds spans: a validated value is a protected entity, and
-a term (a word of letters) discloses it if the corpus shows that the two occur together far
-beyond chance. A term's disclosure of an entity is its normalised pointwise mutual
-information, log(n_te * N / (n_t * n_e)) / -log(n_te / N), over all documents; n_e and n_te count
-distinct texts, so a copied text is no evidence of its own. A term that reaches ``threshold``
-in at least ``support`` texts of the entity is a span of kind ``term`` wherever it stands in
-a text that holds the entity. ``redact`` generalises a base span to
-its kind and removes a disclosing term.
-
-All steps are DataFrame operations on strings. Positions come from splitting a text by the pattern:
-a match begins where the pieces and matches before it end. Patterns are possessive and begin
-behind a character that could not have begun them sooner, so long runs are read once. Texts move
-only where they hold a base span; term frequencies over all documents are combined
-before they move.
-
-Defined cases: a null or empty text has no span. Rows are told apart by id and text, so equal
-rows count once in the statistics and get equal results; a null id is a row like others. An
-empty table gives no rows. Only ``doc_id`` and ``text`` are read; ``redact`` keeps all columns.
+each and then validated. The method adds spans: a validated value is a protected entity, and so is what it has in common with
+its like (an e-mail's domain, an IP's first two parts, the first six digits of a number). A term (a word of letters) that
+stands within ``near`` code points of an entity co-occurs with it. How much it reveals is the share of the entity's
+information that is gone once the term is known, log(P(e|t) / P(e)) / -log P(e), with P(e) = n_e / N and for P(e|t) the lower
+Wilson bound of n_te / n_t (``z``): one text is weak evidence, more texts that agree are stronger, and there is no number of texts
+below which an entity is left out. All counts are of distinct texts, so copies are no evidence of their own. A term that
+reaches ``threshold`` for any entity is a span of kind ``term`` wherever it stands, in every text, whether or not the value
+stands there too. ``redact`` generalises a base span to its kind and removes a disclosing term.
+
+All steps are DataFrame operations on strings. Equal texts meet once, at the start, and are read as one from there on. Positions
+come from splitting a text by the pattern: a match begins where the pieces and matches before it end. Patterns are possessive and
+begin behind a character that could not have begun them sooner, so long runs are read once. Term frequencies are
+combined before they move, and a frequent term or value is one row a task.
+
+Defined cases: a null or empty text has no span. Equal texts get equal results, whatever their ids; a null id is a row like
+others. An empty table gives no rows. Only ``text`` is read; ``redact`` keeps all columns.
 """
 
 from __future__ import annotations
@@ -26,7 +24,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from glossa.llm.common import row_key, stored
+from glossa.llm.common import stored
 
 #: The kinds in their order, and what each matches.
 EMAIL = "(?:\\G|(?<![A-Za-z0-9._%+-]))[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\\.[A-Za-z0-9-]++)++"
@@ -109,57 +107,80 @@ def named(found: Column) -> Column:
     return F.array_join(F.transform(found, lambda s: F.concat_ws(":", name(s), s["start"].cast("string"), s["end"].cast("string"))), ",")
 
 
-def entity(kind: Column, value: Column) -> Column:
-    """Different spellings of one value are one entity."""
-    return F.xxhash64(kind, F.when(kind == 0, F.lower(value)).when(kind == 1, value).otherwise(digits(value)))
+def content(text: str = "text") -> Column:
+    """A text's key: 96 bits of hashes."""
+    return F.struct(F.xxhash64(text).alias("h"), F.crc32(F.coalesce(F.col(text), F.lit("")).cast("binary")).alias("c"))
 
 
-def disclosing(base: DataFrame, docs: DataFrame, support: int, threshold: float) -> DataFrame:
-    """(content, terms): the lower-case terms that disclose an entity which the text holds.
+def entities(kind: Column, value: Column) -> Column:
+    """The entities of a value: itself (its spellings are one), and what it shares with its like."""
+    whole = F.when(kind == 0, F.lower(value)).when(kind == 1, value).otherwise(digits(value))
+    shared = F.when(kind == 0, F.regexp_extract(whole, "@(.*)$", 1)).when(kind == 1, F.substring_index(value, ".", 2)).otherwise(F.substring(whole, 1, 6))
+    return F.array(F.xxhash64(F.lit("value"), kind, whole), F.xxhash64(F.lit("shared"), kind, shared))
 
-    ``base`` holds (content, text, base) of the rows with base spans, ``docs`` every row.
-    """
-    rows = base.select("content", F.explode("base").alias("s")).select("content", entity(F.col("s.k"), F.col("s.value")).alias("entity")).distinct()
-    n_e = rows.groupBy("entity").agg(F.count("*").alias("n_e")).where(F.col("n_e") >= support)
-    pairs = stored(rows.join(n_e, "entity"), "entities")
-    held = base.select("content", "text").join(pairs.select("content").distinct(), "content", "left_semi").dropDuplicates(["content"])
-    words = held.select("content", F.explode(F.array_distinct(terms("text"))).alias("term"))
-    both = pairs.join(words, "content").groupBy("entity", "n_e", "term").agg(F.count("*").alias("n_te"))
-    both = stored(both.where(F.col("n_te") >= support), "entity-terms")
-    n_t = docs.select(F.explode(F.array_distinct(terms("text"))).alias("term")).groupBy("term").agg(F.count("*").alias("n_t"))
-    both = both.join(n_t, "term").withColumn("total", F.lit(float(docs.count())))
-    pmi = F.log(F.col("n_te") * F.col("total") / (F.col("n_t") * F.col("n_e")))
-    everywhere = F.col("n_te") >= F.col("total")
-    score = F.when(everywhere, 0.0).otherwise(pmi / -F.log(F.when(everywhere, 0.5).otherwise(F.col("n_te") / F.col("total"))))
-    known = both.where(score >= threshold).groupBy("entity").agg(F.collect_set("term").alias("terms"))
-    return pairs.join(known, "entity").groupBy("content").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("terms")))).alias("terms"))
-
-
-def terms(text: str) -> Column:
-    return F.regexp_extract_all(F.lower(F.coalesce(F.col(text), F.lit(""))), F.lit(TERM), F.lit(0))
-
-
-def found_spans(docs: DataFrame, support: int = 5, threshold: float = 0.9) -> DataFrame:
-    """(key, base, all): for the rows that hold any, the base spans, and these with what the method adds."""
-    docs = docs.select("doc_id", "text")
-    rows = docs.select(row_key().alias("key"), F.xxhash64("text").alias("content"), "text", F.explode(F.array(base_spans(F.col("text")))).alias("base"))
-    base = stored(rows.where(F.size("base") > 0).dropDuplicates(["key"]), "base-spans")
-    given = stored(disclosing(base, docs, support, threshold), "disclosing")
-    out = base.join(given, "content", "left")
+
+def terms(text: Column) -> Column:
+    return F.array_distinct(F.regexp_extract_all(F.lower(text), F.lit(TERM), F.lit(0)))
+
+
+def around(text: Column, span: Column, near: int) -> Column:
+    """The terms before and behind a span within ``near`` code points; a word that is cut there does not count."""
+    first = F.greatest(F.lit(0), span["start"] - near - 1)
+    left = F.substring(text, first + 1, span["start"] - first)
+    left = F.when(first > 0, F.regexp_replace(left, "^[\\p{L}\\p{N}]+", "")).otherwise(left)
+    right = F.substring(text, span["end"] + 1, F.lit(near + 1))
+    right = F.when(F.length(right) > near, F.regexp_replace(right, "[\\p{L}\\p{N}]+$", "")).otherwise(right)
+    return F.array_distinct(F.concat(terms(left), terms(right)))
+
+
+def distinct_texts(docs: DataFrame) -> DataFrame:
+    """(content, text, base): every text that is not empty once, with its base spans."""
+    rows = docs.select(content().alias("content"), "text").where("text <> ''").groupBy("content").agg(F.first("text").alias("text"))
+    return stored(rows.select("content", "text", F.explode(F.array(base_spans(F.col("text")))).alias("base")), "distinct-texts")
+
+
+def disclosing(texts: DataFrame, near: int, threshold: float, z: float) -> DataFrame:
+    """(term): the lower-case terms that disclose an entity, from (content, text, base) of distinct texts."""
+    span = F.explode("base").alias("s")
+    met = texts.where(F.size("base") > 0).select("content", "text", span)
+    met = met.select("content", F.explode(entities(F.col("s.k"), F.col("s.value"))).alias("entity"), around(F.col("text"), F.col("s"), near).alias("terms"))
+    met = stored(met, "entities")
+    n_e = met.select("entity", "content").distinct().groupBy("entity").agg(F.count("*").alias("n_e"))
+    n_te = met.select("entity", "content", F.explode("terms").alias("term")).distinct().groupBy("entity", "term").agg(F.count("*").alias("n_te"))
+    n_t = texts.select(F.explode(terms(F.col("text"))).alias("term")).groupBy("term").agg(F.count("*").alias("n_t"))
+    both = n_te.join(n_e, "entity").join(n_t, "term").withColumn("total", F.lit(float(texts.count())))
+    n, share = F.col("n_t"), F.least(F.lit(1.0), F.col("n_te") / F.col("n_t"))
+    low = (share + z * z / (2 * n) - z * F.sqrt(share * (1 - share) / n + z * z / (4 * n * n))) / (1 + z * z / n)
+    prior = F.col("n_e") / F.col("total")
+    score = F.when((prior < 1) & (low > 0), F.log(F.when(low > 0, low).otherwise(1.0) / prior) / -F.log(F.when(prior < 1, prior).otherwise(0.5))).otherwise(0.0)
+    return stored(both.where(score >= threshold).select("term").distinct(), "disclosing")
+
+
+#: One-sided confidence of four in five.
+Z = 0.8416
+
+
+def found_spans(docs: DataFrame, near: int = 60, threshold: float = 0.9, z: float = Z) -> DataFrame:
+    """(key, base, all): for the texts that hold any (``key`` is their ``content``), the base spans, and these with what the method adds."""
+    texts = distinct_texts(docs)
+    known = disclosing(texts, near, threshold, z)
+    held = texts.select("content", F.explode(terms(F.col("text"))).alias("term")).join(known, "term")
+    held = stored(held.groupBy("content").agg(F.array_sort(F.collect_list("term")).alias("terms")), "held-terms")  # at most a text's own terms
+    out = texts.join(held, "content", "left").where((F.size("base") > 0) | F.col("terms").isNotNull())
     # The terms are letters only, so that they are a pattern as they stand.
     pattern = F.concat(F.lit("(?iu)(?<![\\p{L}\\p{N}])(?:"), F.array_join("terms", "|"), F.lit(")(?![\\p{L}\\p{N}])"))
     clear = F.filter(spans(F.col("text"), pattern, "term"), lambda s: ~F.exists("base", lambda b: (s["start"] < b["end"]) & (b["start"] < s["end"])))
     every = F.when(F.col("terms").isNull(), F.col("base")).otherwise(F.array_sort(F.concat("base", clear)))
-    return stored(out.select("key", "base", every.alias("all")), "spans")
+    return stored(out.select(F.col("content").alias("key"), "base", every.alias("all")), "spans")
 
 
-def redact(docs: DataFrame, support: int = 5, threshold: float = 0.9) -> DataFrame:
+def redact(docs: DataFrame, near: int = 60, threshold: float = 0.9, z: float = Z) -> DataFrame:
     """``docs`` with each base span generalised to ``<KIND>`` and each disclosing term removed.
 
     Of base spans that overlap, the one that begins first stands for both.
     """
-    found = found_spans(docs, support, threshold).select("key", "all")
-    out = docs.select(F.struct("*").alias("row"), row_key().alias("key")).join(found, "key", "left")
+    found = found_spans(docs, near, threshold, z).select("key", "all")
+    out = docs.select(F.struct("*").alias("row"), content().alias("key")).join(found, "key", "left")
     text = F.col("row.text")
     start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
 
