@@ -11,10 +11,12 @@ is pretrained: its counts come from all training documents, and a text does not
 Spark spreads the work so that no task or driver holds the corpus' model:
 1. documents meet in hash blocks of about ``block_bytes``; a block gives its distinct words and its
    distinct events (a context of ``order`` bytes and the byte after it), both with training counts;
-2. both are added up over the blocks, to the vocabulary and the trie's longest n-grams;
+2. both are added up over bands of 64 blocks, with a bit for each block that holds them, so that a frequent word or event is a row
+   a band; and over the bands, to the vocabulary and the trie's longest n-grams;
 3. events get their code lengths in groups of the same last two context bytes: the shorter contexts
    that an event falls back to end in the same bytes. Only the counts of bytes and byte
-   pairs (at most 65,536 numbers) are common to all groups;
+   pairs (at most 65,536 numbers) are common to all groups. Groups of more than ``group_rows`` events are split by the context byte
+   before, and are given the counts of their two bytes (at most 256 numbers) from outside;
 4. words' counts and events' code lengths go back to the blocks that hold them, where the
    documents are scored.
 
@@ -40,6 +42,8 @@ from glossa.llm.common import crc_bucket, stored
 CHUNK = 1_000_000
 #: The end of a text among the words of a block.
 END_WORD = ""
+#: Stands for the event in a word's row.
+WORD = -1
 
 
 def words(text: str | None) -> list[bytes]:
@@ -96,7 +100,7 @@ class Places:
 
     def __init__(self, keys: np.ndarray) -> None:
         self.keys = keys
-        self.shift = np.uint64(64 - max(8, int(len(keys) * 6).bit_length()))
+        self.shift = np.uint64(64 - max(8, int(len(keys) * 3).bit_length()))
         self.table = np.zeros(1 << (64 - int(self.shift)), np.int32)
         self.table[self.slots(keys)] = np.arange(len(keys), dtype=np.int32)
 
@@ -111,11 +115,12 @@ class Places:
         return at
 
 
-def code_lengths(key: np.ndarray, count: np.ndarray, pairs: np.ndarray, order: int) -> np.ndarray:
+def code_lengths(key: np.ndarray, count: np.ndarray, pairs: np.ndarray, order: int, last: tuple[np.ndarray, np.ndarray] | None = None) -> np.ndarray:
     """log10 probabilities of a group's events.
 
     ``key``, ``count``: all events whose contexts end in the same two bytes (count 0: only to be
-    scored); ``pairs``: training counts of byte pairs (context byte, byte) over all groups.
+    scored); ``pairs``: training counts of byte pairs (context byte, byte) over all groups. With ``last``, the sorted 3-grams
+    of those two bytes and their counts, the events may be those of one third byte.
     """
     sym = key & 255
     one = pairs.sum(axis=0)
@@ -139,7 +144,7 @@ def code_lengths(key: np.ndarray, count: np.ndarray, pairs: np.ndarray, order: i
     grams = {order + 1: (key[count > 0], count[count > 0].astype(float))}
     for n in range(order, 2, -1):
         short, inverse = np.unique(grams[n + 1][0] & ((1 << 8 * n) - 1), return_inverse=True)
-        grams[n] = (short, np.bincount(inverse, grams[n + 1][1], len(short)))
+        grams[n] = (short, np.bincount(inverse, grams[n + 1][1], len(short))) if n > 3 or last is None else last
     by = np.argsort(grams[order + 1][0])
     grams[order + 1] = tuple(x[by] for x in grams[order + 1])
     t1, d1 = pairs.sum(axis=1).astype(float), (pairs > 0).sum(axis=1).astype(float)
@@ -196,7 +201,7 @@ def blocked(docs: DataFrame, block_bytes: int, folds: int) -> DataFrame:
 
 
 def block_counts(rows: DataFrame, order: int) -> DataFrame:
-    """(block, word, key, n): a block's distinct words, and events, and their training counts."""
+    """(block, word, key, n): a block's distinct words (``key`` is ``WORD``), and events, and their training counts."""
 
     def run(group: pd.DataFrame) -> pd.DataFrame:
         learnt, met = Counter(), {END_WORD.encode()}
@@ -213,57 +218,74 @@ def block_counts(rows: DataFrame, order: int) -> DataFrame:
             learnt[w] = 0
         key, n = distinct_events(texts[False], order)
         other = np.setdiff1d(distinct_events(texts[True], order)[0], key)
-        block = np.int32(group["block"].iloc[0])
-        k = pd.array(np.concatenate([key, other]), "Int64")
-        one = pd.DataFrame({"block": block, "word": [w.decode("utf-8", "replace") for w in learnt], "key": pd.array([None] * len(learnt), "Int64"), "n": list(learnt.values())})
-        two = pd.DataFrame({"block": block, "word": None, "key": k, "n": np.concatenate([n, np.zeros(len(other), np.int64)])})
-        return pd.concat([one, two])
+        del texts
+        found = len(learnt), len(key), len(other)
+        word = np.full(sum(found), None, object)
+        word[: found[0]] = [w.decode("utf-8", "replace") for w in learnt]
+        keys = np.concatenate([np.full(found[0], WORD), key, other])
+        counts = np.concatenate([np.fromiter(learnt.values(), np.int64, found[0]), n, np.zeros(found[2], np.int64)])
+        return pd.DataFrame({"block": np.full(len(keys), group["block"].iloc[0], np.int32), "word": word, "key": keys, "n": counts}, copy=False)
 
     return rows.groupBy("block").applyInPandas(run, "block int, word string, key long, n long")
 
 
-def event_costs(events: DataFrame, order: int) -> DataFrame:
+def event_costs(events: DataFrame, order: int, group_rows: int = 100_000) -> DataFrame:
     """(key, cost): log10 probability of every event, from (key, n)."""
     pairs = np.zeros((256, 256), np.int64)
-    last = (F.col("key").bitwiseAND(F.lit(65535))).alias("pair")
-    for r in events.where("n > 0").groupBy(last).agg(F.sum("n").alias("n")).collect():  # at most 65,536 rows
+    pair = (F.col("key").bitwiseAND(F.lit(65535))).alias("pair")
+    for r in events.where("n > 0").groupBy(pair).agg(F.sum("n").alias("n")).collect():  # at most 65,536 rows
         pairs[r["pair"] >> 8, r["pair"] & 255] = r["n"]
 
+    last = F.shiftright("key", 8).bitwiseAND(F.lit(65535))
+    large = events.groupBy(last.alias("last")).agg(F.count("*").alias("rows")).where(F.col("rows") > group_rows)
+    large = np.sort(np.array([r["last"] for r in large.select("last").collect()], np.int64))  # at most 65,536
+    held = events.where(last.isin(large.tolist()) & (F.col("n") > 0)) if len(large) else None
+    given = {int(x): {} for x in large}
+    if held is not None:
+        for r in held.groupBy(F.col("key").bitwiseAND(F.lit((1 << 24) - 1)).alias("gram")).agg(F.sum("n").alias("n")).collect():  # 256 a large pair
+            given[r["gram"] >> 8][r["gram"]] = r["n"]
+    thirds = {x: (np.array(sorted(n), np.int64), np.array([n[g] for g in sorted(n)], float)) for x, n in given.items()}
+
     def run(group: pd.DataFrame) -> pd.DataFrame:
         key = group["key"].to_numpy(np.int64)
-        return pd.DataFrame({"key": key, "cost": code_lengths(key, group["n"].to_numpy(np.int64), pairs, order)})
+        outside = thirds.get(int(key[0]) >> 8 & 65535)
+        return pd.DataFrame({"key": key, "cost": code_lengths(key, group["n"].to_numpy(np.int64), pairs, order, outside)})
 
-    grouped = events.select(F.shiftright("key", 8).bitwiseAND(F.lit(65535)).alias("last"), "key", "n").groupBy("last")
+    third = F.when(last.isin(large.tolist()), F.shiftright("key", 24).bitwiseAND(F.lit(255))).otherwise(-1) if len(large) else F.lit(-1)
+    grouped = events.select(last.alias("last"), third.alias("third"), "key", "n").groupBy("last", "third")
     return grouped.applyInPandas(run, "key long, cost double")
 
 
-def score(docs: DataFrame, order: int = 5, folds: int = 10, block_bytes: int = 10 << 20) -> DataFrame:
+def score(docs: DataFrame, order: int = 5, folds: int = 10, block_bytes: int = 10 << 20, group_rows: int = 100_000) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score of every row.
 
     Rows whose crc32 of the id modulo ``folds`` is 0 are held out of training. ``base_score`` is the
     smoothed unigram score of the same words. ``order`` is 2 to 6.
     """
     rows = blocked(docs.select("doc_id", "text"), block_bytes, folds)
-    counted = block_counts(rows, order).groupBy("word", "key").agg(F.sum("n").alias("n"), F.collect_list("block").alias("blocks"))
-    counted = stored(counted, "words-and-events")
-    sums = counted.where("key IS NULL").agg(F.sum("n").alias("n"), F.count(F.when(F.col("n") > 0, 1)).alias("v")).first()
+    counted = block_counts(rows, order).groupBy("word", "key", F.shiftright("block", 6).alias("band"))
+    counted = stored(counted.agg(F.sum("n").alias("n"), F.expr("bit_or(shiftleft(1L, block & 63))").alias("held")), "words-and-events")
+    vocabulary = counted.where(F.col("key") == WORD).groupBy("word").agg(F.sum("n").alias("n"))
+    sums = vocabulary.agg(F.sum("n").alias("n"), F.count(F.when(F.col("n") > 0, 1)).alias("v")).first()
     n, v = int(sums["n"] or 0), int(sums["v"])
     unigram = F.log10((F.col("n") + 0.1) / F.lit(n + 0.1 * (v + 1)))
-    costs = stored(event_costs(counted.where("key IS NOT NULL").select("key", "n"), order), "event-costs")
-    known = counted.where("key IS NULL").select("blocks", "word", F.lit(None).cast("long").alias("key"), unigram.alias("cost"), (F.col("n") > 0).alias("seen"))
-    coded_ = counted.where("key IS NOT NULL").select("blocks", "key").join(costs, "key")
-    known = known.union(coded_.select("blocks", F.lit(None).cast("string").alias("word"), "key", "cost", F.lit(False).alias("seen")))
-    known = known.select(F.explode("blocks").alias("block"), "word", "key", "cost", "seen")
+    events = stored(counted.where(F.col("key") != WORD).groupBy("key").agg(F.sum("n").alias("n")), "events")
+    costs = stored(event_costs(events, order, group_rows), "event-costs")
+    known = vocabulary.select("word", unigram.alias("cost"), (F.col("n") > 0).alias("seen")).join(counted.where(F.col("key") == WORD).select("word", "band", "held"), "word")
+    known = known.select("band", "held", "word", F.lit(WORD).cast("long").alias("key"), "cost", "seen")
+    coded_ = counted.where(F.col("key") != WORD).select("key", "band", "held").join(costs, "key")
+    known = known.union(coded_.select("band", "held", F.lit(None).cast("string").alias("word"), "key", "cost", F.lit(False).alias("seen")))
+    known = known.select("*", F.explode(F.array(*map(F.lit, range(64)))).alias("bit")).where(F.expr("(held >> bit) & 1 = 1"))
+    known = known.select((F.col("band") * 64 + F.col("bit")).alias("block"), "word", "key", "cost", "seen")
 
     def run(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        is_word = right["key"].isna().to_numpy()
-        of_words, of_events = right[is_word], right[~is_word]
-        at = {w.encode("utf-8", "replace"): k for k, w in enumerate(of_words["word"])}
-        base, seen = of_words["cost"].to_numpy(np.float64), of_words["seen"].to_numpy(bool)
-        key, cost = of_events["key"].to_numpy(np.int64), of_events["cost"].to_numpy(np.float64)
-        by = np.argsort(key)
-        places, cost = Places(key[by]), cost[by]
-        del right, of_words, of_events, key
+        key, cost = right["key"].to_numpy(np.int64), right["cost"].to_numpy(np.float64)
+        by = np.argsort(key)  # words first
+        of_words, of_events = np.split(by, [int((key == WORD).sum())])
+        at = {w.encode("utf-8", "replace"): k for k, w in enumerate(right["word"].to_numpy()[of_words])}
+        base, seen = cost[of_words], right["seen"].to_numpy(bool)[of_words]
+        places, cost = Places(key[of_events]), cost[of_events]
+        del right, key, by, of_words, of_events
         texts, found = [], []
         for doc, text, held_out in zip(left["doc_id"], left["text"], left["held_out"]):
             tokens = words(text if isinstance(text, str) else None)

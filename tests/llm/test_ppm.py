@@ -65,6 +65,14 @@ def test_against_a_plain_trie(spark, order):
     check(ppm.score(docs, order, block_bytes=500).collect(), brute(rows, order))
 
 
+@pytest.mark.parametrize("order", [2, 3, 5])
+def test_split_groups_and_many_bands(spark, order):
+    rng = random.Random(order)
+    rows = [(k, " ".join("".join(rng.choice("abcé") for _ in range(rng.randrange(1, 6))) for _ in range(rng.randrange(30)))) for k in range(90)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    check(ppm.score(docs, order, block_bytes=40, group_rows=5).collect(), brute(rows, order))
+
+
 def test_chunks_of_long_texts(spark, monkeypatch):
     monkeypatch.setattr(ppm, "CHUNK", 50)
     texts = [ppm.coded([b"abc"] * 100, 3), ppm.coded([], 3), ppm.coded([b"x"], 3)]
