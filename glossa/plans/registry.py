@@ -58,6 +58,7 @@ def all_queries() -> dict[str, Query]:
         stream_plans,
         text_plans,
         tweet_plans,
+        watch_plans,
     )
 
     return dict(_QUERIES)

@@ -8,8 +8,10 @@ local disks, HDFS and object stores.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -72,17 +74,51 @@ def _csv(spark: SparkSession, multi_line: bool = True):
     )
 
 
+def first_lines(spark: SparkSession, paths: Sequence[str]) -> dict[str, str]:
+    """Each file's first line, in one job: of the lines in blocks that begin a file, the one read first.
+
+    One short row a file reaches the driver. Files without a line are not in the result.
+    """
+    lines = spark.read.text(list(paths)).select("value", "_metadata.file_path", "_metadata.file_block_start")
+    lines = lines.where("file_block_start = 0").withColumn("place", F.monotonically_increasing_id())  # rises along a file
+    found = lines.groupBy("file_path").agg(F.min_by("value", "place").alias("line"))
+    return {_plain(r["file_path"]): r["line"] for r in found.collect()}
+
+
+def _plain(path: str) -> str:
+    """A path as the listing and the metadata both can be compared: unquoted, with one slash behind the scheme."""
+    return re.sub(r"^file:/+", "file:/", unquote(path))
+
+
 def _headers(spark: SparkSession, paths: Sequence[str], required: Sequence[str]) -> tuple[dict[tuple, list[str]], list[tuple]]:
-    """Admitted paths by header, and ``(path, reason)`` of the others. Only headers are read."""
+    """Admitted paths by header, and ``(path, reason)`` of the others.
+
+    First lines come from one job for all files, and Spark parses one file of each different line. Files whose first
+    line is blank, or ends within quotes, or could not be read with the others, are parsed one by one.
+    """
+    try:
+        lines = first_lines(spark, paths)
+    except Exception:  # a file that fails the job is told apart below
+        lines = {}
+    parsed: dict[str, tuple[list[str], str | None]] = {}
     ok, bad = {}, []
     for p in paths:
-        try:
-            cols = _csv(spark).csv(p).columns
-        except Exception as e:  # unreadable file
-            bad.append((p, f"unreadable: {type(e).__name__}"))
-            continue
+        line = lines.get(_plain(p), "")
+        shared = bool(line.strip()) and line.count('"') % 2 == 0
+        if not shared or line not in parsed:
+            try:
+                found = (_csv(spark).csv(p).columns, None)
+            except Exception as e:  # unreadable file
+                found = ([], f"unreadable: {type(e).__name__}")
+            if shared and found[1] is None:
+                parsed[line] = found
+        else:
+            found = parsed[line]
+        cols, failed = found
         missing = [c for c in required if c not in cols]
-        if not cols:
+        if failed:
+            bad.append((p, failed))
+        elif not cols:
             bad.append((p, "empty"))
         elif missing:
             bad.append((p, f"missing columns: {','.join(missing)}"))
@@ -91,13 +127,26 @@ def _headers(spark: SparkSession, paths: Sequence[str], required: Sequence[str])
     return ok, bad
 
 
+def zero_byte_files(spark: SparkSession, folder: str, pattern: str = "reviews_*.csv") -> list[str]:
+    """Paths matching ``pattern`` that hold no byte: in the folder's file index, but in no scan."""
+    try:
+        listed = spark.read.option("pathGlobFilter", pattern).text(folder).inputFiles()
+    except AnalysisException:
+        return []
+    try:
+        read = {_plain(p) for p in list_files(spark, folder, pattern)}
+    except NoInputError:
+        read = set()
+    return sorted(p for p in listed if _plain(p) not in read)
+
+
 QUARANTINE = "path string, reason string, record string"
 
 
 def admit_files(spark: SparkSession, paths: Sequence[str], required: Sequence[str] = REVIEW_REQUIRED):
     """A2: per-file admission. Returns ``(admitted_paths, quarantine)`` where the
     quarantine frame lists ``(path, reason, record)`` for unreadable, empty or incomplete
-    files. Only each file's header is read (schema resolution)."""
+    files. Headers come from one job for all files (schema resolution)."""
     ok, bad = _headers(spark, paths, required)
     return [p for group in ok.values() for p in group], spark.createDataFrame([(*b, None) for b in bad], QUARANTINE)
 
@@ -123,6 +172,7 @@ def read_review_parts(
     groups, bad = _headers(spark, list_files(spark, folder, pattern), required)
     if not groups:
         raise NoInputError("no valid review file")
+    bad += [(p, "empty") for p in zero_byte_files(spark, folder, pattern)]
     quarantine = spark.createDataFrame([(*b, None) for b in bad], QUARANTINE)
     good = []
     for columns, paths in groups.items():

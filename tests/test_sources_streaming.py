@@ -36,16 +36,42 @@ def review_folder(spark, tmpdir_fresh):
 
 def test_list_and_admit(spark, review_folder):
     paths = files.list_files(spark, review_folder)
-    # the zero-byte part is not listed by Spark's file index: it holds no rows
+    # the zero-byte part is in no scan: it holds no rows
     assert sorted(os.path.basename(p) for p in paths) == ["reviews_0.csv", "reviews_1.csv", "reviews_2.csv"]
     combined, quarantine = files.read_review_parts(spark, review_folder)
     reasons = {os.path.basename(r.path): r.reason for r in quarantine.collect()}
-    assert set(reasons) == {"reviews_2.csv"} and reasons["reviews_2.csv"].startswith("missing columns")
+    assert set(reasons) == {"reviews_2.csv", "reviews_3.csv"} and reasons["reviews_2.csv"].startswith("missing columns")
+    assert reasons["reviews_3.csv"] == "empty"
     assert combined.count() == 40
     assert {"submission_time", "skin_type", "user_id"} <= set(combined.columns)
     assert combined.filter(F.col("skin_type").isNull()).count() == 20
 
 
+def test_headers_of_a_thousand_files_in_one_job(spark, tmpdir_fresh):
+    for k in range(1000):
+        header = ["review_text", "rating", "product_id"] if k % 3 else ["product_id", "rating", "review_text", "extra col"]
+        _write_csv(os.path.join(tmpdir_fresh, f"reviews_{k:04d}.csv"), header if k % 100 else ["rating"], [("t", k, 1)])
+    paths = files.list_files(spark, tmpdir_fresh)
+    spark.sparkContext.setJobGroup("headers", "headers")
+    try:
+        admitted, quarantine = files.admit_files(spark, paths)
+        jobs = spark.sparkContext.statusTracker().getJobIdsForGroup("headers")
+    finally:
+        spark.sparkContext.setJobGroup("", "")
+    assert len(admitted) == 990 and quarantine.count() == 10
+    assert len(jobs) <= 8  # the lines of all files, their merge, and one read for each of three headers
+
+
+def test_headers_that_a_line_does_not_hold(spark, tmpdir_fresh):
+    for name, text in {"a": '"review_text","rating","product_id\nlong"\nx,1,2\n', "b": "\ufeffreview_text,rating,product_id\nx,1,2\n", "c": "\n", "d e": "review_text,rating,product_id\nx,1,2\n"}.items():
+        with open(os.path.join(tmpdir_fresh, f"reviews_{name}.csv"), "w", encoding="utf-8") as f:
+            f.write(text)
+    admitted, quarantine = files.admit_files(spark, files.list_files(spark, tmpdir_fresh))
+    assert sorted(os.path.basename(files.unquote(p)) for p in admitted) == ["reviews_b.csv", "reviews_d e.csv"]
+    reasons = {os.path.basename(r.path): r.reason for r in quarantine.collect()}
+    assert reasons == {"reviews_a.csv": "missing columns: product_id", "reviews_c.csv": "empty"}
+
+
 def test_uniform_parts_single_scan_with_corrupt_rows(spark, tmpdir_fresh):
     from pyspark.sql.types import StringType, StructField, StructType
 
