@@ -66,29 +66,44 @@ FROM l LEFT JOIN lost USING (doc_id, i) GROUP BY doc_id
 """
 
 OP4_SQL = r"""
-WITH t AS (SELECT conv_id, CAST(turn AS BIGINT) AS turn, role, text FROM conversations),
+WITH RECURSIVE t AS (SELECT conv_id, CAST(turn AS BIGINT) AS turn, role, text, strlen(text) % 5 AS k, strlen(text) % 11 AS flaw FROM conversations),
 head AS (SELECT conv_id, min(turn) AS head FROM t WHERE role = 'system' GROUP BY conv_id),
+waiting AS (SELECT DISTINCT conv_id, turn + 2 AS turn FROM t WHERE role = 'user' AND k = 0),
 c AS (
-  SELECT t.conv_id, turn, CASE role WHEN 'system' THEN 'configure' ELSE 'answer' END AS name, text,
-    list_sort(list_distinct([x FOR x IN [CASE WHEN turn >= 2 AND role = 'user' THEN 'call-' || (turn - 2) END, CASE WHEN head <> turn THEN 'call-' || head END] IF x IS NOT NULL])) AS deps
-  FROM t LEFT JOIN head USING (conv_id) WHERE role IN ('system', 'user')
+  SELECT t.conv_id, t.turn, CASE role WHEN 'system' THEN 'configure' ELSE 'answer' END AS name, text, flaw,
+    list_sort(list_distinct([x FOR x IN [
+      CASE WHEN t.turn >= 2 AND role = 'user' AND waiting.turn IS NULL THEN 'call-' || (t.turn - 2) END,
+      CASE WHEN role = 'user' AND k <= 1 THEN 'call-' || (t.turn + 2) END, CASE WHEN head <> t.turn THEN 'call-' || head END] IF x IS NOT NULL])) AS deps
+  FROM t LEFT JOIN head USING (conv_id) LEFT JOIN waiting ON waiting.conv_id = t.conv_id AND waiting.turn = t.turn WHERE role IN ('system', 'user')
 ), r AS (SELECT conv_id, turn - 1 AS turn, text AS content FROM t WHERE role = 'assistant'),
+w AS (SELECT conv_id, turn, unnest(deps) AS dep FROM c),
+e AS (SELECT w.conv_id, w.turn, c.turn AS before FROM w JOIN c ON c.conv_id = w.conv_id AND w.dep = 'call-' || c.turn),
+n AS (SELECT conv_id, count(*) AS n FROM c GROUP BY conv_id),
+walk(conv_id, turn, steps) AS (
+  SELECT conv_id, turn, 0 FROM c
+  UNION SELECT e.conv_id, e.turn, steps + 1 FROM walk JOIN e ON e.conv_id = walk.conv_id AND e.before = walk.turn JOIN n ON n.conv_id = walk.conv_id WHERE steps < n.n
+),
+far AS (SELECT conv_id, turn, max(steps) AS steps, max(steps) >= any_value(n) AS cyclic FROM walk JOIN n USING (conv_id) GROUP BY ALL),
 gone AS (
   SELECT w.conv_id, w.turn, string_agg(w.dep, ',' ORDER BY w.dep) AS missing
-  FROM (SELECT conv_id, turn, unnest(deps) AS dep FROM c) w LEFT JOIN c ON c.conv_id = w.conv_id AND w.dep = 'call-' || c.turn
+  FROM w LEFT JOIN c ON c.conv_id = w.conv_id AND w.dep = 'call-' || c.turn
   WHERE c.turn IS NULL GROUP BY ALL
 ), b AS (
   SELECT coalesce(c.conv_id, r.conv_id) AS conv_id, 'call-' || coalesce(c.turn, r.turn) AS call_id, coalesce(c.turn, r.turn + 1) AS turn, c.turn AS call_turn,
-    name, text, deps, content, CASE WHEN c.turn IS NULL THEN 'orphan' WHEN r.turn IS NULL THEN 'open' ELSE 'linked' END AS status
+    name, text, flaw, deps, content, CASE WHEN c.turn IS NULL THEN 'orphan' WHEN r.turn IS NULL THEN 'open' ELSE 'linked' END AS status,
+    len(regexp_split_to_array(text, '[ \t\n\x0B\f\r]+')) AS words
   FROM c FULL JOIN r ON c.conv_id = r.conv_id AND c.turn = r.turn
+), p AS (
+  SELECT *, CASE WHEN call_turn IS NULL THEN '' WHEN flaw = 2 THEN 'missing:words' WHEN flaw = 3 THEN 'type:words' WHEN flaw = 4 THEN 'unknown:lang' ELSE '' END AS problems FROM b
 )
-SELECT b.conv_id, call_id, b.turn, name, status, NULL::INTEGER AS level, false AS cyclic, coalesce(missing, '') AS missing, '' AS problems,
-  missing IS NULL AND status <> 'orphan' AS valid, 0::BIGINT AS repeats,
+SELECT p.conv_id, call_id, p.turn, name, status, CASE WHEN NOT cyclic THEN steps ELSE -1 END::INTEGER AS level, coalesce(cyclic, false) AS cyclic, coalesce(missing, '') AS missing, problems,
+  missing IS NULL AND status <> 'orphan' AND problems = '' AND NOT cyclic AS valid, 0::BIGINT AS repeats,
   concat('{"arguments":', CASE WHEN call_turn IS NULL THEN 'null' ELSE
-      concat('{"text":', CAST(to_json(text) AS VARCHAR), ',"words":', len(regexp_split_to_array(text, '[ \t\n\x0B\f\r]+')), '}') END,
+      concat('{', CASE WHEN flaw = 4 THEN '"lang":"xx",' ELSE '' END, '"text":', CAST(to_json(text) AS VARCHAR),
+        CASE flaw WHEN 2 THEN '' WHEN 3 THEN concat(',"words":"', words, '"') ELSE concat(',"words":', words) END, '}') END,
     ',"depends_on":', CASE WHEN call_turn IS NULL THEN '[]' ELSE CAST(to_json(deps) AS VARCHAR) END, ',"id":"', call_id, '","name":',
     CASE WHEN name IS NULL THEN 'null' ELSE concat('"', name, '"') END, ',"result":', CASE WHEN content IS NULL THEN 'null' ELSE CAST(to_json(content) AS VARCHAR) END, '}') AS canonical
-FROM b LEFT JOIN gone ON gone.conv_id = b.conv_id AND gone.turn = b.call_turn
+FROM p LEFT JOIN far ON far.conv_id = p.conv_id AND far.turn = p.call_turn LEFT JOIN gone ON gone.conv_id = p.conv_id AND gone.turn = p.call_turn
 """
 
 OP5_SQL = """
@@ -151,7 +166,8 @@ def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_tool_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = table(spark, sf_dir, "conversations")
     out = toolcalls.link(*toolcalls.from_turns(turns), toolcalls.turn_schemas(turns))
-    return out.withColumn("missing", F.array_join("missing", ",")).withColumn("problems", F.array_join("problems", ","))
+    # Joined lists, and -1 for no level, compare alike everywhere.
+    return out.withColumns({"missing": F.array_join("missing", ","), "problems": F.array_join("problems", ","), "level": F.coalesce("level", F.lit(-1))})
 
 
 def op5_nn_descent(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -4,11 +4,12 @@ Calls and results meet by conversation and call identifier. Calls are put in top
 results they depend on, their arguments are validated against the tools' schemas, and every call becomes one
 canonical JSON object (keys sorted, no white space, numbers in shortest form).
 
-Order: where every call of a conversation stands behind the calls it depends on, its turn is the order
-already. Only conversations with a call in front of one of its own dependencies are peeled: each round settles
-the calls whose dependencies are settled, at one level above the highest of them. Rounds are as many
-as the longest chain in such a conversation, each is a join and a partial aggregation by call, and no
-conversation is gathered. A round that settles nothing leaves calls on or behind a cycle.
+Order: a call's level is the length of the longest chain of calls that it waits for. Calls without open dependencies are
+settled at once; a chain of calls that wait for one open call each is settled by pointer doubling, in rounds that grow with the
+logarithm of its length: a call's level is max(m, level of the call it points to + w), and such steps compose. What is settled frees
+the calls that waited for several, for the next pass. Passes are as many as such calls stand one above the other. Every
+step is a join or a partial aggregation by (conversation, call), so no conversation is gathered, however many calls
+it has. A pass that finds no free call leaves those on or behind a cycle: they are ``cyclic`` and have no level.
 
 Defined cases: a result without a call is a row with status ``orphan``; a call without a result has status
 ``open``; a dependency on a call that does not exist is listed in ``missing`` and does not hold the call up. Of several
@@ -20,6 +21,8 @@ problem by name. Empty tables give no rows. Columns other than those named are n
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -59,28 +62,35 @@ def first_of(rows: DataFrame, fields: list[str]) -> DataFrame:
 
 
 def levels(calls: DataFrame, edges: DataFrame) -> DataFrame:
-    """(conv_id, call_id, level, cyclic) of the calls in conversations whose turns are no topological order.
-
-    ``calls``: (conv_id, call_id, turn); ``edges``: (conv_id, call_id, dep) among existing calls.
-    """
-    at = calls.select("conv_id", F.col("call_id").alias("dep"), F.col("turn").alias("dep_turn"))
-    turned = edges.join(calls, ["conv_id", "call_id"]).join(at, ["conv_id", "dep"])
-    late = F.struct(F.col("dep_turn").alias("t"), F.col("dep").alias("c")) >= F.struct(F.col("turn").alias("t"), F.col("call_id").alias("c"))
-    mixed = stored(turned.where(late).select("conv_id").distinct(), "mixed-conversations")
-    open_ = stored(calls.join(mixed, "conv_id", "left_semi").select("conv_id", "call_id"), "peel-calls")
-    edges = stored(edges.join(mixed, "conv_id", "left_semi"), "peel-edges")
-    done = None
-    for k in range(1 << 30):
-        held = edges.select("conv_id", "call_id").distinct()
-        free = stored(open_.join(held, ["conv_id", "call_id"], "left_anti").withColumn("level", F.lit(k)), "peel-free")
-        done = free if done is None else done.union(free)
+    """(conv_id, call_id, level, cyclic) of all calls; ``edges``: distinct (conv_id, call_id, dep) among existing calls."""
+    node = ["conv_id", "call_id"]
+    open_ = stored(calls.select(*node, F.lit(0).alias("m")), "open-calls")
+    edges = stored(edges, "open-edges")
+    out = []
+    while True:
+        # Calls that wait for nothing, and those that wait for one call: where they point, by how many steps.
+        waits = edges.groupBy(*node).agg(F.count("*").alias("n"), F.min("dep").alias("to"))
+        joined = stored(open_.join(waits, node, "left"), "waiting-calls")
+        free = joined.where("n IS NULL").select(*node, F.col("m").alias("level"))
         if not free.take(1):
             break
-        open_ = open_.join(free, ["conv_id", "call_id"], "left_anti")
-        gone = free.select("conv_id", F.col("call_id").alias("dep"))
-        edges = stored(edges.join(gone, ["conv_id", "dep"], "left_anti"), "peel-edges")
-        open_ = stored(open_, "peel-calls")
-    return done.withColumn("cyclic", F.lit(False)).union(open_.select("conv_id", "call_id", F.lit(None).cast("int"), F.lit(True)))
+        chain = stored(joined.where("n = 1").select(*node, "to", F.lit(1).alias("w"), "m"), "chains")
+        for _ in range(chain.count().bit_length()):
+            on = chain.select("conv_id", F.col("call_id").alias("to"), F.col("to").alias("next"), F.col("w").alias("more"), F.col("m").alias("least"))
+            step = chain.join(on, ["conv_id", "to"], "left")
+            if not step.where("next IS NOT NULL").take(1):
+                break
+            chain = stored(step.select(*node, F.coalesce("next", "to").alias("to"), (F.col("w") + F.coalesce("more", F.lit(0))).alias("w"), F.greatest("m", F.col("least") + F.col("w")).alias("m")), "chains")
+        at = free.select("conv_id", F.col("call_id").alias("to"), "level")
+        behind = chain.join(at, ["conv_id", "to"]).select(*node, F.greatest("m", F.col("level") + F.col("w")).alias("level"))
+        done = stored(free.union(behind), "settled-calls")
+        out.append(done)
+        known = done.select("conv_id", F.col("call_id").alias("dep"), "level")
+        reached = edges.join(known, ["conv_id", "dep"]).groupBy(*node).agg((F.max("level") + 1).alias("reached"))
+        open_ = stored(open_.join(done, node, "left_anti").join(reached, node, "left").select(*node, F.greatest("m", "reached").alias("m")), "open-calls")
+        edges = stored(edges.join(known, ["conv_id", "dep"], "left_anti"), "open-edges")
+    settled = [d.select(*node, "level", F.lit(False).alias("cyclic")) for d in out]
+    return reduce(DataFrame.union, settled, open_.select(*node, F.lit(None).cast("int").alias("level"), F.lit(True).alias("cyclic")))
 
 
 def link(calls: DataFrame, results: DataFrame, schemas: DataFrame) -> DataFrame:
@@ -88,7 +98,7 @@ def link(calls: DataFrame, results: DataFrame, schemas: DataFrame) -> DataFrame:
 
     ``calls``: conv_id, call_id, turn, name, arguments (JSON text), depends (array of call ids).
     ``results``: conv_id, call_id, turn, content. ``schemas``: name, params. Result: conv_id, call_id, turn, name, status, level
-    (null where turns are the order), cyclic, missing, problems, valid, repeats and canonical.
+    (null for orphans and on or behind a cycle), cyclic, missing, problems, valid, repeats and canonical.
     """
     named = F.col("conv_id").isNotNull() & F.col("call_id").isNotNull()
     depends = F.array_sort(F.array_distinct(F.filter(F.coalesce("depends", F.array().cast("array<string>")), lambda d: d.isNotNull())))
@@ -103,7 +113,7 @@ def link(calls: DataFrame, results: DataFrame, schemas: DataFrame) -> DataFrame:
     missing = wanted.join(there, ["conv_id", "dep"], "left_anti").groupBy("conv_id", "call_id").agg(F.array_sort(F.collect_set("dep")).alias("missing"))
 
     both = one.join(two, ["conv_id", "call_id"], "full").join(order, ["conv_id", "call_id"], "left").join(missing, ["conv_id", "call_id"], "left")
-    params = schemas.groupBy(F.col("name").alias("tool")).agg(F.first("params").alias("params"))
+    params = schemas.groupBy(F.col("name").alias("tool")).agg(F.min("params").alias("params"))  # of a tool listed twice, the least
     both = both.join(params, F.col("name") == F.col("tool"), "left").withColumn("parsed", F.try_parse_json("arguments"))
     status = F.when(F.col("n").isNull(), "orphan").when(F.col("m").isNull(), "open").otherwise("linked")
     out = both.select(
@@ -134,18 +144,30 @@ def from_turns(turns: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Calls and results that conversation turns stand for.
 
     A system turn is a call of ``configure`` and a user turn a call of ``answer``, named by its turn; the assistant
-    turn behind it is its result. A call depends on the call two turns before it and on the conversation's first
-    system turn.
+    turn behind it is its result. A call depends on the conversation's first system turn and, if it is a user's, on the call two turns
+    before it. By the number of bytes of the text, some users' calls wait for the call two turns later (0 modulo 5: which then
+    does not wait for them; 1 modulo 5: which waits for them too, a cycle), and some arguments lack ``words`` (2 modulo 11), give it
+    as a text (3) or have one more field (4).
     """
-    turns = turns.select("conv_id", F.col("turn").cast("long").alias("turn"), "role", "text")
+    size = F.octet_length(F.coalesce("text", F.lit("")))
+    turns = turns.select("conv_id", F.col("turn").cast("long").alias("turn"), "role", "text", (size % 5).alias("k"), (size % 11).alias("flaw"))
     name = F.when(F.col("role") == "system", "configure").when(F.col("role") == "user", "answer")
     ident = lambda turn: F.concat(F.lit("call-"), turn.cast("string"))
     first = turns.where("role = 'system'").groupBy("conv_id").agg(F.min("turn").alias("head"))
-    calls = turns.withColumn("name", name).where("name IS NOT NULL").join(first, "conv_id", "left")
-    back = F.when((F.col("turn") >= 2) & (F.col("name") == "answer"), ident(F.col("turn") - 2))
+    waiting = turns.where("role = 'user' AND k = 0").select("conv_id", (F.col("turn") + 2).alias("turn"), F.lit(True).alias("waited")).distinct()
+    calls = turns.withColumn("name", name).where("name IS NOT NULL").join(first, "conv_id", "left").join(waiting, ["conv_id", "turn"], "left")
+    user = F.col("name") == "answer"
+    back = F.when((F.col("turn") >= 2) & user & F.col("waited").isNull(), ident(F.col("turn") - 2))
+    ahead = F.when(user & (F.col("k") <= 1), ident(F.col("turn") + 2))
     head = F.when(F.col("head") != F.col("turn"), ident(F.col("head")))
-    arguments = F.to_json(F.struct(F.col("text").alias("text"), F.size(F.split(F.coalesce("text", F.lit("")), "\\s+")).alias("words")))
-    calls = calls.select("conv_id", ident(F.col("turn")).alias("call_id"), "turn", "name", arguments.alias("arguments"), F.array(back, head).alias("depends"))
+    text, words = F.col("text").alias("text"), F.size(F.split(F.coalesce("text", F.lit("")), "\\s+")).alias("words")
+    arguments = (
+        F.when(F.col("flaw") == 2, F.to_json(F.struct(text)))
+        .when(F.col("flaw") == 3, F.to_json(F.struct(text, words.cast("string").alias("words"))))
+        .when(F.col("flaw") == 4, F.to_json(F.struct(F.lit("xx").alias("lang"), text, words)))
+        .otherwise(F.to_json(F.struct(text, words)))
+    )
+    calls = calls.select("conv_id", ident(F.col("turn")).alias("call_id"), "turn", "name", arguments.alias("arguments"), F.array(back, ahead, head).alias("depends"))
     results = turns.where("role = 'assistant'").select("conv_id", ident(F.col("turn") - 1).alias("call_id"), "turn", F.col("text").alias("content"))
     return calls, results
 

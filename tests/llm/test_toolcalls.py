@@ -1,4 +1,5 @@
 import json
+import random
 
 from glossa.llm import queries, toolcalls
 from tests.conftest import SF_SMALL
@@ -41,11 +42,46 @@ def test_order(spark):
     calls += [(2, "a", 0, "f", "{}", ["b"]), (2, "b", 1, "f", "{}", ["d"]), (2, "d", 2, "f", "{}", []), (2, "e", 3, "f", "{}", ["a", "d"])]
     calls += [(3, "a", 0, "f", "{}", ["b"]), (3, "b", 1, "f", "{}", ["a"]), (3, "c", 2, "f", "{}", ["b"]), (3, "d", 3, "f", "{}", []), (3, "e", 4, "f", "{}", ["e"])]
     got, _ = run(spark, calls, [])
-    assert {got[1, f"c{k}"].level for k in range(30)} == {None} and not got[1, "c3"].cyclic
+    assert [got[1, f"c{k}"].level for k in range(30)] == list(range(30)) and not got[1, "c3"].cyclic
     assert {k: got[2, k].level for k in "abde"} == {"d": 0, "b": 1, "a": 2, "e": 3}
     assert {k: got[3, k].cyclic for k in "abcde"} == {"a": True, "b": True, "c": True, "d": False, "e": True} and got[3, "d"].level == 0
 
 
+def longest(calls):
+    """(level, cyclic) of every call, plainly: settle what waits for nothing open, again and again."""
+    deps = {(c, i): {(c, d) for d in w} for c, i, *_, w in calls}
+    deps = {k: {d for d in w if d in deps} for k, w in deps.items()}
+    level = {}
+    while True:
+        free = [k for k, w in deps.items() if k not in level and w <= level.keys()]
+        if not free:
+            return {k: (level.get(k), k not in level) for k in deps}
+        level |= {k: max((level[d] + 1 for d in deps[k]), default=0) for k in free}
+
+
+def test_order_of_any_graph(spark):
+    rng = random.Random(7)
+    calls = []
+    for c in range(25):
+        n = rng.randrange(1, 25)
+        for k in range(n):
+            pick = [rng.randrange(n) if c % 5 == 0 else rng.randrange(k + 1 + (c % 3 == 1)) for _ in range(rng.choice([0, 1, 1, 1, 2, 3]))]
+            calls.append((c, f"c{k}", rng.randrange(n), "f", "{}", [f"c{d}" for d in pick if d != k or c % 5 == 0]))
+    calls += [(99, f"c{k}", 500 - k, "f", "{}", [f"c{k - 1}", "c0"] if k else []) for k in range(500)]  # one long conversation, turns in reverse
+    got, _ = run(spark, calls, [])
+    want = longest(calls)
+    assert {k: (got[k].level, got[k].cyclic) for k in want} == want
+    assert any(cyclic for _, cyclic in want.values()) and want[99, "c499"] == (499, False)
+
+
+def test_rounds_grow_with_the_logarithm_of_a_chain(spark, monkeypatch):
+    rounds = []
+    kept = toolcalls.stored
+    monkeypatch.setattr(toolcalls, "stored", lambda df, name: rounds.append(name) or kept(df, name))
+    run(spark, [(1, f"c{k}", k, "f", "{}", [f"c{k - 1}", "c0"] if k else []) for k in range(400)], [])
+    assert rounds.count("settled-calls") <= 3 and rounds.count("chains") <= 15
+
+
 def test_empty_tables(spark):
     assert run(spark, [], []) [1].count() == 0
 
@@ -58,13 +94,23 @@ def test_whole_table(spark):
         if r.role == "system":
             heads[c] = min(t, heads.get(c, t))
     calls = {k: r for k, r in turns.items() if r.role in ("system", "user")}
+    size = {k: len(r.text.encode()) for k, r in calls.items()}
+    waits = {(c, t + 2) for (c, t), r in calls.items() if r.role == "user" and size[c, t] % 5 == 0}
+    graph, problem = [], {2: "missing:words", 3: "type:words", 4: "unknown:lang"}
     for (c, t), r in calls.items():
-        depends = [f"call-{t - 2}"] * (r.role == "user" and t >= 2) + [f"call-{heads.get(c)}"] * (heads.get(c, t) != t)
+        user = r.role == "user"
+        depends = [f"call-{t - 2}"] * (user and t >= 2 and (c, t) not in waits) + [f"call-{t + 2}"] * (user and size[c, t] % 5 <= 1) + [f"call-{heads.get(c)}"] * (heads.get(c, t) != t)
         answer = turns.get((c, t + 1))
         answer = answer.text if answer is not None and answer.role == "assistant" else None
-        assert got[c, f"call-{t}"].canonical == canonical(f"call-{t}", "configure" if r.role == "system" else "answer", {"text": r.text, "words": len(r.text.split())}, set(depends), answer)
-        assert got[c, f"call-{t}"].problems == "" and got[c, f"call-{t}"].missing == ",".join(sorted({d for d in depends if (c, int(d[5:])) not in calls}))
+        flaw, words = size[c, t] % 11, len(r.text.split())
+        arguments = {"text": r.text} | ({} if flaw == 2 else {"words": str(words) if flaw == 3 else words}) | ({"lang": "xx"} if flaw == 4 else {})
+        assert got[c, f"call-{t}"].canonical == canonical(f"call-{t}", "configure" if r.role == "system" else "answer", arguments, set(depends), answer)
+        assert got[c, f"call-{t}"].problems == problem.get(flaw, "") and got[c, f"call-{t}"].missing == ",".join(sorted({d for d in depends if (c, int(d[5:])) not in calls}))
+        graph.append((c, f"call-{t}", t, "f", "{}", depends))
+    want = {k: (-1 if cyclic else level, cyclic) for k, (level, cyclic) in longest(graph).items()}
+    assert {k: (got[k].level, got[k].cyclic) for k in want} == want
     assert sum(r.status != "orphan" for r in got.values()) == len(calls)
+    assert {r.cyclic for r in got.values()} == {True, False} and len({r.level for r in got.values()}) > 3 and len({r.problems for r in got.values()}) == 4
 
 
 def test_query_against_sql(spark):
