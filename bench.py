@@ -48,6 +48,10 @@ HEADLINE = [
     "validation_checks",
     "statistical_tests",
     "review_clusters",
+    "rule_valence",
+    "rule_polarity",
+    "spearman_pairwise",
+    "platform_models",
 ]
 
 
