@@ -114,7 +114,11 @@ def metrics(
     rows = _frame(df, target, features, by, train)
     if train is not None:
         rows = rows.where("NOT trains")
-    keyed = rows.withColumn("_all", F.lit(1)).join(model.withColumn("_all", F.lit(1)), ["_all", *by])
+    if by:
+        keyed = rows.join(model, list(by))
+    else:  # one model: a scalar
+        one = model.select(F.struct(*map(F.col, model.columns)).alias("m")).scalar()
+        keyed = rows.withColumn("_m", one).where("_m IS NOT NULL").select("*", "_m.*")
     error = F.col("y") - F.col("intercept") - dot(F.col("coefficients"), F.array(*[F.col(f"x{i}") for i in range(len(features))]))
     found = keyed.withColumn("e", error).groupBy(*by).agg(
         F.count(F.lit(1)).alias("n_test"), F.avg(F.col("e") * F.col("e")).alias("mse"), F.avg(F.abs("e")).alias("mae"), F.var_pop("y").alias("var"),

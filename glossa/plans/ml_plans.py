@@ -121,20 +121,20 @@ def platform_frame(spark, sf_dir):
 def pivot_frame(spark, sf_dir):
     daily = social.daily_reviews(view(spark, sf_dir, "reviews_v"))
     frame, _ = ml.model_frame(daily, social.social_pivot(view(spark, sf_dir, "social_v"), platforms=PLATFORMS))
-    return frame.withColumn("model", F.lit("all"))
+    return frame
 
 
-def model_metrics(frame, features, by):
+def model_metrics(frame, features, *by):
     train = trains(F.col("date"))
-    model = regression.fit(frame, "avg_rating", features, by=[by], train=train)
-    out = regression.metrics(model, frame, "avg_rating", features, by=[by], train=train)
+    model = regression.fit(frame, "avg_rating", features, by=by, train=train)
+    out = regression.metrics(model, frame, "avg_rating", features, by=by, train=train)
     return out.withColumns({c: r9(c) for c in ("r2", "mse", "mae")})
 
 
-def model_coefficients(frame, features, by):
-    model = regression.fit(frame, "avg_rating", features, by=[by], train=trains(F.col("date")))
-    out = regression.coefficients(model, features, by=[by])
-    return out.select(by, "feature", r9("beta").alias("beta"), round_half_even("coefficient", 15).alias("coefficient"))
+def model_coefficients(frame, features, *by):
+    model = regression.fit(frame, "avg_rating", features, by=by, train=trains(F.col("date")))
+    out = regression.coefficients(model, features, by=by)
+    return out.select(*by, "feature", r9("beta").alias("beta"), round_half_even("coefficient", 15).alias("coefficient"))
 
 
 COEFFICIENTS_SQL = "SELECT {by}, feature, {beta} AS beta, {coefficient} AS coefficient FROM model"
@@ -160,7 +160,7 @@ def platform_model_coefficients(spark, sf_dir):
 
 @register("rating_model", covers="K6 K8 E4", oracle=with_views(f"WITH {DAILY}, {ols_sql(PIVOT_FRAME, PIVOTED, 'model')} {metrics_sql('model')}", "reviews_v", "social_v"))
 def rating_model(spark, sf_dir):
-    return model_metrics(pivot_frame(spark, sf_dir), PIVOTED, "model")
+    return model_metrics(pivot_frame(spark, sf_dir), PIVOTED).withColumn("model", F.lit("all"))
 
 
 @register(
@@ -172,7 +172,7 @@ def rating_model(spark, sf_dir):
     ),
 )
 def rating_model_coefficients(spark, sf_dir):
-    return model_coefficients(pivot_frame(spark, sf_dir), PIVOTED, "model")
+    return model_coefficients(pivot_frame(spark, sf_dir), PIVOTED).withColumn("model", F.lit("all"))
 
 
 # ---------------------------------------------------------------- pairwise Spearman

@@ -73,6 +73,17 @@ def test_constant_and_dependent_features_get_no_weight(spark):
     assert flat[0]["coefficients"] == [0.0, 0.0] and flat[0]["intercept"] == 5.0
 
 
+def test_one_model_of_all_rows(spark):
+    x = np.arange(40.0)
+    df = spark.createDataFrame(pd.DataFrame({"x": x, "y": 2 * x + 1}))
+    model = regression.fit(df, "y", ["x"])
+    row = regression.metrics(model, df, "y", ["x"]).first()
+    assert (row["n_rows"], row["n_test"], row["grade"], row["top_feature"]) == (40, 40, "good", "x") and row["r2"] == pytest.approx(1.0)
+    assert regression.coefficients(model, ["x"]).first()["coefficient"] == pytest.approx(2.0)
+    few = regression.fit(df.limit(5), "y", ["x"])
+    assert few.count() == 0 and regression.metrics(few, df, "y", ["x"]).count() == 0
+
+
 def plain_kmeans(points, weights, ends):
     """Lloyd's rounds from a restart's end must not move it."""
     centers = np.array(ends.centers)
