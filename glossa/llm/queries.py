@@ -38,28 +38,49 @@ FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN item USING (doc_id)
 """
 
 OP3_SQL = r"""
-WITH l AS (
+WITH RECURSIVE l AS (
   SELECT doc_id, text, unnest(string_split(text, chr(10))) AS line, unnest(range(len(string_split(text, chr(10))))) AS i FROM documents
 ), k AS (
   SELECT *, [CASE WHEN regexp_matches(x, '[0-9]') THEN '<*>' ELSE x END FOR x IN regexp_split_to_array(line, '[ \t\x0B\f\r]+') IF x <> ''] AS w FROM l
-), t AS (
-  SELECT doc_id, text, i, w, len(w) AS n, concat(len(w), ' ', array_to_string(w[1:3], ' ')) AS leaf, array_to_string(w, ' ') AS own FROM k WHERE len(w) > 0
-), kinds AS (
-  SELECT DISTINCT leaf, own, n, w FROM t
-  WHERE leaf IN (SELECT leaf FROM t GROUP BY leaf HAVING count(DISTINCT own) > 1 AND count(DISTINCT text) > 1)
-), tokens AS (SELECT leaf, own, n, unnest(range(n)) AS p, unnest(w) AS token FROM kinds),
-constant AS (
-  SELECT leaf, p, max({'c': c, 'token': token}).token AS token FROM (SELECT leaf, p, token, count(*) AS c FROM tokens GROUP BY ALL) GROUP BY leaf, p
-), general AS (
-  SELECT leaf, own FROM tokens JOIN constant USING (leaf, p) GROUP BY leaf, own, n
-  HAVING count(*) FILTER (WHERE tokens.token = constant.token) >= ceil(n * 0.8)
-), named AS (
-  SELECT t.*, CASE WHEN general.own IS NOT NULL THEN 'leaf ' || t.leaf ELSE 'own ' || t.own END AS template FROM t LEFT JOIN general USING (leaf, own)
+), t AS MATERIALIZED (
+  SELECT doc_id, text, i, w, len(w) AS n, array_to_string(w, ' ') AS own, row_number() OVER (PARTITION BY doc_id ORDER BY i) AS place FROM k WHERE len(w) > 0
+), kinds AS MATERIALIZED (
+  SELECT DISTINCT concat(len(w), ' ', array_to_string(w[1:3], ' ')) AS g, own, n, w FROM t
+), tree(g, own, n, w, fits) AS (
+  SELECT g, own, n, w, false FROM kinds WHERE n >= 5
+  UNION ALL (
+    WITH sized AS (SELECT *, count(*) OVER (PARTITION BY g) AS size FROM tree WHERE NOT fits),
+    grown AS (SELECT * FROM sized WHERE size > 1),
+    toks AS (SELECT g, size, own, n, unnest(range(1, n + 1)) AS p, unnest(w) AS token FROM grown),
+    modal AS (SELECT g, size, p, max({'c': c, 'token': token}) AS m FROM (SELECT g, size, p, token, count(*) AS c FROM toks GROUP BY ALL) GROUP BY g, size, p),
+    split AS (SELECT g, arg_max(p, m.c * 100000 - p) FILTER (WHERE m.c < size) AS p FROM modal GROUP BY g),
+    agree AS (SELECT g, own, count(*) FILTER (WHERE toks.token = m.token) >= ceil(any_value(n) * 0.8) AS ok FROM toks JOIN modal USING (g, p) GROUP BY g, own),
+    gain AS (SELECT g, 4 * count(*) FILTER (WHERE ok) >= count(*) AS gained FROM agree GROUP BY g)
+    SELECT CASE WHEN ok THEN g WHEN gained THEN g || '|rest' ELSE concat(g, '|', split.p, '=', w[split.p]) END, own, n, w, ok
+    FROM grown JOIN agree USING (g, own) JOIN gain USING (g) JOIN split USING (g)
+  )
+), general AS (SELECT g, own FROM tree WHERE fits),
+named AS MATERIALIZED (
+  SELECT t.doc_id, text, i, place, n, coalesce('leaf ' || g, 'own ' || own) AS template FROM t LEFT JOIN general USING (own)
 ), owners AS (
   SELECT template, arg_min(text, doc_id) AS owner
   FROM (SELECT template, text, min(doc_id) AS doc_id, max(n) AS n FROM named GROUP BY template, text)
   GROUP BY template HAVING count(*) > 1 AND count(*) * max(n) >= 40
-), lost AS (SELECT doc_id, i FROM named JOIN owners USING (template) WHERE text <> owner)
+), links AS MATERIALIZED (
+  SELECT b.doc_id, b.text, b.place, a.i AS i0, b.i, a.n AS n0, b.n, a.template AS t0, b.template AS t1
+  FROM named a JOIN named b ON a.doc_id = b.doc_id AND a.place + 1 = b.place
+), link_owners AS (
+  SELECT t0, t1, count(*) AS docs, arg_min(text, doc_id) AS owner
+  FROM (SELECT t0, t1, text, min(doc_id) AS doc_id FROM links GROUP BY t0, t1, text) GROUP BY t0, t1 HAVING count(*) > 1
+), taken AS (
+  SELECT doc_id, i0, i, n0, n, docs, place, place - row_number() OVER (PARTITION BY doc_id ORDER BY place) AS run
+  FROM links JOIN link_owners USING (t0, t1) WHERE text <> owner
+), long_runs AS (
+  SELECT doc_id, list(i0) || list(i) AS lines FROM taken GROUP BY doc_id, run HAVING min(docs) * (sum(n) + arg_min(n0, place)) >= 40
+), lost AS (
+  SELECT doc_id, i FROM named JOIN owners USING (template) WHERE text <> owner
+  UNION SELECT doc_id, unnest(lines) FROM long_runs
+)
 SELECT doc_id, coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (WHERE lost.i IS NULL), '') AS text,
   count(*) AS lines_in, count(lost.i) AS lines_lost
 FROM l LEFT JOIN lost USING (doc_id, i) GROUP BY doc_id
