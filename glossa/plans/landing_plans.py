@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from glossa.plans.registry import register
 from glossa.plans.stream_plans import wall_clock
 from glossa.session import scratch_path
-from glossa.sources import snapshots
+from glossa.sources import responses, snapshots
 from glossa.sources.fixtures import TWEETS_V, read_table, view, with_views
 from glossa.streaming import closing
 
@@ -105,3 +105,43 @@ FROM tweets_v JOIN k ON created_at::DATE = day GROUP BY day""",
 def snapshot_days(spark, sf_dir):
     table = spark.read.parquet(snapshot_table(spark, sf_dir))
     return table.groupBy("ingest_date").agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("engagement").cast("decimal(38,12)")).cast("double").alias("engagement"))
+
+
+# Every event is a tweet; those of one type among 50 ids are one response. Every third author's profile is not delivered.
+RESPONSE_TWEETS = """
+SELECT event_id AS id, concat('a ', event_type, ' for @user', CAST(user_id AS STRING), ' #', event_type, ' #day', CAST(CAST(event_id % 7 AS INT) AS STRING)) AS text,
+  ts AS created_at, user_id, concat('#', event_type) AS query,
+  event_id % 50 AS like_count, event_id % 8 AS retweet_count, event_id % 5 AS reply_count FROM {events}
+"""
+
+
+def landed_responses(spark, sf_dir) -> str:
+    """All events as search responses, with the profiles of their authors from the customers, written as JSON."""
+    tweets = spark.sql(RESPONSE_TWEETS, events=read_table(spark, sf_dir, "events"))
+    people = read_table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("user_id"), "c_name")
+    known = F.when(F.col("c_name").isNotNull() & (F.col("user_id") % 3 != 0), F.col("user_id").cast("string"))
+    user = F.when(known.isNotNull(), F.struct(known.alias("id"), F.lower("c_name").alias("username"), F.col("c_name").alias("name"), F.struct((F.col("user_id") % 1000).alias("followers_count")).alias("public_metrics")))
+    metrics = F.struct("like_count", "retweet_count", "reply_count").alias("public_metrics")
+    tweet = F.struct("id", "text", F.date_format("created_at", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("created_at"), F.col("user_id").cast("string").alias("author_id"), metrics)
+    page = F.floor(F.col("id") / 50).alias("page"), "query"  # at most 50 tweets
+    pages = tweets.join(people, "user_id", "left").groupBy(*page).agg(F.collect_list(tweet).alias("data"), F.struct(F.collect_set(user).alias("users")).alias("includes"))
+    path = scratch_path(spark, "responses")
+    pages.drop("page").write.json(path)
+    return path
+
+
+@register(
+    "response_tweets",
+    covers="A13 B15 B16 B17",
+    oracle=f"""SELECT id AS tweet_id, CAST(user_id AS VARCHAR) AS author_id, CASE WHEN user_id % 3 <> 0 AND c_name IS NOT NULL THEN c_name ELSE 'unknown' END AS author_name,
+  CASE WHEN user_id % 3 <> 0 AND c_name IS NOT NULL THEN lower(c_name) ELSE 'unknown' END AS author_username,
+  CASE WHEN user_id % 3 <> 0 AND c_name IS NOT NULL THEN user_id % 1000 END AS author_followers, strftime(created_at, '%Y-%m-%d %H:%M:%S') AS created,
+  like_count, 0::BIGINT AS impression_count, concat(query[2:], ',day', id % 7) AS hashtags, concat('user', user_id) AS mentions, query, 'twitter' AS platform,
+  CAST(like_count + 2 * retweet_count + 1.5 * reply_count AS DOUBLE) AS weighted_engagement
+FROM ({RESPONSE_TWEETS.format(events='events')}) LEFT JOIN customer ON user_id = c_custkey""",
+)
+def response_tweets(spark, sf_dir):
+    rows = responses.read_responses(spark, landed_responses(spark, sf_dir))
+    lists = {c: F.array_join(c, ",") for c in ("hashtags", "mentions")}
+    rows = rows.withColumns({**lists, "created": F.date_format("created_at", "yyyy-MM-dd HH:mm:ss"), "weighted_engagement": F.col("weighted_engagement").cast("double")})
+    return rows.drop("text", "created_at", "lang", "retweet_count", "reply_count")

@@ -12,6 +12,8 @@ folder, so a restarted query resumes where it stopped.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType, TimestampType
@@ -42,8 +44,8 @@ PAYLOAD_SCHEMA = StructType(
 NEGATIVE_SHARE_ALERT = 0.3  # fixed value: same threshold as the batch alert
 
 
-def flatten_payload(raw: DataFrame) -> DataFrame:
-    """Payload struct → flat tweet columns (works on batch and stream)."""
+def flatten_payload(raw: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """Payload struct → flat tweet columns (works on batch and stream), then the columns ``keep``."""
     m = "public_metrics"
     return raw.select(
         F.col("id").alias("tweet_id"),
@@ -55,6 +57,7 @@ def flatten_payload(raw: DataFrame) -> DataFrame:
         F.coalesce(F.col(f"{m}.retweet_count"), F.lit(0)).alias("retweet_count"),
         F.coalesce(F.col(f"{m}.reply_count"), F.lit(0)).alias("reply_count"),
         F.coalesce(F.col(f"{m}.impression_count"), F.lit(0)).alias("impression_count"),
+        *keep,
     )
 
 
