@@ -14,9 +14,9 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from glossa.operators import joins, marts, ml, quality, social, stats, timeseries, valence
+from glossa.operators import joins, marts, ml, quality, report, social, stats, timeseries, valence
 from glossa.operators import text as X
-from glossa.session import durable
+from glossa.session import durable, written
 from glossa.sources import files
 
 
@@ -63,19 +63,22 @@ def transform_job(spark: SparkSession, combined: DataFrame, out_dir: str, *, n_i
 
 
 def correlation_job(spark: SparkSession, processed: DataFrame, social_df: DataFrame, out_dir: str) -> DataFrame:
-    """Steps J1–J4, A14: correlation table and its rendered lines."""
-    daily_r = social.daily_reviews(processed)
-    daily_s = social.daily_social(social_df)
-    report = stats.correlation_report(stats.platform_correlations(daily_r, daily_s, with_p=True))
-    files.write_parquet(report, os.path.join(out_dir, "correlations"))
-    lines = files.report_lines(
-        report,
-        "%s_%s: Spearman %.3f (p-value: %.3f) | Pearson %.3f (p-value: %.3f) | Muestra %d | %s",
-        ["pair", "platform", "spearman_r", "spearman_p", "pearson_r", "pearson_p", "n", "interpretation"],
-        ["platform", "pair"],
-    )
-    files.write_report(lines, os.path.join(out_dir, "correlation_report"))
-    return report
+    """Steps J1–J7, E7, A14: correlation table, report table of five sections and its text."""
+    daily_r = written(social.daily_reviews(processed), "daily-reviews")
+    daily_s = written(social.daily_social(social_df), "daily-social")
+    path = os.path.join(out_dir, "correlations")
+    files.write_parquet(stats.correlation_report(stats.platform_correlations(daily_r, daily_s, with_p=True)), path)
+    corr = spark.read.parquet(path)
+    lags = written(stats.lag_correlations(daily_r, daily_s), "lags")
+    top = impact = None
+    if "hashtag" in social_df.columns and "cleaned_text" in processed.columns:
+        top = written(report.top_hashtags(social_df), "top-hashtags")
+        impact = written(social.hashtag_impact(processed, social_df), "hashtag-impact")
+    document = report.correlation_document(corr, lags, top=top, impact=impact)
+    table = os.path.join(out_dir, "correlation_document")
+    files.write_parquet(document, table)
+    files.write_report(report.as_text(spark.read.parquet(table)), os.path.join(out_dir, "correlation_report"))
+    return corr
 
 
 def validation_job(spark: SparkSession, processed: DataFrame, out_dir: str) -> DataFrame:

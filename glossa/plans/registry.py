@@ -51,6 +51,7 @@ def all_queries() -> dict[str, Query]:
         marts_plans,
         ml_plans,
         quality_plans,
+        report_plans,
         rule_plans,
         segment_plans,
         social_plans,

@@ -55,7 +55,47 @@ def platform_correlations(spark, sf_dir):
     return c.select("platform", "pair", "n", r9("pearson_r").alias("pearson_r"), r9("spearman_r").alias("spearman_r"))
 
 
-@register("correlation_strength", covers="J1 J2 J4 J6 U1", oracle=None)
+def _simpson(f, lo: str, hi: str, steps: int = 4000) -> str:
+    """Integral of ``f(t)`` from ``lo`` to ``hi`` by Simpson's rule."""
+    weight = f"(CASE WHEN k IN (0, {steps}) THEN 1 WHEN k % 2 = 1 THEN 4 ELSE 2 END)"
+    at = f"({lo} + k * (({hi}) - ({lo})) / {float(steps)})"
+    return f"((SELECT sum({weight} * {f(at)}) FROM range({steps + 1}) s(k)) * (({hi}) - ({lo})) / {3.0 * steps})"
+
+
+def t_tail(theta: str, df: str) -> str:
+    """Two-sided p of Student's t with tan(theta) = |t| / sqrt(df): the tail of cos^(df-1) over its whole.
+
+    The whole is a beta function; the tail ends where cos^(df-1) has fallen by e^-80.
+    """
+    end = f"least(pi() / 2, ({theta}) + sqrt(160.0 / greatest({df} - 1, 1e-9)))"
+    whole = f"(0.5 * sqrt(pi()) * exp(lgamma(({df}) / 2.0) - lgamma((({df}) + 1) / 2.0)))"
+    return f"least(1.0, {_simpson(lambda t: f'pow(greatest(cos({t}), 0.0), ({df}) - 1)', theta, end)} / {whole})"
+
+
+def f_tail(f: str, d1: str, d2: str) -> str:
+    """Upper p of F (two or more degrees above): the incomplete beta integral with t = x e^(-s / a)."""
+    a, b = f"(({d2}) / 2.0)", f"(({d1}) / 2.0)"
+    x = f"(({d2}) / (({d2}) + ({d1}) * ({f})))"
+    head = f"exp({a} * ln({x}) + lgamma({a} + {b}) - lgamma({a}) - lgamma({b}) - ln({a}))"
+    return f"least(1.0, {head} * {_simpson(lambda t: f'exp(-{t}) * pow(greatest(1 - {x} * exp(-{t} / {a}), 0.0), {b} - 1)', '0.0', '60.0')})"
+
+
+#: Platform correlations with p-values, labels and sentences.
+STRENGTH_SQL = f"""WITH c AS ({CORR_SQL}),
+q AS (SELECT *, {q9(t_tail('asin(least(abs(pearson_r), 1.0))', '(n - 2)'))} AS pearson_p,
+             {q9(t_tail('asin(least(abs(spearman_r), 1.0))', '(n - 2)'))} AS spearman_p FROM c),
+s AS (SELECT *, CASE WHEN spearman_r IS NULL OR spearman_p IS NULL THEN NULL WHEN spearman_p >= 0.05 THEN 'NO SIGNIFICATIVA'
+             WHEN abs(spearman_r) > 0.7 THEN 'FUERTE' WHEN abs(spearman_r) > 0.5 THEN 'MODERADA'
+             WHEN abs(spearman_r) > 0.3 THEN 'DEBIL' ELSE 'MUY DEBIL' END AS strength,
+             CASE WHEN spearman_r > 0 THEN 'positiva' ELSE 'negativa' END AS direction FROM q)
+SELECT platform, pair, n, pearson_r, pearson_p, spearman_r, spearman_p, strength, direction,
+       CASE WHEN strength IS NULL THEN NULL WHEN spearman_p >= 0.05 THEN 'Correlacion NO significativa (p > 0.05)'
+            ELSE 'Correlacion ' || strength || ' ' || direction || ' (ESTADISTICAMENTE SIGNIFICATIVA)' END AS interpretation,
+       coalesce(abs(spearman_r) > 0.5 AND spearman_p < 0.05, false) AS is_strong
+FROM s"""
+
+
+@register("correlation_strength", covers="J1 J2 J4 J6 U1", oracle=with_views(STRENGTH_SQL, "reviews_v", "social_v"))
 def correlation_strength(spark, sf_dir):
     dr, ds = _daily(spark, sf_dir)
     c = stats.correlation_report(stats.platform_correlations(dr, ds, min_n=10, with_p=True))
@@ -66,7 +106,17 @@ def correlation_strength(spark, sf_dir):
     )
 
 
-@register("platform_recommendations", covers="J7", oracle=None)
+@register(
+    "platform_recommendations",
+    covers="J7",
+    oracle=with_views(
+        f"""WITH rep AS ({STRENGTH_SQL})
+SELECT platform, {q9('avg(abs(spearman_r))')} AS mean_abs_spearman, count(*) FILTER (WHERE is_strong) AS n_strong,
+       avg(abs(spearman_r)) > 0.4 AS recommended FROM rep GROUP BY platform""",
+        "reviews_v",
+        "social_v",
+    ),
+)
 def platform_recommendations(spark, sf_dir):
     dr, ds = _daily(spark, sf_dir)
     rep = stats.correlation_report(stats.platform_correlations(dr, ds, min_n=10, with_p=True))
@@ -267,7 +317,27 @@ def welch_ttest(spark, sf_dir):
     return t.select("n_a", "n_b", *[r9(c).alias(c) for c in ("mean_a", "mean_b", "t_stat", "df")])
 
 
-@register("statistical_tests", covers="J10 J11 J12 U1", oracle=None)
+WELCH_SQL = """SELECT (mean_a - mean_b) / sqrt(va + vb) AS t_stat, (va + vb) * (va + vb) / (va * va / (n_a - 1) + vb * vb / (n_b - 1)) AS df
+FROM (SELECT *, var_a / n_a AS va, var_b / n_b AS vb FROM (
+  SELECT count(rating) FILTER (WHERE sentiment_label = 'positive') AS n_a, avg(rating) FILTER (WHERE sentiment_label = 'positive') AS mean_a,
+         var_samp(rating) FILTER (WHERE sentiment_label = 'positive') AS var_a,
+         count(rating) FILTER (WHERE sentiment_label = 'negative') AS n_b, avg(rating) FILTER (WHERE sentiment_label = 'negative') AS mean_b,
+         var_samp(rating) FILTER (WHERE sentiment_label = 'negative') AS var_b FROM reviews_v)
+WHERE n_a > 5 AND n_b > 5)"""
+
+
+@register(
+    "statistical_tests",
+    covers="J10 J11 J12 U1",
+    oracle=with_views(
+        f"""WITH brand AS ({ANOVA_BRAND_SQL}), cat AS ({ANOVA_CAT_SQL}), welch AS ({WELCH_SQL}),
+tests AS (SELECT 'anova_brand' AS test, f_stat AS statistic, {f_tail('f_stat', 'df_between', 'df_within')} AS p FROM brand
+  UNION ALL SELECT 'anova_category', f_stat, {f_tail('f_stat', 'df_between', 'df_within')} FROM cat
+  UNION ALL SELECT 'welch_t', t_stat, {t_tail('atan(abs(t_stat) / sqrt(df))', 'df')} FROM welch)
+SELECT test, {q9('statistic')} AS statistic, {q9('p')} AS p_value, coalesce(p < 0.05, false) AS significant FROM tests""",
+        "reviews_v",
+    ),
+)
 def statistical_tests(spark, sf_dir):
     r = view(spark, sf_dir, "reviews_v")
     brand = stats.anova_top_groups(r, group_col="brand_name", k=5, with_p=True)
@@ -340,7 +410,22 @@ def sentiment_rating_points(spark, sf_dir):
     return pts
 
 
-@register("correlation_report_lines", covers="A14 J4 J6", oracle=None)
+def fixed(x: str, pattern: str = "%.3f") -> str:
+    """DuckDB spelling of ``report.figure``."""
+    return f"CASE WHEN ({x}) IS NULL THEN 'nan' ELSE printf('{pattern}', {rnd(x, int(pattern.split('.')[1][0]))} + 0.0) END"
+
+
+@register(
+    "correlation_report_lines",
+    covers="A14 J4 J6",
+    oracle=with_views(
+        f"""WITH rep AS ({STRENGTH_SQL})
+SELECT platform, pair, pair || '_' || platform || ': Spearman ' || {fixed('spearman_r')} || ' (p-value: ' || {fixed('spearman_p')} || ') | Pearson '
+  || {fixed('pearson_r')} || ' (p-value: ' || {fixed('pearson_p')} || ') | Muestra ' || n || ' | ' || interpretation AS line FROM rep""",
+        "reviews_v",
+        "social_v",
+    ),
+)
 def correlation_report_lines(spark, sf_dir):
     from glossa.sources import files
 

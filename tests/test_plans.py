@@ -9,7 +9,7 @@ from glossa.plans.registry import all_queries
 
 SF = "/root/testdata/sf0.001"
 QUERIES = all_queries()
-PVALUE_QUERIES = {"correlation_strength", "platform_recommendations", "statistical_tests", "correlation_report_lines", "alerts", "correlation_pvalues", "lag_pvalues"}
+PVALUE_QUERIES = {"correlation_document", "correlation_strength", "platform_recommendations", "statistical_tests", "correlation_report_lines", "alerts", "correlation_pvalues", "lag_pvalues"}
 SKIP = {"review_clusters", "cluster_info", "social_rating_model", "social_rating_coefficients", "tweet_stream_daily", "negative_share_alerts"}
 
 
