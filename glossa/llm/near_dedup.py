@@ -12,7 +12,10 @@ and every other one is confirmed on the full sets. A bucket's pairs are not all
 centres (the smallest members under ``CENTRES`` orders) are compared with the others, and what links
 joins one component. Then all members of a bucket that are still in different
 components meet, each pair in the first bucket that it shares; the estimate is part of that
-join's condition. So every pair that shares
+join's condition. A crowded bucket is dealt into blocks of about ``BLOCK`` classes, and pairs of blocks
+meet under keys of their own, so that no task compares a bucket whole. (Further bands would not
+thin such a bucket: 2-bit fields that catch pairs at 0.75 catch most of those at 0.6 too, and
+comparing two signatures is as cheap.) So every pair that shares
 a bucket is either confirmed, refused or known to be in one component, and components are exact
 over the candidates. A pair at the threshold shares no band with probability
 (1 - 0.75 ** 4) ** 32 = 5e-6.
@@ -40,6 +43,8 @@ SIGMAS = 4.5
 KNOWN_WORDS = 1_000_000
 #: Orders in which a bucket's smallest member is a centre.
 CENTRES = 4
+#: Classes of a crowded bucket that meet under one key, about.
+BLOCK = 512
 
 U = np.uint64
 
@@ -229,16 +234,23 @@ def components(docs: DataFrame, size: int = 5, percent: int = 75) -> DataFrame:
 def remaining(members: DataFrame, nodes: DataFrame, labels: DataFrame, threshold: float) -> DataFrame:
     """The pairs (a, b) that share a bucket, are in different components and may link by the estimate, each once."""
     one = members.join(labels.select("node", "label"), "node")
-    mixed = one.groupBy("bucket").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi").select("bucket")
-    one = one.join(mixed, "bucket").select("node", "band", "bucket").join(labels, "node").join(nodes.select("node", "bands"), "node")
-    one = stored(one, "unsettled")
-    x, y = one.alias("x"), one.alias("y")
+    mixed = one.groupBy("bucket").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count("*").alias("size")).where("lo <> hi")
+    one = one.join(mixed.select("bucket", F.ceil(F.col("size") / BLOCK).alias("blocks")), "bucket").select("node", "band", "bucket", "blocks")
+    one = stored(one.join(labels, "node").join(nodes.select("node", "bands"), "node"), "unsettled")
+    x, y = dealt(one, "i", "j").alias("x"), dealt(one, "j", "i").alias("y")
     # Band keys of different bands differ, so the bands before this one overlap if an earlier bucket is shared.
     earlier = F.arrays_overlap(F.slice("x.bands", F.lit(1), F.col("x.band")), F.slice("y.bands", F.lit(1), F.col("y.band")))
-    meet = (F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.label") < F.col("y.label")) & may_link("x", "y", threshold) & ~earlier
+    same = (F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.i") == F.col("y.i")) & (F.col("x.j") == F.col("y.j"))
+    meet = same & (F.col("x.label") < F.col("y.label")) & may_link("x", "y", threshold) & ~earlier
     return x.join(y, meet).select(F.col("x.node").alias("a"), F.col("y.node").alias("b"))
 
 
+def dealt(rows: DataFrame, own: str, other: str) -> DataFrame:
+    """Each row with the number of its block within its bucket (``own``), once for every block (``other``)."""
+    block = F.pmod(F.xxhash64("node"), F.col("blocks"))
+    return rows.select("*", block.alias(own), F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias(other))
+
+
 def screened(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
     """The pairs (a, b) whose estimate allows a link."""
     x, y = sets.select("node", "sig").alias("x"), sets.select("node", "sig").alias("y")

@@ -13,6 +13,19 @@ from glossa.llm.common import crc_bucket, table
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
+OP7_SQL = r"""WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+placed AS (SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) AS k, len(w) AS n FROM words),
+runs AS (SELECT doc_id, k, n, string_agg(word, ' ') OVER (PARTITION BY doc_id ORDER BY k ROWS BETWEEN CURRENT ROW AND 4 FOLLOWING) AS shingle FROM placed),
+items AS (SELECT DISTINCT doc_id, shingle FROM runs WHERE k <= greatest(n - 4, 1)),
+sized AS (SELECT doc_id, count(shingle) AS n FROM words LEFT JOIN items USING (doc_id) GROUP BY doc_id),
+shared AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS n_both FROM items x JOIN items y ON x.shingle = y.shingle AND x.doc_id < y.doc_id GROUP BY ALL),
+links AS (SELECT a, b FROM shared JOIN sized p ON p.doc_id = a JOIN sized q ON q.doc_id = b WHERE 100 * n_both >= 75 * (p.n + q.n - n_both)),
+steps AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reach AS (SELECT doc_id, doc_id AS other FROM sized UNION SELECT reach.doc_id, steps.b FROM reach JOIN steps ON steps.a = reach.other)
+SELECT doc_id, n AS n_shingles, min(other) AS component_id, doc_id = min(other) AS kept
+FROM sized JOIN reach USING (doc_id) GROUP BY doc_id, n"""
+
 OP8_SQL = rf"""
 WITH d AS (
   SELECT doc_id, [x FOR x IN regexp_split_to_array(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+') IF x <> ''] AS w
@@ -250,4 +263,4 @@ def queries() -> dict[str, Builder]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_line_dedup": OP3_SQL, "op4_tool_calls": OP4_SQL, "op5_nn_descent": OP5_SQL, "op8_decontamination": OP8_SQL, "op13_va_file": OP13_SQL}
+    return {"op3_line_dedup": OP3_SQL, "op4_tool_calls": OP4_SQL, "op5_nn_descent": OP5_SQL, "op7_bbit_minhash": OP7_SQL, "op8_decontamination": OP8_SQL, "op13_va_file": OP13_SQL}

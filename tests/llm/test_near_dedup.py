@@ -4,7 +4,7 @@ import numpy as np
 
 from glossa.llm import near_dedup, queries
 from tests.conftest import SF_SMALL
-from tests.llm.conftest import lower
+from tests.llm.conftest import lower, oracle, same
 
 
 def shingles(text, size=5):
@@ -68,6 +68,34 @@ def test_against_all_pairs(spark):
     assert len({t for _, t in left}) == len(left) - 2  # null twice, one blank text twice
 
 
+def crowd(rng, n):
+    """Texts that share a passage with all others and are 0.6 to 0.74 alike, some a little more."""
+    base = ["v%d" % k for k in range(240)]
+    rows = []
+    for k in range(n):
+        own = rng.randrange(36, 62)
+        rows.append((k, " ".join(base + ["o%d_%d" % (k // 2 if k % 7 == 0 else k, j) for j in range(own)])))
+    return rows
+
+
+def test_crowded_bucket_in_blocks(spark, monkeypatch):
+    rows = crowd(random.Random(11), 90)
+    want = brute(rows)
+    assert run(spark, rows)[0] == want
+    met = []
+    plain = near_dedup.dealt
+
+    def watched(df, own, other):
+        out = plain(df, own, other)
+        met.append(out.groupBy("bucket", "i", "j").count().agg({"count": "max"}).first()[0])
+        return out
+
+    monkeypatch.setattr(near_dedup, "BLOCK", 8)
+    monkeypatch.setattr(near_dedup, "dealt", watched)
+    assert run(spark, rows)[0] == want
+    assert met and max(met) <= 24  # of 90 classes in the largest bucket, which meet eight or so at a time
+
+
 def test_empty_table(spark):
     got, kept = run(spark, [])
     assert got == [] and kept.count() == 0
@@ -87,6 +115,8 @@ def test_signature_estimates_similarity():
 
 def test_whole_table_against_all_pairs(spark):
     rows = [tuple(r) for r in spark.read.parquet(f"{SF_SMALL}/documents.parquet").select("doc_id", "text").collect()]
-    got = queries.op7_bbit_minhash(spark, SF_SMALL).collect()
+    table = queries.op7_bbit_minhash(spark, SF_SMALL).toPandas()
+    same(table, oracle("op7_bbit_minhash", SF_SMALL))
+    got = list(table.itertuples(index=False))
     assert sorted(((r.doc_id, r.n_shingles, r.component_id) for r in got), key=repr) == brute(rows)
     assert all(r.kept == (r.doc_id == r.component_id) for r in got)
