@@ -21,6 +21,9 @@ empty lexicon scores everything 0.
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -62,9 +65,16 @@ REVIEW_THRESHOLDS = (0.1, False)
 TWEET_THRESHOLDS = (0.05, True)
 
 
+def word_table(spark: SparkSession, words: Mapping[str, float], value: str) -> DataFrame:
+    """(token, ``value``) of a dict, as a local table whose size the planner knows (rows of Python objects count as
+    endless: joins with them shuffle the other side too)."""
+    items = sorted(words.items())
+    columns = {"token": pa.array([w for w, _ in items], pa.string()), value: pa.array([float(v) for _, v in items], pa.float64())}
+    return spark.createDataFrame(pa.table(columns))
+
+
 def lexicon_frame(spark: SparkSession, lexicon: dict[str, float] | None = None) -> DataFrame:
-    lex = DEFAULT_LEXICON if lexicon is None else lexicon
-    return spark.createDataFrame(sorted(lex.items()), "token string, valence double")
+    return word_table(spark, DEFAULT_LEXICON if lexicon is None else lexicon, "valence")
 
 
 def word_polarities(lexicon: dict[str, float] | None, polarity: dict[str, float] | None) -> dict[str, float]:
@@ -181,7 +191,7 @@ def score(
             polarity = lexicon.select("token", _polarity(F.col("valence").cast("double")).alias("polarity"))
         else:
             own = word_polarities(lexicon if isinstance(lexicon, dict) else None, polarity)
-            polarity = spark.createDataFrame(sorted(own.items()), "token string, polarity double")
+            polarity = word_table(spark, own, "polarity")
     if not isinstance(lexicon, DataFrame):
         lexicon = lexicon_frame(spark, lexicon)
     both = lexicon.select("token", F.col("valence").cast("double").alias("valence"), F.lit(None).cast("double").alias("polarity")).union(

@@ -4,7 +4,9 @@ Both scores read words and phrases from tables of any size. Each text's tokens a
 words of the entries; an entry of several words holds where the following tokens spell it (an n-gram join without
 n-grams of the whole text). At one place the longest entry counts, and an entry that begins inside an earlier one
 does not count. Equal texts are scored once, so a text that a third of the rows repeat is one group; windows run
-over the entries found in one text, never over rows.
+over the entries found in one text, never over rows. Tokens stay where their text is when the table is small enough to
+broadcast, which the planner must be able to see: ``sentiment.word_table`` makes such tables of dicts. What an
+entry needs of its surroundings is worked out before the windows, so they sort places and numbers, no tokens.
 
 Valence (C1): an entry in capitals, in a text that has both, counts 0.733 more; each of the three tokens before it that
 is a booster adds its step (times 1, 0.95, 0.9 with the distance, and 0.733 more in capitals); a negation among them
@@ -61,24 +63,31 @@ def capitals(c: Column) -> Column:
 
 def distinct_texts(df: DataFrame, text_col: str) -> tuple[DataFrame, DataFrame]:
     """(rows with ``_key``, one row a text: _key, _text, its cleaned tokens ``_raw``)."""
-    keyed = df.withColumn("_key", F.md5(F.col(text_col).cast("binary")))
+    keyed = df.withColumn("_key", F.unhex(F.md5(F.col(text_col).cast("binary"))))
     texts = keyed.select("_key", F.col(text_col).alias("_text")).where("_key IS NOT NULL").dropDuplicates(["_key"])
-    clean = T.clean_text("_text")
-    return keyed, texts.select("_key", "_text", F.when(clean == "", F.array().cast("array<string>")).otherwise(F.split(clean, " ")).alias("_raw"))
+    texts = texts.select("_key", "_text", T.clean_text("_text").alias("_clean"))
+    return keyed, texts.select("_key", "_text", F.when(F.col("_clean") == "", F.array().cast("array<string>")).otherwise(F.split("_clean", " ")).alias("_raw"))
 
 
-def found_entries(texts: DataFrame, table: DataFrame, keep: Sequence[str], max_words: int) -> DataFrame:
-    """The entries that hold in each text: columns ``keep``, i, ahead, p1..p3 and those of ``table``."""
+def found_entries(texts: DataFrame, table: DataFrame, worth: Mapping[str, Column], max_words: int, *, keep: Sequence[str] = (), context: bool = False) -> DataFrame:
+    """The entries that hold in each text: _key, i, n, those columns of ``table`` that order or classify, and ``worth``.
+
+    ``worth`` is computed where an entry is met, from i, ahead, the text's columns ``keep``, those of ``table`` and, with
+    ``context``, the three tokens before it, p1..p3.
+    """
     raw = F.col("_raw")
 
     def before(i: Column, j: int) -> Column:
         return F.when(i >= j, F.try_element_at(raw, i - j + 1))
 
-    place = lambda t, i: F.struct(i.alias("i"), F.slice(raw, i + 1, max_words).alias("ahead"), *[before(i, j).alias(f"p{j}") for j in (1, 2, 3)])
-    tokens = texts.select(*keep, F.inline(F.transform(raw, place)))
+    # Element by element: a slice would copy the whole text's tokens at each of them.
+    ahead = lambda t, i: F.array(t, *[F.try_element_at(raw, i + 1 + j) for j in range(1, max_words)])
+    place = lambda t, i: F.struct(i.alias("i"), ahead(t, i).alias("ahead"), *[before(i, j).alias(f"p{j}") for j in (1, 2, 3) if context])
+    tokens = texts.select("_key", *keep, F.inline(F.transform(raw, place)))
     hits = tokens.join(table, F.lower(F.col("ahead")[0]) == F.col("first")).where(F.lower(F.array_join(F.slice("ahead", 1, F.col("n")), " ")) == F.col("phrase"))
-    order = [F.col("i"), F.col("n").desc(), *[F.col(c) for c in ("kind",) if c in table.columns]]
-    w = Window.partitionBy("_key").orderBy(*order)
+    kind = [c for c in ("kind",) if c in table.columns]
+    hits = hits.select("_key", "i", "n", *kind, *[c.alias(name) for name, c in worth.items()])
+    w = Window.partitionBy("_key").orderBy(F.col("i"), F.col("n").desc(), *[F.col(c) for c in kind])
     longest = hits.withColumn("_before", F.lag("i").over(w)).where("_before IS NULL OR _before <> i").drop("_before")
     w = Window.partitionBy("_key").orderBy("i")
     covered = F.max(F.col("i") + F.col("n")).over(w.rowsBetween(Window.unboundedPreceding, -1))
@@ -119,8 +128,6 @@ def valence_scores(
     shouts, asks = T.char_count("_text", "!"), T.char_count("_text", "?")
     marks = F.least(shouts, F.lit(EXCLAMATION[1])) * EXCLAMATION[0] + F.when(asks > QUESTION[1], QUESTION[2]).when(asks > 1, asks * QUESTION[0]).otherwise(0.0)
     texts = texts.withColumns({"mixed": (n_caps > 0) & (n_caps < F.size("_raw")), "cut": cut, "marks": marks})
-    hits = found_entries(texts, entries(lexicon, "token", "valence", max_words), ["_key", "mixed", "cut", "marks", "_raw"], max_words)
-
     value, sign = F.col("value"), F.signum("value")
     spelled = F.array_join(F.slice("ahead", 1, F.col("n")), " ")
     total = value + F.when(F.col("mixed") & capitals(spelled), sign * CAPITALS).otherwise(0.0)
@@ -131,7 +138,9 @@ def valence_scores(
     negated = _within(F.col("p1"), negations) | _within(F.col("p2"), negations) | _within(F.col("p3"), negations)
     total = F.when(negated, total * S.NEGATION_SCALAR).otherwise(total)
     total = total * F.when(F.col("i") < F.col("cut"), CONTRAST[0]).when(F.col("i") > F.col("cut"), CONTRAST[1]).otherwise(1.0)
-    sums = hits.groupBy("_key").agg(F.sum(total).alias("s"), F.max("marks").alias("marks"))
+    table = entries(lexicon, "token", "valence", max_words)
+    hits = found_entries(texts, table, {"total": total, "marks": F.col("marks")}, max_words, keep=["mixed", "cut", "marks"], context=True)
+    sums = hits.groupBy("_key").agg(F.sum("total").alias("s"), F.max("marks").alias("marks"))
     s = F.col("s") + F.signum("s") * F.col("marks")
     scores = sums.select("_key", s.alias("s")).select("_key", (F.col("s") / F.sqrt(F.col("s") * F.col("s") + S.ALPHA)).alias(out))
     return keyed.join(scores, "_key", "left").withColumn(out, F.coalesce(F.col(out), F.lit(0.0))).drop("_key")
@@ -153,13 +162,13 @@ def polarity_scores(
     """
     spark = df.sparkSession
     keyed, texts = distinct_texts(df, text_col)
-    against = spark.createDataFrame([(w, 1.0) for w in negations], "token string, value double")
+    against = S.word_table(spark, dict.fromkeys(negations, 1.0), "value")
     kinds = (("m", modifiers.where("intensity > 0"), "intensity"), ("n", against, "value"), ("p", polarity, "polarity"))
     table = None
     for kind, rows, value in kinds:
         part = entries(rows, "token", value, max_words).withColumn("kind", F.lit(kind))
         table = part if table is None else table.union(part)
-    marked = found_entries(texts, table, ["_key", "_raw"], max_words).select("_key", "i", "n", "kind", "value")
+    marked = found_entries(texts, table, {"value": F.col("value")}, max_words)
     w = Window.partitionBy("_key").orderBy("i")
     follows = F.coalesce(F.lag(F.col("i") + F.col("n")).over(w) == F.col("i"), F.lit(False))
     last = F.lag("kind").over(w)
@@ -185,9 +194,8 @@ def analyze(
 ) -> DataFrame:
     """C1–C5 by the rules above: both scores, their blend, its label and intensity. Tables default to our own small ones."""
     spark = df.sparkSession
-    frame = lambda d, value: spark.createDataFrame(sorted(d.items()), f"token string, {value} double")
-    lexicon = frame(S.DEFAULT_LEXICON, "valence") if lexicon is None else lexicon
-    polarity = frame(S.DEFAULT_POLARITY, "polarity") if polarity is None else polarity
-    modifiers = frame(MODIFIERS, "intensity") if modifiers is None else modifiers
+    lexicon = S.word_table(spark, S.DEFAULT_LEXICON, "valence") if lexicon is None else lexicon
+    polarity = S.word_table(spark, S.DEFAULT_POLARITY, "polarity") if polarity is None else polarity
+    modifiers = S.word_table(spark, MODIFIERS, "intensity") if modifiers is None else modifiers
     scored = polarity_scores(valence_scores(df, lexicon, text_col=text_col), polarity, modifiers, text_col=text_col)
     return S.blended(scored)

@@ -22,10 +22,6 @@ CONTRASTS = ("than", "pour", "que")
 INTENSITIES = {"in": 1.4, "and": 1.2, "de": 0.6, "er": 1.1, "of": 0.8, "at": 1.3}
 
 
-def frame(spark, words, value):
-    return spark.createDataFrame(sorted(words.items()), f"token string, {value} double")
-
-
 def rows_sql(kinds: dict[str, dict[str, float]]) -> str:
     rows = [(w, len(w.split()), k, float(v)) for k, words in kinds.items() for w, v in words.items()]
     return "VALUES " + ", ".join(f"('{w}', {n}, '{k}', {v!r}::DOUBLE)" for w, n, k, v in rows)
@@ -81,11 +77,11 @@ polarity AS (SELECT doc_id, avg(greatest(-1, least(1, CASE WHEN negated THEN val
 
 
 def valences(docs, spark):
-    return V.valence_scores(docs, frame(spark, VALENCES, "valence"), text_col="text", boosters=STEPS, negations=AGAINST, contrasts=CONTRASTS)
+    return V.valence_scores(docs, S.word_table(spark, VALENCES, "valence"), text_col="text", boosters=STEPS, negations=AGAINST, contrasts=CONTRASTS)
 
 
 def polarities(docs, spark):
-    return V.polarity_scores(docs, frame(spark, POLARITIES, "polarity"), frame(spark, INTENSITIES, "intensity"), text_col="text", negations=AGAINST)
+    return V.polarity_scores(docs, S.word_table(spark, POLARITIES, "polarity"), S.word_table(spark, INTENSITIES, "intensity"), text_col="text", negations=AGAINST)
 
 
 @register("rule_valence", covers="C1", oracle=f"WITH {valence_sql()} SELECT doc_id, {q9('vader_compound')} AS vader_compound FROM valence")

@@ -101,3 +101,20 @@ def test_a_long_text_and_a_hot_text(spark):
     lexicon = spark.createDataFrame(LEXICON, "token string, valence double")
     got = scores(spark, V.valence_scores, [long] + ["good"] * 50, lexicon)
     assert got[0] > 0.999 and got[1:] == [compound(2.0)] * 50
+
+
+def plan_of(spark, name):
+    from glossa.plans.registry import all_queries
+
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "20k")  # less than the texts
+    try:
+        return all_queries()[name].build(spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+def test_valence_tokens_stay_with_their_text(spark):
+    plan = plan_of(spark, "rule_valence")
+    assert "hashpartitioning(first" not in plan and "hashpartitioning(lower(" not in plan  # one exchange of texts, none of tokens
