@@ -118,3 +118,8 @@ def plan_of(spark, name):
 def test_valence_tokens_stay_with_their_text(spark):
     plan = plan_of(spark, "rule_valence")
     assert "hashpartitioning(first" not in plan and "hashpartitioning(lower(" not in plan  # one exchange of texts, none of tokens
+
+
+def test_polarity_tokens_stay_with_their_text(spark):
+    plan = plan_of(spark, "rule_polarity")
+    assert "hashpartitioning(first" not in plan and "hashpartitioning(lower(" not in plan
