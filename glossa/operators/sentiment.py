@@ -10,8 +10,8 @@ The blend is the mean of both. Both lexicons are parameters; the default ones
 below are small and our own, so scores are comparable in method, not in value,
 to any published lexicon.
 
-Lexicon tables: the tokens of each distinct text, with their 3
-predecessors, are joined to the lexicon without a hint (Spark broadcasts it only
+Lexicon tables: the tokens of each distinct text are first summed up per text and token (what
+their 3 predecessors add and turn, and how often it occurs), then joined to the lexicon without a hint (Spark broadcasts it only
 below ``spark.sql.autoBroadcastJoinThreshold``), summed per text, and the sums go
 back to the rows by the text's key. Lexicons written in the code as short dicts are constants
 of a row-local expression instead, without a shuffle. Nothing runs while the plan is built. A
@@ -97,15 +97,19 @@ def _in(c: Column, words) -> Column:
     return F.coalesce(c.isin(*words), F.lit(False))
 
 
-def _adjusted(v: Column, p1: Column, p2: Column, p3: Column) -> Column:
-    sign = F.signum(v)
+def _context(p1: Column, p2: Column, p3: Column) -> tuple[Column, Column]:
+    """What the three tokens before one add to its valence, and the factor that turns it."""
     boost = sum(
         (F.when(_in(p, BOOSTERS), F.lit(BOOST * d)).otherwise(F.lit(0.0)) for p, d in zip((p1, p2, p3), BOOST_DECAY)),
         F.lit(0.0),
     )
-    boosted = v + sign * boost
     negated = _in(p1, NEGATIONS) | _in(p2, NEGATIONS) | _in(p3, NEGATIONS)
-    return F.when(negated, boosted * NEGATION_SCALAR).otherwise(boosted)
+    return boost, F.when(negated, F.lit(NEGATION_SCALAR)).otherwise(F.lit(1.0))
+
+
+def _adjusted(v: Column, p1: Column, p2: Column, p3: Column) -> Column:
+    boost, scale = _context(p1, p2, p3)
+    return (v + F.signum(v) * boost) * scale
 
 
 def _scores_from(s: Column, pol_sum: Column, hits: Column) -> dict[str, Column]:
@@ -198,7 +202,7 @@ def score(
         polarity.select("token", F.lit(None).cast("double"), F.col("polarity").cast("double"))
     )
     values = both.groupBy("token").agg(F.avg("valence").alias("valence"), F.avg("polarity").alias("polarity"))
-    keyed = df.withColumn("_key", F.md5(F.col(text_col)))
+    keyed = df.withColumn("_key", F.unhex(F.md5(F.col(text_col))))
     texts = keyed.select("_key", text_col).filter(F.col("_key").isNotNull()).dropDuplicates(["_key"])
     texts = texts.select("_key", tokens(text_col, clean).alias("_toks"))
 
@@ -206,11 +210,15 @@ def score(
         return F.when(i >= j, F.try_element_at("_toks", i - j + 1))
 
     placed = F.transform("_toks", lambda t, i: F.struct(t.alias("token"), *[before(i, j).alias(f"p{j}") for j in (1, 2, 3)]))
-    hits = texts.select("_key", F.inline(placed)).join(values, "token")
-    sums = hits.groupBy("_key").agg(
-        F.sum(_adjusted(F.col("valence"), F.col("p1"), F.col("p2"), F.col("p3"))).alias("_s"),
-        F.sum("polarity").alias("_p"),
-        F.count("polarity").alias("_n"),
+    boost, scale = _context(F.col("p1"), F.col("p2"), F.col("p3"))
+    # A token's places in one text are one row before any shuffle: v counts v * _f + sign(v) * _b in them.
+    met = texts.select("_key", F.inline(placed)).select("_key", "token", scale.alias("f"), (boost * scale).alias("b"))
+    met = met.groupBy("_key", "token").agg(F.sum("f").alias("_f"), F.sum("b").alias("_b"), F.count(F.lit(1)).alias("_c"))
+    v = F.col("valence")
+    sums = met.join(values, "token").groupBy("_key").agg(
+        F.sum(v * F.col("_f") + F.signum(v) * F.col("_b")).alias("_s"),
+        F.sum(F.col("polarity") * F.col("_c")).alias("_p"),
+        F.sum(F.when(F.col("polarity").isNotNull(), F.col("_c"))).alias("_n"),
     )
     zero = {c: F.coalesce(F.col(c), F.lit(0.0)) for c in ("_s", "_p", "_n")}
     cols = _scores_from(zero["_s"], zero["_p"], zero["_n"])

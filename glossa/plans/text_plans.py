@@ -10,7 +10,7 @@ from glossa.operators import sentiment as S
 from glossa.operators import text as X
 from glossa.plans.registry import r9 as q9
 from glossa.plans.registry import register
-from glossa.session import spread
+from glossa.session import spread, written
 from glossa.sources.fixtures import read_table, view, with_views
 
 # ---------------------------------------------------------------- DuckDB spellings
@@ -280,7 +280,8 @@ def _sentiment(docs, **lexicons):
 )
 def lexicon_sentiment_large(spark, sf_dir):
     docs = cleaned_documents(spark, sf_dir)
-    words = docs.select(F.explode(S.tokens("cleaned_text", clean=False)).alias("token")).distinct()
+    # Stored: both lexicons read it, and the planner knows its size.
+    words = written(docs.select(F.explode(S.tokens("cleaned_text", clean=False)).alias("token")).distinct(), "lexicon-words")
     n = F.length("token")
     polarity = words.select("token", ((n % 5 - 2).cast("double") / 2).alias("polarity"))
     return _sentiment(docs, lexicon=words.select("token", (n % 9 - 4).cast("double").alias("valence")), polarity=polarity)
