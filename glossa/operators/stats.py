@@ -33,6 +33,10 @@ SIGNIFICANT_TEXT = "Correlacion {strength} {direction} (ESTADISTICAMENTE SIGNIFI
 NOT_SIGNIFICANT_TEXT = "Correlacion NO significativa (p > 0.05)"
 
 
+#: A value of a column is common when more than one row in this many has it.
+COMMON = 1000
+
+
 def correlation_panel(daily_reviews: DataFrame, daily_social: DataFrame) -> DataFrame:
     """One inner join of the daily review series with the (date, platform) social
     series — every platform at once, no loop. Adds ``n_days`` per platform."""
@@ -175,9 +179,9 @@ def value_places(counts: DataFrame) -> DataFrame:
 
 def value_ranks(counts: DataFrame) -> DataFrame:
     """Average rank of every value, ``_col, _v, _r``, centred on (n + 1) / 2 so that squares
-    stay small enough for sums over very many rows."""
+    stay small enough for sums over very many rows, and whether the value is ``_common``."""
     rank = F.col("_before") + (F.col("_c") + 1) / 2.0 - (F.col("_n") + 1) / 2.0
-    return value_places(counts).select("_col", "_v", rank.alias("_r"))
+    return value_places(counts).select("_col", "_v", rank.alias("_r"), (F.col("_c") * COMMON > F.col("_n")).alias("_common"))
 
 
 def quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float]) -> DataFrame:
@@ -204,21 +208,29 @@ def spearman_matrix(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Spearman matrix as long pairs ``(var_x, var_y, spearman_r)``, i < j,
     over rows complete in every column (pandas would drop pairwise). NULL for a constant column.
 
-    One plan for every size, and nothing runs while it is built: the rows are stacked into ``(column, value)``
-    and counted per value (a value held by a third of all rows becomes one row before the shuffle);
-    values are ranked by prefix sums (``value_ranks``) and the ranks joined back by value
-    without a hint. Ranks are centred, so the sums of their products are the covariances times n.
+    One plan for every size, and nothing runs while it is built: equal rows become one weighted row before the
+    shuffle; their values are stacked into ``(column, value)``, counted and ranked by prefix sums (``value_ranks``), and the
+    ranks join back by value. A value with more than one in ``COMMON`` rows has its rank from a
+    broadcast table, which holds fewer than ``COMMON`` of them by their definition; its rows go through the join of
+    the other values under keys of their own. So no task gathers the rows of a common value. Ranks are
+    centred, so the sums of their products are the covariances times n.
     """
     cols = list(cols)
     complete = df.select(*[F.col(c).cast("double").alias(c) for c in cols]).dropna()
-    stacked = complete.select(F.inline(F.array(*[F.struct(F.lit(c).alias("_col"), F.col(c).alias("_v")) for c in cols])))
-    ranks = value_ranks(stacked.groupBy("_col", "_v").agg(F.count(F.lit(1)).alias("_c")))
-    ranked = complete
-    for i, c in enumerate(cols):
-        table = ranks.filter(F.col("_col") == c).select(F.col("_v").alias(c), F.col("_r").alias(f"_r_{i}"))
-        ranked = ranked.join(table, c, "inner")
+    combos = complete.groupBy(*[F.col(f"`{c}`").alias(f"_v_{i}") for i, c in enumerate(cols)]).agg(F.count(F.lit(1)).alias("_w"))
+    values = [f"_v_{i}" for i in range(len(cols))]
+    stacked = combos.select("_w", F.inline(F.array(*[F.struct(F.lit(i).alias("_col"), F.col(v).alias("_v")) for i, v in enumerate(values)])))
+    ranks = value_ranks(stacked.groupBy("_col", "_v").agg(F.sum("_w").alias("_c")))
+    ranked = combos.withColumn("_row", F.xxhash64(*values))
+    for i, v in enumerate(values):
+        table = ranks.where(F.col("_col") == i)
+        common = table.where("_common").select(F.col("_v").alias(v), F.col("_r").alias("_rc"))
+        other = table.where("NOT _common").select(F.lit(0).cast("long").alias("_k"), F.col("_v").alias(v), F.col("_r").alias("_ro"))
+        ranked = ranked.join(F.broadcast(common), v, "left")
+        ranked = ranked.withColumn("_k", F.when(F.col("_rc").isNull(), F.lit(0)).otherwise(F.col("_row"))).join(other, ["_k", v], "left")
+        ranked = ranked.withColumn(f"_r_{i}", F.coalesce("_rc", "_ro")).drop("_k", "_rc", "_ro")
     pairs = [(i, j) for i in range(len(cols)) for j in range(i, len(cols))]
-    sums = ranked.agg(*[F.sum(F.col(f"_r_{i}") * F.col(f"_r_{j}")).alias(f"_p_{i}_{j}") for i, j in pairs])
+    sums = ranked.agg(*[F.sum(F.col("_w") * F.col(f"_r_{i}") * F.col(f"_r_{j}")).alias(f"_p_{i}_{j}") for i, j in pairs])
 
     def corr(i: int, j: int) -> Column:
         den = F.sqrt(F.col(f"_p_{i}_{i}") * F.col(f"_p_{j}_{j}"))
