@@ -7,7 +7,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from glossa.operators import kmeans, marts, ml, sentiment, stats
+from glossa.operators import marts, sentiment, stats
 
 
 def plan(df):
@@ -27,3 +27,25 @@ def test_lexicon_join_has_one_row_a_text_and_token(spark):
     got = scored.orderBy("id").collect()
     for c in ("vader_compound", "textblob_sentiment"):
         assert [r[c] for r in got] == pytest.approx([r[c] for r in want], abs=1e-12)
+
+
+def test_two_distinct_counts_do_not_expand_the_rows(spark):
+    rows = [("a", 1, 7, 5.0, 0.1), ("a", 1, 8, 4.0, None), ("a", None, 8, None, 0.3), ("b", 2, None, 1.0, 0.2), (None, 3, 9, 2.0, 0.1)]
+    df = spark.createDataFrame(rows, "brand_name string, product_id long, user_id int, rating double, sentiment_score double")
+    summary = marts.brand_summary(df)
+    assert "Expand" not in plan(summary)
+    got = {r["brand_name"]: r for r in summary.collect()}
+    assert set(got) == {"a", "b"}
+    assert [got[b][c] for b in "ab" for c in ("product_count", "unique_users", "review_count")] == [1, 2, 2, 1, 0, 1]
+
+
+def test_equal_rows_meet_the_ranks_once(spark):
+    rng = np.random.default_rng(3)
+    pdf = pd.DataFrame({"x": np.where(rng.random(5000) < 0.4, 1.0, rng.normal(size=5000)), "y": rng.integers(0, 5, 5000).astype(float), "z": rng.integers(0, 4000, 5000).astype(float)})
+    pdf.loc[::97, "y"] = None
+    df = spark.createDataFrame(pdf).replace(float("nan"), None)
+    matrix = stats.spearman_matrix(df, ["x", "y", "z"])
+    assert re.search(r"HashAggregate\(keys=\[[^\]]*_v_0[^\]]*_v_1[^\]]*_v_2", plan(matrix))
+    want = pdf.dropna().corr("spearman")
+    got = {(r.var_x, r.var_y): r.spearman_r for r in matrix.collect()}
+    assert got == pytest.approx({("x", "y"): want.x.y, ("x", "z"): want.x.z, ("y", "z"): want.y.z}, abs=1e-12)
