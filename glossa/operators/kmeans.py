@@ -11,6 +11,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
+from operator import add
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -35,36 +37,42 @@ def whole(features: Sequence[Column]) -> list[Column]:
     return [F.rint(f * SCALE).cast("long") for f in features]
 
 
-def weighted_points(df: DataFrame, features: Sequence[Column]) -> DataFrame:
-    """(q0.., w): distinct points in whole numbers and how many rows have them; a null feature counts as 0."""
-    q = [F.coalesce(c, F.lit(0)).alias(f"q{i}") for i, c in enumerate(whole(features))]
-    return written(df.select(*q).groupBy(*[f"q{i}" for i in range(len(q))]).agg(F.count(F.lit(1)).alias("w")), "kmeans-points")
-
+def weighted_points(df: DataFrame, features: Sequence[Column], weight: Column | None = None) -> DataFrame:
+    """(q0.., w): distinct points in whole numbers and how many rows have them; a null feature counts as 0.
 
-def nearest(q: Column, centers: Column) -> Column:
-    """Struct (d, c): the squared distance to, and number of, the nearest of an array of centres."""
+    With ``weight``, a row of ``df`` stands for so many equal ones.
+    """
+    q = [F.coalesce(c, F.lit(0)).alias(f"q{i}") for i, c in enumerate(whole(features))]
+    each = df.select(*q, (F.lit(1) if weight is None else weight).alias("w"))
+    return written(each.groupBy(*[f"q{i}" for i in range(len(q))]).agg(F.sum("w").alias("w")), "kmeans-points")
 
-    def square(center: Column) -> Column:
-        return F.aggregate(F.zip_with(q, center, lambda x, y: (x - y) * (x - y)), F.lit(0.0), lambda s, x: s + x)
 
-    return F.array_min(F.transform(centers, lambda center, i: F.struct(square(center).alias("d"), i.alias("c"))))
+def nearest(q: Sequence[Column], centers: Sequence[Sequence[Column]]) -> Column:
+    """Struct (d, c): the squared distance to, and number of, the nearest centre; plain arithmetic, which Spark compiles."""
 
+    def square(center: Sequence[Column]) -> Column:
+        return reduce(add, [(x - y) * (x - y) for x, y in zip(q, center)], F.lit(0.0))
 
-def literal(centers: Sequence[Sequence[float]]) -> str:
-    inner = ", ".join("array(" + ", ".join(f"{float(x)!r}D" for x in c) + ")" for c in centers)
-    return f"CAST(array({inner}) AS array<array<double>>)"
+    found = [F.struct(square(center).alias("d"), F.lit(c).alias("c")) for c, center in enumerate(centers)]
+    return F.least(*found) if len(found) > 1 else found[0]
 
 
 def tried(points: DataFrame, dims: int, centers: dict[int, list[list[float]]]) -> DataFrame:
-    """Every point with every restart and its centres: (q, w, r, centers).
+    """Every point with every restart: (q0.., w, r) and, once there are centres, ``at``, the nearest of the restart's.
 
-    The centres are a table of restarts x clusters, broadcast; so all iterations have one and the same plan.
+    The centres are a table of restarts, one column a coordinate, broadcast; so all iterations have one and the same plan.
     """
-    rows = ", ".join(f"({r}, {literal(c)})" for r, c in sorted(centers.items()))
-    table = points.sparkSession.sql(f"SELECT * FROM VALUES {rows} AS t(r, centers)")
-    q = F.array(*[F.col(f"q{i}").cast("double") for i in range(dims)])
-    each = points.select("*", q.alias("q"), F.explode(F.array(*map(F.lit, sorted(centers)))).alias("r"))
-    return each.join(F.broadcast(table), "r")
+    k = max(map(len, centers.values()))
+    names = [[f"m{c}_{i}" for i in range(dims)] for c in range(k)]
+    columns = ["r", *(m for center in names for m in center)]
+    # A restart with fewer centres repeats its first: ties go to the smaller number.
+    full = {r: [*at, *at[:1] * (k - len(at))] for r, at in centers.items()}
+    rows = ", ".join(f"({', '.join([str(r), *(f'{float(x)!r}D' for center in at for x in center)])})" for r, at in sorted(full.items()))
+    each = points.crossJoin(F.broadcast(points.sparkSession.sql(f"SELECT * FROM VALUES {rows} AS t({', '.join(columns)})")))
+    if k:
+        q = [F.col(f"q{i}").cast("double") for i in range(dims)]
+        each = each.withColumn("at", nearest(q, [[F.col(m) for m in center] for center in names]))
+    return each.drop(*columns[1:])
 
 
 def seeds(points: DataFrame, dims: int, k: int, restarts: int, seed: int) -> dict[int, list[list[float]]]:
@@ -78,8 +86,7 @@ def seeds(points: DataFrame, dims: int, k: int, restarts: int, seed: int) -> dic
         open_ = {r: c for r, c in out.items() if len(c) == step}
         if not open_:
             break
-        distance = nearest(F.col("q"), F.col("centers"))["d"] if step else F.lit(1.0)
-        each = tried(points, dims, open_).withColumn("d", distance).where("d > 0")
+        each = tried(points, dims, open_).withColumn("d", F.col("at.d") if step else F.lit(1.0)).where("d > 0")
         key = F.md5(F.concat_ws(":", F.lit(str(seed)), F.col("r").cast("string"), F.lit(str(step)), *[F.col(c).cast("string") for c in q]).cast("binary"))
         u = (F.conv(F.substring(key, 1, 8), 16, 10).cast("double") + 0.5) / 2.0**32
         drawn = F.min(F.struct((-F.ln(u) / (F.col("w") * F.col("d"))).alias("e"), *q))
@@ -92,8 +99,7 @@ def scan(points: DataFrame, dims: int, centers: dict[int, list[list[float]]]) ->
     """One scan: for each restart and cluster its members' means, weight and squared distances."""
     exact = [F.sum((F.col(f"q{i}") * F.col("w")).cast("decimal(38,0)")).cast("double").alias(f"s{i}") for i in range(dims)]
     cost = F.sum((F.col("at.d") * F.col("w")).cast("decimal(38,6)")).cast("double").alias("d")
-    each = tried(points, dims, centers).withColumn("at", nearest(F.col("q"), F.col("centers")))
-    rows = each.groupBy("r", F.col("at.c").alias("c")).agg(F.sum("w").alias("n"), cost, *exact).collect()
+    rows = tried(points, dims, centers).groupBy("r", F.col("at.c").alias("c")).agg(F.sum("w").alias("n"), cost, *exact).collect()
     out: dict[int, dict[int, tuple[list[float], int, float]]] = {r: {} for r in centers}
     for row in rows:
         out[row["r"]][row["c"]] = ([row[f"s{i}"] / row["n"] for i in range(dims)], row["n"], row["d"])
@@ -129,5 +135,5 @@ def best(ends: Sequence[Restart]) -> Restart:
 
 def cluster_of(features: Sequence[Column], end: Restart) -> Column:
     """The cluster number of a row's features."""
-    q = F.array(*[F.coalesce(c, F.lit(0)).cast("double") for c in whole(features)])
-    return nearest(q, F.expr(literal(end.centers)))["c"]
+    q = [F.coalesce(c, F.lit(0)).cast("double") for c in whole(features)]
+    return nearest(q, [[F.lit(float(x)) for x in center] for center in end.centers])["c"]

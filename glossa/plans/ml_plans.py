@@ -1,6 +1,6 @@
 """Registered queries: review clustering, k-means restarts, and the social rating models.
 
-The clustering over Spark ML's scaler and PCA, and the model split by Spark's own hash, have no SQL oracle; the
+The clustering over Spark ML's PCA, and the model split by Spark's own hash, have no SQL oracle; the
 restarts and the models by moments do."""
 
 from __future__ import annotations

@@ -7,7 +7,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from glossa.operators import marts, sentiment, stats
+from glossa.operators import marts, ml, sentiment, stats
 
 
 def plan(df):
@@ -49,3 +49,30 @@ def test_equal_rows_meet_the_ranks_once(spark):
     want = pdf.dropna().corr("spearman")
     got = {(r.var_x, r.var_y): r.spearman_r for r in matrix.collect()}
     assert got == pytest.approx({("x", "y"): want.x.y, ("x", "z"): want.x.z, ("y", "z"): want.y.z}, abs=1e-12)
+
+
+def test_clusters_are_fitted_over_distinct_vectors(spark, monkeypatch):
+    rng = np.random.default_rng(5)
+    n = 2000
+    pdf = pd.DataFrame({"text_length": rng.integers(3, 9, n), "rating": rng.integers(1, 6, n).astype(float), "sentiment_score": rng.integers(-2, 3, n) / 2})
+    pdf["text_length"] += 3 * pdf["rating"].astype(int)
+    pdf["sentiment_intensity"], pdf["text_sentence_count"] = pdf["sentiment_score"].abs(), 0.1  # 0.1: a constant has no deviation
+    pdf.loc[: n // 2, :] = pdf.loc[0].values  # a hot vector
+    df = spark.createDataFrame(pdf).withColumn("rating", F.when(F.col("rating") != 3, F.col("rating")))
+    x = df.toPandas()[["text_length", "rating", "sentiment_score", "sentiment_intensity", "text_sentence_count"]].fillna(0).to_numpy(float)
+
+    fitted = []
+    fit = ml.PCA.fit
+    monkeypatch.setattr(ml.PCA, "fit", lambda self, frame: fitted.append(frame.count()) or fit(self, frame))
+    out, info = ml.cluster_reviews(df, n_init=3)
+    assert fitted == [2 * len(np.unique(x, axis=0))]
+    assert not re.search("UDF|lambda", plan(out))
+
+    std = x.std(axis=0, ddof=1)
+    z = (x - x.mean(axis=0)) / np.where(std < 1e-9, np.inf, std)
+    shares, axes = np.linalg.eigh(np.cov(z.T))
+    assert info["variance_explained"] == pytest.approx(shares[-3:].sum() / shares.sum(), abs=1e-12)
+    y = z @ axes[:, -3:]
+    cluster = np.array([r["user_cluster"] for r in out.select("user_cluster").collect()])
+    cost = sum(((y[cluster == c] - y[cluster == c].mean(axis=0)) ** 2).sum() for c in set(cluster))
+    assert len(set(cluster)) == info["n_clusters"] == 4 and info["training_cost"] == pytest.approx(cost, rel=1e-6)
